@@ -59,7 +59,21 @@ def over_rows(df: DataFrame, keys: list[str], t: str, tiebreak: list[str],
         return f.select(*cols, res.cast("long").alias(out))
     if preceding is None:
         return _unbounded(df, keys, t, tiebreak, name, col, out, target_rows, rows=True)
-    # General bounded ROWS frame: blocks by global row number + k-row halo.
+    f = rows_layout(df, keys, t, tiebreak, preceding, target_rows)
+    w = (Window.partitionBy(*keys, "_blk").orderBy("_rn")
+         .rowsBetween(-preceding, Window.currentRow))
+    f = f.withColumn(out, _agg(name, F.col(col), w))
+    return f.where("_own").select(*cols, out)
+
+
+def rows_layout(df: DataFrame, keys: list[str], t: str, tiebreak: list[str], preceding: int,
+                target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """Rows of ``df`` with ``_rn`` (global row number in the key), ``_blk``
+    (block of ``target_rows`` consecutive rows of a hot key, 0 otherwise) and
+    ``_own``; the last ``preceding`` rows of a block appear once more with
+    ``_own = false`` in the next block.  A window ``PARTITION BY keys, _blk
+    ORDER BY _rn ROWS BETWEEN preceding PRECEDING AND CURRENT ROW`` over it,
+    kept to ``_own`` rows, equals the same frame partitioned by key alone."""
     sg, f = global_row_number(df, keys, t, tiebreak, target_rows)
     size = max(target_rows, 2 * (preceding + 1))
     block = F.when(F.col(HOT), F.floor((F.col("_rn") - 1) / size)).otherwise(F.lit(0)).cast("long")
@@ -68,11 +82,8 @@ def over_rows(df: DataFrame, keys: list[str], t: str, tiebreak: list[str],
     own = F.struct(F.lit(True).alias("own"), block.alias("blk"))
     copy = F.struct(F.lit(False).alias("own"), (block + 1).alias("blk"))
     f = f.withColumn("_c", F.explode(F.when(halo, F.array(own, copy)).otherwise(F.array(own))))
-    f = f.withColumn("_own", F.col("_c.own")).withColumn("_blk", F.col("_c.blk"))
-    w = (Window.partitionBy(*keys, "_blk").orderBy("_rn")
-         .rowsBetween(-preceding, Window.currentRow))
-    f = f.withColumn(out, _agg(name, F.col(col), w))
-    return f.where("_own").select(*cols, out)
+    return (f.withColumn("_own", F.col("_c.own")).withColumn("_blk", F.col("_c.blk"))
+            .select(*df.columns, "_rn", "_blk", "_own"))
 
 
 def over_range(df: DataFrame, keys: list[str], t: str, preceding: int | None,
