@@ -1,0 +1,70 @@
+from pyspark.sql import functions as F
+
+from thermocline.functions import (format_epoch_seconds, format_number, java_double_hash,
+                                   java_hash_pair, java_split, java_string_hash, scaled_hash,
+                                   to_csv_value)
+from thermocline.functions.udfs import register_sql_functions
+
+# (id, temperature, h(id), h(id)x10, h(text), h(double), sum) — FIXTURES.md §3
+HASHES = [
+    ("sensor_1", 35.8, 1262115052, -263751368, 1571756, 640122880, 1902237932),
+    ("sensor_6", 15.4, 1262115057, -263751318, 1512170, -1931345919, -669230862),
+    ("sensor_7", 6.7, 1262115058, -263751308, 53375, -1932132351, -670017293),
+    ("sensor_10", 38.1, 470860996, 413642664, 1574632, -1936736255, -1465875259),
+    ("sensor_1", 37.2, 1262115052, -263751368, 1573672, -639959037, 622156015),
+    ("sensor_1", 33.5, 1262115052, -263751368, 1569831, 1077985280, -1954866964),
+]
+
+
+def test_hash_golden(spark):
+    df = spark.createDataFrame([(h[0], h[1]) for h in HASHES], "id string, t double")
+    got = df.select(java_string_hash("id"), scaled_hash("id", 10),
+                    java_string_hash(F.col("t").cast("string")), java_double_hash("t"),
+                    java_hash_pair("id", "t")).collect()
+    assert [tuple(r) for r in got] == [h[2:] for h in HASHES]
+
+
+def test_hash_sql_functions_match_columns(spark):
+    register_sql_functions(spark)
+    vals = [("sensor_1", 35.8), ("héllo𝄞", -0.0), ("", float("nan")), (None, 5e-324),
+            ("x", -1e300), ("y", float("inf")), ("z", float("-inf")), ("w", 0.0)]
+    df = spark.createDataFrame(vals, "s string, x double")
+    df.createOrReplaceTempView("hv")
+    a = df.select(java_string_hash("s").alias("a"), java_double_hash("x").alias("b"),
+                  scaled_hash("s", 7).alias("c"), java_hash_pair("s", "x").alias("d")).collect()
+    b = spark.sql("select hash_string(s) a, hash_double(x) b, hash_code(s, 7) c, "
+                  "hash_pair(s, x) d from hv").collect()
+    assert a == b
+    # JVM values for the special cases
+    assert [r.b for r in a] == [640122880, -2147483648, 2146959360, 1, 1983353248,
+                                2146435072, -1048576, 0]
+    assert a[1].a == 291563960  # surrogate pair hashed as two UTF-16 units
+
+
+def test_java_split(spark):
+    df = spark.createDataFrame([("purchase",), ("",), ("e",), ("error",), ("view",), (None,)],
+                               "s string")
+    got = [r.p for r in df.select(java_split("s", "e").alias("p")).collect()]
+    assert got == [["purchas"], [""], [], ["", "rror"], ["vi", "w"], None]
+
+
+def test_format_functions(spark):
+    df = spark.createDataFrame([(5.5, 5.567, 1547718199)], "a double, b double, s long")
+    r = df.select(format_number("a", "%06.3f").alias("x"), format_number("b", "%.2f").alias("y"),
+                  format_epoch_seconds("s", "UTC").alias("u"),
+                  format_epoch_seconds("s", "Asia/Shanghai").alias("c")).first()
+    assert (r.x, r.y) == ("05.500", "5.57")
+    assert (r.u, r.c) == ("2019-01-17 09:43:19", "2019-01-17 17:43:19")
+
+
+def test_json_and_csv_text(spark, readings):
+    r = readings.orderBy("rid").select(
+        F.to_json(F.struct("id", "timestamp", "temperature")).alias("j"),
+        to_csv_value("id", "timestamp", "temperature").alias("c"),
+        to_csv_value("id", "timestamp", "temperature", sep="@").alias("a")).first()
+    assert r.j == '{"id":"sensor_1","timestamp":1547718199,"temperature":35.8}'
+    assert r.c == "sensor_1,1547718199,35.8"
+    assert r.a == "sensor_1@1547718199@35.8"
+    back = spark.createDataFrame([(r.j,)], "j string").select(
+        F.from_json("j", "id string, timestamp long, temperature double").alias("x")).first().x
+    assert tuple(back) == ("sensor_1", 1547718199, 35.8)

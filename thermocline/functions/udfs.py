@@ -8,7 +8,6 @@
   Python registration paths; the registered queries use the built-in forms.
 """
 
-from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
