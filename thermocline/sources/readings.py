@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import java_split
 from ..functions.time import naive_from_seconds
 
 READING_SCHEMA = T.StructType([
@@ -29,7 +28,7 @@ def parse_lines(lines: DataFrame, sep: str = " ", trim: bool = True,
     trims every field; ``ts_scale`` multiplies the timestamp (1000 turns
     epoch seconds into milliseconds).  Works on any DataFrame with a text
     ``value`` column — a file, socket or Kafka stream alike."""
-    parts = java_split(F.col(value_col), sep)
+    parts = F.split(F.col(value_col), sep, -1)
     f = [parts.getItem(i) for i in range(3)]
     if trim:
         f = [F.trim(x) for x in f]

@@ -71,7 +71,7 @@ def count_trigger_avg_stream(df: DataFrame, key: str, ts: str, value: str, id_co
         if rows:
             yield pd.DataFrame(rows, columns=[key, "cnt", "avg_value", "emit_t"])
 
-    res = (_micros(df, ts).select(F.col(key).cast("string").alias(key), "_t", value, id_col)
+    res = (_micros(df, ts).select(F.col(key).cast("string").alias(key), "_t", value, id_col, ts)
            .groupBy(key)
            .applyInPandasWithState(fn, out_schema, state_schema, "append",
                                    GroupStateTimeout.EventTimeTimeout))
@@ -198,7 +198,8 @@ def over_stream(df: DataFrame, key: str, ts: str, id_col: str, frame: str, prece
 
     src = _micros(df, ts).select(F.col(key).cast("string").alias(key), "_t",
                                  F.col(id_col).cast("long").alias(id_col),
-                                 (F.lit(1.0) if agg == "count" else F.col(vcol).cast("double")).alias("_v"))
+                                 (F.lit(1.0) if agg == "count" else F.col(vcol).cast("double")).alias("_v"),
+                                 F.col(ts).alias("_wm_ts"))
     res = src.groupBy(key).applyInPandasWithState(
         fn, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
     res = res.withColumn(ts, F.timestamp_micros("t")).drop("t")
