@@ -24,8 +24,12 @@ def test_hash_golden(spark):
     assert [tuple(r) for r in got] == [h[2:] for h in HASHES]
 
 
-def test_hash_sql_functions_match_columns(spark):
-    register_sql_functions(spark)
+import pytest
+
+
+@pytest.mark.parametrize("python_workers", [True, False])
+def test_hash_sql_functions_match_columns(spark, python_workers):
+    register_sql_functions(spark, python_workers)
     vals = [("sensor_1", 35.8), ("héllo𝄞", -0.0), ("", float("nan")), (None, 5e-324),
             ("x", -1e300), ("y", float("inf")), ("z", float("-inf")), ("w", 0.0)]
     df = spark.createDataFrame(vals, "s string, x double")
@@ -39,6 +43,9 @@ def test_hash_sql_functions_match_columns(spark):
     assert [r.b for r in a] == [640122880, -2147483648, 2146959360, 1, 1983353248,
                                 2146435072, -1048576, 0]
     assert a[1].a == 291563960  # surrogate pair hashed as two UTF-16 units
+    from thermocline.functions.scalar import java_double_hash_expr, java_string_hash_expr
+    e = df.select(java_string_hash_expr("s").alias("a"), java_double_hash_expr("x").alias("b")).collect()
+    assert [(r.a, r.b) for r in e] == [(r.a, r.b) for r in a]
 
 
 def test_java_split(spark):

@@ -13,11 +13,12 @@ from pyspark.sql import SparkSession
 
 _WRAP = "CAST(pmod(({x}) + 2147483648, 4294967296) - 2147483648 AS INT)"
 
-_UNITS = ("transform(sequence(0, CAST(length(hex(encode({s}, 'UTF-16BE'))) / 4 AS INT) - 1), "
-          "i -> CAST(conv(substring(hex(encode({s}, 'UTF-16BE')), i * 4 + 1, 4), 16, 10) AS BIGINT))")
-
-_STRING_HASH_U = ("CASE WHEN length({s}) = 0 THEN 0L ELSE aggregate(" + _UNITS +
-                  ", 0L, (a, u) -> pmod(a * 31 + u, 4294967296L)) END")
+# code points of the string; an astral one stands for its two UTF-16 units
+_STRING_HASH_U = ("CASE WHEN length({s}) = 0 THEN 0L ELSE aggregate("
+                  "transform(split({s}, ''), ch -> CAST(ascii(ch) AS BIGINT)), 0L, (a, cp) -> "
+                  "CASE WHEN cp < 65536 THEN pmod(a * 31 + cp, 4294967296L) "
+                  "ELSE pmod(a * 961 + (55296 + shiftright(cp - 65536, 10)) * 31 "
+                  "+ 56320 + pmod(cp - 65536, 1024), 4294967296L) END) END")
 
 
 def string_hash_sql(s: str) -> str:
@@ -55,17 +56,62 @@ def java_split_sql(s: str, sep: str) -> str:
     return f"CASE WHEN size({parts}) <= 1 THEN {parts} ELSE slice({parts}, 1, {keep}) END"
 
 
-def register_sql_functions(spark: SparkSession) -> None:
-    """Register the scalar functions by name (temporary, session scope)."""
+def register_sql_functions(spark: SparkSession, python_workers: bool = True) -> None:
+    """Register the scalar functions by name (temporary, session scope).
+
+    ``hash_double`` and ``java_split`` are SQL functions over built-in
+    expressions.  The string-hash overloads are vectorised Arrow UDFs
+    (``python_workers``) or, when Python workers are unwanted, SQL functions
+    over the interpreted built-in form."""
     defs = {
-        "hash_string(s STRING) RETURNS INT": string_hash_sql("s"),
+        "java_split(s STRING, sep STRING) RETURNS ARRAY<STRING>": java_split_sql("s", "sep"),
+    }
+    if not python_workers:
+        defs.update({
+            "hash_double(x DOUBLE) RETURNS INT": double_hash_sql("x"),
+            "hash_string(s STRING) RETURNS INT": string_hash_sql("s"),
+            "hash_code(s STRING, factor INT) RETURNS INT":
+                _WRAP.format(x=f"CAST({string_hash_sql('s')} AS BIGINT) * factor"),
+            "hash_pair(s STRING, x DOUBLE) RETURNS INT":
+                _WRAP.format(x=f"CAST({string_hash_sql('s')} AS BIGINT) + "
+                               f"CAST({double_hash_sql('x')} AS BIGINT)"),
+        })
+    for name in ("hash_string", "hash_code", "hash_pair", "hash_double", "java_split",
+                 "hash_double_bits"):
+        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
+    for sig, body in defs.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {sig} RETURN {body}")
+    if python_workers:
+        _register_hash_udfs(spark)
+
+
+def _register_hash_udfs(spark: SparkSession) -> None:
+    """``hash_string`` and the double's bit hash as vectorised Arrow UDFs;
+    ``hash_double``, ``hash_code`` and ``hash_pair`` as SQL functions over
+    them (the factor product and the INT wrap stay JVM expressions, and the
+    NULL flag keeps NULL apart from NaN, which pandas cannot tell apart)."""
+    import pandas as pd
+
+    from pyspark.sql.functions import pandas_udf
+
+    from .scalar import double_hash_values, string_hash_values
+
+    @pandas_udf("int")
+    def hash_string(s: pd.Series) -> pd.Series:
+        return string_hash_values(s)
+
+    @pandas_udf("int")
+    def hash_double_bits(x: pd.Series, is_null: pd.Series) -> pd.Series:
+        return double_hash_values(x, is_null)
+
+    spark.udf.register("hash_string", hash_string)
+    spark.udf.register("hash_double_bits", hash_double_bits)
+    defs = {
+        "hash_double(x DOUBLE) RETURNS INT": "hash_double_bits(x, x IS NULL)",
         "hash_code(s STRING, factor INT) RETURNS INT":
-            _WRAP.format(x=f"CAST({string_hash_sql('s')} AS BIGINT) * factor"),
-        "hash_double(x DOUBLE) RETURNS INT": double_hash_sql("x"),
+            _WRAP.format(x="CAST(hash_string(s) AS BIGINT) * factor"),
         "hash_pair(s STRING, x DOUBLE) RETURNS INT":
-            _WRAP.format(x=f"CAST({string_hash_sql('s')} AS BIGINT) + "
-                           f"CAST({double_hash_sql('x')} AS BIGINT)"),
-        "java_split(s STRING, sep STRING) RETURNS ARRAY<STRING>": java_split_sql("s", "sep"),
+            _WRAP.format(x="CAST(hash_string(s) AS BIGINT) + CAST(hash_double_bits(x, x IS NULL) AS BIGINT)"),
     }
     for sig, body in defs.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {sig} RETURN {body}")
