@@ -43,7 +43,7 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int,
     cnt = F.count(count_col) if count_col else F.count(F.lit(1))
     local = (sg.frame.groupBy(*keys, SEG, F.session_window(ts, f"{int(gap_seconds)} seconds"))
              .agg(cnt.alias("cnt"), F.min("_t").alias("_first"), F.max("_t").alias("_last"),
-                  F.first(HOT).alias(HOT))
+                  F.max(HOT).alias(HOT))  # constant per key; max is deterministic
              .drop("session_window"))
 
     def finish(x: DataFrame) -> DataFrame:
@@ -89,17 +89,26 @@ def count_trigger_avg(df: DataFrame, keys: list[str], ts: str, value: str,
     f, offs, n_segs = with_row_offsets(sg)
     w = sg.seg_window().orderBy(F.col("_t"), *[F.col(c) for c in tiebreak])
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rn = (F.row_number().over(w) + F.col("_before")).cast("long")
-    prev = F.coalesce(F.lag("_t").over(w), F.col("_prev_last"))
-    f = (f.withColumn("_rn", rn)
-         .withColumn("_start", prev.isNull() | (F.col("_t") - prev >= ttl)))
+
+    def flagged(x: DataFrame) -> DataFrame:
+        rn = (F.row_number().over(w) + F.col("_before")).cast("long")
+        prev = F.coalesce(F.lag("_t").over(w), F.col("_prev_last"))
+        return (x.withColumn("_rn", rn)
+                .withColumn("_start", prev.isNull() | (F.col("_t") - prev >= ttl)))
+
+    base = f
+    f = flagged(base)
     f = f.withColumn("_rs", F.max(F.when(F.col("_start"), F.col("_rn"))).over(run))
     if sg.split:
-        per_seg = (f.where(F.col(HOT)).groupBy(*keys, SEG)
-                   .agg(F.max(F.when(F.col("_start"), F.col("_rn"))).alias("_ls")))
+        # Carry-in per hot segment: the last run start of the key before it.
+        # A separate narrow pass over hot-key rows only, materialised (one
+        # row per hot segment), so the main pass shuffles the input once.
+        hot_rows = flagged(base.where(F.col(HOT)).select(*keys, SEG, "_t", *tiebreak, "_before",
+                                                       "_prev_last"))
+        per_seg = hot_rows.groupBy(*keys, SEG).agg(
+            F.max(F.when(F.col("_start"), F.col("_rn"))).alias("_ls"))
         prior = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-        carry = per_seg.select(*keys, SEG, F.max("_ls").over(prior).alias("_carry"))
-        # one row per hot segment: n_segs rows, counted above
+        carry = materialize(per_seg.select(*keys, SEG, F.max("_ls").over(prior).alias("_carry")))
         f = sg.attach(f, carry, n_segs, ["_carry"])
         f = f.withColumn("_rs", F.coalesce("_rs", "_carry"))
     chunk = F.floor((F.col("_rn") - F.col("_rs")) / threshold)

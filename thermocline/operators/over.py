@@ -31,12 +31,6 @@ def _agg(name: str, c: Column, w: Window) -> Column:
     return fn(c).over(w)
 
 
-def _split_agg(agg: tuple[str, str] | str) -> tuple[str, str]:
-    if isinstance(agg, str):
-        return agg, None
-    return agg
-
-
 def over_rows(df: DataFrame, keys: list[str], t: str, tiebreak: list[str],
               preceding: int | None, agg: tuple[str, str], out: str,
               target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
@@ -50,10 +44,6 @@ def over_rows(df: DataFrame, keys: list[str], t: str, tiebreak: list[str],
         if preceding is None:
             res = F.col("_nn_run")
         else:
-            key_null = None
-            for k in keys:
-                e = F.col(k).isNull()
-                key_null = e if key_null is None else key_null | e
             res = F.when(F.col(col).isNull(), F.lit(0)).otherwise(
                 F.least(F.col("_rn"), F.lit(preceding + 1)))
         return f.select(*cols, res.cast("long").alias(out))
@@ -75,6 +65,9 @@ def rows_layout(df: DataFrame, keys: list[str], t: str, tiebreak: list[str], pre
     ORDER BY _rn ROWS BETWEEN preceding PRECEDING AND CURRENT ROW`` over it,
     kept to ``_own`` rows, equals the same frame partitioned by key alone."""
     sg, f = global_row_number(df, keys, t, tiebreak, target_rows)
+    if not sg.split:
+        return f.select(*df.columns, "_rn", F.lit(0).cast("long").alias("_blk"),
+                        F.lit(True).alias("_own"))
     size = max(target_rows, 2 * (preceding + 1))
     block = F.when(F.col(HOT), F.floor((F.col("_rn") - 1) / size)).otherwise(F.lit(0)).cast("long")
     pos = F.pmod(F.col("_rn") - 1, F.lit(size))
@@ -99,6 +92,9 @@ def over_range(df: DataFrame, keys: list[str], t: str, preceding: int | None,
         return _unbounded(df, keys, t, [], name, col, out, target_rows, rows=False)
     sg = segment(df, keys, t, target_rows, min_width=preceding + 1, keep_bounds=True)
     f = sg.frame
+    if not sg.split:
+        w = Window.partitionBy(*keys).orderBy(F.col(t)).rangeBetween(-preceding, Window.currentRow)
+        return f.select(*cols, _agg(name, F.col(col) if col else F.lit(1), w).alias(out))
     seg_end = F.col("_lo") + (F.col(SEG) + 1) * F.col("_w")
     halo = F.col(HOT) & (F.col(t) + preceding >= seg_end)
     own = F.struct(F.lit(True).alias("own"), F.col(SEG).alias("blk"))

@@ -60,7 +60,13 @@ def materialize(df: DataFrame) -> DataFrame:
     plan.  Used for the small derived tables (hot keys, segment offsets)
     that later plans broadcast after a size check."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # an eager reliable checkpoint runs its input twice (count, then write)
+    # unless the input is persisted; these tables are small
+    kept = df.persist()
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
