@@ -156,3 +156,25 @@ def test_restart_from_checkpoint(spark, tmp_path):
     assert got == sorted([
         ("sensor_1", 190, 1), ("sensor_1", 200, 1), ("sensor_1", 210, 2), ("sensor_6", 200, 1),
         ("sensor_7", 200, 1), ("sensor_10", 200, 1), ("sensor_6", 300, 1)])
+
+
+def test_proctime(spark, tmp_path):
+    from thermocline.streaming.event_time import with_local_time, with_proctime
+    s = with_local_time(with_proctime(stream(spark, tmp_path, REPLAY[:1], delay=None), "pt"), "lt")
+    assert dict(s.dtypes)["pt"] == "timestamp" and dict(s.dtypes)["lt"] == "timestamp_ntz"
+    rows = run_to_table(s.select("id", "pt", "lt"), "proctime_out", str(tmp_path / "ck"))
+    assert len(rows) == 4 and all(r.pt is not None and r.lt is not None for r in rows)
+
+
+@pytest.mark.parametrize("delay,expect_first", [("0 seconds", 1), ("10 seconds", 2)])
+def test_ascending_drops_late(spark, tmp_path, delay, expect_first):
+    """Ascending timestamps (zero delay): a row behind the maximum is late and
+    its closed window ignores it; a 10 s bound still counts it.  Spark judges
+    late input against the previous batch's watermark, so the late row comes
+    two batches after the one that moved the watermark past its window."""
+    batches = [["k 1547718010 1.0", "k 1547718025 1.0"], ["k 1547718030 1.0"],
+               ["k 1547718015 1.0", "k 1547718040 1.0"], ["k 1547718100 1.0"]]
+    s = stream(spark, tmp_path, batches, delay=delay)
+    q = gw.tumble_count(s, "id", "ts", "10 seconds").select(secs("window_start").alias("s"), "cnt")
+    rows = {r.s: r.cnt for r in run_to_table(q, f"asc_out_{expect_first}", str(tmp_path / "ck"))}
+    assert rows[10] == expect_first and rows[20] == 1 and rows[30] == 1 and rows[40] == 1

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros, epoch_ntz
-from ..session import materialize
+from ..session import materialize, materialize_counted
 from .segments import (DEFAULT_TARGET_ROWS, HOT, SEG, bounded_side,
                        global_row_number, segment, with_row_offsets)
 
@@ -142,8 +142,9 @@ def control_block(data: DataFrame, control: DataFrame, key: str, ts: str) -> Dat
     aggregate; the per-key table is broadcast only when its counted size is
     bounded, else the join shuffles (AQE splits a hot key)."""
     first = control.groupBy(key).agg(F.min(ts).alias("_block_from"))
-    first = materialize(first)
-    n = first.count()
+    first, n = materialize_counted(first)
+    if n == 0:
+        return data
     first = first.withColumnRenamed(key, "_bk")
     right = bounded_side(first, n)
     cond = (data[key] == right["_bk"]) & (right["_block_from"] <= data[ts])

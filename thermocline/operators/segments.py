@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, materialize_counted
 
 SEG = "_seg"
 HOT = "_hot"
@@ -70,8 +70,7 @@ class Segmented:
         """Per (hot key, segment) aggregates, checkpointed; with its row count
         (at most N / target_rows + number of hot keys)."""
         s = (self.frame.where(F.col(HOT)).groupBy(*self.keys, SEG).agg(*aggs))
-        s = materialize(s)
-        return s, s.count()
+        return materialize_counted(s)
 
     def attach(self, frame: DataFrame, table: DataFrame, n_rows: int,
                cols: list[str]) -> DataFrame:
@@ -105,8 +104,7 @@ def segment(df: DataFrame, keys: list[str], t: str,
                        F.lit(int(min_width))).cast("long")
     hot = (stats.where(F.col("_n") > target_rows)
            .select(*keys, F.col("_lo").cast("long").alias("_lo"), width.alias("_w")))
-    hot = materialize(hot)
-    n_hot = hot.count()
+    hot, n_hot = materialize_counted(hot)
     if n_hot == 0:
         frame = df.withColumn(SEG, F.lit(0).cast("long")).withColumn(HOT, F.lit(False))
         if keep_bounds:

@@ -73,3 +73,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+
+
+def materialize_counted(df: DataFrame) -> tuple[DataFrame | None, int]:
+    """Count a small derived table and, when it is not empty, checkpoint it
+    reliably (from the persisted copy, so its input runs once).  Returns
+    ``(None, 0)`` for an empty table: the common "no hot key" case costs a
+    single job."""
+    checkpoint_dir(df.sparkSession)
+    kept = df.persist()
+    try:
+        n = kept.count()
+        if n == 0:
+            return None, 0
+        return kept.checkpoint(eager=True), n
+    finally:
+        kept.unpersist()
