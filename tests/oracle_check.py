@@ -68,6 +68,7 @@ if __name__ == "__main__":
     from thermocline.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or None
-    spark = build_session("local[8]")
+    tz = os.environ.get("ORACLE_SESSION_TZ")
+    spark = build_session("local[8]", extra={"spark.sql.session.timeZone": tz} if tz else None)
     for k, v in compare(spark, sf, names).items():
         print(f"{k:24s} {v}")

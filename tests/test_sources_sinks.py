@@ -28,13 +28,13 @@ def test_parse_lines_separators_and_trim(spark):
 
 
 def test_csv_table_and_ddl(spark, tmp_path):
-    p = str(tmp_path / "sensor.txt")
+    p = str(tmp_path / "readings.txt")
     with open(p, "w") as f:
         f.write("\n".join(_lines(" ")) + "\n")
     register_csv_table(spark, "inputTable", p, sep=" ")
     rows = spark.sql("select * from inputTable where id = 'sensor_1'").collect()
     assert sorted(r.timestamp for r in rows) == [1547718199, 1547718207, 1547718212, 1547718215]
-    c = str(tmp_path / "sensor1.csv")
+    c = str(tmp_path / "readings.csv")
     with open(c, "w") as f:
         f.write("\n".join(_lines(",")) + "\n")
     ddl_table(spark, "sensor", c, sep=",")
@@ -61,8 +61,8 @@ def test_kafka_codec_and_options(spark, readings):
     assert (r.key, r.value) == ("sensor_1", "sensor_1,1547718199,35.8")
     decoded = parse_lines(decode_value(rec.select(F.col("value").cast("binary").alias("value"))), ",")
     assert sorted(tuple(x) for x in decoded.collect()) == sorted(READINGS)
-    o = kafka_source_options("h1:9092,h2:9092", "FlinkIdeaSinkTest", "g1")
-    assert o["subscribe"] == "FlinkIdeaSinkTest" and o["startingOffsets"] == "earliest"
+    o = kafka_source_options("h1:9092,h2:9092", "sensor-readings", "g1")
+    assert o["subscribe"] == "sensor-readings" and o["startingOffsets"] == "earliest"
     assert o["kafka.group.id"] == "g1"
     assert kafka_sink_options("h:9092", "t") == {"kafka.bootstrap.servers": "h:9092", "topic": "t"}
 

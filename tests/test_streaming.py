@@ -96,7 +96,7 @@ def test_changelog_stream(spark, tmp_path):
 
 
 def test_control_block_stream(spark, tmp_path):
-    w = write_batches(str(tmp_path / "w"), [["Apache", "DROP", "Flink", "IGNORE"]])
+    w = write_batches(str(tmp_path / "w"), [["alpha", "DROP", "beta", "IGNORE"]])
     c = write_batches(str(tmp_path / "c"), [["DROP", "IGNORE"]])
     words = text_stream(spark, w).select(F.col("value").alias("word"),
                                          F.timestamp_seconds(F.lit(0)).alias("ts"),
@@ -105,7 +105,7 @@ def test_control_block_stream(spark, tmp_path):
                                            F.timestamp_seconds(F.lit(0)).alias("ts"))
     q = stateful.control_block_stream(words, control, "word", "ts", "rid")
     rows = run_to_table(q, "control_out", str(tmp_path / "ck"))
-    assert sorted(r.word for r in rows) == ["Apache", "Flink"]
+    assert sorted(r.word for r in rows) == ["alpha", "beta"]
 
 
 def test_csv_sink_with_at_delimiter(spark, tmp_path):

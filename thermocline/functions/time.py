@@ -13,18 +13,26 @@ def epoch_ntz() -> Column:
 
 def epoch_micros(c: Column | str, naive: bool = True) -> Column:
     """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (``naive``) or a
-    TIMESTAMP column."""
+    TIMESTAMP column.  For NTZ the difference of two NTZ values is a
+    day-time interval whose fields are summed: no time zone is involved, so
+    wall-clock times inside a DST gap of the session zone stay exact."""
     c = F.col(c) if isinstance(c, str) else c
-    if naive:
-        return F.timestamp_diff("MICROSECOND", epoch_ntz(), c)
-    return F.unix_micros(c)
+    if not naive:
+        return F.unix_micros(c)
+    iv = c - epoch_ntz()
+    return (F.extract(F.lit("DAY"), iv).cast("long") * 86_400_000_000
+            + F.extract(F.lit("HOUR"), iv).cast("long") * 3_600_000_000
+            + F.extract(F.lit("MINUTE"), iv).cast("long") * 60_000_000
+            + (F.extract(F.lit("SECOND"), iv) * 1_000_000).cast("long"))
 
 
 def epoch_seconds(c: Column | str, naive: bool = True) -> Column:
+    """Whole seconds since 1970-01-01 (floor)."""
     c = F.col(c) if isinstance(c, str) else c
-    if naive:
-        return F.timestamp_diff("SECOND", epoch_ntz(), c)
-    return F.unix_seconds(c)
+    if not naive:
+        return F.unix_seconds(c)
+    m = epoch_micros(c, naive=True)
+    return ((m - F.pmod(m, F.lit(1_000_000))) / 1_000_000).cast("long")
 
 
 def as_instant(c: Column | str) -> Column:

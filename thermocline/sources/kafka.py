@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 def kafka_source_options(bootstrap: str, topic: str, group_id: str | None = None,
                          starting: str = "earliest", **extra: str) -> dict[str, str]:
-    """``FlinkKafkaConsumer(topic, string schema, {bootstrap.servers, group.id,
-    auto.offset.reset})`` with offsets committed on checkpoint.  In Spark the
+    """A Kafka consumer (topic, string schema, bootstrap servers, group id,
+    offset reset) with offsets committed on checkpoint.  In Spark the
     offsets live in the query's ``checkpointLocation``; a group id is only
     passed when given."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,

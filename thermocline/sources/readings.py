@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import naive_from_seconds
+from ..functions.time import as_instant, naive_from_seconds
 
 READING_SCHEMA = T.StructType([
     T.StructField("id", T.StringType(), False),
@@ -79,7 +79,7 @@ def ddl_table(spark: SparkSession, name: str, path: str, sep: str = ",",
     df = read_csv(spark, path, schema, sep, stream)
     df = with_computed_rowtime(df, "ts", "rt")
     if stream:
-        df = (df.withColumn("rt", F.to_timestamp("rt"))  # watermark needs TIMESTAMP
+        df = (df.withColumn("rt", as_instant("rt"))  # watermark needs TIMESTAMP
               .withWatermark("rt", watermark))
     df.createOrReplaceTempView(name)
     return df
