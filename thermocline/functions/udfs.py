@@ -149,10 +149,13 @@ def register_avg_udaf(spark: SparkSession, name: str = "avg_temp"):
 
     from pyspark.sql.functions import pandas_udf
 
+    import math
+
     @pandas_udf("double")
     def avg_temp(v: pd.Series) -> float:
         v = v.dropna()
-        return float(v.sum() / len(v)) if len(v) else None
+        # exactly rounded sum: the result does not depend on row order
+        return math.fsum(v.tolist()) / len(v) if len(v) else None
 
     spark.udf.register(name, avg_temp)
     return avg_temp

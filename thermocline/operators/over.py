@@ -90,21 +90,32 @@ def over_range(df: DataFrame, keys: list[str], t: str, preceding: int | None,
     cols = df.columns
     if preceding is None:
         return _unbounded(df, keys, t, [], name, col, out, target_rows, rows=False)
+    f = range_layout(df, keys, t, preceding, target_rows)
+    w = (Window.partitionBy(*keys, "_blk").orderBy(F.col(t))
+         .rangeBetween(-preceding, Window.currentRow))
+    f = f.withColumn(out, _agg(name, F.col(col) if col else F.lit(1), w))
+    return f.where("_own").select(*cols, out)
+
+
+def range_layout(df: DataFrame, keys: list[str], t: str, preceding: int,
+                 target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """Rows of ``df`` with ``_blk`` (time segment of a hot key, at least
+    ``preceding + 1`` wide; 0 otherwise) and ``_own``; rows in the last
+    ``preceding`` units of a segment appear once more with ``_own = false``
+    in the next segment.  A window ``PARTITION BY keys, _blk ORDER BY t
+    RANGE BETWEEN preceding PRECEDING AND CURRENT ROW`` over it, kept to
+    ``_own`` rows, equals the same frame partitioned by key alone."""
     sg = segment(df, keys, t, target_rows, min_width=preceding + 1, keep_bounds=True)
     f = sg.frame
     if not sg.split:
-        w = Window.partitionBy(*keys).orderBy(F.col(t)).rangeBetween(-preceding, Window.currentRow)
-        return f.select(*cols, _agg(name, F.col(col) if col else F.lit(1), w).alias(out))
+        return f.select(*df.columns, F.lit(0).cast("long").alias("_blk"), F.lit(True).alias("_own"))
     seg_end = F.col("_lo") + (F.col(SEG) + 1) * F.col("_w")
     halo = F.col(HOT) & (F.col(t) + preceding >= seg_end)
     own = F.struct(F.lit(True).alias("own"), F.col(SEG).alias("blk"))
     copy = F.struct(F.lit(False).alias("own"), (F.col(SEG) + 1).alias("blk"))
     f = f.withColumn("_c", F.explode(F.when(halo, F.array(own, copy)).otherwise(F.array(own))))
-    f = f.withColumn("_own", F.col("_c.own")).withColumn("_blk", F.col("_c.blk"))
-    w = (Window.partitionBy(*keys, "_blk").orderBy(F.col(t))
-         .rangeBetween(-preceding, Window.currentRow))
-    f = f.withColumn(out, _agg(name, F.col(col) if col else F.lit(1), w))
-    return f.where("_own").select(*cols, out)
+    return (f.withColumn("_own", F.col("_c.own")).withColumn("_blk", F.col("_c.blk"))
+            .select(*df.columns, "_blk", "_own"))
 
 
 def _unbounded(df, keys, t, tiebreak, name, col, out, target_rows, rows: bool) -> DataFrame:

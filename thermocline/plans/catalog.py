@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (format_number, java_double_hash, java_hash_pair,
                                 java_string_hash, scaled_hash, to_csv_value, trim_col)
 from ..functions.time import epoch_micros, epoch_seconds, format_epoch_seconds
-from ..functions.udfs import register_sql_functions
+from ..functions.udfs import register_avg_udaf, register_split_udtf, register_sql_functions
 from ..operators import aggregates as agg
 from ..operators import group_windows as gw
 from ..operators import keyed, lateral, over
@@ -301,6 +301,36 @@ def over_named_window(spark, sf_dir):
     """, t=lay)
 
 
+def over_range_sql(spark, sf_dir):
+    """O3 in SQL: ``RANGE BETWEEN INTERVAL 2 HOURS PRECEDING AND CURRENT ROW``
+    over the skew-safe time layout (hot keys cut into segments with a halo)."""
+    lay = over.range_layout(_ev_t(spark, sf_dir), [KEY], "_t", OVER_RANGE_SECONDS * 1_000_000)
+    return sql_on(spark, f"""
+        SELECT event_id, user_id, ts, cnt FROM (
+          SELECT event_id, user_id, ts, _own,
+                 COUNT(user_id) OVER (PARTITION BY user_id, _blk ORDER BY ts
+                   RANGE BETWEEN INTERVAL {OVER_RANGE_SECONDS} SECONDS PRECEDING AND CURRENT ROW) AS cnt
+          FROM {{t}})
+        WHERE _own
+    """, t=lay)
+
+
+def avg_udaf_sql(spark, sf_dir):
+    """U4: the average as a registered aggregate function called from SQL
+    (grouped-aggregate Arrow UDF; the built-in ``avg`` is the fast path)."""
+    register_avg_udaf(spark)
+    return sql_on(spark, "SELECT user_id, round(avg_temp(value), 6) AS avg_value FROM {t} GROUP BY user_id",
+                  t=_ev(spark, sf_dir))
+
+
+def lateral_udtf_sql(spark, sf_dir):
+    """``LATERAL split_words(text, sep)`` with a registered table function."""
+    register_split_udtf(spark)
+    return sql_on(spark, f"""
+        SELECT event_id, word, length FROM {{t}}, LATERAL split_words(event_type, '{SPLIT_SEP}')
+    """, t=_ev(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumble_count": tumble_count,
     "tumble_count_sql": tumble_count_sql,
@@ -312,8 +342,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "over_range": over_range,
     "over_rows": over_rows,
     "over_named_window": over_named_window,
+    "over_range_sql": over_range_sql,
     "count_per_key": count_per_key,
     "avg_per_key": avg_per_key,
+    "avg_udaf_sql": avg_udaf_sql,
     "max_floor0_per_key": max_floor0_per_key,
     "top2_padded": top2_padded,
     "window_max_by": window_max_by,
@@ -324,6 +356,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lateral_split": lateral_split,
     "lateral_split_sql": lateral_split_sql,
     "lateral_split_outer": lateral_split_outer,
+    "lateral_udtf_sql": lateral_udtf_sql,
     "parse_readings": parse_readings,
     "filter_project": filter_project,
     "filter_sql": filter_sql,

@@ -76,6 +76,14 @@ ORACLE: dict[str, str] = {
     "over_range": _OVER.format(
         o="ts", f=f"RANGE BETWEEN INTERVAL {OVER_RANGE_SECONDS} SECOND PRECEDING AND CURRENT ROW"),
     "over_rows": _OVER.format(o="ts, event_id", f="ROWS BETWEEN 2 PRECEDING AND CURRENT ROW"),
+    "over_range_sql": _OVER.format(
+        o="ts", f=f"RANGE BETWEEN INTERVAL {OVER_RANGE_SECONDS} SECOND PRECEDING AND CURRENT ROW"),
+    # the aggregate function sums exactly (order-free), so compare with the
+    # compensated sum rather than avg's plain running sum
+    "avg_udaf_sql": "SELECT user_id, round(fsum(value) / count(value), 6) AS avg_value FROM events GROUP BY user_id",
+    "lateral_udtf_sql": f"""
+        SELECT event_id, word, CAST(length(word) AS INTEGER) AS length
+        FROM (SELECT event_id, unnest({_java_split('event_type', SPLIT_SEP)}) AS word FROM events)""",
     "over_named_window": """
         SELECT event_id, user_id, ts, count(user_id) OVER w AS cnt FROM events
         WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
