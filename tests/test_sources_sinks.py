@@ -92,3 +92,19 @@ def test_upsert_sink(spark, tmp_path):
     assert cur["sensor_1"] == (1547718215,
                                '{"id":"sensor_1","timestamp":1547718215,"temperature":38.1}')
     assert len(cur) == 4
+
+
+def test_csv_stream_source_with_ddl_watermark(spark, tmp_path):
+    """The DDL-declared table as a stream: CSV files, computed rowtime,
+    1 s watermark, tumbling 10 s count (a far-future row closes windows)."""
+    from thermocline.operators import group_windows as gw
+    from thermocline.streaming.harness import run_to_table
+    d = write_batches(str(tmp_path / "csv"), [_lines(",")[:4], _lines(",")[4:], ["zz,1547718400,0.0"]],
+                      suffix=".csv")
+    s = ddl_table(spark, "sensor_ddl_stream", d, sep=",", stream=True)
+    q = gw.tumble_count(s, "id", "rt", "10 seconds").select(
+        "id", (F.unix_seconds("window_start") - 1547718000).alias("s"), "cnt")
+    rows = [r for r in run_to_table(q, "ddl_stream_out", str(tmp_path / "ck")) if r.id != "zz"]
+    assert sorted((r.id, r.s, r.cnt) for r in rows) == sorted([
+        ("sensor_1", 190, 1), ("sensor_1", 200, 1), ("sensor_1", 210, 2), ("sensor_6", 200, 1),
+        ("sensor_7", 200, 1), ("sensor_10", 200, 1)])
