@@ -38,14 +38,6 @@ DEFAULT_TARGET_ROWS = 1_000_000
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def bounded_side(df: DataFrame, n_rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` when its (already counted) size is within ``limit``."""
     return F.broadcast(df) if n_rows <= limit else df

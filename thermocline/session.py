@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,11 +68,6 @@ def materialize(df: DataFrame) -> DataFrame:
         kept.unpersist()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
-
 
 def materialize_counted(df: DataFrame) -> tuple[DataFrame | None, int]:
     """Count a small derived table and, when it is not empty, checkpoint it
