@@ -74,3 +74,41 @@ def test_sessions_and_runs(spark, ev, target):
                 out.append((u, c, round(s / c, 6)))
                 c, s = 0, 0.0
     assert sorted((r.user_id, r.cnt, round(r.avg_value, 6)) for r in got.collect()) == sorted(out)
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """events of sf0.01 with one key holding a third of all rows (derived
+    from the table: every third event is re-keyed to user 0)."""
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    return ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("long"))
+                         .otherwise(F.col("user_id"))).withColumn("_t", epoch_micros("ts"))
+
+
+def test_hot_key_segments_are_bounded(spark, skewed):
+    target = 500
+    n_hot_rows = skewed.where("user_id = 0").count()
+    assert n_hot_rows > 3000
+    sg = segments.segment(skewed, ["user_id"], "_t", target_rows=target)
+    assert sg.n_hot == 1
+    sizes = [r["count"] for r in sg.frame.where("user_id = 0").groupBy("_seg").count().collect()]
+    assert len(sizes) >= n_hot_rows // target
+    assert max(sizes) <= 2 * target          # no task gets the hot key whole
+
+
+def test_hot_key_operators_exact(spark, skewed):
+    target = 500
+    w = W.partitionBy("user_id").orderBy("_t", "event_id")
+    got = over.over_rows(skewed, ["user_id"], "_t", ["event_id"], 3, ("avg", "value"), "r", target)
+    exp = skewed.select(*skewed.columns, F.avg("value").over(w.rowsBetween(-3, 0)).alias("r"))
+    assert same(got.withColumn("r", F.round("r", 6)), exp.withColumn("r", F.round("r", 6)))
+    got = over.over_range(skewed, ["user_id"], "_t", 1800 * 10**6, ("count", "user_id"), "r", target)
+    wr = W.partitionBy("user_id").orderBy("_t").rangeBetween(-1800 * 10**6, 0)
+    exp = skewed.select(*skewed.columns, F.count("user_id").over(wr).alias("r"))
+    assert same(got, exp)
+    got = keyed.sessions(skewed, ["user_id"], "ts", 600, target_rows=target)
+    exp = (skewed.groupBy("user_id", F.session_window("ts", "600 seconds").alias("s"))
+           .agg(F.count(F.lit(1)).alias("cnt"))
+           .select("user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
+                   "cnt"))
+    assert same(got, exp)

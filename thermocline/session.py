@@ -19,11 +19,24 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+# Keyed stream state (windows, sessions, applyInPandasWithState) in RocksDB:
+# off-heap, spills to local disk, checkpointed incrementally to the query's
+# checkpointLocation — the store that holds up with many or large keys.
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str = "local[*]", app: str = "thermocline",
                   shuffle_partitions: int = 8,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  rocksdb_state: bool = True) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
+    if rocksdb_state:
+        conf.update(ROCKSDB_STATE)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
