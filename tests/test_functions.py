@@ -75,3 +75,12 @@ def test_json_and_csv_text(spark, readings):
     back = spark.createDataFrame([(r.j,)], "j string").select(
         F.from_json("j", "id string, timestamp long, temperature double").alias("x")).first().x
     assert tuple(back) == ("sensor_1", 1547718199, 35.8)
+
+
+def test_overload_dispatch(spark):
+    from thermocline.functions import java_hash
+    df = spark.createDataFrame([(h[0], h[1]) for h in HASHES], "id string, t double")
+    got = df.select(java_hash(df, "id"), java_hash(df, "t"), java_hash(df, "id", "t")).collect()
+    assert [tuple(r) for r in got] == [(h[2], h[5], h[6]) for h in HASHES]
+    with pytest.raises(TypeError):
+        java_hash(df, "t", "id")

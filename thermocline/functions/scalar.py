@@ -174,3 +174,17 @@ def to_csv_value(*cols: Column | str, sep: str = ",") -> Column:
     Kafka/CSV value).  NULL fields become empty fields, positions kept."""
     parts = [F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]
     return F.concat_ws(sep, *parts)
+
+
+def java_hash(df, *cols: str) -> Column:
+    """The overloaded hash function, dispatched on the argument types of
+    ``df``: one string → string hash, one double → double hash, (string,
+    double) → their wrapped sum."""
+    types = [dict(df.dtypes)[c] for c in cols]
+    if types == ["string"]:
+        return java_string_hash(cols[0])
+    if types == ["double"]:
+        return java_double_hash(cols[0])
+    if types == ["string", "double"]:
+        return java_hash_pair(cols[0], cols[1])
+    raise TypeError(f"no hash overload for {types}")
