@@ -30,8 +30,6 @@ def spark():
 @pytest.fixture(scope="session")
 def readings(spark):
     """Readings with an arrival id, a naive event time and epoch micros."""
-    from pyspark.sql import functions as F
-
     from thermocline.functions.time import epoch_micros, naive_from_seconds
     rows = [(i, *r) for i, r in enumerate(READINGS)]
     df = spark.createDataFrame(rows, "rid long, id string, timestamp long, temperature double")

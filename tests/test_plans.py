@@ -2,8 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
-
 from thermocline.functions.time import epoch_micros
 from thermocline.operators import keyed, over
 from thermocline.plans import catalog

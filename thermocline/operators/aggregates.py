@@ -3,7 +3,7 @@ combine), so a hot key is reduced inside each map task before the shuffle."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's definitions:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .segments import (DEFAULT_TARGET_ROWS, HOT, SEG, global_row_number,
-                       materialize, segment, with_row_offsets)
+                       materialize, segment)
 
 AGGS = ("count", "sum", "min", "max", "avg")
 
