@@ -112,3 +112,36 @@ def test_hot_key_operators_exact(spark, skewed):
            .select("user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
                    "cnt"))
     assert same(got, exp)
+
+
+def test_bursty_hot_key_is_balanced(spark):
+    """A hot key with a burst — all of the first day's events plus every
+    tenth event after it — still gets segments of about target_rows:
+    equal-width time segments would put the whole burst into one."""
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    burst = F.col("ts") < F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    sk = (ev.withColumn("user_id", F.when(burst | (F.col("event_id") % 10 == 0), F.lit(0).cast("long"))
+                        .otherwise(F.col("user_id")))
+          .withColumn("_t", epoch_micros("ts")))
+    target = 100
+    sg = segments.segment(sk, ["user_id"], "_t", target_rows=target)
+    sizes = sorted(r["count"] for r in sg.frame.where("user_id = 0").groupBy("_seg").count().collect())
+    day1 = sk.where(burst).count()
+    assert day1 > 3 * target                     # the burst alone is several segments
+    assert max(sizes) <= 2 * target
+    uniform = segments.segment(sk, ["user_id"], "_t", target_rows=target, keep_bounds=True)
+    usizes = [r["count"] for r in uniform.frame.where("user_id = 0").groupBy("_seg").count().collect()]
+    assert max(usizes) > 2 * target              # what balancing avoids
+    got = keyed.count_trigger_avg(sk, ["user_id"], "ts", "value", ["event_id"], 3600, 2, target_rows=target)
+    w = W.partitionBy("user_id").orderBy("_t", "event_id")
+    o = (sk.withColumn("prev", F.lag("_t").over(w))
+         .withColumn("run", F.sum(F.when(F.col("prev").isNull() | (F.col("_t") - F.col("prev") >= 3600 * 10**6), 1)
+                                  .otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, 0))))
+    o = o.withColumn("chunk", F.floor((F.row_number().over(W.partitionBy("user_id", "run").orderBy("_t", "event_id")) - 1) / 2))
+    exp = (o.groupBy("user_id", "run", "chunk").agg(F.count(F.lit(1)).alias("cnt"), F.avg("value").alias("avg_value"),
+                                                  F.max("ts").alias("emit_ts"))
+           .where("cnt = 2").select("user_id", "cnt", "avg_value", "emit_ts"))
+    assert same(got.withColumn("avg_value", F.round("avg_value", 6)),
+                exp.withColumn("avg_value", F.round("avg_value", 6)))
+    got = keyed.changelog_count(sk, ["user_id"], "ts", ["event_id"], ["event_id"], target_rows=target)
+    assert got.where("user_id = 0 AND is_add").agg(F.max("num")).first()[0] == sk.where("user_id = 0").count()

@@ -36,6 +36,8 @@ DEFAULT_TARGET_ROWS = 1_000_000
 # Largest per-segment table that is broadcast; above it the plan joins by
 # shuffle (and AQE's skew-join split covers the hot keys).
 MAX_BROADCAST_ROWS = 2_000_000
+# Fine time buckets per target segment when balancing hot keys by count.
+FINENESS = 16
 
 
 def bounded_side(df: DataFrame, n_rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -78,16 +80,31 @@ class Segmented:
         return out.drop(*[f"_r{i}" for i in range(len(on))])
 
 
+def _null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    cond = None
+    for a, b in pairs:
+        e = left[a].eqNullSafe(right[b])
+        cond = e if cond is None else cond & e
+    return cond
+
+
 def segment(df: DataFrame, keys: list[str], t: str,
             target_rows: int = DEFAULT_TARGET_ROWS, min_width: int = 1,
             keep_bounds: bool = False) -> Segmented:
     """Cut hot keys of ``df`` into time segments of about ``target_rows``.
 
-    ``t`` is a numeric column (order time).  ``min_width`` is the smallest
-    segment width in units of ``t`` (a bounded RANGE frame needs segments at
-    least as wide as the frame, so that only the next segment needs a halo).
-    ``keep_bounds`` keeps ``_lo``/``_w`` (segment i of a hot key covers
-    ``[_lo + i*_w, _lo + (i+1)*_w)``; NULL for other keys).
+    ``t`` is a numeric column (order time).  By default segments are
+    *count-balanced*: the hot rows are counted in fine time buckets (about
+    ``FINENESS`` per segment, a table bounded by the broadcast limit), and a
+    running count over the buckets cuts a new segment every ``target_rows``
+    rows — so a burst (most of a key's rows in a short time) is spread over
+    many segments too.  Segments stay contiguous in time and equal times
+    share a bucket.
+
+    ``keep_bounds`` (bounded RANGE frames) uses equal-width segments of at
+    least ``min_width`` instead and keeps ``_lo``/``_w``: segment i of a hot
+    key covers ``[_lo + i*_w, _lo + (i+1)*_w)`` (NULL for other keys), so a
+    halo from the next segment is enough.
     """
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                   F.min(t).alias("_lo"), F.max(t).alias("_hi"))
@@ -95,7 +112,8 @@ def segment(df: DataFrame, keys: list[str], t: str,
     width = F.greatest(F.floor((F.col("_hi") - F.col("_lo")) / nseg) + 1,
                        F.lit(int(min_width))).cast("long")
     hot = (stats.where(F.col("_n") > target_rows)
-           .select(*keys, F.col("_lo").cast("long").alias("_lo"), width.alias("_w")))
+           .select(*keys, F.col("_lo").cast("long").alias("_lo"), width.alias("_w"),
+                   F.col("_hi").cast("long").alias("_hi"), nseg.cast("long").alias("_b")))
     hot, n_hot = materialize_counted(hot)
     if n_hot == 0:
         frame = df.withColumn(SEG, F.lit(0).cast("long")).withColumn(HOT, F.lit(False))
@@ -103,16 +121,36 @@ def segment(df: DataFrame, keys: list[str], t: str,
             frame = (frame.withColumn("_lo", F.lit(None).cast("long"))
                      .withColumn("_w", F.lit(None).cast("long")))
         return Segmented(frame, keys, t, 0, target_rows)
-    right = hot.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], "_lo", "_w")
-    cond = None
-    for i, k in enumerate(keys):
-        e = df[k].eqNullSafe(right[f"_h{i}"])
-        cond = e if cond is None else cond & e
-    j = df.join(bounded_side(right, n_hot), cond, "left")
-    seg = F.coalesce(F.floor((F.col(t) - F.col("_lo")) / F.col("_w")), F.lit(0)).cast("long")
-    frame = (j.withColumn(SEG, seg).withColumn(HOT, F.col("_lo").isNotNull())
-             .drop(*([] if keep_bounds else ["_lo", "_w"]),
-                   *[f"_h{i}" for i in range(len(keys))]))
+    hk = [f"_h{i}" for i in range(len(keys))]
+    if keep_bounds:
+        right = hot.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)], "_lo", "_w")
+        j = df.join(bounded_side(right, n_hot), _null_safe(df, right, list(zip(keys, hk))), "left")
+        seg = F.coalesce(F.floor((F.col(t) - F.col("_lo")) / F.col("_w")), F.lit(0)).cast("long")
+        frame = (j.withColumn(SEG, seg).withColumn(HOT, F.col("_lo").isNotNull()).drop(*hk))
+        return Segmented(frame, keys, t, n_hot, target_rows)
+    # count-balanced: fine buckets, bounded so that their table can be broadcast
+    total_segments = hot.agg(F.sum("_b")).first()[0]
+    fine = max(1, min(FINENESS, MAX_BROADCAST_ROWS // max(int(total_segments), 1)))
+    fine_width = F.greatest(F.floor((F.col("_hi") - F.col("_lo")) / (F.col("_b") * fine)) + 1,
+                            F.lit(1)).cast("long")
+    right = hot.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)], "_lo",
+                       fine_width.alias("_fw"))
+    j = (df.join(bounded_side(right, n_hot), _null_safe(df, right, list(zip(keys, hk))), "left")
+         .drop(*hk))
+    j = (j.withColumn(HOT, F.col("_lo").isNotNull())
+         .withColumn("_fb", F.floor((F.col(t) - F.col("_lo")) / F.col("_fw")).cast("long"))
+         .drop("_lo", "_fw"))
+    buckets = j.where(F.col(HOT)).groupBy(*keys, "_fb").agg(F.count(F.lit(1)).alias("_c"))
+    before = F.coalesce(F.sum("_c").over(
+        Window.partitionBy(*keys).orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    buckets = buckets.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)],
+                             F.col("_fb").alias("_bfb"),
+                             F.floor(before / F.lit(target_rows)).cast("long").alias("_bseg"))
+    buckets, n_buckets = materialize_counted(buckets)
+    cond = _null_safe(j, buckets, list(zip(keys, hk)) + [("_fb", "_bfb")])
+    frame = (j.join(bounded_side(buckets, n_buckets), cond, "left")
+             .withColumn(SEG, F.coalesce(F.col("_bseg"), F.lit(0)).cast("long"))
+             .drop(*hk, "_bfb", "_bseg", "_fb"))
     return Segmented(frame, keys, t, n_hot, target_rows)
 
 
