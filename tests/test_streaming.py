@@ -178,3 +178,25 @@ def test_ascending_drops_late(spark, tmp_path, delay, expect_first):
     q = gw.tumble_count(s, "id", "ts", "10 seconds").select(secs("window_start").alias("s"), "cnt")
     rows = {r.s: r.cnt for r in run_to_table(q, f"asc_out_{expect_first}", str(tmp_path / "ck"))}
     assert rows[10] == expect_first and rows[20] == 1 and rows[30] == 1 and rows[40] == 1
+
+
+def test_top2_stream(spark, tmp_path):
+    q = stateful.top2_stream(stream(spark, tmp_path, REPLAY[:2], delay=None), "id", "temperature")
+    rows = run_to_table(q, "top2_out", str(tmp_path / "ck"), output_mode="update")
+    latest = {}
+    for r in rows:  # the memory sink keeps every update; the last one per (key, rank) is current
+        latest[(r.id, r.rank)] = r.temp
+    pad = -2147483648.0
+    assert latest == {("sensor_1", 1): 38.1, ("sensor_1", 2): 37.2, ("sensor_6", 1): 15.4,
+                      ("sensor_6", 2): pad, ("sensor_7", 1): 6.7, ("sensor_7", 2): pad,
+                      ("sensor_10", 1): 38.1, ("sensor_10", 2): pad}
+
+
+def test_window_max_by_stream(spark, tmp_path):
+    q = agg.max_by_in_window(stream(spark, tmp_path), "id", "ts", "temperature", "timestamp",
+                             "10 seconds", ["timestamp", "temperature"])
+    rows = run_to_table(q, "maxby_out", str(tmp_path / "ck"))
+    got = sorted((r.id, r.timestamp - BASE, r.temperature) for r in rows)
+    assert got == sorted([("sensor_1", 199, 35.8), ("sensor_1", 207, 37.2), ("sensor_1", 215, 38.1),
+                          ("sensor_6", 201, 15.4), ("sensor_7", 202, 6.7), ("sensor_10", 205, 38.1),
+                          ("sensor_6", 300, 1.0)])

@@ -246,3 +246,33 @@ def changelog_stream(df: DataFrame, key: str, ts: str, id_col: str) -> DataFrame
                                  F.col(id_col).cast("long").alias(id_col))
     return src.groupBy(key).applyInPandasWithState(
         fn, out_schema, "n long", "append", GroupStateTimeout.NoTimeout)
+
+
+# --- top-2 table aggregate on a stream ------------------------------------
+
+def top2_stream(df: DataFrame, key: str, value: str, pad: float = -2147483648.0,
+                value_out: str = "temp", rank_out: str = "rank") -> DataFrame:
+    """The top-2 table aggregate on a stream (window functions are not
+    allowed on streams): per key two slots starting at ``pad``, replaced only
+    by a strictly greater value; every micro-batch that touches a key emits
+    its two current rows ``(value, rank)`` — run it in ``update`` mode and
+    keep the latest row per (key, rank).  State: two doubles per key."""
+    out_schema = f"{key} string, {value_out} double, {rank_out} int"
+
+    def fn(k, batches, state: GroupState):
+        hi, second = state.get if state.exists else (pad, pad)
+        for pdf in batches:
+            for v in pdf[value].tolist():
+                if v is None or v != v:
+                    continue
+                if hi < v:
+                    hi, second = v, hi
+                elif second < v:
+                    second = v
+        state.update((hi, second))
+        yield pd.DataFrame([(str(k[0]), hi, 1), (str(k[0]), second, 2)],
+                           columns=[key, value_out, rank_out])
+
+    src = df.select(F.col(key).cast("string").alias(key), F.col(value).cast("double").alias(value))
+    return src.groupBy(key).applyInPandasWithState(
+        fn, out_schema, "hi double, second double", "update", GroupStateTimeout.NoTimeout)
