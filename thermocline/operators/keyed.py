@@ -111,12 +111,28 @@ def count_trigger_avg(df: DataFrame, keys: list[str], ts: str, value: str,
         carry = materialize(per_seg.select(*keys, SEG, F.max("_ls").over(prior).alias("_carry")))
         f = sg.attach(f, carry, n_segs, ["_carry"])
         f = f.withColumn("_rs", F.coalesce("_rs", "_carry"))
-    chunk = F.floor((F.col("_rn") - F.col("_rs")) / threshold)
-    out = (f.groupBy(*keys, F.col("_rs"), chunk.alias("_chunk"))
-           .agg(F.count(F.lit(1)).alias("cnt"), F.avg(value).alias("avg_value"),
-                F.max(ts).alias("emit_ts"))
-           .where(F.col("cnt") == threshold))
-    return out.select(*keys, "cnt", "avg_value", "emit_ts")
+    chunk = F.floor((F.col("_rn") - F.col("_rs")) / threshold).cast("long")
+    # Chunks are grouped where the rows already are: the window partitioned
+    # the rows by (key, segment), which also clusters (key, segment, run,
+    # chunk), so this aggregate needs no second shuffle of the input.  Only a
+    # chunk of a hot key that straddles a segment boundary arrives in two
+    # parts; the incomplete parts of hot keys are merged by a small shuffle.
+    local = (f.groupBy(*keys, SEG, F.col("_rs"), chunk.alias("_chunk"))
+             .agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).alias("_sum"),
+                  F.count(value).alias("_nv"), F.max(ts).alias("emit_ts"), F.max(HOT).alias("_h")))
+    cols = [*keys, "cnt", F.when(F.col("_nv") > 0, F.col("_sum") / F.col("_nv")).alias("avg_value"),
+            "emit_ts"]
+    if not sg.split:
+        return local.where(F.col("cnt") == threshold).select(*cols)
+    # ``_h`` is never NULL; reading it keeps this branch's input columns equal
+    # to the other branch's, so both share one exchange of the input
+    done = local.where((F.col("cnt") == threshold) & F.col("_h").isNotNull()).select(*cols)
+    parts = (local.where((F.col("cnt") < threshold) & F.col("_h"))
+             .groupBy(*keys, "_rs", "_chunk")
+             .agg(F.sum("cnt").alias("cnt"), F.sum("_sum").alias("_sum"), F.sum("_nv").alias("_nv"),
+                  F.max("emit_ts").alias("emit_ts"))
+             .where(F.col("cnt") == threshold).select(*cols))
+    return done.unionByName(parts)
 
 
 def changelog_count(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
