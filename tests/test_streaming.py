@@ -200,3 +200,24 @@ def test_window_max_by_stream(spark, tmp_path):
     assert got == sorted([("sensor_1", 199, 35.8), ("sensor_1", 207, 37.2), ("sensor_1", 215, 38.1),
                           ("sensor_6", 201, 15.4), ("sensor_7", 202, 6.7), ("sensor_10", 205, 38.1),
                           ("sensor_6", 300, 1.0)])
+
+
+def test_count_trigger_avg_stream_ttl_across_batches(spark, tmp_path):
+    """State written at t=0 has expired (TTL 120 s) when the t=130 reading
+    arrives in a later micro-batch: one output (2, 3.0) from 130 and 140."""
+    batches = [["k 1547718000 1.0"], ["k 1547718130 2.0"], ["k 1547718140 4.0"], ["zz 1547719000 0.0"]]
+    q = stateful.count_trigger_avg_stream(stream(spark, tmp_path, batches), "id", "ts", "temperature",
+                                          "timestamp", threshold=2, ttl_seconds=120)
+    rows = [r for r in run_to_table(q, "ttl_out", str(tmp_path / "ck")) if r.id == "k"]
+    assert [(r.cnt, r.avg_value, r.emit_ts.timestamp() - BASE) for r in rows] == [(2, 3.0, 140.0)]
+
+
+def test_over_range_stream_peers(spark, tmp_path):
+    """RANGE frames include peers: rows with equal time share one result."""
+    batches = [["k 1547718010 1.0", "k 1547718010 2.0", "k 1547718012 3.0"], ["k 1547718100 0.0"]]
+    d = write_batches(str(tmp_path / "in"), batches)
+    s = with_event_time(parse_lines(text_stream(spark, d), sep=" "), "timestamp", "s", "2 seconds") \
+        .withColumn("rid", (F.col("temperature") * 10).cast("long"))
+    q = stateful.over_stream(s, "id", "ts", "rid", "range", 5)
+    rows = run_to_table(q, "peers_out", str(tmp_path / "ck"))
+    assert sorted((r.rid, r.cnt) for r in rows) == [(10, 2), (20, 2), (30, 3)]
