@@ -163,6 +163,8 @@ def test_changelog(spark, readings, target):
     res = keyed.changelog_count(readings, ["id"], "ts", ["rid"], ["rid"], target_rows=target)
     s1 = [(r.is_add, r.num) for r in res.where("id = 'sensor_1'").orderBy("rid", "is_add").collect()]
     assert s1 == [(True, 1), (False, 1), (True, 2), (False, 2), (True, 3), (False, 3), (True, 4)]
+    adds = keyed.additions(res).where("id = 'sensor_1'").orderBy("rid")
+    assert [r.num for r in adds.collect()] == [1, 2, 3, 4]
     total = res.select(F.sum(F.when(F.col("is_add"), F.col("num")).otherwise(-F.col("num")))).first()[0]
     assert total == 7  # adds minus retracts = final counts summed
 

@@ -8,7 +8,8 @@ from thermocline.sinks.jdbc import jdbc_batch_writer, write_jdbc
 from thermocline.sinks.kafka import kafka_sink_options, to_kafka_records
 from thermocline.sinks.upsert import read_current, upsert_writer, with_json_doc
 from thermocline.sources.kafka import decode_value, kafka_source_options
-from thermocline.sources.readings import ddl_table, parse_lines, read_csv, register_csv_table
+from thermocline.sources.readings import (ddl_table, ddl_table_sql, parse_lines, read_csv,
+                                         register_csv_table)
 from thermocline.streaming.harness import run_foreach_batch, text_stream, write_batches
 
 
@@ -42,6 +43,8 @@ def test_csv_table_and_ddl(spark, tmp_path):
     assert str(r.rt) == "2019-01-17 09:43:19" and str(r.rt_wm) == "2019-01-17 09:43:18"
     s = ddl_table(spark, "sensor_stream", os.path.dirname(c), sep=",", stream=True)
     assert s.isStreaming
+    q = ddl_table_sql(spark, "sensor_sql", c, sep=",")
+    assert sorted(map(tuple, q.collect())) == sorted(map(tuple, spark.table("sensor").collect()))
 
 
 def test_csv_sink_at_delimiter(spark, tmp_path, readings):

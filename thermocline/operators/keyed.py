@@ -165,3 +165,9 @@ def control_block(data: DataFrame, control: DataFrame, key: str, ts: str) -> Dat
     right = bounded_side(first, n)
     cond = (data[key] == right["_bk"]) & (right["_block_from"] <= data[ts])
     return data.join(right, cond, "left_anti")
+
+
+def additions(changelog: DataFrame, flag: str = "is_add") -> DataFrame:
+    """Keep only the additions of a retract changelog (``filter(_._1)``):
+    one row per input row carrying the new value."""
+    return changelog.where(F.col(flag)).drop(flag)

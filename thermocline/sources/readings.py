@@ -93,3 +93,17 @@ def with_computed_rowtime(df: DataFrame, seconds_col: str, out: str = "rt",
     rt = naive_from_seconds(F.col(seconds_col))
     return (df.withColumn(out, rt)
             .withColumn(f"{out}_wm", rt - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")))
+
+
+def ddl_table_sql(spark: SparkSession, name: str, path: str, sep: str = ",") -> DataFrame:
+    """The DDL-declared table in SQL only: a CSV view with the declared
+    columns, and a view over it that adds the computed rowtime columns
+    (Spark DDL has no computed columns, so the second view carries them)."""
+    raw = f"{name}_raw"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {raw} (id STRING, ts BIGINT, temperature DOUBLE) "
+              f"USING csv OPTIONS (path '{path}', sep '{sep}', header 'false', mode 'FAILFAST')")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY VIEW {name} AS
+        SELECT *, timestampadd(SECOND, ts, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS rt,
+               timestampadd(SECOND, ts, TIMESTAMP_NTZ'1970-01-01 00:00:00') - INTERVAL 1 SECOND AS rt_wm
+        FROM {raw}""")
+    return spark.table(name)
