@@ -145,3 +145,20 @@ def test_bursty_hot_key_is_balanced(spark):
                 exp.withColumn("avg_value", F.round("avg_value", 6)))
     got = keyed.changelog_count(sk, ["user_id"], "ts", ["event_id"], ["event_id"], target_rows=target)
     assert got.where("user_id = 0 AND is_add").agg(F.max("num")).first()[0] == sk.where("user_id = 0").count()
+
+
+def test_named_window_sql_on_split_layout(spark, ev):
+    """The SQL ``WINDOW w`` form over the row layout equals the plain window
+    with every key split, and shuffles the rows once (plus a small table)."""
+    lay = over.rows_layout(ev, ["user_id"], "_t", ["event_id"], 2, target_rows=7)
+    got = spark.sql("""
+        SELECT event_id, COUNT(user_id) OVER w + size(filter(_prev, x -> x IS NOT NULL)) AS cnt
+        FROM {t} WINDOW w AS (PARTITION BY user_id, _seg ORDER BY _t, event_id
+                              ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""", t=lay)
+    exp = ev.select("event_id", F.count("user_id").over(
+        W.partitionBy("user_id").orderBy("_t", "event_id").rowsBetween(-2, 0)).alias("cnt"))
+    assert same(got, exp)
+    got.collect()
+    p = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    big = [x for x in p.split("\n") if "Exchange hashpartitioning(user_id" in x and "_seg" in x]
+    assert len(big) == 1

@@ -4,9 +4,9 @@
 ``(key, segment)`` (see :mod:`.segments`):
 
 * unbounded frames: local running aggregate + aggregate of earlier segments;
-* ``ROWS k PRECEDING``: rows are re-cut by global row number into blocks of
-  ``target_rows``; the last ``k`` rows of a block are also sent to the next
-  block (halo), so each block sees whole frames;
+* ``ROWS k PRECEDING``: the frame runs per segment; the first ``k`` rows of
+  a segment also get the frame's values from earlier segments (``_prev``,
+  from a small per-segment tail table), so the rows are shuffled once;
 * ``RANGE d PRECEDING``: segments are at least ``d`` wide; rows in the last
   ``d`` of a segment are also sent to the next one.
 
@@ -19,9 +19,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .segments import (DEFAULT_TARGET_ROWS, HOT, SEG, global_row_number,
-                       materialize, segment)
+                       materialize, materialize_counted, segment)
 
 AGGS = ("count", "sum", "min", "max", "avg")
 
@@ -49,34 +50,82 @@ def over_rows(df: DataFrame, keys: list[str], t: str, tiebreak: list[str],
         return f.select(*cols, res.cast("long").alias(out))
     if preceding is None:
         return _unbounded(df, keys, t, tiebreak, name, col, out, target_rows, rows=True)
-    f = rows_layout(df, keys, t, tiebreak, preceding, target_rows)
-    w = (Window.partitionBy(*keys, "_blk").orderBy("_rn")
+    f = rows_layout(df, keys, t, tiebreak, preceding, target_rows, col)
+    w = (Window.partitionBy(*keys, SEG).orderBy(F.col(t), *[F.col(c) for c in tiebreak])
          .rowsBetween(-preceding, Window.currentRow))
-    f = f.withColumn(out, _agg(name, F.col(col), w))
-    return f.where("_own").select(*cols, out)
+    v = F.col(col)
+    local = {"count": F.count(v), "sum": F.sum(v), "min": F.min(v), "max": F.max(v)}
+    need = {"count": ["count"], "sum": ["sum"], "min": ["min"], "max": ["max"],
+            "avg": ["sum", "count"]}[name]
+    for p in need:
+        f = f.withColumn(f"_l_{p}", local[p].over(w))
+    prev = F.filter(F.col("_prev"), lambda x: x.isNotNull())
+    zero = F.lit(0).cast(_sum_type(df.schema[col].dataType))
+    earlier = {"count": F.size(prev).cast("long"),
+               "sum": F.when(F.size(prev) > 0, F.aggregate(prev, zero, lambda a, x: a + x)),
+               "min": F.array_min(prev), "max": F.array_max(prev)}
+
+    def total(p: str) -> Column:
+        lc, pc = F.col(f"_l_{p}"), earlier[p]
+        if p == "count":
+            return lc + pc
+        if p == "sum":
+            return F.when(lc.isNull(), pc).when(pc.isNull(), lc).otherwise(lc + pc)
+        return (F.least if p == "min" else F.greatest)(lc, pc)
+
+    res = total("sum") / total("count") if name == "avg" else total(name)
+    return f.select(*cols, res.alias(out))
+
+
+def _sum_type(dt) -> str:
+    if isinstance(dt, T.IntegralType):
+        return "bigint"
+    if isinstance(dt, T.DecimalType):
+        return f"decimal({min(38, dt.precision + 10)},{dt.scale})"
+    return "double"
 
 
 def rows_layout(df: DataFrame, keys: list[str], t: str, tiebreak: list[str], preceding: int,
-                target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """Rows of ``df`` with ``_rn`` (global row number in the key), ``_blk``
-    (block of ``target_rows`` consecutive rows of a hot key, 0 otherwise) and
-    ``_own``; the last ``preceding`` rows of a block appear once more with
-    ``_own = false`` in the next block.  A window ``PARTITION BY keys, _blk
-    ORDER BY _rn ROWS BETWEEN preceding PRECEDING AND CURRENT ROW`` over it,
-    kept to ``_own`` rows, equals the same frame partitioned by key alone."""
+                target_rows: int = DEFAULT_TARGET_ROWS, col: str | None = None) -> DataFrame:
+    """Rows of ``df`` with ``_seg``, ``_rn`` (global row number in the key)
+    and ``_prev``: the values of ``col`` (default: the first key) in the
+    rows of the frame ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW``
+    that lie in earlier segments of the key (empty except for the first
+    ``preceding`` rows of a hot key's segment).  A window ``PARTITION BY
+    keys, _seg ORDER BY t, tiebreak ROWS BETWEEN preceding PRECEDING AND
+    CURRENT ROW`` over this frame, combined with ``_prev``, equals the same
+    frame partitioned by key alone — with one shuffle of the rows.
+
+    ``_prev`` comes from a small table: per hot segment the last
+    ``preceding`` values (a top-k with a partial group limit before its
+    shuffle), stitched over up to ``preceding`` earlier segments (a segment
+    may hold fewer rows than the frame)."""
+    col = col or keys[0]
     sg, f = global_row_number(df, keys, t, tiebreak, target_rows)
+    vtype = df.schema[col].dataType
     if not sg.split:
-        return f.select(*df.columns, "_rn", F.lit(0).cast("long").alias("_blk"),
-                        F.lit(True).alias("_own"))
-    size = max(target_rows, 2 * (preceding + 1))
-    block = F.when(F.col(HOT), F.floor((F.col("_rn") - 1) / size)).otherwise(F.lit(0)).cast("long")
-    pos = F.pmod(F.col("_rn") - 1, F.lit(size))
-    halo = F.col(HOT) & (pos >= size - preceding)
-    own = F.struct(F.lit(True).alias("own"), block.alias("blk"))
-    copy = F.struct(F.lit(False).alias("own"), (block + 1).alias("blk"))
-    f = f.withColumn("_c", F.explode(F.when(halo, F.array(own, copy)).otherwise(F.array(own))))
-    return (f.withColumn("_own", F.col("_c.own")).withColumn("_blk", F.col("_c.blk"))
-            .select(*df.columns, "_rn", "_blk", "_own"))
+        return f.select(*df.columns, SEG, "_rn", F.array().cast(T.ArrayType(vtype)).alias("_prev"))
+    k = preceding
+    desc = [F.col(t).desc(), *[F.col(c).desc() for c in tiebreak]]
+    last = (sg.frame.where(F.col(HOT)).select(*keys, SEG, t, *tiebreak, F.col(col).alias("_v"))
+            .withColumn("_r", F.row_number().over(Window.partitionBy(*keys, SEG).orderBy(*desc)))
+            .where(F.col("_r") <= k))
+    per_seg = last.groupBy(*keys, SEG).agg(
+        F.sort_array(F.collect_list(F.struct(t, *tiebreak, "_v"))).alias("_tl"))
+    before = F.flatten(F.collect_list("_tl").over(
+        Window.partitionBy(*keys).orderBy(SEG).rowsBetween(-k, -1)))
+    tails = per_seg.select(*keys, SEG, before.alias("_all"))
+    n_all = F.size("_all")
+    tails = tails.select(*keys, SEG, F.transform(
+        F.slice("_all", F.greatest(n_all - k + 1, F.lit(1)), k), lambda x: x["_v"]).alias("_tail"))
+    tails, n = materialize_counted(tails)
+    f = sg.attach(f, tails, n, ["_tail"])
+    li = F.col("_rn") - F.col("_before")                       # row number inside the segment
+    size = F.coalesce(F.size("_tail"), F.lit(0))
+    take = F.when(li <= k, F.least(F.lit(k) - li + 1, size)).otherwise(F.lit(0)).cast("int")
+    tail = F.coalesce(F.col("_tail"), F.array().cast(T.ArrayType(vtype)))
+    prev = F.slice(tail, (size - take + 1).cast("int"), take)
+    return f.select(*df.columns, SEG, "_rn", prev.alias("_prev"))
 
 
 def over_range(df: DataFrame, keys: list[str], t: str, preceding: int | None,

@@ -289,15 +289,15 @@ def over_rows(spark, sf_dir):
 
 def over_named_window(spark, sf_dir):
     """``COUNT(id) OVER w ... WINDOW w AS (...)`` in SQL, over the
-    skew-safe row layout (blocks of a hot key carry a 2-row halo)."""
+    skew-safe row layout: the window runs per (key, segment) and ``_prev``
+    holds the frame's rows from earlier segments of a hot key."""
     lay = over.rows_layout(_ev_t(spark, sf_dir), [KEY], "_t", TIEBREAK, 2)
     return sql_on(spark, """
-        SELECT event_id, user_id, ts, cnt FROM (
-          SELECT event_id, user_id, ts, _own, COUNT(user_id) OVER w AS cnt
-          FROM {t}
-          WINDOW w AS (PARTITION BY user_id, _blk ORDER BY _rn
-                       ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
-        WHERE _own
+        SELECT event_id, user_id, ts,
+               COUNT(user_id) OVER w + size(filter(_prev, x -> x IS NOT NULL)) AS cnt
+        FROM {t}
+        WINDOW w AS (PARTITION BY user_id, _seg ORDER BY _t, event_id
+                     ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
     """, t=lay)
 
 
