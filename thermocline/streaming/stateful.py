@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,23 +54,44 @@ def count_trigger_avg_stream(df: DataFrame, key: str, ts: str, value: str, id_co
         pdf = _concat(batches)
         cnt, total, last = state.get if state.exists else (0, 0.0, None)
         wm = state.getCurrentWatermarkMs() * 1000
-        rows = []
+        rows = None
         if len(pdf):
             pdf = pdf.sort_values(["_t", id_col], kind="stable")
-            for t, v in zip(pdf["_t"].tolist(), pdf[value].tolist()):
-                if last is not None and t - last >= ttl:
-                    cnt, total = 0, 0.0          # expired: never returned
-                cnt, total, last = cnt + 1, total + v, t
-                if cnt >= threshold:
-                    rows.append((str(k[0]), cnt, total / cnt, t))
-                    cnt, total = 0, 0.0
+            t = pdf["_t"].to_numpy(dtype=np.int64)
+            v = pdf[value].to_numpy(dtype=np.float64)
+            # a gap >= ttl since the previous reading (or the state's last
+            # write) expires the state: a new run starts there
+            prev = np.concatenate([[t[0] if last is None else last], t[:-1]])
+            reset = (t - prev) >= ttl
+            if last is None:
+                reset[0] = True
+            run = np.cumsum(reset)                     # run 0 continues the state
+            start = np.maximum.accumulate(np.where(reset, np.arange(len(t)), 0))
+            carried = np.where(run == 0, cnt, 0)       # readings already in state
+            pos = np.arange(len(t)) - start + carried
+            chunk = pos // threshold
+            g = (pd.DataFrame({"run": run, "chunk": chunk, "v": v, "t": t})
+                 .groupby(["run", "chunk"], sort=True)
+                 .agg(n=("v", "size"), s=("v", "sum"), t=("t", "max")).reset_index())
+            first = (g["run"] == 0) & (g["chunk"] == 0)
+            g.loc[first, "n"] += cnt
+            g.loc[first, "s"] += total
+            full = g["n"] == threshold
+            rows = g[full]
+            tail = g.iloc[-1]
+            if full.iloc[-1]:
+                cnt, total = 0, 0.0
+            else:
+                cnt, total = int(tail["n"]), float(tail["s"])
+            last = int(t[-1])
         if cnt == 0:
             state.remove()                       # cleared (or never written)
         else:
             state.update((cnt, total, last))
             state.setTimeoutTimestamp(max(last + ttl, wm + 1_000) // 1000)
-        if rows:
-            yield pd.DataFrame(rows, columns=[key, "cnt", "avg_value", "emit_t"])
+        if rows is not None and len(rows):
+            yield pd.DataFrame({key: str(k[0]), "cnt": rows["n"].astype("int64"),
+                                "avg_value": rows["s"] / rows["n"], "emit_t": rows["t"].astype("int64")})
 
     res = (_micros(df, ts).select(F.col(key).cast("string").alias(key), "_t", value, id_col, ts)
            .groupBy(key)
@@ -95,19 +117,20 @@ def control_block_stream(data: DataFrame, control: DataFrame, key: str, ts: str,
 
     def fn(k, batches, state: GroupState):
         pdf = _concat(batches)
-        blocked = state.exists and state.get[0]
-        keep = []
+        blocked = bool(state.exists and state.get[0])
         if len(pdf):
             pdf = pdf.sort_values(["_t", "_side"], kind="stable")
-            for side, i, t in zip(pdf["_side"].tolist(), pdf[id_col].tolist(), pdf["_t"].tolist()):
-                if side == 0:
-                    blocked = True
-                elif not blocked:
-                    keep.append((str(k[0]), i, t))
-        if blocked:
-            state.update((True,))
-        if keep:
-            yield pd.DataFrame(keep, columns=[key, id_col, "t"])
+            side = pdf["_side"].to_numpy()
+            controls = np.flatnonzero(side == 0)
+            cut = 0 if blocked else (int(controls[0]) if len(controls) else len(side))
+            keep = pdf.iloc[:cut]
+            keep = keep[keep["_side"] == 1]
+            blocked = blocked or len(controls) > 0
+            if blocked:
+                state.update((True,))
+            if len(keep):
+                yield pd.DataFrame({key: str(k[0]), id_col: keep[id_col].to_numpy(),
+                                    "t": keep["_t"].to_numpy()})
 
     res = tagged.groupBy(key).applyInPandasWithState(
         fn, out_schema, "blocked boolean", "append", GroupStateTimeout.NoTimeout)
@@ -230,17 +253,17 @@ def changelog_stream(df: DataFrame, key: str, ts: str, id_col: str) -> DataFrame
     def fn(k, batches, state: GroupState):
         n = state.get[0] if state.exists else 0
         pdf = _concat(batches)
-        rows = []
         if len(pdf):
-            pdf = pdf.sort_values(["_t", id_col], kind="stable")
-            for i in pdf[id_col].tolist():
-                if n > 0:
-                    rows.append((str(k[0]), i, False, n))
-                n += 1
-                rows.append((str(k[0]), i, True, n))
-        state.update((n,))
-        if rows:
-            yield pd.DataFrame(rows, columns=[key, id_col, "is_add", "num"])
+            ids = pdf.sort_values(["_t", id_col], kind="stable")[id_col].to_numpy()
+            counts = n + 1 + np.arange(len(ids))               # the count after each row
+            adds = pd.DataFrame({id_col: ids, "is_add": True, "num": counts, "_o": 1})
+            rets = pd.DataFrame({id_col: ids, "is_add": False, "num": counts - 1, "_o": 0})
+            out = pd.concat([rets[rets["num"] > 0], adds]).sort_values([id_col, "_o"], kind="stable")
+            n = int(counts[-1])
+            state.update((n,))
+            yield out.drop(columns="_o").assign(**{key: str(k[0])})[[key, id_col, "is_add", "num"]]
+        else:
+            state.update((n,))
 
     src = _micros(df, ts).select(F.col(key).cast("string").alias(key), "_t",
                                  F.col(id_col).cast("long").alias(id_col))
