@@ -284,14 +284,15 @@ def top2_stream(df: DataFrame, key: str, value: str, pad: float = -2147483648.0,
 
     def fn(k, batches, state: GroupState):
         hi, second = state.get if state.exists else (pad, pad)
+        # slots replaced on a strictly greater value hold the two largest of
+        # the multiset {slots} + values (equal maxima fill both); NaN, NULL
+        # and values not above the pad never enter
+        vals = [np.array([hi, second])]
         for pdf in batches:
-            for v in pdf[value].tolist():
-                if v is None or v != v:
-                    continue
-                if hi < v:
-                    hi, second = v, hi
-                elif second < v:
-                    second = v
+            x = pdf[value].to_numpy(dtype=np.float64, na_value=np.nan)
+            vals.append(x[~np.isnan(x) & (x > pad)])
+        top = np.sort(np.concatenate(vals))[::-1][:2]
+        hi, second = float(top[0]), float(top[1])
         state.update((hi, second))
         yield pd.DataFrame([(str(k[0]), hi, 1), (str(k[0]), second, 2)],
                            columns=[key, value_out, rank_out])
