@@ -221,3 +221,14 @@ def test_over_range_stream_peers(spark, tmp_path):
     q = stateful.over_stream(s, "id", "ts", "rid", "range", 5)
     rows = run_to_table(q, "peers_out", str(tmp_path / "ck"))
     assert sorted((r.rid, r.cnt) for r in rows) == [(10, 2), (20, 2), (30, 3)]
+
+
+def test_top2_stream_ties_and_nan(spark, tmp_path):
+    batches = [["g 1547718000 5.0", "g 1547718001 NaN"], ["g 1547718002 5.0", "g 1547718003 1.0"],
+               ["h 1547718004 -3000000000.0"]]
+    q = stateful.top2_stream(stream(spark, tmp_path, batches, delay=None), "id", "temperature")
+    latest = {}
+    for r in run_to_table(q, "top2_ties_out", str(tmp_path / "ck"), output_mode="update"):
+        latest[(r.id, r.rank)] = r.temp
+    pad = -2147483648.0
+    assert latest == {("g", 1): 5.0, ("g", 2): 5.0, ("h", 1): pad, ("h", 2): pad}
