@@ -4,10 +4,15 @@
 Spark has no built-in for these: a count-triggered average with state
 expiry, a control stream that blocks keys, OVER frames on a stream (which
 Structured Streaming rejects), and the per-row retract changelog of a
-running count.  Each keeps a small bounded state per key; rows of one key
-in a micro-batch arrive as pandas batches and are processed in event-time
-order (ties by an id column).  Times cross the Python boundary as epoch
-microseconds, never as zone-dependent timestamps.
+running count, and the top-2 table aggregate (window functions are not
+allowed on streams).  Each keeps a small bounded state per key; rows of one
+key in a micro-batch arrive as pandas batches and are applied in event-time
+order (ties by an id column).  The count-triggered average, the changelog,
+the control block and the top-2 are vectorised with numpy (runs from gaps,
+chunk positions from run offsets, a cut at the first control row, a sort);
+the OVER operator keeps an exact per-row loop bounded by the frame.  Times
+cross the Python boundary as epoch microseconds, never as zone-dependent
+timestamps.
 
 A hot key is still one group per micro-batch — keyed state is sequential per
 key by definition — but the state per key is O(1) (O(frame) for OVER) and
