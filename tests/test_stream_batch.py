@@ -109,3 +109,12 @@ def test_control_block_stream_equals_batch(spark, replay, tmp_path):
                                       "user_id", "ts", "event_id")
     got = [r for r in run_to_table(s, "sb_control", str(tmp_path / "ck")) if r.user_id != str(SENTINEL)]
     assert sorted(r.event_id for r in got) == sorted(r.event_id for r in batch.collect())
+
+
+def test_over_range_stream_equals_batch(spark, replay, tmp_path):
+    ev, _ = replay
+    t = ev.withColumn("_t", epoch_micros("ts"))
+    batch = over.over_range(t, ["user_id"], "_t", 2 * 3600 * 10**6, ("count", "user_id"), "cnt", 10)
+    s = stateful.over_stream(stream_of(spark, replay), "user_id", "ts", "event_id", "range", 2 * 3600)
+    got = [r for r in run_to_table(s, "sb_over_range", str(tmp_path / "ck")) if r.user_id != str(SENTINEL)]
+    assert sorted((int(r.user_id), r.event_id, r.cnt) for r in got) == rows(batch, ["user_id", "event_id", "cnt"])

@@ -232,3 +232,19 @@ def test_top2_stream_ties_and_nan(spark, tmp_path):
         latest[(r.id, r.rank)] = r.temp
     pad = -2147483648.0
     assert latest == {("g", 1): 5.0, ("g", 2): 5.0, ("h", 1): pad, ("h", 2): pad}
+
+
+def test_over_stream_sum_and_max(spark, tmp_path):
+    """Non-count aggregates take the per-row frame path."""
+    b = REPLAY[:2] + [["zz 1547718400 1.0"]]
+    q = stateful.over_stream(stream(spark, tmp_path, b), "id", "ts", "timestamp", "rows", 1,
+                             value="temperature", agg="sum", out="s")
+    rows = run_to_table(q, "over_sum_out", str(tmp_path / "ck1"))
+    s1 = [round(r.s, 6) for r in sorted(rows, key=lambda r: r.timestamp) if r.id == "sensor_1"]
+    assert s1 == [35.8, 73.0, 70.7, 71.6]
+    d2 = tmp_path / "second"
+    q = stateful.over_stream(stream(spark, d2, b), "id", "ts", "timestamp", "range", 10,
+                             value="temperature", agg="max", out="m")
+    rows = run_to_table(q, "over_max_out", str(tmp_path / "ck2"))
+    s1 = [r.m for r in sorted(rows, key=lambda r: r.timestamp) if r.id == "sensor_1"]
+    assert s1 == [35.8, 37.2, 37.2, 38.1]

@@ -10,7 +10,8 @@ key in a micro-batch arrive as pandas batches and are applied in event-time
 order (ties by an id column).  The count-triggered average, the changelog,
 the control block and the top-2 are vectorised with numpy (runs from gaps,
 chunk positions from run offsets, a cut at the first control row, a sort);
-the OVER operator keeps an exact per-row loop bounded by the frame.  Times
+OVER counts have closed forms (numpy); other OVER aggregates keep an exact
+per-row loop bounded by the frame.  Times
 cross the Python boundary as epoch microseconds, never as zone-dependent
 timestamps.
 
@@ -186,7 +187,33 @@ def over_stream(df: DataFrame, key: str, ts: str, id_col: str, frame: str, prece
         ready = [i for i in order if p_t[i] <= wm]
         later = [i for i in order if p_t[i] > wm]
         rows = []
-        if frame == "range":
+        if agg == "count" and ready:
+            # count of the key's rows in the frame, in closed form: ROWS is
+            # min(k + 1, rows so far), RANGE a difference of sorted positions
+            # (peers included), UNBOUNDED a running offset; same state as the
+            # loop below keeps for the other aggregates
+            rt = np.array([p_t[i] for i in ready], dtype=np.int64)
+            m = len(rt)
+            if width is None:
+                if frame == "rows":
+                    cnt = n + 1 + np.arange(m)
+                else:
+                    cnt = n + np.searchsorted(rt, rt, side="right")
+                n, s, mn, mx = n + m, s + float(m), 1.0, 1.0
+                c_t, c_v = [], []
+            else:
+                all_t = np.concatenate([np.array(c_t, dtype=np.int64), rt])
+                if frame == "rows":
+                    cnt = np.minimum(width + 1, len(c_t) + 1 + np.arange(m))
+                    keep_from = max(0, len(all_t) - (width + 1))
+                else:
+                    cnt = (np.searchsorted(all_t, rt, side="right")
+                           - np.searchsorted(all_t, rt - width, side="left"))
+                    keep_from = int(np.searchsorted(all_t, rt[-1] - width, side="left"))
+                c_t = all_t[keep_from:].tolist()
+                c_v = [1.0] * len(c_t)
+            rows = [(str(k[0]), p_id[i], p_t[i], float(c)) for i, c in zip(ready, cnt)]
+        elif frame == "range":
             # peers (equal ts) share one result: add the whole peer group first
             j = 0
             while j < len(ready):
