@@ -248,3 +248,19 @@ def test_over_stream_sum_and_max(spark, tmp_path):
     rows = run_to_table(q, "over_max_out", str(tmp_path / "ck2"))
     s1 = [r.m for r in sorted(rows, key=lambda r: r.timestamp) if r.id == "sensor_1"]
     assert s1 == [35.8, 37.2, 37.2, 38.1]
+
+
+def test_control_block_stream_keeps_large_ids_exact(spark, tmp_path):
+    big = 2**62 + 1                       # not representable as a double
+    w = write_batches(str(tmp_path / "w"), [["a"]])
+    c = write_batches(str(tmp_path / "c"), [["a"]])
+    # the control row of the same key comes later, so the word is emitted from
+    # a batch that also holds a control row
+    words = text_stream(spark, w).select(F.col("value").alias("word"),
+                                         F.timestamp_seconds(F.lit(0)).alias("ts"),
+                                         (F.lit(big) + F.length("value")).alias("rid"))
+    control = text_stream(spark, c).select(F.col("value").alias("word"),
+                                           F.timestamp_seconds(F.lit(10)).alias("ts"))
+    rows = run_to_table(stateful.control_block_stream(words, control, "word", "ts", "rid"),
+                        "control_big_out", str(tmp_path / "ck"))
+    assert [(r.word, r.rid) for r in rows] == [("a", big + 1)]

@@ -117,7 +117,9 @@ def control_block_stream(data: DataFrame, control: DataFrame, key: str, ts: str,
                                        F.lit(1).alias("_side"))
               .unionByName(_micros(control, ts).select(
                   F.col(key).cast("string").alias(key), "_t",
-                  F.lit(None).cast(data.schema[id_col].dataType).alias(id_col),
+                  # a typed dummy id (the side tag tells control rows apart): a
+                  # NULL would turn the id column into floats in pandas
+                  F.lit(0).cast(data.schema[id_col].dataType).alias(id_col),
                   F.lit(0).alias("_side"))))
     out_schema = f"{key} string, {id_col} {data.schema[id_col].dataType.simpleString()}, t long"
 
