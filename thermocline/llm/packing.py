@@ -52,15 +52,19 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        split = [_words(t) for t in texts]
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list({w for ws in split for w in ws if w not in self.known})
-        for at in range(0, len(new), 2000):
-            self._learn(new[at:at + 2000])
+            self.known = {"": b""}
+        split = [_words(t) for t in texts]
+        new = {w for ws in split for w in ws if w not in self.known}
+        ended = {w: parts for w in new if (parts := _word_and_mark(w))}
+        need = list((new - ended.keys()) | {x for p in ended.values() for x in p if x not in self.known})
+        for at in range(0, len(need), 2000):
+            self._learn(need[at:at + 2000])
+        for w, (word, mark) in ended.items():
+            self.known[w] = self.known[word] + self.known[mark]
         ids = self.known.__getitem__
         return [b"".join(map(ids, ws)) for ws in split]
 
@@ -82,6 +86,18 @@ def _words(text: str) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").split()]
 
 
+def _word_and_mark(w: str) -> tuple[str, str] | None:
+    """A word of letters and the ASCII marks after it, where the tokenizer
+    always cuts (an apostrophe may start a contraction, so it is left out);
+    ASCII letters in lower case, as the tokenizer makes them."""
+    word = w.rstrip(".,;:!?$%&#*|")
+    if not word.isalpha() or len(word) == len(w) and (w.islower() or not w.isascii()):
+        return None
+    if len(word) == len(w):
+        return w.lower(), ""
+    return word.lower() if word.isascii() else word, w[len(word):]
+
+
 def differencing(sizes: list[int], m: int) -> list[list[int]]:
     """Indices of ``sizes`` in m sets of nearly equal sums (Karmarkar-Karp)."""
     heap = []

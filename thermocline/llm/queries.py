@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import classifier, rules, secrets, simhash
+from . import classifier, packing, rules, secrets, simhash
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -17,6 +17,10 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_packing(spark, sf_dir):
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark, sf_dir):
     return classifier.classified(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -25,5 +29,6 @@ def op9_secret_scan(spark, sf_dir):
     return secrets.scan_secrets(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op8_quality_classifier, op9_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op6_packing, op8_quality_classifier,
+                                    op9_secret_scan)}
 ORACLE: dict[str, str] = {}
