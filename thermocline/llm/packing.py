@@ -52,12 +52,13 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[bytes, bytes] = {b"": b""}
 
     def texts(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:
-            self.known = {"": b""}
-        split = [_words(t) for t in texts]
+            self.known = {b"": b""}
+        # bytes.split() splits on the six ASCII white-space bytes, no others
+        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
         new = {w for ws in split for w in ws if w not in self.known}
         ended = {w: parts for w in new if (parts := _word_and_mark(w))}
         need = list((new - ended.keys()) | {x for p in ended.values() for x in p if x not in self.known})
@@ -68,10 +69,11 @@ class WordIds:
         ids = self.known.__getitem__
         return [b"".join(map(ids, ws)) for ws in split]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         """One call for many words, dealt out again by character offsets."""
-        starts = np.cumsum([0] + [len(w) + 1 for w in words])
-        enc = self.tok.encode(" ".join(words), add_special_tokens=False)
+        text = [w.decode("utf-8", "replace") for w in words]
+        starts = np.cumsum([0] + [len(w) + 1 for w in text])
+        enc = self.tok.encode(" ".join(text), add_special_tokens=False)
         at = np.fromiter((o[0] for o in enc.offsets), np.int64, len(enc.ids))
         ids = np.array(enc.ids, "<u4")
         cut = np.searchsorted(at, starts)
@@ -79,23 +81,16 @@ class WordIds:
             self.known[w] = ids[a:b].tobytes()
 
 
-def _words(text: str) -> list[str]:
-    """Split on ASCII white space only."""
-    if text.isascii():
-        return text.split()  # also splits on 0x1C-0x1F, which are no ids either way
-    return [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").split()]
-
-
-def _word_and_mark(w: str) -> tuple[str, str] | None:
+def _word_and_mark(raw: bytes) -> tuple[bytes, bytes] | None:
     """A word of letters and the ASCII marks after it, where the tokenizer
     always cuts (an apostrophe may start a contraction, so it is left out);
     ASCII letters in lower case, as the tokenizer makes them."""
-    word = w.rstrip(".,;:!?$%&#*|")
-    if not word.isalpha() or len(word) == len(w) and (w.islower() or not w.isascii()):
-        return None
-    if len(word) == len(w):
-        return w.lower(), ""
-    return word.lower() if word.isascii() else word, w[len(word):]
+    word = raw.rstrip(b".,;:!?$%&#*|")
+    if word.isalpha():  # ASCII letters only
+        return (word.lower(), raw[len(word):]) if len(word) < len(raw) or not raw.islower() else None
+    if len(word) < len(raw) and not word.isascii() and word.decode("utf-8", "replace").isalpha():
+        return word, raw[len(word):]
+    return None
 
 
 def differencing(sizes: list[int], m: int) -> list[list[int]]:
@@ -125,11 +120,11 @@ def _merge(x: list, y: list, m: int) -> list:
     if len(y) <= free:
         out = x + y
     else:
-        # the len(y) - free largest of y meet the smallest of x, largest of
-        # y on the smallest of x
+        # the largest of y take the empty sets, the others meet the smallest
+        # of x, larger on smaller
         both = len(y) - free
         keep, low = x[:len(x) - both], x[len(x) - both:]
-        out = keep + y[both:] + [(a + b, p + q) for (a, p), (b, q) in zip(reversed(low), y[:both])]
+        out = keep + y[:free] + [(a + b, p + q) for (a, p), (b, q) in zip(reversed(low), y[free:])]
     return sorted(out, key=lambda s: -s[0])
 
 
