@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import classifier, packing, rules, secrets, simhash
+from . import classifier, packing, rules, secrets, sharding, simhash, topk
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -17,6 +17,12 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_sharding(spark, sf_dir):
+    return sharding.assign(load(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_packing(spark, sf_dir):
     return packing.pack(load(spark, sf_dir, "documents"))
 
@@ -29,6 +35,26 @@ def op9_secret_scan(spark, sf_dir):
     return secrets.scan_secrets(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op6_packing, op8_quality_classifier,
-                                    op9_secret_scan)}
-ORACLE: dict[str, str] = {}
+def op10_exact_topk(spark, sf_dir):
+    vectors = topk.integer_vectors(load(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_sharding, op6_packing, op8_quality_classifier,
+                                   op9_secret_scan, op10_exact_topk)}
+ORACLE: dict[str, str] = {
+    "op10_exact_topk": """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20""",
+}
