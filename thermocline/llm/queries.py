@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import classifier, packing, rules, secrets, sharding, simhash, topk
+from . import classifier, lm, packing, rules, secrets, sharding, simhash, topk
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -23,6 +23,10 @@ def op4_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_lm_scoring(spark, sf_dir):
+    return lm.score(load(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark, sf_dir):
     return packing.pack(load(spark, sf_dir, "documents"))
 
@@ -40,8 +44,8 @@ def op10_exact_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_sharding, op6_packing, op8_quality_classifier,
-                                   op9_secret_scan, op10_exact_topk)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_sharding, op5_lm_scoring, op6_packing,
+                                   op8_quality_classifier, op9_secret_scan, op10_exact_topk)}
 ORACLE: dict[str, str] = {
     "op10_exact_topk": """
 WITH vectors AS (
