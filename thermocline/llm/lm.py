@@ -43,8 +43,8 @@ TABLE_BITS = (20, 22, 22)
 WORD = 64
 SEGMENT = 1 << 16
 BLOCK = 256
-ROUND = 8 * BLOCK
-LANES = 128
+ROUND = 16 * BLOCK
+LANES = 32
 HEAD = 1 << 19
 _SCALE = 16.0  # steps of a logit in a table byte
 _GATES = 12
@@ -173,9 +173,11 @@ def chunks(data: bytes, size: int):
 
 
 def _slots(context: np.ndarray, n: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    h = (np.repeat(context, n) + node) * np.uint32(0xC2B2AE35)
-    h ^= h >> np.uint32(16)
-    return ((h * np.uint32(0x27D4EB2F)) >> np.uint32(32 - bits)).view(np.int32)
+    h = np.repeat(context, n)
+    h ^= node
+    h *= np.uint32(0xC2B2AE35)
+    h >>= np.uint32(32 - bits)
+    return h.view(np.int32)
 
 
 class BitCounts:
@@ -239,7 +241,7 @@ class Mixer:
     def __init__(self, code: Code, tables: list[np.ndarray], rate: float = 1.0, prior: float = 40.0,
                  trust: float = 60.0) -> None:
         self.code, self.tables, self.contexts = code, tables, Contexts()
-        self.rate, self.prior, self.trust = rate, prior, trust
+        self.rate, self.prior, self.trust = rate, prior, np.float32(trust)
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Length in bits of each text."""
@@ -284,22 +286,38 @@ class Mixer:
         ends = np.searchsorted(np.repeat(step, n), np.arange(int(step[-1]) + 2))
         half = np.float32(0.5)
         for a, b in zip(ends, ends[1:]):
-            one, g, who = bit[a:b], gate[a:b], lane[a:b]
+            one, who, g = bit[a:b], lane[a:b], gate[a:b].astype(np.intp)
             inputs = [x[a:b].astype(np.float32) for x in logits]  # in steps of a logit, as the weights are
-            dot = weights[0][g] * inputs[0]
+            dot = weights[0].take(g, mode="clip")
+            dot *= inputs[0]
             for w, x in zip(weights[1:], inputs[1:]):
-                dot += w[g] * x
+                part = w.take(g, mode="clip")
+                part *= x
+                dot += part
             np.clip(dot, -20, 20, out=dot)
-            p = 1 / (1 + np.exp(-dot))
-            cell = who * _BINS + np.clip(dot + dot + np.float32(_BINS / 2), 0, _BINS - 1).astype(np.int32)
-            f = half * (p + (ones[cell] + self.trust * p) / (seen[cell] + self.trust))
+            cell = who * _BINS
+            cell += np.clip(dot + dot + np.float32(_BINS / 2), 0, _BINS - 1).astype(np.int32)
+            cell = cell.astype(np.intp)
+            p = np.exp(-dot, out=dot)
+            p += 1
+            np.reciprocal(p, out=p)
+            f = ones.take(cell, mode="clip") + self.trust * p
+            f /= seen.take(cell, mode="clip") + self.trust
+            f += p
+            f *= half
             np.clip(f, 1e-5, 1 - 1e-5, out=f)
-            total -= np.bincount(who, np.log2(np.where(one > 0, f, 1 - f)), len(total))
+            f += one
+            f -= 1  # the probability of the bit that came, up to the sign
+            cost = np.log2(np.abs(f, out=f), out=f)
+            runs = np.flatnonzero(who[1:] != who[:-1])
+            runs = np.r_[0, runs + 1]
+            total[who[runs]] -= np.add.reduceat(cost, runs, dtype=np.float64)
             # learn the block
-            error = one - p
+            error = np.subtract(one, p, out=p)
             pace = self.rate / _SCALE ** 2 / (np.bincount(g, minlength=len(weights[0])) + self.prior)
             for w, x in zip(weights, inputs):
-                w += (pace * np.bincount(g, error * x, len(w))).astype(np.float32)
+                x *= error
+                w += (pace * np.bincount(g, x, len(w))).astype(np.float32)
             seen += np.bincount(cell, minlength=len(seen)).astype(np.float32)
             ones += np.bincount(cell, one, len(ones)).astype(np.float32)
 
@@ -337,10 +355,10 @@ def _count_bits(code):
         counts, parts, size = BitCounts(code.value), [], 0
         for batch in batches:
             for t in batch.column(0):
-                for part in chunks(b" ".join(tokens(t.as_py())) + _END, 1 << 18):
+                for part in chunks(b" ".join(tokens(t.as_py())) + _END, 1 << 16):
                     parts.append(part)
                     size += len(part[0])
-                    if size >= 1 << 18:
+                    if size >= 1 << 16:
                         counts.add(parts)
                         parts, size = [], 0
         if parts:
@@ -369,8 +387,8 @@ def _score(model, total: int, kinds: int):
         mixer, uid = Mixer(code, tables), TaskContext.get().partitionId() << 33
         least = math.log10(total + kinds + 1)
         for whole in batches:
-            for at in range(0, whole.num_rows, 4 * LANES):
-                batch = whole.slice(at, 4 * LANES)
+            for at in range(0, whole.num_rows, 16 * LANES):
+                batch = whole.slice(at, 16 * LANES)
                 own = [tokens(t.as_py()) for t in batch.column(1)]
                 bits = mixer.bits([b" ".join(t) + _END for t in own])
                 known, base, tail, times = [], [], [], []

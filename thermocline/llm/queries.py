@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import classifier, lm, packing, rules, secrets, sharding, simhash, topk
+from . import classifier, licenses, lm, packing, rules, secrets, sharding, simhash, topk
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -31,6 +31,10 @@ def op6_packing(spark, sf_dir):
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark, sf_dir):
+    return licenses.scan_licenses(load(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark, sf_dir):
     return classifier.classified(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -45,7 +49,7 @@ def op10_exact_topk(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_sharding, op5_lm_scoring, op6_packing,
-                                   op8_quality_classifier, op9_secret_scan, op10_exact_topk)}
+                                   op7_license_scan, op8_quality_classifier, op9_secret_scan, op10_exact_topk)}
 ORACLE: dict[str, str] = {
     "op10_exact_topk": """
 WITH vectors AS (
