@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import classifier, licenses, lm, packing, rules, secrets, sharding, simhash, topk
+from . import classifier, licenses, lm, packing, pieces, rules, secrets, sharding, simhash, topk
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -17,6 +17,10 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_sentencepiece(spark, sf_dir):
+    return pieces.summary(load(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark, sf_dir):
     return sharding.assign(load(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -48,7 +52,7 @@ def op10_exact_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_sharding, op5_lm_scoring, op6_packing,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_sentencepiece, op4_sharding, op5_lm_scoring, op6_packing,
                                    op7_license_scan, op8_quality_classifier, op9_secret_scan, op10_exact_topk)}
 ORACLE: dict[str, str] = {
     "op10_exact_topk": """
