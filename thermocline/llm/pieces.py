@@ -25,6 +25,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,9 @@ from pyspark.sql import functions as F
 from .common import columns_or_null
 
 NBEST = 3
-CACHE_PARTS = 400_000
+CACHE_PARTS = 600_000
 _MARK = "▁"
+_LOWEST = float("-inf")
 # a space run with what follows it, or what stands before any space
 _WORDS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
@@ -49,6 +51,7 @@ class Pieces:
     """The model's pieces by text, with scores; bytes of each id."""
 
     def __init__(self, path: str) -> None:
+        import ahocorasick
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.ids: dict[str, tuple[bytes, float]] = {}
@@ -67,6 +70,10 @@ class Pieces:
                 self.text.append(plain.encode())
         self.spelled = min(s for _, s in self.ids.values() if s > -1e6) - 10
         self.longest = max(map(len, self.ids))
+        self.find = ahocorasick.Automaton()
+        for plain, (code, score) in self.ids.items():
+            self.find.add_word(plain, (len(plain), code, score))
+        self.find.make_automaton()
         self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
 
     def spell(self, char: str) -> bytes:
@@ -79,19 +86,23 @@ class Pieces:
 
     def nbest(self, part: str, n: int) -> list[tuple[float, bytes]]:
         """The n best segmentations, best first."""
-        ids, size = self.ids, len(part)
-        best, into = [0.0] + [-np.inf] * size, [[] for _ in range(size + 1)]
+        size = len(part)
+        best: list[float] = [0.0] * (size + 1)
+        into: list[list] = [[] for _ in best]
+        single = [False] * size
+        for last, (length, code, score) in self.find.iter(part):
+            into[last + 1].append((last + 1 - length, code, score))
+            if length == 1:
+                single[last] = True
         for end in range(1, size + 1):
-            top, edges = -np.inf, into[end]
-            for start in range(max(0, end - self.longest), end):
-                found = ids.get(part[start:end])
-                if found is not None:
-                    edges.append((start, *found))
-                    if best[start] + found[1] > top:
-                        top = best[start] + found[1]
-            if not edges or edges[-1][0] != end - 1:
+            edges = into[end]
+            if not single[end - 1]:
                 edges.append((end - 1, self.spell(part[end - 1]), self.spelled))
-                top = max(top, best[end - 1] + self.spelled)
+            top = _LOWEST
+            for start, _, score in edges:
+                total = best[start] + score
+                if total > top:
+                    top = total
             best[end] = top
         if size == 1:
             return [(best[1], into[1][0][1])]
@@ -99,8 +110,9 @@ class Pieces:
         # of equal totals the newest goes on, so a tie costs one path only
         out: list[tuple[float, bytes]] = []
         heap, serial = [(-best[size], 0, size, 0.0, None)], 0
+        push, pop = heapq.heappush, heapq.heappop
         while heap and len(out) < n:
-            total, _, place, behind, path = heapq.heappop(heap)
+            total, _, place, behind, path = pop(heap)
             if place == 0:
                 codes = []
                 while path:
@@ -111,7 +123,7 @@ class Pieces:
             for start, code, score in into[place]:
                 serial -= 1
                 after = behind + score
-                heapq.heappush(heap, (-(best[start] + after), serial, start, after, (code, path)))
+                push(heap, (-best[start] - after, serial, start, after, (code, path)))
         return out
 
 
@@ -142,7 +154,7 @@ class Encoder:
         self.place: dict[str, int] = {}
         self.part_best: dict[str, list] = {}
         self.choices: list[list[tuple[float, bytes]]] = []
-        self.score, self.loss, self.size = [], [], []
+        self.score, self.loss = array("d"), array("d")
 
     def _learn(self, word: str) -> None:
         lists = []
@@ -159,7 +171,6 @@ class Encoder:
         self.choices.append(best)
         self.score.append(best[0][0])
         self.loss.append(best[0][0] - best[1][0] if len(best) > 1 else np.inf)
-        self.size.append(len(best[0][1]) // 4)
 
     def _merged(self, lists):
         """As merged(), but only the lists that can matter take part."""
@@ -187,7 +198,7 @@ class Encoder:
             best = [self.choices[i][0][1] for i in at.tolist()]
             total = float(score[at].sum())
             k = min(self.n - 1, len(at))
-            near = np.sort(np.lexsort((np.arange(len(at)), loss[at]))[:k]) if k else []
+            near = np.sort(np.argsort(loss[at], kind="stable")[:k]) if k else []
             near = [i for i in near if loss[at[i]] < np.inf]
             lists = [self.choices[at[i]] for i in near]
             rest = total - sum(x[0][0] for x in lists)
