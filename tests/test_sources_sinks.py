@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import READINGS
@@ -111,3 +113,65 @@ def test_csv_stream_source_with_ddl_watermark(spark, tmp_path):
     assert sorted((r.id, r.s, r.cnt) for r in rows) == sorted([
         ("sensor_1", 190, 1), ("sensor_1", 200, 1), ("sensor_1", 210, 2), ("sensor_6", 200, 1),
         ("sensor_7", 200, 1), ("sensor_10", 200, 1)])
+
+
+def _as_set(df):
+    return {(r.id, r.timestamp, r.temperature) for r in df.collect()}
+
+
+def test_upsert_table_by_uri_over_batches_queries_and_replays(spark, tmp_path):
+    base = f"file://{tmp_path}/table"
+    frame = lambda *rows: spark.createDataFrame(list(rows), "id string, timestamp long, temperature double")
+    write = upsert_writer(base, "id", "timestamp", "temperature")
+    assert read_current(spark, base) is None
+    write(frame(("a", 1, 1.0), ("b", 1, 2.0)), 0)
+    write(frame(("c", 1, 3.0)), 1)
+    assert _as_set(read_current(spark, base)) == {("a", 1, 1.0), ("b", 1, 2.0), ("c", 1, 3.0)}
+    # a new query starts at batch 0 again and goes on from what is there
+    again = upsert_writer(base, "id", "timestamp", "temperature")
+    again(frame(("d", 1, 4.0), ("a", 5, 9.0)), 0)
+    want = {("a", 5, 9.0), ("b", 1, 2.0), ("c", 1, 3.0), ("d", 1, 4.0)}
+    assert _as_set(read_current(spark, base)) == want
+    # a replayed batch and an older row change nothing; an empty batch neither
+    again(frame(("d", 1, 4.0), ("a", 5, 9.0)), 0)
+    again(frame(("a", 2, 7.0), (None, 1, 0.5)), 1)
+    again(frame(), 2)
+    assert _as_set(read_current(spark, base)) == want | {(None, 1, 0.5)}
+    # only the last two manifests and what they read are kept
+    assert len(list((tmp_path / "table/manifests").glob("0*"))) == 2
+
+
+def test_malformed_row_fails_a_csv_stream(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    from thermocline.sources.readings import read_csv
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.csv").write_text("a,notanumber,1.0\n")
+    query = (read_csv(spark, str(tmp_path / "in"), stream=True).writeStream.format("memory")
+             .queryName("bad_rows").trigger(availableNow=True).start())
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()
+
+
+def test_csv_records_round_trip(spark):
+    rows = [("a,b", 1, 'say "x"'), ("plain", None, ""), (" space ", 3, "line")]
+    df = spark.createDataFrame(rows, "id string, n long, note string")
+    rec = to_kafka_records(df, "id", ["id", "n", "note"])
+    back = rec.select(F.from_csv("value", "id string, n long, note string",
+                                 {"escape": '"', "nullValue": "\0", "emptyValue": ""}).alias("r")).select("r.id", "r.n")
+    assert {tuple(r) for r in back.collect()} == {(i, n) for i, n, _ in rows}
+
+
+def test_session_zone_of_the_computed_rowtime(spark, tmp_path):
+    from thermocline.sources.readings import ddl_table, ddl_table_sql
+    (tmp_path / "r.csv").write_text("sensor_1,1547718199,35.8\n")
+    path = str(tmp_path / "r.csv")
+    for make in (ddl_table, ddl_table_sql):
+        assert str(make(spark, "zoned", path, zone="Asia/Shanghai").first().rt) == "2019-01-17 17:43:19"
+        assert str(make(spark, "zoned", path).first().rt) == "2019-01-17 09:43:19"
+
+
+def test_word_length_counts_utf16_units(spark):
+    from thermocline.operators.lateral import split_words
+    df = spark.createDataFrame([("x😀 é",)], "s string")
+    assert [(r.word, r.length) for r in split_words(df, "s", " ", []).collect()] == [("x😀", 3), ("é", 1)]

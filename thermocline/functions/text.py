@@ -17,3 +17,9 @@ def java_split(c: Column | str, pattern: str, drop_trailing_empty: bool = True)
     p = F.array_position(F.transform(F.reverse(parts), lambda x: x != F.lit("")), True)
     keep = F.when(p == 0, F.lit(0)).otherwise(F.size(parts) - p + 1).cast("int")
     return F.when(F.size(parts) <= 1, parts).otherwise(F.slice(parts, 1, keep))
+
+
+def utf16_length(c: Column | str) -> Column:
+    """The JVM's ``String.length``: UTF-16 units, two for an astral character."""
+    c = F.col(c) if isinstance(c, str) else c
+    return (F.octet_length(F.encode(c, "UTF-16LE")) / 2).cast("int")

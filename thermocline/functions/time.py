@@ -46,18 +46,17 @@ def as_naive(c: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", epoch_micros(c, naive=False), epoch_ntz())
 
 
-def naive_from_seconds(c: Column | str) -> Column:
-    """Epoch seconds → TIMESTAMP_NTZ (UTC wall clock); the
-    ``TO_TIMESTAMP(FROM_UNIXTIME(ts))`` computed column in a UTC session."""
+def naive_from_seconds(c: Column | str, zone: str = "UTC") -> Column:
+    """Epoch seconds → TIMESTAMP_NTZ, the wall clock of ``zone``; the
+    ``TO_TIMESTAMP(FROM_UNIXTIME(ts))`` computed column of a session in that
+    zone."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_add("SECOND", c, epoch_ntz())
+    ntz = F.timestamp_add("SECOND", c, epoch_ntz())
+    return ntz if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), ntz)
 
 
 def format_epoch_seconds(c: Column | str, tz: str = "UTC",
                          fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Epoch seconds → text in time zone ``tz`` (the reading-to-record map
     that formats ``timestamp * 1000`` with a date pattern)."""
-    ntz = naive_from_seconds(c)
-    if tz != "UTC":
-        ntz = F.convert_timezone(F.lit("UTC"), F.lit(tz), ntz)
-    return F.date_format(ntz, fmt)
+    return F.date_format(naive_from_seconds(c, tz), fmt)

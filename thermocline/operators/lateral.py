@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import java_split
+from ..functions.text import java_split, utf16_length
 
 
 def split_words(df: DataFrame, col: str, sep: str, keep: list[str],
@@ -15,4 +15,4 @@ def split_words(df: DataFrame, col: str, sep: str, keep: list[str],
     (``outer``, the left outer lateral join)."""
     gen = F.explode_outer if outer else F.explode
     parts = df.select(*keep, gen(java_split(col, sep)).alias(word))
-    return parts.withColumn(length, F.length(word))
+    return parts.withColumn(length, utf16_length(word))

@@ -21,8 +21,12 @@ def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 5000,
     w.save()
 
 
-def jdbc_batch_writer(url: str, table: str, batchsize: int = 5000, column_types: str | None = None):
-    """A ``foreachBatch`` function appending each micro-batch."""
+def jdbc_batch_writer(url: str, table: str, batchsize: int = 5000, column_types: str | None = None,
+                      properties: dict[str, str] | None = None, connections: int = 8):
+    """A ``foreachBatch`` function appending each micro-batch over at most
+    ``connections`` connections; ``properties`` (user, password, driver, ...)
+    as for :func:`write_jdbc`."""
     def _write(batch: DataFrame, epoch_id: int) -> None:
-        write_jdbc(batch, url, table, batchsize, column_types)
+        write_jdbc(batch, url, table, batchsize, column_types,
+                   properties={"numPartitions": str(connections), **(properties or {})})
     return _write

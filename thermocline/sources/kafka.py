@@ -15,9 +15,9 @@ def kafka_source_options(bootstrap: str, topic: str, group_id: str | None = None
     """A Kafka consumer (topic, string schema, bootstrap servers, group id,
     offset reset) with offsets committed on checkpoint.  In Spark the
     offsets live in the query's ``checkpointLocation``; a group id is only
-    passed when given."""
+    passed when given.  Lost offsets fail the query (Spark's default)."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting, "failOnDataLoss": "false"}
+            "startingOffsets": starting}
     if group_id:
         opts["kafka.group.id"] = group_id
     opts.update(extra)

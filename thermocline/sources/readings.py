@@ -51,9 +51,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str = READIN
     """``connect(FileSystem(path)).withFormat(Csv().fieldDelimiter(sep))
     .withSchema(schema)`` as a batch or streaming DataFrame."""
     reader = spark.readStream if stream else spark.read
-    reader = reader.schema(schema).option("sep", sep).option("header", "false")
-    if not stream:
-        reader = reader.option("mode", "FAILFAST")
+    reader = (reader.schema(schema).option("sep", sep).option("header", "false")
+              .option("mode", "FAILFAST"))
     for k, v in opts.items():
         reader = reader.option(k, v)
     return reader.csv(path)
@@ -68,16 +67,17 @@ def register_csv_table(spark: SparkSession, name: str, path: str,
 
 
 def ddl_table(spark: SparkSession, name: str, path: str, sep: str = ",",
-              stream: bool = False, watermark: str = "1 second") -> DataFrame:
+              stream: bool = False, watermark: str = "1 second", zone: str | None = None) -> DataFrame:
     """``CREATE TABLE name (id VARCHAR(20) NOT NULL, ts BIGINT, temperature
     DOUBLE, rt AS TO_TIMESTAMP(FROM_UNIXTIME(ts)), WATERMARK FOR rt AS rt -
     INTERVAL '1' SECOND) WITH (filesystem, csv)``.
 
     Spark DDL has no computed columns or WATERMARK clause, so the view is a
-    CSV source plus ``rt`` and, when streaming, ``withWatermark``."""
+    CSV source plus ``rt`` and, when streaming, ``withWatermark``.  ``rt`` is
+    the wall clock of ``zone``, the session's time zone unless given."""
     schema = "id STRING, ts BIGINT, temperature DOUBLE"
     df = read_csv(spark, path, schema, sep, stream)
-    df = with_computed_rowtime(df, "ts", "rt")
+    df = with_computed_rowtime(df, "ts", "rt", zone=zone or spark.conf.get("spark.sql.session.timeZone"))
     if stream:
         df = (df.withColumn("rt", as_instant("rt"))  # watermark needs TIMESTAMP
               .withWatermark("rt", watermark))
@@ -86,24 +86,26 @@ def ddl_table(spark: SparkSession, name: str, path: str, sep: str = ",",
 
 
 def with_computed_rowtime(df: DataFrame, seconds_col: str, out: str = "rt",
-                          delay_seconds: int = 1) -> DataFrame:
+                          delay_seconds: int = 1, zone: str = "UTC") -> DataFrame:
     """Computed columns of the DDL table: ``rt`` = epoch seconds as a
     timestamp, and ``rt_wm`` = ``rt - INTERVAL delay`` (the watermark
-    expression, exposed as a column for batch use)."""
-    rt = naive_from_seconds(F.col(seconds_col))
+    expression, exposed as a column for batch use); the wall clock of
+    ``zone``."""
+    rt = naive_from_seconds(F.col(seconds_col), zone)
     return (df.withColumn(out, rt)
             .withColumn(f"{out}_wm", rt - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")))
 
 
-def ddl_table_sql(spark: SparkSession, name: str, path: str, sep: str = ",") -> DataFrame:
+def ddl_table_sql(spark: SparkSession, name: str, path: str, sep: str = ",", zone: str | None = None) -> DataFrame:
     """The DDL-declared table in SQL only: a CSV view with the declared
     columns, and a view over it that adds the computed rowtime columns
     (Spark DDL has no computed columns, so the second view carries them)."""
     raw = f"{name}_raw"
+    zone = zone or spark.conf.get("spark.sql.session.timeZone")
+    rt = f"convert_timezone('UTC', '{zone}', timestampadd(SECOND, ts, TIMESTAMP_NTZ'1970-01-01 00:00:00'))"
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {raw} (id STRING, ts BIGINT, temperature DOUBLE) "
               f"USING csv OPTIONS (path '{path}', sep '{sep}', header 'false', mode 'FAILFAST')")
     spark.sql(f"""CREATE OR REPLACE TEMPORARY VIEW {name} AS
-        SELECT *, timestampadd(SECOND, ts, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS rt,
-               timestampadd(SECOND, ts, TIMESTAMP_NTZ'1970-01-01 00:00:00') - INTERVAL 1 SECOND AS rt_wm
+        SELECT *, {rt} AS rt, {rt} - INTERVAL 1 SECOND AS rt_wm
         FROM {raw}""")
     return spark.table(name)
