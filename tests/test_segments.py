@@ -116,8 +116,7 @@ def test_hot_key_operators_exact(spark, skewed):
 
 def test_bursty_hot_key_is_balanced(spark):
     """A hot key with a burst — all of the first day's events plus every
-    tenth event after it — still gets segments of about target_rows:
-    equal-width time segments would put the whole burst into one."""
+    tenth event after it — still gets segments of about target_rows."""
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     burst = F.col("ts") < F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
     sk = (ev.withColumn("user_id", F.when(burst | (F.col("event_id") % 10 == 0), F.lit(0).cast("long"))
@@ -129,9 +128,6 @@ def test_bursty_hot_key_is_balanced(spark):
     day1 = sk.where(burst).count()
     assert day1 > 3 * target                     # the burst alone is several segments
     assert max(sizes) <= 2 * target
-    uniform = segments.segment(sk, ["user_id"], "_t", target_rows=target, keep_bounds=True)
-    usizes = [r["count"] for r in uniform.frame.where("user_id = 0").groupBy("_seg").count().collect()]
-    assert max(usizes) > 2 * target              # what balancing avoids
     got = keyed.count_trigger_avg(sk, ["user_id"], "ts", "value", ["event_id"], 3600, 2, target_rows=target)
     w = W.partitionBy("user_id").orderBy("_t", "event_id")
     o = (sk.withColumn("prev", F.lag("_t").over(w))
@@ -162,3 +158,37 @@ def test_named_window_sql_on_split_layout(spark, ev):
     p = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     big = [x for x in p.split("\n") if "Exchange hashpartitioning(user_id" in x and "_seg" in x]
     assert len(big) == 1
+
+
+@pytest.mark.parametrize("shape", ["outlier", "one time", "few times"])
+def test_cut_of_awkward_times(spark, shape):
+    """One stray time, all rows at one time, or three times only: segments
+    stay small for row-wise work and results equal the plain window."""
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").limit(3000).withColumn("user_id", F.lit(1))
+    t = {"outlier": F.when(F.col("event_id") % 2999 == 0, F.lit(0)).otherwise(epoch_micros("ts")),
+         "one time": F.lit(5_000_000), "few times": (F.col("event_id") % 3) * 1_000_000}[shape]
+    ev = ev.withColumn("_t", t.cast("long"))
+    target = 200
+    sg = segments.segment(ev, ["user_id"], "_t", target, ["event_id"])
+    sizes = [r["count"] for r in sg.frame.groupBy("_seg").count().collect()]
+    assert max(sizes) <= 2 * target and sum(sizes) == ev.count()
+    w = W.partitionBy("user_id").orderBy("_t", "event_id")
+    got = over.over_rows(ev, ["user_id"], "_t", ["event_id"], 250, ("max", "value"), "r", target)
+    assert same(got, ev.select(*ev.columns, F.max("value").over(w.rowsBetween(-250, 0)).alias("r")))
+    got = over.over_range(ev, ["user_id"], "_t", 1_000_000, ("count", "value"), "r", target)
+    wr = W.partitionBy("user_id").orderBy("_t").rangeBetween(-1_000_000, 0)
+    assert same(got, ev.select(*ev.columns, F.count("value").over(wr).alias("r")))
+
+
+def test_range_segments_are_balanced_with_an_outlier(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").limit(4000).withColumn("user_id", F.lit(1))
+    ev = ev.withColumn("_t", F.when(F.col("event_id") % 3999 == 0, F.lit(0)).otherwise(epoch_micros("ts")).cast("long"))
+    lay = over.range_layout(ev, ["user_id"], "_t", 60_000_000, 250)
+    assert max(r["count"] for r in lay.groupBy("_blk").count().collect()) <= 500
+
+
+def test_broadcast_side_is_bounded_in_bytes(spark):
+    tails = spark.createDataFrame([(1, [1.0])], "k long, tail array<double>")
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(segments.bounded_side(tails, 1000, elements=100))
+    assert not hinted(segments.bounded_side(tails, 1_000_000, elements=1000))

@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros, epoch_ntz
-from ..session import materialize, materialize_counted
-from .segments import (DEFAULT_TARGET_ROWS, HOT, SEG, bounded_side,
-                       global_row_number, segment, with_row_offsets)
+from ..session import materialize
+from .segments import (DEFAULT_TARGET_ROWS, HOT, SEG, global_row_number, segment,
+                       with_row_offsets)
 
 
 def _ntz_from_micros(c: Column) -> Column:
@@ -85,7 +85,7 @@ def count_trigger_avg(df: DataFrame, keys: list[str], ts: str, value: str,
     segment), so a hot key never sits in one task."""
     ttl = int(ttl_seconds) * 1_000_000
     d = df.withColumn("_t", epoch_micros(ts, naive))
-    sg = segment(d, keys, "_t", target_rows)
+    sg = segment(d, keys, "_t", target_rows, tiebreak)
     f, offs, n_segs = with_row_offsets(sg)
     w = sg.seg_window().orderBy(F.col("_t"), *[F.col(c) for c in tiebreak])
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -155,16 +155,12 @@ def control_block(data: DataFrame, control: DataFrame, key: str, ts: str) -> Dat
     """Rows of ``data`` whose key was not blocked before them: a control row
     blocks its key from its own time on (ties: control first).  Batch form:
     anti-join on the first control time per key, which is a partial
-    aggregate; the per-key table is broadcast only when its counted size is
-    bounded, else the join shuffles (AQE splits a hot key)."""
-    first = control.groupBy(key).agg(F.min(ts).alias("_block_from"))
-    first, n = materialize_counted(first)
-    if n == 0:
-        return data
-    first = first.withColumnRenamed(key, "_bk")
-    right = bounded_side(first, n)
-    cond = (data[key] == right["_bk"]) & (right["_block_from"] <= data[ts])
-    return data.join(right, cond, "left_anti")
+    aggregate.  The per-key table stays lazy: Spark broadcasts it only if its
+    measured size is under the broadcast threshold, else the join shuffles
+    (AQE splits a hot key)."""
+    first = control.groupBy(F.col(key).alias("_bk")).agg(F.min(ts).alias("_block_from"))
+    cond = (data[key] == first["_bk"]) & (first["_block_from"] <= data[ts])
+    return data.join(first, cond, "left_anti")
 
 
 def additions(changelog: DataFrame, flag: str = "is_add") -> DataFrame:

@@ -7,8 +7,8 @@
 * ``ROWS k PRECEDING``: the frame runs per segment; the first ``k`` rows of
   a segment also get the frame's values from earlier segments (``_prev``,
   from a small per-segment tail table), so the rows are shuffled once;
-* ``RANGE d PRECEDING``: segments are at least ``d`` wide; rows in the last
-  ``d`` of a segment are also sent to the next one.
+* ``RANGE d PRECEDING``: a row is also sent to the later segments that begin
+  within ``d`` of it.
 
 Counting the partition key itself over a ROWS frame needs no second pass:
 the key is non-null in every row of a non-null partition, so the count is
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .segments import (DEFAULT_TARGET_ROWS, HOT, SEG, global_row_number,
+from .segments import (DEFAULT_TARGET_ROWS, HOT, SEG, cuts_before, global_row_number,
                        materialize, materialize_counted, segment)
 
 AGGS = ("count", "sum", "min", "max", "avg")
@@ -112,14 +112,17 @@ def rows_layout(df: DataFrame, keys: list[str], t: str, tiebreak: list[str], pre
             .where(F.col("_r") <= k))
     per_seg = last.groupBy(*keys, SEG).agg(
         F.sort_array(F.collect_list(F.struct(t, *tiebreak, "_v"))).alias("_tl"))
+    # so many earlier segments hold k rows between them
+    least = sg.frame.where(F.col(HOT)).groupBy(*keys, SEG).count().agg(F.min("count")).first()[0]
+    reach = min(k, -(-k // least) + 1)
     before = F.flatten(F.collect_list("_tl").over(
-        Window.partitionBy(*keys).orderBy(SEG).rowsBetween(-k, -1)))
+        Window.partitionBy(*keys).orderBy(SEG).rowsBetween(-reach, -1)))
     tails = per_seg.select(*keys, SEG, before.alias("_all"))
     n_all = F.size("_all")
     tails = tails.select(*keys, SEG, F.transform(
         F.slice("_all", F.greatest(n_all - k + 1, F.lit(1)), k), lambda x: x["_v"]).alias("_tail"))
     tails, n = materialize_counted(tails)
-    f = sg.attach(f, tails, n, ["_tail"])
+    f = sg.attach(f, tails, n, ["_tail"], elements=k)
     li = F.col("_rn") - F.col("_before")                       # row number inside the segment
     size = F.coalesce(F.size("_tail"), F.lit(0))
     take = F.when(li <= k, F.least(F.lit(k) - li + 1, size)).otherwise(F.lit(0)).cast("int")
@@ -148,29 +151,25 @@ def over_range(df: DataFrame, keys: list[str], t: str, preceding: int | None,
 
 def range_layout(df: DataFrame, keys: list[str], t: str, preceding: int,
                  target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """Rows of ``df`` with ``_blk`` (time segment of a hot key, at least
-    ``preceding + 1`` wide; 0 otherwise) and ``_own``; rows in the last
-    ``preceding`` units of a segment appear once more with ``_own = false``
-    in the next segment.  A window ``PARTITION BY keys, _blk ORDER BY t
-    RANGE BETWEEN preceding PRECEDING AND CURRENT ROW`` over it, kept to
-    ``_own`` rows, equals the same frame partitioned by key alone."""
-    sg = segment(df, keys, t, target_rows, min_width=preceding + 1, keep_bounds=True)
-    f = sg.frame
+    """Rows of ``df`` with ``_blk`` (segment of a hot key, cut at quantiles of
+    its times; 0 otherwise) and ``_own``; a row also appears, with ``_own =
+    false``, in every later segment that begins within ``preceding`` of it.
+    A window ``PARTITION BY keys, _blk ORDER BY t RANGE BETWEEN preceding
+    PRECEDING AND CURRENT ROW`` over it, kept to ``_own`` rows, equals the
+    same frame partitioned by key alone."""
+    sg = segment(df, keys, t, target_rows)
     if not sg.split:
-        return f.select(*df.columns, F.lit(0).cast("long").alias("_blk"), F.lit(True).alias("_own"))
-    seg_end = F.col("_lo") + (F.col(SEG) + 1) * F.col("_w")
-    halo = F.col(HOT) & (F.col(t) + preceding >= seg_end)
-    own = F.struct(F.lit(True).alias("own"), F.col(SEG).alias("blk"))
-    copy = F.struct(F.lit(False).alias("own"), (F.col(SEG) + 1).alias("blk"))
-    f = f.withColumn("_c", F.explode(F.when(halo, F.array(own, copy)).otherwise(F.array(own))))
-    return (f.withColumn("_own", F.col("_c.own")).withColumn("_blk", F.col("_c.blk"))
-            .select(*df.columns, "_blk", "_own"))
+        return sg.frame.select(*df.columns, F.lit(0).cast("long").alias("_blk"), F.lit(True).alias("_own"))
+    reach = F.struct((F.col(t) + preceding).cast("long").alias("t"), F.lit(0).cast("long").alias("b"))
+    upto = F.coalesce(cuts_before(F.col("_at"), reach), F.lit(0)).cast("long")
+    return (sg.placed.withColumn("_blk", F.explode(F.sequence(F.col(SEG), upto)))
+            .withColumn("_own", F.col("_blk") == F.col(SEG)).select(*df.columns, "_blk", "_own"))
 
 
 def _unbounded(df, keys, t, tiebreak, name, col, out, target_rows, rows: bool) -> DataFrame:
     """Running aggregate: local window per segment + earlier segments."""
     cols = df.columns
-    sg = segment(df, keys, t, target_rows)
+    sg = segment(df, keys, t, target_rows, tiebreak if rows else None)
     c = F.col(col) if col else F.lit(1)
     w = sg.seg_window().orderBy(F.col(t), *[F.col(x) for x in tiebreak])
     fr = (w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if rows

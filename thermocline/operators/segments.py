@@ -8,8 +8,8 @@ into a single task.  Instead:
 1. one partial aggregate finds the keys with more than ``target_rows`` rows
    (*hot* keys; there are at most ``N / target_rows`` of them, a proven
    bound, and the table is checkpointed before its size is checked);
-2. each hot key is cut into time segments of about ``target_rows`` rows,
-   other keys keep segment 0; equal times always share a segment;
+2. each hot key is cut into time segments of about ``target_rows`` rows at
+   quantiles of its times, other keys keep segment 0;
 3. the work runs per ``(key, segment)``; what one segment needs from the
    ones before it (row offsets, last time, a carried value) comes from a
    per-segment summary of the hot keys, which is small and broadcast.
@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize, materialize_counted
 
@@ -33,16 +34,21 @@ HOT = "_hot"
 # Rows per (key, segment) once a key is split.  A segment is sorted in one
 # task; a million rows is a few hundred MB of sort buffer at most.
 DEFAULT_TARGET_ROWS = 1_000_000
-# Largest per-segment table that is broadcast; above it the plan joins by
-# shuffle (and AQE's skew-join split covers the hot keys).
-MAX_BROADCAST_ROWS = 2_000_000
-# Fine time buckets per target segment when balancing hot keys by count.
-FINENESS = 16
+# Largest per-segment table that is broadcast, in bytes; above it the plan
+# joins by shuffle (and AQE's skew-join split covers the hot keys).
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_side(df: DataFrame, n_rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when its (already counted) size is within ``limit``."""
-    return F.broadcast(df) if n_rows <= limit else df
+def bounded_side(df: DataFrame, n_rows: int, elements: int = 1, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` when its size — the counted rows times the width of a
+    row, ``elements`` values to an array — is within ``limit``."""
+    def width(kind: T.DataType) -> int:
+        if isinstance(kind, T.ArrayType):
+            return 24 + elements * width(kind.elementType)
+        if isinstance(kind, T.StructType):
+            return 16 + sum(width(f.dataType) for f in kind)
+        return 40 if isinstance(kind, (T.StringType, T.BinaryType)) else 8
+    return F.broadcast(df) if n_rows * (16 + width(df.schema)) <= limit else df
 
 
 @dataclass
@@ -52,6 +58,7 @@ class Segmented:
     t: str                    # numeric order-time column (e.g. epoch micros)
     n_hot: int                # number of hot keys
     target_rows: int
+    placed: DataFrame | None = None  # frame + the cut points (``_at``) of each hot key
 
     @property
     def split(self) -> bool:
@@ -67,7 +74,7 @@ class Segmented:
         return materialize_counted(s)
 
     def attach(self, frame: DataFrame, table: DataFrame, n_rows: int,
-               cols: list[str]) -> DataFrame:
+               cols: list[str], elements: int = 1) -> DataFrame:
         """Left-join per-segment columns of a small hot-segment table."""
         on = self.keys + [SEG]
         right = table.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(on)],
@@ -76,7 +83,7 @@ class Segmented:
         for i, c in enumerate(on):
             e = frame[c].eqNullSafe(right[f"_r{i}"])
             cond = e if cond is None else cond & e
-        out = frame.join(bounded_side(right, n_rows), cond, "left")
+        out = frame.join(bounded_side(right, n_rows, elements), cond, "left")
         return out.drop(*[f"_r{i}" for i in range(len(on))])
 
 
@@ -89,69 +96,76 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]])
 
 
 def segment(df: DataFrame, keys: list[str], t: str,
-            target_rows: int = DEFAULT_TARGET_ROWS, min_width: int = 1,
-            keep_bounds: bool = False) -> Segmented:
-    """Cut hot keys of ``df`` into time segments of about ``target_rows``.
-
-    ``t`` is a numeric column (order time).  By default segments are
-    *count-balanced*: the hot rows are counted in fine time buckets (about
-    ``FINENESS`` per segment, a table bounded by the broadcast limit), and a
-    running count over the buckets cuts a new segment every ``target_rows``
-    rows — so a burst (most of a key's rows in a short time) is spread over
-    many segments too.  Segments stay contiguous in time and equal times
-    share a bucket.
-
-    ``keep_bounds`` (bounded RANGE frames) uses equal-width segments of at
-    least ``min_width`` instead and keeps ``_lo``/``_w``: segment i of a hot
-    key covers ``[_lo + i*_w, _lo + (i+1)*_w)`` (NULL for other keys), so a
-    halo from the next segment is enough.
-    """
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                  F.min(t).alias("_lo"), F.max(t).alias("_hi"))
-    nseg = F.ceil(F.col("_n") / F.lit(target_rows))
-    width = F.greatest(F.floor((F.col("_hi") - F.col("_lo")) / nseg) + 1,
-                       F.lit(int(min_width))).cast("long")
-    hot = (stats.where(F.col("_n") > target_rows)
-           .select(*keys, F.col("_lo").cast("long").alias("_lo"), width.alias("_w"),
-                   F.col("_hi").cast("long").alias("_hi"), nseg.cast("long").alias("_b")))
+            target_rows: int = DEFAULT_TARGET_ROWS, tiebreak: list[str] | None = None) -> Segmented:
+    """Cut hot keys of ``df`` into segments of about ``target_rows`` rows,
+    contiguous in the numeric order time ``t``.
+
+    Cut points are quantiles of ``t`` in each hot key (a mergeable sketch over
+    the hot rows, partially aggregated), so neither a burst nor a stray time
+    far from the others makes a segment larger: only ranks count.  Equal times
+    share a segment, except that with an integer ``tiebreak`` (row-wise work)
+    a time that fills several segments alone is cut by quantiles of its first
+    tiebreak column too."""
+    plain = df.withColumn(SEG, F.lit(0).cast("long")).withColumn(HOT, F.lit(False))
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows)
+           .select(*keys, F.ceil(F.col("_n") / F.lit(target_rows)).cast("int").alias("_parts")))
     hot, n_hot = materialize_counted(hot)
     if n_hot == 0:
-        frame = df.withColumn(SEG, F.lit(0).cast("long")).withColumn(HOT, F.lit(False))
-        if keep_bounds:
-            frame = (frame.withColumn("_lo", F.lit(None).cast("long"))
-                     .withColumn("_w", F.lit(None).cast("long")))
-        return Segmented(frame, keys, t, 0, target_rows)
+        return Segmented(plain, keys, t, 0, target_rows)
     hk = [f"_h{i}" for i in range(len(keys))]
-    if keep_bounds:
-        right = hot.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)], "_lo", "_w")
-        j = df.join(bounded_side(right, n_hot), _null_safe(df, right, list(zip(keys, hk))), "left")
-        seg = F.coalesce(F.floor((F.col(t) - F.col("_lo")) / F.col("_w")), F.lit(0)).cast("long")
-        frame = (j.withColumn(SEG, seg).withColumn(HOT, F.col("_lo").isNotNull()).drop(*hk))
-        return Segmented(frame, keys, t, n_hot, target_rows)
-    # count-balanced: fine buckets, bounded so that their table can be broadcast
-    total_segments = hot.agg(F.sum("_b")).first()[0]
-    fine = max(1, min(FINENESS, MAX_BROADCAST_ROWS // max(int(total_segments), 1)))
-    fine_width = F.greatest(F.floor((F.col("_hi") - F.col("_lo")) / (F.col("_b") * fine)) + 1,
-                            F.lit(1)).cast("long")
-    right = hot.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)], "_lo",
-                       fine_width.alias("_fw"))
-    j = (df.join(bounded_side(right, n_hot), _null_safe(df, right, list(zip(keys, hk))), "left")
-         .drop(*hk))
-    j = (j.withColumn(HOT, F.col("_lo").isNotNull())
-         .withColumn("_fb", F.floor((F.col(t) - F.col("_lo")) / F.col("_fw")).cast("long"))
-         .drop("_lo", "_fw"))
-    buckets = j.where(F.col(HOT)).groupBy(*keys, "_fb").agg(F.count(F.lit(1)).alias("_c"))
-    before = F.coalesce(F.sum("_c").over(
-        Window.partitionBy(*keys).orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    buckets = buckets.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)],
-                             F.col("_fb").alias("_bfb"),
-                             F.floor(before / F.lit(target_rows)).cast("long").alias("_bseg"))
-    buckets, n_buckets = materialize_counted(buckets)
-    cond = _null_safe(j, buckets, list(zip(keys, hk)) + [("_fb", "_bfb")])
-    frame = (j.join(bounded_side(buckets, n_buckets), cond, "left")
-             .withColumn(SEG, F.coalesce(F.col("_bseg"), F.lit(0)).cast("long"))
-             .drop(*hk, "_bfb", "_bseg", "_fb"))
-    return Segmented(frame, keys, t, n_hot, target_rows)
+    # every key is cut at some of the quantiles i / most, i = 1 .. most - 1
+    most = hot.agg(F.max("_parts")).first()[0]
+
+    def beside(frame: DataFrame, table: DataFrame, *cols: str) -> DataFrame:
+        """``frame`` with columns of a table of hot keys (null elsewhere)."""
+        right = table.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)], *cols)
+        return frame.join(bounded_side(right, n_hot, most), _null_safe(frame, right, list(zip(keys, hk))), "left").drop(*hk)
+
+    b = _integer_tiebreak(df, tiebreak)
+    rows = beside(df.select(*keys, t, *({tiebreak[0]} if b is not None else set())), hot, "_parts").where(
+        F.col("_parts").isNotNull())
+    quantiles = F.percentile_approx(t, [i / most for i in range(1, most)], max(10_000, 20 * most))
+    cuts = rows.groupBy(*keys).agg(F.max("_parts").alias("_parts"), quantiles.alias("_q")).select(*keys, F.transform(
+        F.sequence(F.lit(1), F.col("_parts") - 1),
+        lambda i: F.get("_q", F.ceil(i * most / F.col("_parts")).cast("int") - 1).cast("long")).alias("_cuts"))
+    cuts = materialize(cuts)
+    last = F.lit(2**63 - 1)
+    at = F.transform(F.array_distinct("_cuts"), lambda c: F.struct(c.alias("t"), last.alias("b")))
+    if b is not None:
+        again = cuts.select(*keys, F.explode("_cuts").alias("_c")).groupBy(*keys, "_c").count().where("count > 1")
+        again, n_again = materialize_counted(again)
+        if n_again:
+            # times that fill segments alone: at most N / target_rows of them
+            right = again.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)], "_c", F.col("count").alias("_times"))
+            same = rows.join(bounded_side(right, n_again), _null_safe(rows, right, list(zip(keys, hk)))
+                             & (rows[t] == right["_c"])).drop(*hk)
+            times = again.agg(F.max("count")).first()[0]
+            inner = same.groupBy(*keys, "_c").agg(F.percentile_approx(
+                b, [i / (times + 1) for i in range(1, times + 1)], max(10_000, 20 * times)).alias("_bq"))
+            inner = inner.groupBy(*keys).agg(F.flatten(F.collect_list(F.transform(
+                "_bq", lambda x: F.struct(F.col("_c").alias("t"), x.cast("long").alias("b"))))).alias("_inner"))
+            cuts = beside(cuts, materialize(inner), "_inner")
+            at = F.concat(at, F.coalesce("_inner", F.array().cast("array<struct<t:bigint,b:bigint>>")))
+    cuts = materialize(cuts.select(*keys, F.array_sort(F.array_distinct(at)).alias("_at")))
+    frame = beside(df, cuts, "_at")
+    place = F.struct(F.col(t).cast("long").alias("t"), (F.lit(0) if b is None else b).cast("long").alias("b"))
+    frame = (frame.withColumn(HOT, F.col("_at").isNotNull())
+             .withColumn(SEG, F.coalesce(cuts_before(F.col("_at"), place), F.lit(0)).cast("long")))
+    return Segmented(frame.drop("_at"), keys, t, n_hot, target_rows, frame)
+
+
+def _integer_tiebreak(df: DataFrame, tiebreak: list[str] | None) -> Column | None:
+    if not tiebreak or not isinstance(df.schema[tiebreak[0]].dataType, T.IntegralType):
+        return None
+    return F.coalesce(F.col(tiebreak[0]).cast("long"), F.lit(-2**63))
+
+
+def cuts_before(cuts: Column, place: Column) -> Column:
+    """How many of the sorted ``cuts`` are smaller than ``place``: a binary
+    search in expressions."""
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+    return F.when(cuts.isNotNull(), F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) < place), at + step).otherwise(at)))
 
 
 def with_row_offsets(sg: Segmented, count_col: str | None = None) -> tuple[DataFrame, DataFrame | None, int]:
@@ -186,7 +200,7 @@ def global_row_number(df: DataFrame, keys: list[str], t: str, tiebreak: list[str
     """``row_number() OVER (PARTITION BY keys ORDER BY t, tiebreak)`` computed
     per (key, segment) plus the row count of earlier segments.  Also adds
     ``_nn_run`` = running count of non-null ``count_col`` (or of rows)."""
-    sg = segment(df, keys, t, target_rows)
+    sg = segment(df, keys, t, target_rows, tiebreak)
     f, _, _ = with_row_offsets(sg, count_col)
     w = sg.seg_window().orderBy(F.col(t), *[F.col(c) for c in tiebreak])
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
