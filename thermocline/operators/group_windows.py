@@ -30,3 +30,12 @@ def tumble_count(df, key, ts, size, **kw) -> DataFrame:
 
 def hop_count(df, key, ts, size, slide, **kw) -> DataFrame:
     return window_count(df, key, ts, size, slide, **kw)
+
+
+def session_count(df: DataFrame, key: str, ts: str, gap: str, count_col: str | None = None,
+                  out: str = "cnt") -> DataFrame:
+    """``Session.withGap(gap).on(ts)``: one row per key and session, on a
+    stream (``ts`` watermarked) as on a batch table.  For batch tables with
+    hot keys see :func:`..keyed.sessions`."""
+    g = df.groupBy(F.col(key), F.session_window(ts, gap).alias("_w")).agg(F.count(count_col or key).alias(out))
+    return g.select(key, out, F.col("_w.start").alias("session_start"), F.col("_w.end").alias("session_end"))

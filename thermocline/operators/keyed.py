@@ -32,6 +32,7 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int,
              naive: bool = True) -> DataFrame:
     """``Session.withGap(gap).on(ts).groupBy(session, key).select(key,
     count, start, end)``: one row per key and session; end = last + gap.
+    ``count`` is ``count(key)`` unless ``count_col`` is given.
 
     Sessions are found per (key, segment) with Spark's ``session_window``.
     In a hot key only the first and last session of each segment can join
@@ -40,7 +41,7 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int,
     gap = int(gap_seconds) * 1_000_000
     d = df.withColumn("_t", epoch_micros(ts, naive))
     sg = segment(d, keys, "_t", target_rows)
-    cnt = F.count(count_col) if count_col else F.count(F.lit(1))
+    cnt = F.count(count_col or keys[0])
     local = (sg.frame.groupBy(*keys, SEG, F.session_window(ts, f"{int(gap_seconds)} seconds"))
              .agg(cnt.alias("cnt"), F.min("_t").alias("_first"), F.max("_t").alias("_last"),
                   F.max(HOT).alias(HOT))  # constant per key; max is deterministic
@@ -140,12 +141,15 @@ def changelog_count(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str]
                     naive: bool = True) -> DataFrame:
     """Retract stream of ``groupBy(key).count`` in arrival (time) order:
     the n-th row of a key yields ``(false, n-1)`` (if n > 1) then
-    ``(true, n)``.  Sum of adds minus retracts = the final count."""
+    ``(true, n)``.  Sum of adds minus retracts = the final count.
+    ``count(key)`` of the NULL key stays 0: one addition."""
     d = df.withColumn("_t", epoch_micros(ts, naive))
     _, f = global_row_number(d, keys, "_t", tiebreak, target_rows)
     add = F.struct(F.lit(True).alias("is_add"), F.col("_rn").alias("num"), F.lit(2).alias("_o"))
     ret = F.struct(F.lit(False).alias("is_add"), (F.col("_rn") - 1).alias("num"), F.lit(1).alias("_o"))
-    rows = F.when(F.col("_rn") > 1, F.array(ret, add)).otherwise(F.array(add))
+    none = F.struct(F.lit(True).alias("is_add"), F.lit(0).cast("long").alias("num"), F.lit(2).alias("_o"))
+    rows = (F.when(F.col(keys[0]).isNull(), F.when(F.col("_rn") == 1, F.array(none)))
+            .when(F.col("_rn") > 1, F.array(ret, add)).otherwise(F.array(add)))
     return (f.select(*keys, *carry, F.explode(rows).alias("_c"))
             .select(*keys, *carry, F.col("_c.is_add").alias("is_add"),
                     F.col("_c.num").cast("long").alias("num")))
