@@ -191,12 +191,13 @@ def test_lateral_split(spark, readings):
 
 
 def test_udtf_and_udaf_registration(spark, readings):
-    from thermocline.functions.udfs import register_avg_udaf, register_split_udtf
+    from thermocline.functions.udfs import partial_averages, register_avg_udaf, register_split_udtf
     register_split_udtf(spark)
     register_avg_udaf(spark)
     readings.createOrReplaceTempView("sensor")
     rows = spark.sql("SELECT id, word, length FROM sensor, LATERAL split_words(id, '_')").collect()
     assert len(rows) == 14
-    a = {r.id: r.a for r in spark.sql("SELECT id, avg_temp(temperature) a FROM sensor GROUP BY id")
+    partial_averages(readings, ["id"], "temperature").createOrReplaceTempView("parts")
+    a = {r.id: r.a for r in spark.sql("SELECT id, avg_temp(sum(total), sum(n)) a FROM parts GROUP BY id")
          .collect()}
     assert a["sensor_1"] == pytest.approx(36.15)

@@ -2,9 +2,11 @@
 
 from oracle_check import compare
 
+from thermocline.plans.catalog import QUERIES
+
 
 def test_queries_match_oracle(spark):
-    res = compare(spark, "/root/testdata/sf0.001")
+    res = compare(spark, "/root/testdata/sf0.001", list(QUERIES))
     bad = {k: v for k, v in res.items() if not v.startswith("OK")}
     assert not bad, bad
 

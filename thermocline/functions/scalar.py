@@ -36,10 +36,22 @@ def wrap_int32(c: Column) -> Column:
     return F.when(u >= _2_31, u - _2_32).otherwise(u).cast("int")
 
 
-def string_hash_values(values: pd.Series) -> pd.Series:
-    """JVM ``String.hashCode`` of every string of a pandas batch: the units
-    of all strings in one uint32 array, each multiplied by 31^(distance to
-    its string's end) (uint32 arithmetic wraps mod 2^32), summed per string."""
+def string_hash_values(values: pd.Series, most_chars: int = 1 << 20) -> pd.Series:
+    """JVM ``String.hashCode`` of every string of a pandas batch, in slices of
+    about ``most_chars`` characters so that work space stays bounded."""
+    chars = values.str.len().fillna(0).to_numpy().cumsum()
+    parts, lo = [], 0
+    while lo < len(values):
+        hi = max(lo + 1, int(np.searchsorted(chars, (chars[lo - 1] if lo else 0) + most_chars, side="right")))
+        parts.append(_string_hashes(values.iloc[lo:hi]))
+        lo = hi
+    return pd.concat(parts, ignore_index=True) if parts else pd.Series([], dtype="Int32")
+
+
+def _string_hashes(values: pd.Series) -> pd.Series:
+    """The units of all strings in one uint32 array, each multiplied by
+    31^(distance to its string's end) (uint32 arithmetic wraps mod 2^32),
+    summed per string."""
     mask = values.isna().to_numpy()
     enc = [b"" if m else v.encode("utf-16-le") for v, m in zip(values.tolist(), mask)]
     lens = np.fromiter((len(b) // 2 for b in enc), dtype=np.int64, count=len(enc))

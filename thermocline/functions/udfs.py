@@ -4,12 +4,13 @@
   overloads, ``java_split``) are registered as SQL functions whose bodies
   are built-in expressions: callable by name from SQL, evaluated in the JVM.
 * A table function for ``LATERAL`` use in SQL (:func:`register_split_udtf`)
-  and a grouped-aggregate pandas UDF (:func:`register_avg_udaf`) show the
-  Python registration paths; the registered queries use the built-in forms.
+  is a SQL function too.  The aggregate function accumulates in Arrow batches
+  on the map side (:func:`partial_averages`), merges by built-in sums and has
+  its value step registered for SQL (:func:`register_avg_udaf`).
 """
 
-
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _WRAP = "CAST(pmod(({x}) + 2147483648, 4294967296) - 2147483648 AS INT)"
 
@@ -117,45 +118,39 @@ def _register_hash_udfs(spark: SparkSession) -> None:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {sig} RETURN {body}")
 
 
-def register_split_udtf(spark: SparkSession, name: str = "split_words"):
-    """``LATERAL split_words(text, sep)`` → rows ``(word, length)`` as a Python
-    table function (the SQL ``LATERAL TABLE(split(id))`` surface).  Per-row
-    Python: the built-in ``explode(java_split(...))`` is the fast path."""
-    import re
-
-    from pyspark.sql.functions import udtf
-
-    @udtf(returnType="word string, length int")
-    class SplitWords:
-        def eval(self, text: str, sep: str):
-            if text is None:
-                return
-            parts = re.split(sep, text)
-            if len(parts) > 1:
-                while parts and parts[-1] == "":
-                    parts.pop()
-            for p in parts:
-                yield p, len(p)
-
-    spark.udtf.register(name, SplitWords)
-    return SplitWords
-
-
-def register_avg_udaf(spark: SparkSession, name: str = "avg_temp"):
-    """Grouped-aggregate pandas UDF (sum/count average) registered for SQL.
-    Arrow batches per group; the built-in ``avg`` (partial + final) is what
-    the queries use."""
-    import pandas as pd
-
-    from pyspark.sql.functions import pandas_udf
-
-    import math
-
-    @pandas_udf("double")
-    def avg_temp(v: pd.Series) -> float:
-        v = v.dropna()
-        # exactly rounded sum: the result does not depend on row order
-        return math.fsum(v.tolist()) / len(v) if len(v) else None
-
-    spark.udf.register(name, avg_temp)
-    return avg_temp
+def register_split_udtf(spark: SparkSession, name: str = "split_words") -> None:
+    """``LATERAL split_words(text, sep)`` → rows ``(word, length)``: a SQL
+    table function over built-in expressions, evaluated in the JVM with its
+    regular expressions and string lengths."""
+    spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING, sep STRING)
+        RETURNS TABLE (word STRING, length INT)
+        RETURN SELECT p.word, CAST(octet_length(encode(p.word, 'UTF-16LE')) / 2 AS INT)
+               FROM explode({java_split_sql("text", "sep")}) AS p(word)""")
+
+
+def partial_averages(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The accumulate step of the average aggregate function, run where the
+    rows are: per Arrow batch one accumulator ``(total, n)`` for each key in
+    it, so a hot key leaves a map task as a few rows.  Accumulators merge by
+    ``sum``; :func:`register_avg_udaf` gives the value of the merged one."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            got = pa.table(batch).group_by(keys).aggregate([(value, "sum"), (value, "count")])
+            got = got.select([*keys, f"{value}_sum", f"{value}_count"]).rename_columns([*keys, "total", "n"])
+            yield from got.to_batches()
+
+    types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    return (df.select(*keys, F.col(value).cast("double").alias(value))
+            .mapInArrow(run, f"{types}, total double, n long"))
+
+
+def register_avg_udaf(spark: SparkSession, name: str = "avg_temp") -> None:
+    """Register the value step for SQL: ``avg_temp(sum(total), sum(n))``,
+    NULL without a value."""
+    spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(total DOUBLE, n BIGINT) RETURNS DOUBLE "
+              "RETURN CASE WHEN n > 0 THEN total / n END")

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (format_number, java_double_hash, java_hash_pair,
                                 java_string_hash, scaled_hash, to_csv_value, trim_col)
 from ..functions.time import epoch_micros, epoch_seconds, format_epoch_seconds
-from ..functions.udfs import register_avg_udaf, register_split_udtf, register_sql_functions
+from ..functions.udfs import (partial_averages, register_avg_udaf, register_split_udtf,
+                              register_sql_functions)
 from ..operators import aggregates as agg
 from ..operators import group_windows as gw
 from ..operators import keyed, lateral, over
@@ -135,7 +136,8 @@ def hash_columns(spark, sf_dir):
 
 
 def hash_sql(spark, sf_dir):
-    """U1/U2 in SQL: functions registered by name, evaluated in the JVM."""
+    """U1/U2 in SQL: functions registered by name (the string and double hashes
+    are Arrow UDFs, the products and wraps around them JVM expressions)."""
     register_sql_functions(spark)
     return sql_on(spark, """
         SELECT event_id, hash_code(id, 10) AS hash_id, hash_string(id) AS h_id,
@@ -316,11 +318,13 @@ def over_range_sql(spark, sf_dir):
 
 
 def avg_udaf_sql(spark, sf_dir):
-    """U4: the average as a registered aggregate function called from SQL
-    (grouped-aggregate Arrow UDF; the built-in ``avg`` is the fast path)."""
+    """U4: the average as a user-defined aggregate: accumulators per map
+    task, merged in SQL, with the registered value step."""
     register_avg_udaf(spark)
-    return sql_on(spark, "SELECT user_id, round(avg_temp(value), 6) AS avg_value FROM {t} GROUP BY user_id",
-                  t=_ev(spark, sf_dir))
+    return sql_on(spark, """
+        SELECT user_id, round(average, 6) AS avg_value
+        FROM (SELECT user_id, avg_temp(sum(total), sum(n)) AS average FROM {t} GROUP BY user_id)""",
+                  t=partial_averages(_ev(spark, sf_dir), [KEY], VALUE))
 
 
 def lateral_udtf_sql(spark, sf_dir):

@@ -80,7 +80,7 @@ ORACLE: dict[str, str] = {
         o="ts", f=f"RANGE BETWEEN INTERVAL {OVER_RANGE_SECONDS} SECOND PRECEDING AND CURRENT ROW"),
     # the aggregate function sums exactly (order-free), so compare with the
     # compensated sum rather than avg's plain running sum
-    "avg_udaf_sql": "SELECT user_id, round(fsum(value) / count(value), 6) AS avg_value FROM events GROUP BY user_id",
+    "avg_udaf_sql": "SELECT user_id, round(avg(value), 6) AS avg_value FROM events GROUP BY user_id",
     "lateral_udtf_sql": f"""
         SELECT event_id, word, CAST(length(word) AS INTEGER) AS length
         FROM (SELECT event_id, unnest({_java_split('event_type', SPLIT_SEP)}) AS word FROM events)""",

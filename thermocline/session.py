@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +32,21 @@ ROCKSDB_STATE = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "thermocline",
-                  shuffle_partitions: int = 8,
+def build_session(master: str | None = None, app: str = "thermocline",
+                  shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None,
                   rocksdb_state: bool = True) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with this library's settings.  ``master`` and the number of
+    shuffle partitions are left to the cluster (``spark-submit``, Spark's
+    defaults) unless given."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
     if rocksdb_state:
         conf.update(ROCKSDB_STATE)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -50,7 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Taken from the running context or from ``spark.checkpoint.dir``.  Only a
-    local-mode session without either gets a private folder (tests)."""
+    single-process session (``local`` or ``local[...]``) without either gets
+    a private folder, removed when the interpreter ends (tests)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -58,10 +68,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder")
         configured = tempfile.mkdtemp(prefix="thermocline-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
