@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros, epoch_ntz
 from ..session import materialize
-from .segments import (DEFAULT_TARGET_ROWS, HOT, SEG, global_row_number, segment,
+from .segments import (HOT, SEG, global_row_number, segment,
                        with_row_offsets)
 
 
@@ -28,7 +28,7 @@ def _ntz_from_micros(c: Column) -> Column:
 
 
 def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int,
-             count_col: str | None = None, target_rows: int = DEFAULT_TARGET_ROWS,
+             count_col: str | None = None, target_rows: int | None = None,
              naive: bool = True) -> DataFrame:
     """``Session.withGap(gap).on(ts).groupBy(session, key).select(key,
     count, start, end)``: one row per key and session; end = last + gap.
@@ -73,7 +73,7 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int,
 
 def count_trigger_avg(df: DataFrame, keys: list[str], ts: str, value: str,
                       tiebreak: list[str], ttl_seconds: int, threshold: int = 2,
-                      target_rows: int = DEFAULT_TARGET_ROWS, naive: bool = True) -> DataFrame:
+                      target_rows: int | None = None, naive: bool = True) -> DataFrame:
     """Per key, in time order: add each reading to (count, sum); when count
     reaches ``threshold`` emit ``(key, count, sum/count)`` and clear.  State
     not written for ``ttl_seconds`` or more is gone when the next reading
@@ -137,7 +137,7 @@ def count_trigger_avg(df: DataFrame, keys: list[str], ts: str, value: str,
 
 
 def changelog_count(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
-                    carry: list[str], target_rows: int = DEFAULT_TARGET_ROWS,
+                    carry: list[str], target_rows: int | None = None,
                     naive: bool = True) -> DataFrame:
     """Retract stream of ``groupBy(key).count`` in arrival (time) order:
     the n-th row of a key yields ``(false, n-1)`` (if n > 1) then

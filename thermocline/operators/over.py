@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .segments import (DEFAULT_TARGET_ROWS, HOT, SEG, cuts_before, global_row_number,
+from .segments import (HOT, SEG, cuts_before, global_row_number,
                        materialize, materialize_counted, segment)
 
 AGGS = ("count", "sum", "min", "max", "avg")
@@ -34,7 +34,7 @@ def _agg(name: str, c: Column, w: Window) -> Column:
 
 def over_rows(df: DataFrame, keys: list[str], t: str, tiebreak: list[str],
               preceding: int | None, agg: tuple[str, str], out: str,
-              target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+              target_rows: int | None = None) -> DataFrame:
     """``agg(col) OVER (PARTITION BY keys ORDER BY t, tiebreak ROWS BETWEEN
     <preceding|UNBOUNDED> PRECEDING AND CURRENT ROW)``."""
     name, col = agg
@@ -86,7 +86,7 @@ def _sum_type(dt) -> str:
 
 
 def rows_layout(df: DataFrame, keys: list[str], t: str, tiebreak: list[str], preceding: int,
-                target_rows: int = DEFAULT_TARGET_ROWS, col: str | None = None) -> DataFrame:
+                target_rows: int | None = None, col: str | None = None) -> DataFrame:
     """Rows of ``df`` with ``_seg``, ``_rn`` (global row number in the key)
     and ``_prev``: the values of ``col`` (default: the first key) in the
     rows of the frame ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW``
@@ -133,7 +133,7 @@ def rows_layout(df: DataFrame, keys: list[str], t: str, tiebreak: list[str], pre
 
 def over_range(df: DataFrame, keys: list[str], t: str, preceding: int | None,
                agg: tuple[str, str], out: str,
-               target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+               target_rows: int | None = None) -> DataFrame:
     """``agg(col) OVER (PARTITION BY keys ORDER BY t RANGE BETWEEN
     <preceding|UNBOUNDED> PRECEDING AND CURRENT ROW)``; ``t`` numeric and
     ``preceding`` in its units.  Peers (equal ``t``) share a result."""
@@ -150,7 +150,7 @@ def over_range(df: DataFrame, keys: list[str], t: str, preceding: int | None,
 
 
 def range_layout(df: DataFrame, keys: list[str], t: str, preceding: int,
-                 target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                 target_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` with ``_blk`` (segment of a hot key, cut at quantiles of
     its times; 0 otherwise) and ``_own``; a row also appears, with ``_own =
     false``, in every later segment that begins within ``preceding`` of it.

@@ -96,7 +96,7 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]])
 
 
 def segment(df: DataFrame, keys: list[str], t: str,
-            target_rows: int = DEFAULT_TARGET_ROWS, tiebreak: list[str] | None = None) -> Segmented:
+            target_rows: int | None = None, tiebreak: list[str] | None = None) -> Segmented:
     """Cut hot keys of ``df`` into segments of about ``target_rows`` rows,
     contiguous in the numeric order time ``t``.
 
@@ -106,6 +106,7 @@ def segment(df: DataFrame, keys: list[str], t: str,
     share a segment, except that with an integer ``tiebreak`` (row-wise work)
     a time that fills several segments alone is cut by quantiles of its first
     tiebreak column too."""
+    target_rows = target_rows or DEFAULT_TARGET_ROWS
     plain = df.withColumn(SEG, F.lit(0).cast("long")).withColumn(HOT, F.lit(False))
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows)
            .select(*keys, F.ceil(F.col("_n") / F.lit(target_rows)).cast("int").alias("_parts")))
@@ -195,7 +196,7 @@ def with_row_offsets(sg: Segmented, count_col: str | None = None) -> tuple[DataF
 
 
 def global_row_number(df: DataFrame, keys: list[str], t: str, tiebreak: list[str],
-                      target_rows: int = DEFAULT_TARGET_ROWS, out: str = "_rn",
+                      target_rows: int | None = None, out: str = "_rn",
                       count_col: str | None = None) -> tuple[Segmented, DataFrame]:
     """``row_number() OVER (PARTITION BY keys ORDER BY t, tiebreak)`` computed
     per (key, segment) plus the row count of earlier segments.  Also adds
