@@ -1,0 +1,63 @@
+"""Quality classifier: generative ratio, exact draw, held-out accuracy."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from thermocline.llm import classifier
+from thermocline.llm.common import kth_largest
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("bins", [2, 7, 4096])
+def test_kth_largest(spark, bins):
+    values = [5, -3, 5, 0, 5, 99, -2**61, 2**61, 7, -3]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    ordered = sorted(values, reverse=True)
+    for k in range(1, len(values) + 1):
+        kth, above = kth_largest(df, "v", k, min(values), max(values), bins)
+        assert kth == ordered[k - 1] and above == sum(v > kth for v in values)
+
+
+def test_counts_are_those_of_all_rows(spark):
+    df = spark.createDataFrame([(1, "a b a", 1), (2, "b c", 0), (3, None, 1), (4, "a", 0)], "doc_id long, text string, role int")
+    model = classifier.train(df, buckets=64)
+    raw, good = np.zeros(64), np.zeros(64)
+    for t, role in (("a b a", 1), ("b c", 0), ("a", 0)):
+        for g in classifier.grams(t, 64):
+            raw[int(g)] += 1
+            good[int(g)] += role
+    p_raw = (raw + .5) / (raw.sum() + 32)
+    p_good = (good + 32 * p_raw) / (good.sum() + 32)
+    assert np.allclose(model.gains, np.log(p_good) - np.log(p_raw), atol=1e-5)
+
+
+def test_held_out_accuracy_and_stage(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    shown = labels.filter(F.pmod("doc_id", F.lit(2)) == 0)
+    got = classifier.classified(docs, shown)
+    test = got.join(labels.filter(F.pmod("doc_id", F.lit(2)) == 1), "doc_id").toPandas()
+    good, bad = test[test.quality == 1], test[test.quality == 0]
+    assert good.kept.mean() >= 0.95 and bad.kept.mean() <= 0.4
+    kept = classifier.resample(docs, shown)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in got.filter("kept").collect()}
+    # k rows are drawn: as many as reach the threshold, ties stay together
+    draw, scored = classifier.fit(docs, shown)
+    noisy = np.sort([r[0] for r in scored.select(classifier.noisy()).collect()])[::-1]
+    k = int((noisy >= draw.kth).sum())
+    assert noisy[k - 1] == draw.kth
+
+
+def test_odd_rows(spark):
+    rows = [(1, "good text here " * 9, "x", 0.0), (1, "good text here " * 9, "x", 0.0), (None, None, None, None), (2, "", "x", 0.0),
+            (None, "bad words", "x", 0.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __x string, weight double")
+    labels = spark.createDataFrame([(1, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    assert classifier.classified(df, labels).count() == 5
+    assert classifier.resample(df, labels).columns == df.columns
+    none = labels.filter(F.lit(False))
+    assert classifier.resample(df, none).count() == 5
+    empty = df.filter(F.lit(False))
+    assert classifier.classified(empty, labels).count() == classifier.resample(empty, none).count() == 0

@@ -1,0 +1,116 @@
+"""The corpus pipeline and the registered queries of the operators."""
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+import corpus_pipeline  # noqa: E402
+from oracle_check import compare  # noqa: E402
+from thermocline.llm import packing, rules, secrets, simhash  # noqa: E402
+from thermocline.llm.queries import ORACLE, QUERIES  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stage_by_stage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    seen = []
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        if name != "packing":
+            assert out.dtypes == docs.dtypes, name
+            out = out.persist()
+        seen.append((docs, out))
+        docs = out
+    # rules: exactly the documents that audited() keeps
+    before, after = seen[1]
+    kept = {r.doc_id for r in rules.audited(before).filter("kept").collect()}
+    assert {r.doc_id for r in after.collect()} == kept
+    # dedup: one document of each class, the smallest
+    before, after = seen[2]
+    want = {r.component_id for r in simhash.near_duplicates(before).collect()}
+    assert sorted(r.doc_id for r in after.collect()) == sorted(want)
+    # secrets: same documents, none left
+    before, after = seen[3]
+    assert {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect()}
+    assert secrets.scan_secrets(after).filter("spans <> ''").count() == 0
+    # packing: every token of every document, once
+    before, after = seen[4]
+    rows = after.toPandas()
+    words = packing.WordIds(packing.tokenizer_path())
+    texts = {r.doc_id: r.text for r in before.collect()}
+    assert set(rows.doc_id) == set(texts)
+    for d, part in rows.sort_values("start").groupby("doc_id"):
+        ids = b"".join(x.astype("<i4").tobytes() for x in part.ids)
+        assert ids == words.texts([texts[d]])[0] + b"\x01\0\0\0"
+    for _, out in seen[:-1]:
+        out.unpersist()
+
+
+def test_run_equals_the_stages(spark):
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert got.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+    labels = spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").join(labels, "doc_id")
+    copies = {r.doc_id for r in simhash.near_duplicates(spark.read.parquet(f"{SF}/documents.parquet"))
+              .filter("doc_id <> component_id").collect()}
+    short = {r.doc_id for r in rules.audited(docs).filter("base_failed").collect()}
+    clean = {r.doc_id for r in docs.collect()} - copies - short
+    assert len({r.doc_id for r in got.select("doc_id").collect()} & clean) >= 0.95 * len(clean) > 0
+
+
+def test_odd_documents(spark):
+    text = "some words that make a sentence of twenty words or more so that no rule on length would reject this one " * 2
+    rows = [(1, text, "en", "s", 9), (1, text, "en", "s", 9), (None, text + "more", "en", "s", 9), (2, None, None, None, None),
+            (3, "", "en", "s", 0), (4, "y" * 20_000 + " " + text, "en", "s", 1)]
+    df = spark.createDataFrame([(*r, 0, "x") for r in rows], "doc_id long, text string, lang string, source string, "
+                               "n_chars long, __weight int, sequence_id string")
+    for table in (df, df.filter(F.lit(False))):
+        docs = table
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SF)
+            assert docs.dtypes == df.dtypes, name
+            docs = docs.checkpoint()
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == (0 if table is not df else
+                                                                         pytest.approx(docs.count(), abs=99))
+
+
+def test_registered_queries():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
+    assert numbers == list(range(1, 11))
+
+
+def test_queries_with_sql_match_duckdb(spark):
+    res = compare(spark, SF, list(ORACLE))
+    assert all(v.startswith("OK") for v in res.values()), res
+
+
+COLUMNS = {
+    1: ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    2: ["doc_id", "fingerprint", "component_id"],
+    4: ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    5: ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    6: ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+    7: ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
+    9: ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    10: ["query_id", "rank", "vec_id", "score"],
+}
+KINDS = {"doc_id": "bigint", "kept": "boolean", "base_failed": "boolean", "fingerprint": "string", "component_id": "bigint",
+         "shard": "int", "grown_shard": "int", "slot": "bigint", "law": "string", "rank": "int", "labels": "string"}
+
+
+@pytest.mark.parametrize("n", sorted(COLUMNS))
+def test_contract_columns(spark, n):
+    name = next(q for q in QUERIES if q.startswith(f"op{n}_"))
+    got = dict(QUERIES[name](spark, SF).dtypes)
+    assert set(COLUMNS[n]) <= set(got)
+    for c in COLUMNS[n]:
+        if c in KINDS:
+            assert got[c] == KINDS[c], c
+        elif c not in ("score", "base_score", "held_out", "base_labels", "base_sha256", "spans"):
+            assert got[c] == "bigint", c

@@ -59,7 +59,8 @@ def columns_or_null(docs: DataFrame, **types: str) -> DataFrame:
 
 
 def kth_largest(df: DataFrame, value: str, k: int, lo: int, hi: int, bins: int = 4096) -> tuple[int, int]:
-    """The ``k``-th largest BIGINT of column ``value`` (all within lo..hi) and
+    """The ``k``-th largest BIGINT of column ``value`` (all within lo..hi, which
+    are less than 2**63 apart) and
     how many rows are larger, by refining one histogram: each pass counts rows
     in ``bins`` equal ranges on the executors, the driver gets at most
     ``bins`` counts and keeps the range that holds the kth row."""
