@@ -55,15 +55,43 @@ def op10_exact_topk(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_sentencepiece, op4_sharding, op5_lm_scoring, op6_packing,
                                    op7_license_scan, op8_quality_classifier, op9_secret_scan, op10_exact_topk)}
 ORACLE: dict[str, str] = {
+    "op1_quality_rules": r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+base AS (
+    SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM texts),
+windows AS (
+    SELECT r, i, array_to_string(w[i:i + 7], ' ') AS words
+    FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM base WHERE len(w) >= 8)),
+again AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, words) > 1),
+covered AS (
+    SELECT r, count(DISTINCT i + j) AS n FROM again, range(0, 8) AS t(j) GROUP BY r),
+features AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+           CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+           CAST(length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS BIGINT) AS n_upper,
+           CAST(length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS BIGINT) AS n_letters,
+           CAST(len(lines) AS BIGINT) AS n_lines
+    FROM base LEFT JOIN covered USING (r)),
+judged AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM features)
+SELECT *, NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > 3 * n_words
+               OR 10 * n_dup_lines > 3 * n_lines OR 2 * n_upper > n_letters) AS kept
+FROM judged""",
     "op10_exact_topk": """
 WITH vectors AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
     SELECT q.vec_id AS query_id, c.vec_id,
-           CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
     FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
     WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
