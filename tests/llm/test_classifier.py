@@ -53,10 +53,11 @@ def test_held_out_accuracy_and_stage(spark):
 def test_odd_rows(spark):
     rows = [(1, "good text here " * 9, "x", 0.0), (1, "good text here " * 9, "x", 0.0), (None, None, None, None), (2, "", "x", 0.0),
             (None, "bad words", "x", 0.0)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, __x string, weight double")
-    labels = spark.createDataFrame([(1, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    df = spark.createDataFrame(rows, "doc_id long, text string, noise string, weight double")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(9)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
     assert classifier.classified(df, labels).count() == 5
-    assert classifier.resample(df, labels).columns == df.columns
+    kept = classifier.resample(df, labels)
+    assert kept.dtypes == df.dtypes and {r.noise for r in kept.collect()} <= {"x", None}
     none = labels.filter(F.lit(False))
     assert classifier.resample(df, none).count() == 5
     empty = df.filter(F.lit(False))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_or_null, kth_largest, staged
+from .common import columns_or_null, fresh, kth_largest, staged
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -128,13 +128,13 @@ class Draw:
     model: Model | None
     kth: int | None
 
-    def keeps(self) -> Column:
-        """Verdict over ``weight`` and ``noise`` columns."""
-        return F.lit(True) if self.kth is None else noisy() >= self.kth
+    def keeps(self, weight: str = "weight", noise: str = "noise") -> Column:
+        """Verdict over the columns of log weight and noise."""
+        return F.lit(True) if self.kth is None else noisy(weight, noise) >= self.kth
 
 
-def noisy() -> Column:
-    return F.floor((F.col("__weight") + F.col("__noise")) * _UNIT).cast("long")
+def noisy(weight: str = "weight", noise: str = "noise") -> Column:
+    return F.floor((F.col(weight) + F.col(noise)) * _UNIT).cast("long")
 
 
 def gumbel(doc_id: Column, text: Column) -> Column:
@@ -147,7 +147,7 @@ def gumbel(doc_id: Column, text: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, keep_good: float = KEEP_GOOD,
         buckets: int = BUCKETS) -> tuple[Draw, DataFrame]:
     """The fitted classifier and the staged narrow table it was fitted on:
-    (doc_id, n_grams, __weight, __noise) of every row."""
+    (doc_id, n_grams, weight, noise) of every row."""
     rows = _with_roles(docs, labels, fit_rows)
     model = train(rows, buckets)
 
@@ -157,15 +157,15 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, keep_good:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([n for n, _ in got], pa.int64()),
                  pa.array([w for _, w in got], pa.float64()), batch.column(3)],
-                names=["doc_id", "role", "n_grams", "__weight", "__noise"])
+                names=["doc_id", "role", "n_grams", "weight", "noise"])
     scored = staged(rows.select("doc_id", "text", "role", gumbel(F.col("doc_id"), F.col("text")).alias("noise"))
-                    .mapInArrow(run, "doc_id long, role int, n_grams long, __weight double, __noise double"),
+                    .mapInArrow(run, "doc_id long, role int, n_grams long, weight double, noise double"),
                     "weights")
-    marks = [r[0] for r in scored.filter("role = 2").select("__weight").collect()]
+    marks = [r[0] for r in scored.filter("role = 2").select("weight").collect()]
     if model is None or not marks:
         return Draw(model, None), scored
     threshold = float(np.quantile(marks, 1 - keep_good))
-    k, lo, hi = scored.agg(F.count_if(F.col("__weight") >= threshold), F.min(noisy()), F.max(noisy())).first()
+    k, lo, hi = scored.agg(F.count_if(F.col("weight") >= threshold), F.min(noisy()), F.max(noisy())).first()
     kth, _ = kth_largest(scored.select(noisy().alias("v")), "v", k, lo, hi) if k else (hi + 1, 0)
     return Draw(model, kth), scored
 
@@ -173,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, keep_good:
 def classified(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """(doc_id, n_grams, log_weight, kept) of every row."""
     draw, scored = fit(docs, labels, **options)
-    return scored.select("doc_id", "n_grams", F.col("__weight").alias("log_weight"), draw.keeps().alias("kept"))
+    return scored.select("doc_id", "n_grams", F.col("weight").alias("log_weight"), draw.keeps().alias("kept"))
 
 
 def resample(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -188,6 +188,6 @@ def resample(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     def weight(texts: pd.Series) -> pd.Series:
         return pd.Series([model.mean(t)[1] for t in texts], dtype="float64")
 
-    return (docs.withColumn("__weight", weight("text"))
-            .withColumn("__noise", gumbel(F.col("doc_id"), F.col("text")))
-            .filter(draw.keeps()).select(*docs.columns))
+    w, z = fresh(docs, "weight"), fresh(docs, "noise")
+    return (docs.withColumn(w, weight("text")).withColumn(z, gumbel(F.col("doc_id"), F.col("text")))
+            .filter(draw.keeps(w, z)).select(*docs.columns))

@@ -58,6 +58,14 @@ def columns_or_null(docs: DataFrame, **types: str) -> DataFrame:
                          for c, t in types.items()])
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def kth_largest(df: DataFrame, value: str, k: int, lo: int, hi: int, bins: int = 4096) -> tuple[int, int]:
     """The ``k``-th largest BIGINT of column ``value`` (all within lo..hi, which
     are less than 2**63 apart) and

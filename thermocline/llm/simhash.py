@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_or_null, staged
+from .common import columns_or_null, fresh, staged
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -316,7 +316,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
         return out
     # classes in which no row has an id: one row per fingerprint
     mark = F.udf(lambda t: _signed(fingerprint(t, options.get("shingle", SHINGLE))), "long")
-    nameless = docs.filter("doc_id is null").withColumn("__simhash", mark("text"))
-    codes = found.filter("component_id is null").select(F.col("code").alias("__simhash")).distinct()
-    return out.unionByName(nameless.join(codes, "__simhash", "left_semi")
-                           .dropDuplicates(["__simhash"]).select(*docs.columns))
+    code = fresh(docs, "simhash")
+    nameless = docs.filter("doc_id is null").withColumn(code, mark("text"))
+    codes = found.filter("component_id is null").select(F.col("code").alias(code)).distinct()
+    return out.unionByName(nameless.join(codes, code, "left_semi").dropDuplicates([code]).select(*docs.columns))
