@@ -50,8 +50,10 @@ def clean(rows, drop=-1):
     return sorted((tuple(map(tell, r)) for r in rows if r[0] != drop), key=str)
 
 
-@pytest.mark.parametrize("frame,preceding", [("rows", None), ("rows", 2), ("range", None), ("range", 300)])
-@pytest.mark.parametrize("name", ["count", "sum", "avg", "min", "max"])
+@pytest.mark.parametrize("frame,preceding,name", [
+    ("rows", None, "avg"), ("rows", None, "max"), ("rows", 2, "sum"), ("rows", 2, "min"), ("rows", 2, "count"),
+    ("range", None, "sum"), ("range", None, "min"), ("range", None, "count"),
+    ("range", 300, "avg"), ("range", 300, "max"), ("range", 300, "count")])
 def test_over(spark, data, tmp_path, frame, preceding, name):
     got = run_to_table(stateful.over_stream(stream(spark, data), "k", "ts", "id", frame, preceding,
                                             None if name == "count" else "value", name, "r"),
