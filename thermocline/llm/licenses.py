@@ -97,28 +97,28 @@ def _base_places(words: Column) -> Column:
 
 
 def _scanned(docs: DataFrame, templates) -> DataFrame:
-    """One pass over the texts; words are kept for files with indexed words
-    only."""
+    """One pass over the texts.  Base phrases and mandatory phrases all hold
+    two different indexed words, so the words of a file are kept only if it
+    has two."""
     known = vocabulary(templates)
     base_type = "array<struct<at:int,label:string>>"
     df = columns_or_null(docs, doc_id="long", text="string").select("doc_id", licence_words(F.col("text")).alias("w"))
-    df = df.select("doc_id", F.size("w").cast("long").alias("n_words"),
-                   F.when(F.exists("w", lambda w: w.isin(known)), F.col("w")).alias("w"))
+    df = df.select("doc_id", F.size("w").cast("long").alias("n_words"), "w", F.when(
+        F.exists("w", lambda w: w.isin(known)), F.array_distinct(F.filter("w", lambda w: w.isin(known)))).alias("mine"))
+    df = df.withColumn("w", F.when(F.size("mine") >= 2, F.col("w")))
     return staged(df.select(
-        F.monotonically_increasing_id().alias("uid"), "doc_id", "n_words", "w",
-        F.coalesce(let(F.col("w"), lambda w: F.when(w.isNotNull() & F.array_contains(w, "license"), _base_places(w))),
-                   F.array().cast(base_type)).alias("base"),
-        F.when(F.col("w").isNotNull(), F.array_distinct(F.filter("w", lambda w: w.isin(known)))).alias("mine")),
-        "licence-words")
+        F.monotonically_increasing_id().alias("uid"), "doc_id", "n_words", "w", "mine",
+        F.coalesce(let(F.col("w"), lambda w: F.when(F.array_contains(w, "license"), _base_places(w))),
+                   F.array().cast(base_type)).alias("base")), "licence-words")
 
 
 def candidates(files: DataFrame, templates=TEMPLATES, rare: int = RARE, min_votes: int = MIN_VOTES) -> DataFrame:
     """(uid, template, start) that enough rare words agree on."""
     spark = files.sparkSession
-    hit = files.filter(F.col("mine").isNotNull())
+    hit = files.filter(F.col("w").isNotNull())
     n = files.count()
     # as many rows as there are indexed words
-    df = {r.word: r["count"] for r in hit.select(F.explode("mine").alias("word")).groupBy("word").count().collect()}
+    df = {r.word: r["count"] for r in files.select(F.explode("mine").alias("word")).groupBy("word").count().collect()}
     idf = {w: math.log((n + 1) / (c + 1)) for w, c in df.items()}
     rank = {w: i for i, w in enumerate(sorted(idf, key=lambda w: (-idf[w], w)))}
     if not rank:
