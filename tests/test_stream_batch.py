@@ -91,11 +91,11 @@ def test_over_rows_and_changelog_stream_equal_batch(spark, replay, tmp_path):
     t = ev.withColumn("_t", epoch_micros("ts"))
     batch = over.over_rows(t, ["user_id"], "_t", ["event_id"], 2, ("count", "user_id"), "cnt", 10)
     s = stateful.over_stream(stream_of(spark, replay), "user_id", "ts", "event_id", "rows", 2)
-    got = [r for r in run_to_table(s, "sb_over", str(tmp_path / "ck1")) if r.user_id != str(SENTINEL)]
+    got = [r for r in run_to_table(s, "sb_over", str(tmp_path / "ck1")) if r.user_id != SENTINEL]
     assert sorted((int(r.user_id), r.event_id, r.cnt) for r in got) == rows(batch, ["user_id", "event_id", "cnt"])
     batch = keyed.changelog_count(ev, ["user_id"], "ts", ["event_id"], ["event_id"], target_rows=10)
     s = stateful.changelog_stream(stream_of(spark, replay), "user_id", "ts", "event_id")
-    got = [r for r in run_to_table(s, "sb_changelog", str(tmp_path / "ck2")) if r.user_id != str(SENTINEL)]
+    got = [r for r in run_to_table(s, "sb_changelog", str(tmp_path / "ck2")) if r.user_id != SENTINEL]
     assert sorted((int(r.user_id), r.event_id, r.is_add, r.num) for r in got) == \
         rows(batch, ["user_id", "event_id", "is_add", "num"])
 
@@ -107,7 +107,7 @@ def test_control_block_stream_equals_batch(spark, replay, tmp_path):
     st = stream_of(spark, replay)
     s = stateful.control_block_stream(st.where("event_type != 'error'"), st.where("event_type = 'error'"),
                                       "user_id", "ts", "event_id")
-    got = [r for r in run_to_table(s, "sb_control", str(tmp_path / "ck")) if r.user_id != str(SENTINEL)]
+    got = [r for r in run_to_table(s, "sb_control", str(tmp_path / "ck")) if r.user_id != SENTINEL]
     assert sorted(r.event_id for r in got) == sorted(r.event_id for r in batch.collect())
 
 
@@ -116,5 +116,5 @@ def test_over_range_stream_equals_batch(spark, replay, tmp_path):
     t = ev.withColumn("_t", epoch_micros("ts"))
     batch = over.over_range(t, ["user_id"], "_t", 2 * 3600 * 10**6, ("count", "user_id"), "cnt", 10)
     s = stateful.over_stream(stream_of(spark, replay), "user_id", "ts", "event_id", "range", 2 * 3600)
-    got = [r for r in run_to_table(s, "sb_over_range", str(tmp_path / "ck")) if r.user_id != str(SENTINEL)]
+    got = [r for r in run_to_table(s, "sb_over_range", str(tmp_path / "ck")) if r.user_id != SENTINEL]
     assert sorted((int(r.user_id), r.event_id, r.cnt) for r in got) == rows(batch, ["user_id", "event_id", "cnt"])
