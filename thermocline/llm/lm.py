@@ -2,7 +2,7 @@
 
 A text is scored as the bytes of its tokens: lower-cased (A-Z) words, one
 space between them, a newline as the end.  Each byte is a path in the Huffman
-tree of the byte before it (from training counts); every branch is one bit.
+tree of the bytes before it (from training counts); every branch is one bit.
 Hashed contexts (the last 3 and 5 bytes; the word so far), joined with the
 tree node, each predict the bit from counts of the training texts.  A mixer adds their logits with weights
 that a gate picks (which contexts have been seen, and how deep in the tree the
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,9 @@ from .common import columns_or_null, staged
 BYTES = (3, 5)  # bytes of the byte contexts; the last context is the word so far
 TABLE_BITS = (20, 22, 22)
 WORD = 64
+PAIRS = 256
 SEGMENT = 1 << 16
+FAN = 64  # tasks whose counts are summed at once
 BLOCK = 256
 ROUND = 16 * BLOCK
 LANES = 32
@@ -94,24 +97,43 @@ def huffman(counts: list[int]) -> list[list[tuple[int, int]]]:
 
 
 class Code:
-    """Paths of each byte after each byte: the nodes passed, the bits taken."""
-
-    def __init__(self, counts: np.ndarray) -> None:
-        """``counts[before, byte]`` of the training texts."""
-        trees = [huffman(row) for row in counts.tolist()]
-        self.length = np.array([len(path) for tree in trees for path in tree], np.int32)
+    """Paths of each byte in the tree of the bytes before it: the nodes
+    passed, the bits taken.  The ``PAIRS`` most frequent pairs of bytes have a
+    tree of their own, other places that of the last byte."""
+
+    def __init__(self, triples: np.ndarray, counts: np.ndarray) -> None:
+        """``triples`` (byte before the last, last byte, byte as one number)
+        with their counts in the training texts."""
+        last = np.zeros((256, 256), np.int64)
+        np.add.at(last, ((triples >> 8) & 255, triples & 255), counts)
+        pair = np.zeros(1 << 16, np.int64)
+        np.add.at(pair, triples >> 8, counts)
+        own = np.sort(np.argsort(-pair, kind="stable")[:min(PAIRS, int((pair > 0).sum()))])
+        self.tree = np.tile(np.arange(256, dtype=np.int32), 256)  # by the two bytes before
+        self.tree[own] = 256 + np.arange(len(own), dtype=np.int32)
+        tables = np.zeros((256 + len(own), 256), np.int64)
+        tables[:256] = last
+        np.add.at(tables, (self.tree[triples >> 8], triples & 255), np.where(self.tree[triples >> 8] > 255, counts, 0))
+        length, node, bit = [], [], []
+        for t, row in enumerate(tables.tolist()):
+            paths = huffman(row)
+            length += map(len, paths)
+            node.append(np.array([t << 8 | n for path in paths for n, _ in path], np.uint32))
+            bit.append(np.array([b for path in paths for _, b in path], np.uint8))
+        self.length = np.array(length, np.int32)
         self.start = (np.cumsum(self.length) - self.length).astype(np.int32)
-        self.node = np.array([before << 8 | n for before, tree in enumerate(trees) for path in tree for n, _ in path],
-                             np.uint32) * np.uint32(0x85EBCA6B)
-        self.bit = np.array([b for tree in trees for path in tree for _, b in path], np.uint8)
-        self.deep = np.concatenate([np.minimum(np.arange(n), 2) for n in self.length]).astype(np.uint8)
+        self.node = np.concatenate(node) * np.uint32(0x85EBCA6B)
+        self.bit = np.concatenate(bit)
+        deep = np.minimum(np.arange(len(self.bit)) - np.repeat(self.start, self.length), 2).astype(np.uint8)
+        self.mark = self.bit | deep << 1  # the bit and how deep it lies: 0, 1, further
 
     def spell(self, before: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(bits per byte, place in the flat path arrays of every bit)."""
-        symbol = before.astype(np.int32) << 8 | data
+        """(bits per byte, place in the flat path arrays of every bit);
+        ``before``: the two bytes before as one number."""
+        symbol = self.tree[before] << 8 | data
         n = self.length[symbol]
-        ends = np.cumsum(n)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[symbol] - (ends - n), n)
+        ends = np.cumsum(n, dtype=np.int32)
+        at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat(self.start[symbol] - (ends - n), n)
         return n, at
 
 
@@ -128,9 +150,31 @@ class Contexts:
         self.power = self.back = np.empty(0, np.uint64)
 
     def __call__(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The byte before each byte and its context hashes.  ``starts``: where
-        chunks begin.  Before a chunk lie newlines; the
-        word so far begins anew every ``WORD`` bytes."""
+        """The two bytes before each byte and its context hashes.
+        ``starts``: where chunks begin."""
+        before, hashed = self.of_bytes(data, starts)
+        return before, [*hashed, self.of_words(data, starts)]
+
+    def of_bytes(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Before a chunk lie newlines."""
+        n, reach = len(data), max(BYTES)
+        h, hashed, before = np.zeros(n, np.uint32), [], []
+        for k in range(1, reach + 1):
+            last = np.full(n, 10, np.uint8)
+            last[k:] = data[:n - k]
+            for ahead in range(k):  # a chunk's first bytes do not see the chunk before
+                last[(starts + ahead)[starts + ahead < n]] = 10
+            h += last
+            h += np.uint32(1)
+            h *= np.uint32(0x9E3779B1)
+            if k in BYTES:
+                hashed.append(h ^ (h >> np.uint32(15)))
+            if k <= 2:
+                before.append(last)
+        return before[1].astype(np.uint16) << np.uint16(8) | before[0], hashed
+
+    def of_words(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The word so far; it begins anew every ``WORD`` bytes."""
         n = len(data)
         if len(self.power) < n:
             ratio = np.full(n, _RATIO, np.uint64)
@@ -138,27 +182,16 @@ class Contexts:
             ratio[0] = inverse[0] = 1
             self.power, self.back = np.multiply.accumulate(ratio), np.multiply.accumulate(inverse)
         place = np.arange(n, dtype=np.int32)
-        b = data.astype(np.uint32)
-        last = np.full((max(BYTES), n), 10, np.uint32)
-        for k in range(len(last)):
-            last[k, k + 1:] = b[:n - k - 1]
-            for ahead in range(k + 1):  # a chunk's first bytes do not see the chunk before
-                last[k, (starts + ahead)[starts + ahead < n]] = 10
-        hashed, h = [], np.zeros(n, np.uint32)
-        for k in range(len(last)):
-            h = (h + last[k] + np.uint32(1)) * np.uint32(0x9E3779B1)
-            if k + 1 in BYTES:
-                hashed.append(h)
         word = np.zeros(n, np.int32)
-        word[1:][data[:-1] == 32] = place[1:][data[:-1] == 32]
+        after = np.flatnonzero((data[:-1] == 32) | (data[:-1] == 10)) + 1
+        word[after] = after
         word[starts] = starts
         np.maximum.accumulate(word, out=word)
         word = place - (place - word) % WORD
         sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.power[:n])
         sums = np.r_[np.uint64(0), sums[:-1]]
-        prefix = (sums - sums[word]) * self.back[word] * _ODD
-        hashed.append((prefix >> np.uint64(32)).astype(np.uint32))
-        return last[0], [x ^ (x >> np.uint32(15)) for x in hashed]
+        prefix = ((sums - sums[word]) * self.back[word] * _ODD >> np.uint64(32)).astype(np.uint32)
+        return prefix ^ (prefix >> np.uint32(15))
 
 
 def chunks(data: bytes, size: int):
@@ -181,33 +214,72 @@ def _slots(context: np.ndarray, n: np.ndarray, node: np.ndarray, bits: int) -> n
 
 
 class BitCounts:
-    """Counts of zeros and ones per slot of every context."""
+    """Counts of zeros and ones per slot of every context.  Equal (context,
+    byte) pairs are counted first, so that only different ones are spelled;
+    for the word context those are the different words."""
 
     def __init__(self, code: Code) -> None:
         self.code, self.contexts = code, Contexts()
         self.tables = [np.zeros(2 << b, np.int32) for b in TABLE_BITS]
+        self.words: Counter[bytes] = Counter()
+
+    def add_text(self, words: list[bytes]) -> None:
+        """The word context of a text: each word with the two bytes before it
+        and its end."""
+        if not words:
+            return self.words.update((b"\n\n\n",))
+        first, rest = words[0], words[1:]
+        self.words[b"\n\n" + first + (b" " if rest else _END)] += 1
+        before = [b"%c " % w[-1] for w in words[:-1]]
+        ends = [b" "] * (len(rest) - 1) + [_END]
+        self.words.update(map(b"".join, zip(before, rest, ends)))
+        if len(self.words) > 300_000:
+            self._spell_words()
+
+    def _spell_words(self) -> None:
+        items, self.words = list(self.words.items()), Counter()
+        for at in range(0, len(items), 8192):
+            part = items[at:at + 8192]
+            data, starts, fresh = joined([(w, 2) for w, _ in part])
+            times = np.repeat(np.array([n for _, n in part], np.int32), [len(w) for w, _ in part])
+            here = np.flatnonzero(fresh)
+            before = data[here - 2].astype(np.uint32) << np.uint32(8) | data[here - 1]
+            # two bytes of another word lie before: the context begins after them
+            word = self.contexts.of_words(data, starts + 2)
+            self._count(2, before, data[here], word[here], times[here])
 
     def add(self, parts: list[tuple[bytes, int]]) -> None:
-        """Count the bits of chunks (bytes, of which so many are context)."""
+        """The byte contexts of chunks (bytes, of which so many are only
+        context)."""
         data, starts, fresh = joined(parts)
         here = np.flatnonzero(fresh)
-        before, contexts = self.contexts(data, starts)
-        n, at = self.code.spell(before[here], data[here])
-        node, bit = self.code.node[at], self.code.bit[at].astype(np.int32)
-        for table, context, bits in zip(self.tables, contexts, TABLE_BITS):
-            np.add.at(table, 2 * _slots(context[here], n, node, bits) + bit, np.int32(1))
-
-    def rows(self):
-        """(slot, zeros, ones) of used slots; the tables lie one behind the
-        other."""
+        before, hashed = self.contexts.of_bytes(data, starts)
+        tail = before[here].astype(np.uint64) << np.uint64(8) | data[here]
+        for k, context in enumerate(hashed):
+            pairs, times = np.unique(context[here].astype(np.uint64) << np.uint64(24) | tail, return_counts=True)
+            self._count(k, (pairs >> np.uint64(8)).astype(np.uint32) & np.uint32(0xFFFF), pairs.astype(np.uint8),
+                        (pairs >> np.uint64(24)).astype(np.uint32), times.astype(np.int32))
+
+    def _count(self, k, before, data, context, times) -> None:
+        n, at = self.code.spell(before, data)
+        slot = 2 * _slots(context, n, self.code.node[at], TABLE_BITS[k]) + self.code.bit[at]
+        np.add.at(self.tables[k], slot, np.repeat(times, n))
+
+    def finish(self) -> BitCounts:
+        self._spell_words()
+        return self
+
+    def segments(self):
+        """(segment, slots, zeros, ones) of the used slots, ``SEGMENT`` slots
+        to a segment; the tables lie one behind the other."""
         base = 0
-        for table, bits in zip(self.tables, TABLE_BITS):
-            pair = table.reshape(-1, 2)
-            used = np.flatnonzero(pair.any(axis=1))
-            for at in range(0, len(used), 1 << 16):
-                u = used[at:at + (1 << 16)]
-                yield u + base, pair[u, 0], pair[u, 1]
-            base += 1 << bits
+        for table in self.tables:
+            for at in range(0, len(table) // 2, SEGMENT):
+                pair = table[2 * at:2 * (at + SEGMENT)].reshape(-1, 2)
+                used = np.flatnonzero(pair.any(axis=1))
+                if len(used):
+                    yield (base + at) // SEGMENT, used, pair[used, 0], pair[used, 1]
+            base += len(table) // 2
 
 
 def logit_bytes(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -278,11 +350,15 @@ class Mixer:
         here, lane, step = here[order], lane[order], step[order]
         before, contexts = self.contexts(data, starts)
         n, at = self.code.spell(before[here], data[here])
-        node, bit, deep = self.code.node[at], self.code.bit[at].astype(np.float32), self.code.deep[at]
+        node, mark = self.code.node[at], self.code.mark[at]
+        bit = (mark & np.uint8(1)).astype(np.float32)
         logits = [table[_slots(context[here], n, node, bits)] for table, context, bits in
                   zip(self.tables, contexts, TABLE_BITS)]
         lane = np.repeat(live[lane].astype(np.int32), n)
-        gate = lane * _GATES + deep + 3 * (logits[-2] != 0) + 6 * (logits[-1] != 0)
+        gate = mark >> np.uint8(1)
+        for weight, x in ((3, logits[-2]), (6, logits[-1])):
+            gate += (x != 0).view(np.uint8) * np.uint8(weight)
+        gate = lane * np.int32(_GATES) + gate
         ends = np.searchsorted(np.repeat(step, n), np.arange(int(step[-1]) + 2))
         half = np.float32(0.5)
         for a, b in zip(ends, ends[1:]):
@@ -318,16 +394,17 @@ class Mixer:
             for w, x in zip(weights, inputs):
                 x *= error
                 w += (pace * np.bincount(g, x, len(w))).astype(np.float32)
-            seen += np.bincount(cell, minlength=len(seen)).astype(np.float32)
-            ones += np.bincount(cell, one, len(ones)).astype(np.float32)
+            fell = np.bincount(2 * cell + (one > 0), minlength=2 * len(seen)).reshape(-1, 2).astype(np.float32)
+            seen += fell[:, 0]
+            seen += fell[:, 1]
+            ones += fell[:, 1]
 
 
 # --- the operator --------------------------------------------------------------------
 
 def _count_tokens(batches):
-    """(kind, key, n): token hashes (0) and byte pairs (1) of a task."""
-    from collections import Counter
-    words, pairs = Counter(), np.zeros(1 << 16, np.int64)
+    """(kind, key, n): token hashes (0) and byte triples (1) of a task."""
+    words, held, size = Counter(), [], 0
 
     def rows(kind, keys, n):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(keys), pa.array(n)],
@@ -338,50 +415,86 @@ def _count_tokens(batches):
             own = tokens(t.as_py())
             words.update(own)
             words[_END] += 1
-            data = np.frombuffer(_END + b" ".join(own) + _END, np.uint8).astype(np.int32)
-            for at in range(0, len(data) - 1, 1 << 20):
-                part = data[at:at + (1 << 20) + 1]
-                np.add.at(pairs, part[:-1] << 8 | part[1:], np.int64(1))
+            data = b"\n\n" + b" ".join(own) + _END
+            held.append(data)
+            size += len(data)
+            if size > 1 << 20:
+                yield rows(1, *_triples(held))
+                held, size = [], 0
             if len(words) > 400_000:
                 yield rows(0, word_hashes(words), np.fromiter(words.values(), np.int64))
                 words = Counter()
     yield rows(0, word_hashes(words), np.fromiter(words.values(), np.int64))
-    used = np.flatnonzero(pairs)
-    yield rows(1, used, pairs[used])
+    yield rows(1, *_triples(held))
+
+
+def _triples(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Three bytes in a row as one number, and their counts; a text is led by
+    two newlines."""
+    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.int32)
+    size = np.array([len(t) for t in texts], np.int64)
+    inside = np.ones(len(data), bool)
+    for k in (0, 1):
+        inside[np.cumsum(size) - size + k] = False
+    at = np.flatnonzero(inside)
+    return np.unique((data[at - 2].astype(np.int64) << 16) | (data[at - 1] << 8) | data[at], return_counts=True)
 
 
 def _count_bits(code):
     def run(batches):
+        from pyspark import TaskContext
         counts, parts, size = BitCounts(code.value), [], 0
         for batch in batches:
             for t in batch.column(0):
-                for part in chunks(b" ".join(tokens(t.as_py())) + _END, 1 << 16):
+                own = tokens(t.as_py())
+                counts.add_text(own)
+                for part in chunks(b" ".join(own) + _END, 1 << 20):
                     parts.append(part)
                     size += len(part[0])
-                    if size >= 1 << 16:
+                    if size >= 1 << 20:
                         counts.add(parts)
                         parts, size = [], 0
         if parts:
             counts.add(parts)
-        for slot, zeros, ones in counts.rows():
-            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(zeros), pa.array(ones)],
-                                             names=["slot", "zeros", "ones"])
+        task = TaskContext.get().partitionId()
+        for segment, used, zeros, ones in counts.finish().segments():
+            yield _blob(segment, task, used, zeros, ones)
+    return run
+
+
+def _blob(segment: int, task: int, used: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([segment], pa.int32()), pa.array([task], pa.int64()),
+         *[pa.array([x.astype(kind).tobytes()], pa.binary()) for x, kind in ((used, "<u2"), (zeros, "<i8"), (ones, "<i8"))]],
+        names=["segment", "task", "slots", "zeros", "ones"])
+
+
+def _merged_counts(fan: int):
+    """Sums the counts of one segment from at most ``fan`` tasks."""
+    def run(rows: pa.Table) -> pa.Table:
+        sums = np.zeros((2, SEGMENT), np.int64)
+        for slots, zeros, ones in zip(rows["slots"], rows["zeros"], rows["ones"]):
+            at = np.frombuffer(slots.as_py(), "<u2")  # each slot once
+            sums[0, at] += np.frombuffer(zeros.as_py(), "<i8")
+            sums[1, at] += np.frombuffer(ones.as_py(), "<i8")
+        used = np.flatnonzero(sums.any(axis=0))
+        return pa.Table.from_batches([_blob(rows["segment"][0].as_py(), rows["task"][0].as_py() // fan, used,
+                                            sums[0, used], sums[1, used])])
     return run
 
 
-def _pack_segment(rows: pa.Table) -> pa.Table:
-    """The logits of one segment of slots (at most SEGMENT rows)."""
-    slot = rows["slot"].to_numpy()
-    out = np.zeros(SEGMENT, np.int8)
-    out[slot % SEGMENT] = logit_bytes(rows["zeros"].to_numpy(), rows["ones"].to_numpy())
-    return pa.table({"segment": pa.array([int(slot[0]) // SEGMENT], pa.int32()),
-                     "logits": pa.array([out.tobytes()], pa.binary())})
+def _logits(batches):
+    for batch in batches:
+        for segment, slots, zeros, ones in zip(*(batch.column(i) for i in (0, 2, 3, 4))):
+            out = np.zeros(SEGMENT, np.int8)
+            out[np.frombuffer(slots.as_py(), "<u2")] = logit_bytes(
+                np.frombuffer(zeros.as_py(), "<i8"), np.frombuffer(ones.as_py(), "<i8"))
+            yield pa.RecordBatch.from_arrays([pa.array([segment.as_py()], pa.int32()), pa.array([out.tobytes()])],
+                                             names=["segment", "logits"])
 
 
 def _score(model, total: int, kinds: int):
     def run(batches):
-        from collections import Counter
-
         from pyspark import TaskContext
         code, tables, keys, counts = model.value
         mixer, uid = Mixer(code, tables), TaskContext.get().partitionId() << 33
@@ -426,18 +539,22 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
                    .groupBy("kind", "key").agg(F.sum("n").alias("n")), "token-counts")
     words = found.filter("kind = 0")
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("key")).first()
-    pairs = found.filter("kind = 1").select("key", "n").toArrow()  # at most 2**16 rows
-    before = np.zeros(1 << 16, np.int64)
-    before[pairs["key"].to_numpy()] = pairs["n"].to_numpy()
-    code = Code(before.reshape(256, 256))
+    triples = found.filter("kind = 1").select("key", "n").toArrow()  # at most 2**24 rows of 16 bytes
+    code = Code(triples["key"].to_numpy(), triples["n"].to_numpy())
     sc = spark.sparkContext
-    # logits of the hashed contexts: sums by slot, then one row per segment
-    packed = (training.mapInArrow(_count_bits(sc.broadcast(code)), "slot int, zeros int, ones int")
-              .groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-              .groupBy((F.col("slot") / SEGMENT).cast("int").alias("part"))
-              .applyInArrow(_pack_segment, "segment int, logits binary"))
+    # counts of the hashed contexts: sums by segment, over FAN tasks at a time
+    blobs = "segment int, task long, slots binary, zeros binary, ones binary"
+    counted = training.mapInArrow(_count_bits(sc.broadcast(code)), blobs)
+    tasks = training.rdd.getNumPartitions()
+    while True:
+        counted = counted.groupBy("segment", F.floor(F.col("task") / FAN).alias("group")).applyInArrow(
+            _merged_counts(FAN), blobs)
+        tasks = -(-tasks // FAN)
+        if tasks <= 1:
+            break
     flat = np.zeros(sum(1 << b for b in TABLE_BITS), np.int8)
-    for r in packed.toLocalIterator():  # a fixed number of rows of SEGMENT bytes
+    logits = counted.mapInArrow(_logits, "segment int, logits binary")
+    for r in logits.collect():  # a fixed number of rows of SEGMENT bytes: 9 MB in all
         flat[r.segment * SEGMENT:(r.segment + 1) * SEGMENT] = np.frombuffer(r.logits, np.int8)
     tables = np.split(flat, np.cumsum([1 << b for b in TABLE_BITS])[:-1])
     top = words.orderBy(F.desc("n"), "key").limit(head).select("key", "n").orderBy("key").toArrow()
