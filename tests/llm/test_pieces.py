@@ -45,7 +45,17 @@ def test_nbest_of_a_part(model):
         assert [s for s, _ in model.nbest(part, 10)] == every[:10]
 
 
-def test_merged_sums():
+def test_parts_are_cut_at_pairs_without_a_piece(model):
+    r = random.Random(5)
+    for _ in range(3000):
+        word = r.choice(["", " "]) + "".join(r.choices("abcjqxzvw.A'é", k=r.randint(1, 9)))
+        parts = model.parts(word)
+        assert "".join(parts) == word
+        ends = {len("".join(parts[:k])) for k in range(1, len(parts))}
+        assert ends == {i for i in range(1, len(word)) if word[i - 1:i + 1] not in model.pairs}
+
+
+def test_n_highest_sums():
     r = random.Random(1)
     for _ in range(30):
         lists = [[(x, b"") for x in sorted((r.randint(-20, 0) for _ in range(r.randint(1, 4))), reverse=True)]
@@ -53,7 +63,17 @@ def test_merged_sums():
         sums = [0]
         for x in lists:
             sums = [a + b for a in sums for b, _ in x]
-        assert [s for s, _ in pieces.merged(lists, 5)] == sorted(sums, reverse=True)[:5]
+        assert [s for s, _ in pieces.n_highest(lists, 5)] == sorted(sums, reverse=True)[:5]
+
+
+def test_best_and_lead_are_those_of_the_search(model):
+    r = random.Random(8)
+    words = ["there", "tion", "aaaa", "ing", "x", "🙂", "日本"] + ["".join(r.choices("aeinrstho.,A", k=r.randint(1, 12)))
+                                                             for _ in range(400)]
+    for w in words:
+        found, (score, codes, lead) = model.nbest(w, 2), model.best(w)
+        assert (score, codes) == found[0]
+        assert lead == (score - found[1][0] if len(found) > 1 else float("inf"))
 
 
 def test_round_trip_and_tables(spark):

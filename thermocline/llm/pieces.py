@@ -8,8 +8,9 @@ nodes of paths that are returned.
 Two exact reductions make this affordable.  No piece holds certain pairs of
 neighbouring characters (above all, none goes on after a space began), so the
 lattice is cut at such pairs into parts that are solved on their own and
-cached; and of a text's parts only the N - 1 with the smallest loss to their
-second choice can differ from the best segmentation.
+cached; and of a text's words only the N - 1 with the smallest lead over their second
+choice can differ from the best segmentation, so the A* search is run for those
+(the lead itself follows from the Viterbi scores along the best path).
 
 Text is used as it is: a space becomes the piece mark U+2581, one is put in
 front, and a character without a piece is spelled in byte pieces, at 10 below
@@ -68,6 +69,9 @@ class Pieces:
                 plain = piece.replace(_MARK, " ")
                 self.ids[plain] = (code, sp.get_score(i))
                 self.text.append(plain.encode())
+        self.size = np.array([len(t) for t in self.text])
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(self.text), np.uint8)
         self.spelled = min(s for _, s in self.ids.values() if s > -1e6) - 10
         self.longest = max(map(len, self.ids))
         self.find = ahocorasick.Automaton()
@@ -75,40 +79,67 @@ class Pieces:
             self.find.add_word(plain, (len(plain), code, score))
         self.find.make_automaton()
         self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        # words of small letters are whole unless they hold a pair without a piece
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        gaps = [a + b for a in " " + letters for b in letters if a + b not in self.pairs]
+        self.whole = re.compile(f" ?(?!.*(?:{'|'.join(gaps) or '$^'}))[a-z]+")
 
     def spell(self, char: str) -> bytes:
         return b"".join(self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass"))
 
     def parts(self, word: str) -> list[str]:
         """The word cut wherever no piece can go on."""
+        if self.whole.fullmatch(word):
+            return [word]
         cuts = [0, *(i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.pairs), len(word)]
         return [word[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def nbest(self, part: str, n: int) -> list[tuple[float, bytes]]:
-        """The n best segmentations, best first."""
+    def lattice(self, part: str) -> tuple[list[float], list[list]]:
+        """Forward Viterbi: the best score up to every place, and the edges
+        (length, ids, score) that end there."""
         size = len(part)
         best: list[float] = [0.0] * (size + 1)
         into: list[list] = [[] for _ in best]
-        single = [False] * size
-        for last, (length, code, score) in self.find.iter(part):
-            into[last + 1].append((last + 1 - length, code, score))
-            if length == 1:
-                single[last] = True
+        for last, piece in self.find.iter(part):
+            into[last + 1].append(piece)
         for end in range(1, size + 1):
-            edges = into[end]
-            if not single[end - 1]:
-                edges.append((end - 1, self.spell(part[end - 1]), self.spelled))
-            top = _LOWEST
-            for start, _, score in edges:
-                total = best[start] + score
+            edges, top, single = into[end], _LOWEST, False
+            for length, _, score in edges:
+                total = best[end - length] + score
                 if total > top:
                     top = total
+                if length == 1:
+                    single = True
+            if not single:
+                edges.append((1, self.spell(part[end - 1]), self.spelled))
+                top = max(top, best[end - 1] + self.spelled)
             best[end] = top
-        if size == 1:
-            return [(best[1], into[1][0][1])]
-        # backward: best[place] is the exact score of what is still to come;
-        # of equal totals the newest goes on, so a tie costs one path only
-        out: list[tuple[float, bytes]] = []
+        return best, into
+
+    def best(self, part: str) -> tuple[float, bytes, float]:
+        """Score and ids of the best segmentation, and its lead over the
+        second: that leaves the best path, seen from the end, by one other
+        edge into a place of it and is best before that edge."""
+        best, into = self.lattice(part)
+        place, lead, codes = len(part), -_LOWEST, []
+        while place:
+            top, chosen = best[place], None
+            for edge in reversed(into[place]):
+                gap = top - best[place - edge[0]] - edge[2]
+                if chosen is None and gap == 0:
+                    chosen = edge
+                elif gap < lead:
+                    lead = gap
+            codes.append(chosen[1])
+            place -= chosen[0]
+        return best[-1], b"".join(reversed(codes)), lead
+
+    def nbest(self, part: str, n: int) -> list[tuple[float, bytes]]:
+        """The n best segmentations, best first: backward A*, in which
+        ``best[place]`` is the exact score of what is still to come.  Of equal
+        totals the newest goes on, so a tie costs one path only."""
+        best, into = self.lattice(part)
+        size, out = len(part), []
         heap, serial = [(-best[size], 0, size, 0.0, None)], 0
         push, pop = heapq.heappush, heapq.heappop
         while heap and len(out) < n:
@@ -120,27 +151,30 @@ class Pieces:
                     path = path[1]
                 out.append((-total, b"".join(codes)))
                 continue
-            for start, code, score in into[place]:
+            for length, code, score in into[place]:
                 serial -= 1
                 after = behind + score
+                start = place - length
                 push(heap, (-best[start] - after, serial, start, after, (code, path)))
         return out
 
 
-def merged(lists: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The n highest sums of one choice from each list: (sum, choices)."""
-    first = tuple([0] * len(lists))
-    heap, known, out = [(-sum(x[0][0] for x in lists), first)], {first}, []
-    while heap and len(out) < n:
+def n_highest(lists: list[list[tuple[float, bytes]]], n: int):
+    """The n highest sums of one choice from each list, with the choices;
+    lists are in descending order."""
+    first = (0,) * len(lists)
+    heap, known = [(-sum(x[0][0] for x in lists), first)], {first}
+    for _ in range(n):
+        if not heap:
+            return
         loss, pick = heapq.heappop(heap)
-        out.append((-loss, pick))
+        yield -loss, [x[k] for x, k in zip(lists, pick)]
         for i, choices in enumerate(lists):
             if pick[i] + 1 < len(choices):
                 after = (*pick[:i], pick[i] + 1, *pick[i + 1:])
                 if after not in known:
                     known.add(after)
                     heapq.heappush(heap, (loss + choices[pick[i]][0] - choices[pick[i] + 1][0], after))
-    return out
 
 
 class Encoder:
@@ -152,71 +186,75 @@ class Encoder:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.part_best: dict[str, list] = {}
-        self.choices: list[list[tuple[float, bytes]]] = []
-        self.score, self.loss = array("d"), array("d")
+        self.part_best: dict[str, tuple] = {}
+        self.word: list[str] = []
+        self.first: list[bytes] = []
+        self.score, self.lead = array("d"), array("d")
+        self.more: dict[int, list[tuple[float, bytes]]] = {}
 
     def _learn(self, word: str) -> None:
-        lists = []
+        score, codes, lead = 0.0, [], -_LOWEST
         for part in self.pieces.parts(word):
             got = self.part_best.get(part)
             if got is None:
-                got = self.part_best[part] = self.pieces.nbest(part, self.n)
-            lists.append(got)
-        if len(lists) == 1:
-            best = lists[0]
-        else:
-            best = [(s, b"".join(x[i][1] for x, i in zip(lists, pick))) for s, pick in self._merged(lists)]
-        self.place[word] = len(self.choices)
-        self.choices.append(best)
-        self.score.append(best[0][0])
-        self.loss.append(best[0][0] - best[1][0] if len(best) > 1 else np.inf)
-
-    def _merged(self, lists):
-        """As merged(), but only the lists that can matter take part."""
-        loss = [x[0][0] - x[1][0] if len(x) > 1 else np.inf for x in lists]
-        near = sorted(sorted(range(len(lists)), key=lambda i: (loss[i], i))[:self.n - 1])
-        near = [i for i in near if loss[i] < np.inf]
-        rest = sum(x[0][0] for x in lists) - sum(lists[i][0][0] for i in near)
-        for s, pick in merged([lists[i] for i in near], self.n):
-            full = [0] * len(lists)
-            for i, k in zip(near, pick):
-                full[i] = k
-            yield s + rest, full
+                got = self.part_best[part] = self.pieces.best(part)
+            score += got[0]
+            codes.append(got[1])
+            lead = min(lead, got[2])
+        self.place[word] = len(self.word)
+        self.word.append(word)
+        self.first.append(codes[0] if len(codes) == 1 else b"".join(codes))
+        self.score.append(score)
+        self.lead.append(lead)
+
+    def choices(self, at: int) -> list[tuple[float, bytes]]:
+        """The n best of a word; searched only for words whose second choice
+        may be wanted."""
+        got = self.more.get(at)
+        if got is None:
+            lists = [self.pieces.nbest(part, self.n) for part in self.pieces.parts(self.word[at])]
+            got = self.more[at] = [(s, b"".join(x[1] for x in pick)) for s, pick in n_highest(lists, self.n)]
+        return got
 
     def encode(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
         """For each text its n best (score, ids as 32-bit little-endian)."""
         if len(self.place) > CACHE_PARTS:
             self._forget()
-        words = [_WORDS.findall(" " + t) if t else [] for t in texts]
-        for w in {w for ws in words for w in ws if w not in self.place}:
-            self._learn(w)
-        score, loss = np.array(self.score), np.array(self.loss)
-        out = []
+        find, words, places = self.place.get, [_WORDS.findall(" " + t) if t else [] for t in texts], []
         for ws in words:
-            at = np.fromiter(map(self.place.__getitem__, ws), np.int64, len(ws))
-            best = [self.choices[i][0][1] for i in at.tolist()]
-            total = float(score[at].sum())
-            k = min(self.n - 1, len(at))
-            near = np.sort(np.argsort(loss[at], kind="stable")[:k]) if k else []
-            near = [i for i in near if loss[at[i]] < np.inf]
-            lists = [self.choices[at[i]] for i in near]
+            at = list(map(find, ws))
+            if None in at:
+                for w in set(ws):
+                    if w not in self.place:
+                        self._learn(w)
+                at = list(map(find, ws))
+            places.append(at)
+        score, lead = np.array(self.score), np.array(self.lead)
+        out = []
+        for at in places:
+            codes = list(map(self.first.__getitem__, at))
+            ids = np.array(at, np.int64)
+            total, leads = float(score[ids].sum()), lead[ids]
+            # only the n - 1 words of smallest lead can differ from the best
+            near = np.argsort(leads, kind="stable")[:self.n - 1] if len(at) < 64 else np.argpartition(
+                leads, self.n - 1)[:self.n - 1]
+            near = sorted(int(i) for i in near if leads[i] < -_LOWEST)
+            lists = [self.choices(at[i]) for i in near]
             rest = total - sum(x[0][0] for x in lists)
             found = []
-            for s, pick in merged(lists, self.n):
-                codes = best
-                if any(pick):
-                    codes = best.copy()
-                    for i, x, c in zip(near, lists, pick):
-                        codes[i] = x[c][1]
+            for s, pick in n_highest(lists, self.n):
+                for i, x in zip(near, pick):
+                    codes[i] = x[1]
                 found.append((s + rest, b"".join(codes)))
             out.append(found)
         return out
 
     def decode(self, codes: bytes) -> str:
-        text = self.pieces.text
-        raw = b"".join([text[i] for i in np.frombuffer(codes, "<u4").tolist()])
-        return raw.decode("utf-8", "surrogatepass")[1:]
+        ids = np.frombuffer(codes, "<u4")
+        size = self.pieces.size[ids]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.pieces.start[ids] - (ends - size), size)
+        return self.pieces.flat[at].tobytes().decode("utf-8", "surrogatepass")[1:]
 
 
 def _lists(groups: list[list], kind: pa.DataType) -> pa.ListArray:
