@@ -37,7 +37,7 @@ WINDOW = 2048
 PIECE = 512
 BATCH = 512
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
