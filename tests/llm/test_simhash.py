@@ -101,7 +101,9 @@ def test_documents(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     kept = simhash.one_of_each(df)
     assert kept.columns == df.columns
-    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
-        [(1, None), (3, base), (7, "SHORT"), (None, "only nameless")], key=str)
+    # by brute force: the row of each class's smallest id, once; classes without an id keep one row
+    best = {(d, t) for (d, t), w in zip(rows, want) if d == w[2]}
+    assert {(1, None), (3, base), (7, "SHORT"), (None, "only nameless")} <= best
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(best, key=str)
     assert simhash.near_duplicates(df.filter(F.lit(False))).count() == 0
     assert simhash.one_of_each(df.filter(F.lit(False))).count() == 0
