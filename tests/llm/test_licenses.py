@@ -50,6 +50,38 @@ def test_cases(spark):
             assert g.score == score, (text, g)
 
 
+def brute_labels(text):
+    """(labels, score) by every mandatory phrase at every word."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    words, labels, score = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low), set(filter(None, brute(text)[4].split(","))), 0.0
+    for label, phrases, template in licenses.TEMPLATES:
+        own = template.split()
+        for p in (x.split() for x in phrases):
+            for i in (i for i in range(len(own)) if own[i:i + len(p)] == p):
+                for start in (k - i for k in range(len(words)) if words[k:k + len(p)] == p):
+                    labels.add(label)
+                    score = max(score, sum(0 <= start + j < len(words) and words[start + j] == w
+                                           for j, w in enumerate(own)) / len(own))
+    return ",".join(sorted(labels)), score
+
+
+def test_many_licence_words_against_brute_force(spark):
+    text = {name: [t for label, _, t in licenses.TEMPLATES if label == name] for name, *_ in licenses.TEMPLATES}
+    prose = "a person may use and copy free files as published by the foundation charge fee source forms data "
+    texts = [". ".join(t for _, _, t in licenses.TEMPLATES), text["mit"][2] + ". licensed under cc by 4 0",
+             ". ".join(text[x][0] for x in ("bsd", "mpl", "isc", "lgpl")), prose * 40 + text["cc-by-nd"][0] + prose * 40,
+             " ".join(licenses.vocabulary()) + " x the mit license"]
+    r = random.Random(11)
+    texts += [" x ".join([prose, *r.sample([t for _, _, t in licenses.TEMPLATES], r.randint(1, 9))]) for _ in range(20)]
+    texts += [" ".join(r.choices(licenses.vocabulary() + ["by", "to", "of", "the"], k=400)) for _ in range(5)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {g.doc_id: (g.labels, g.score) for g in licenses.scan_licenses(df).collect()}
+    for i, t in enumerate(texts):
+        assert got[i][0] == brute_labels(t)[0] and abs(got[i][1] - brute_labels(t)[1]) < 1e-12, t
+    assert set(got[0][0].split(",")) == set(text)
+    assert got[1][0] == "cc-by,mit"
+
+
 def test_empty(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert licenses.scan_licenses(spark.createDataFrame([(1, "plain")], "doc_id long, text string")).count() == 1

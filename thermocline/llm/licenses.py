@@ -1,14 +1,18 @@
 """License scans (operator 7) by a positional rare-token index, in DataFrame
 expressions only.
 
-The index holds the words of licence templates with their positions.  For
-each file the ``RARE`` licence words of highest IDF (document frequencies
-counted over the whole table) are looked up; all their places vote for
-(template, place of its first word), and a place needs votes from two
+The index holds, for each mandatory phrase of each licence template, the
+``RARE`` indexed words of highest IDF (document frequencies counted over the
+whole table) with their positions in the template.  All their places in a file
+vote for (template, place of its first word), and a place needs votes from two
 different template positions.  A candidate counts when a mandatory phrase of
 its template stands at the expected words.  Its score is the share of the
 template's words found in place.
 
+A phrase that stands in a file brings its own rare words, in place, whatever
+else the file holds; so no place is lost, however many licence words a file
+has.
+
 Base labels come from three phrases wherever their words stand in a row.
 
 Defined results: a null or empty text has no words, labels or score; null ids
@@ -112,27 +116,33 @@ def _scanned(docs: DataFrame, templates) -> DataFrame:
                    F.array().cast(base_type)).alias("base")), "licence-words")
 
 
+def _phrase_places(phrases: list[str], words: list[str]) -> list[tuple[int, list[str]]]:
+    """(place in the template, words) of the mandatory phrases."""
+    split = [p.split() for p in phrases]
+    return [(i, p) for p in split for i in range(len(words)) if words[i:i + len(p)] == p]
+
+
 def candidates(files: DataFrame, templates=TEMPLATES, rare: int = RARE, min_votes: int = MIN_VOTES) -> DataFrame:
-    """(uid, template, start) that enough rare words agree on."""
+    """(uid, template, start) that enough rare words of a mandatory phrase
+    agree on."""
     spark = files.sparkSession
     hit = files.filter(F.col("w").isNotNull())
     n = files.count()
     # as many rows as there are indexed words
     df = {r.word: r["count"] for r in files.select(F.explode("mine").alias("word")).groupBy("word").count().collect()}
-    idf = {w: math.log((n + 1) / (c + 1)) for w, c in df.items()}
-    rank = {w: i for i, w in enumerate(sorted(idf, key=lambda w: (-idf[w], w)))}
-    if not rank:
+    postings = set()
+    for t, (_, phrases, text) in enumerate(templates):
+        for i, phrase in _phrase_places(phrases, text.split()):
+            if any(w not in df for w in phrase if w not in STOP):
+                continue  # in no file
+            own = [(-math.log((n + 1) / (df[w] + 1)), w, i + j) for j, w in enumerate(phrase) if w not in STOP]
+            postings |= {(t, place, w) for _, w, place in sorted(own)[:max(rare, min_votes)]}
+    if not postings:
         return spark.createDataFrame([], "uid long, template int, start int")
-    order = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)])
-    rarest = F.slice(F.array_sort(F.transform("mine", lambda w: F.struct(F.element_at(order, w).alias("r"), w.alias("w")))),
-                     1, rare)
-    picked = hit.withColumn("rarest", F.transform(rarest, lambda x: x["w"]))
-    places = picked.select("uid", "rarest", F.posexplode("w").alias("at", "word")).filter(
-        F.array_contains("rarest", F.col("word"))).select("uid", "at", "word")
-    postings = spark.createDataFrame(
-        [(t, p, w) for t, (_, _, text) in enumerate(templates) for p, w in enumerate(text.split()) if w not in STOP],
-        "template int, place int, word string")  # fixed by the templates
-    return (places.join(F.broadcast(postings), "word")
+    looked_up = sorted({w for _, _, w in postings})
+    places = hit.select("uid", F.posexplode("w").alias("at", "word")).filter(F.col("word").isin(looked_up))
+    index = spark.createDataFrame(sorted(postings), "template int, place int, word string")  # fixed by the templates
+    return (places.join(F.broadcast(index), "word")
             .groupBy("uid", "template", (F.col("at") - F.col("place")).alias("start"))
             .agg(F.countDistinct("place").alias("votes")).filter(F.col("votes") >= min_votes)
             .select("uid", "template", "start"))
@@ -144,7 +154,7 @@ def verified(files: DataFrame, found: DataFrame, templates=TEMPLATES) -> DataFra
     rows = []
     for t, (label, phrases, text) in enumerate(templates):
         words = text.split()
-        at = [(i, p.split()) for p in phrases for i in range(len(words)) if words[i:i + len(p.split())] == p.split()]
+        at = _phrase_places(phrases, words)
         rows.append((t, label, words, [p for _, p in at], [i for i, _ in at]))
     table = files.sparkSession.createDataFrame(
         rows, "template int, label string, words array<string>, phrases array<array<string>>, at array<int>")
