@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from thermocline.llm import pieces
+from thermocline.llm import pieces, queries
 
 TEXTS = ["Hello  world\n x", "", " ", "a\n\nb", "The quick brown fox, 'tis 42.", "naïve café Ünïcode ﬁ   x", "▁ mark ▁",
          "日本語のテキスト🙂", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "tab\tand\x00nul", "\n lead", "x" * 3000, "é end "]
@@ -91,3 +91,15 @@ def test_round_trip_and_tables(spark):
             assert (r.doc_id, len(r.ids), crc, zlib.crc32(text.encode())) in short
             assert r.nbest[0].ids == r.ids and r.nbest[0].score == r.score
     assert pieces.encode(df.limit(0)).count() == pieces.summary(df.limit(0)).count() == 0
+
+
+def test_query_returns_the_full_result(spark, tmp_path):
+    rows = [(i if i != 2 else None, t) for i, t in enumerate([*TEXTS, None])] + [(0, TEXTS[0])]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op3_sentencepiece(spark, str(tmp_path))
+    key = lambda r: str((r.doc_id, r.score, r.ids, r.nbest))
+    assert sorted(map(key, got.collect())) == sorted(map(key, pieces.encode(df).collect()))
+    assert sorted(map(str, (tuple(r) for r in got.select("doc_id", "decoded").collect()))) == sorted(map(str, rows))
+    short = pieces.summary(df).drop("score")
+    assert sorted(map(str, got.select(short.columns).collect())) == sorted(map(str, short.collect()))

@@ -299,10 +299,18 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def summary(docs: DataFrame, n: int = NBEST, path: str | None = None) -> DataFrame:
+def _id_lists(codes: list[bytes], null: list[bool] | None = None) -> pa.ListArray:
+    """Lists of ids of their 32-bit little-endian codes."""
+    ends = np.cumsum([0] + [len(c) // 4 for c in codes]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(codes), "<i4")),
+                                    mask=None if null is None else pa.array(null, pa.bool_()))
+
+
+def summary(docs: DataFrame, n: int = NBEST, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """Per document: pieces and score of the best segmentation, CRC-32 of its
     ids and of the text decoded from them, and the scores and CRC-32s of the n
-    best; without the ids, for tables too large to keep them."""
+    best.  With ``with_ids`` also the columns of ``encode`` and the decoded text
+    (``decoded``), in the same pass; a null text has null in all of them."""
     path = path or model_path()
 
     def run(batches):
@@ -310,16 +318,29 @@ def summary(docs: DataFrame, n: int = NBEST, path: str | None = None) -> DataFra
         for whole in batches:
             for at in range(0, whole.num_rows, 200):
                 batch = whole.slice(at, 200)
-                found = coder.encode([t.as_py() or "" for t in batch.column(1)])
-                decoded = [coder.decode(f[0][1]).encode("utf-8", "surrogatepass") for f in found]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0), pa.array([len(f[0][1]) // 4 for f in found], pa.int64()),
-                    pa.array([f[0][0] for f in found], pa.float64()),
-                    pa.array([zlib.crc32(f[0][1]) for f in found], pa.int64()),
-                    pa.array([zlib.crc32(d) for d in decoded], pa.int64()),
-                    _lists([[s for s, _ in f] for f in found], pa.float64()),
-                    _lists([[zlib.crc32(c) for _, c in f] for f in found], pa.int64())],
-                    names=["doc_id", "n_pieces", "score", "ids_crc32", "decoded_crc32", "nbest_scores", "nbest_crc32"])
+                texts = [t.as_py() for t in batch.column(1)]
+                found = coder.encode([t or "" for t in texts])
+                back = [coder.decode(f[0][1]) for f in found]
+                columns = {
+                    "doc_id": batch.column(0), "n_pieces": pa.array([len(f[0][1]) // 4 for f in found], pa.int64()),
+                    "score": pa.array([f[0][0] for f in found], pa.float64()),
+                    "ids_crc32": pa.array([zlib.crc32(f[0][1]) for f in found], pa.int64()),
+                    "decoded_crc32": pa.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in back], pa.int64()),
+                    "nbest_scores": _lists([[s for s, _ in f] for f in found], pa.float64()),
+                    "nbest_crc32": _lists([[zlib.crc32(c) for _, c in f] for f in found], pa.int64())}
+                if with_ids:
+                    null = [t is None for t in texts]
+                    every = pa.StructArray.from_arrays(
+                        [pa.array([s for f in found for s, _ in f], pa.float64()),
+                         _id_lists([c for f in found for _, c in f])], names=["score", "ids"])
+                    ends = pa.array(np.cumsum([0] + [len(f) for f in found]).astype(np.int32))
+                    columns |= {
+                        "score": pa.array([None if no else f[0][0] for no, f in zip(null, found)], pa.float64()),
+                        "ids": _id_lists([f[0][1] for f in found], null),
+                        "nbest": pa.ListArray.from_arrays(ends, every, mask=pa.array(null, pa.bool_())),
+                        "decoded": pa.array([None if no else t for no, t in zip(null, back)], pa.string())}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
     return columns_or_null(docs, doc_id="long", text="string").mapInArrow(
         run, "doc_id long, n_pieces long, score double, ids_crc32 long, decoded_crc32 long, "
-             "nbest_scores array<double>, nbest_crc32 array<long>")
+             "nbest_scores array<double>, nbest_crc32 array<long>" + (
+                 ", ids array<int>, nbest array<struct<score:double,ids:array<int>>>, decoded string" if with_ids else ""))

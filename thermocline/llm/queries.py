@@ -18,7 +18,7 @@ def op2_simhash(spark, sf_dir):
 
 
 def op3_sentencepiece(spark, sf_dir):
-    return pieces.summary(load(spark, sf_dir, "documents"))
+    return pieces.summary(load(spark, sf_dir, "documents"), with_ids=True)
 
 
 def op4_sharding(spark, sf_dir):
