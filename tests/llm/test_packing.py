@@ -16,9 +16,7 @@ TEXTS = ["Hello World á e ́x ΑΣ ΑΣ. İ\tx <|endoftext|> it's 's   z\x1c y\
 @pytest.fixture(scope="module")
 def tok():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(packing.tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(packing.tokenizer_path())
 
 
 def test_ids_word_by_word_equal_ids_of_whole_texts(tok):
@@ -27,6 +25,21 @@ def test_ids_word_by_word_equal_ids_of_whole_texts(tok):
         assert np.frombuffer(data, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_special_tokens_in_texts(tok):
+    end, start = "<|endoftext|>", "<|startoftext|>"
+    texts = [f"x {end} y", end, f"{start}{end}", f"a{end}b {end}!! ok.{end} {end}. don{end}'t", f"É{start}́ e{end}ΑΣ{end}.",
+             f"<|ENDOFTEXT|> < |endoftext|> <|endoftext |> <|endof{end}text|>", f"{end}\n\t{start}\x0b1{end}2", f"|{end}|<{start}>",
+             "<|endoftext|", f"İ{end}ǅ 日本{start}語 {end}🙂"]
+    r = random.Random(6)
+    bits = [end, start, " ", "  ", "\n", "a", "É", "é", "́", "The", "'s", ".", "!!", "<|", "|>", "Σ", "7", "🙂"]
+    texts += ["".join(r.choices(bits, k=r.randint(1, 30))) for _ in range(500)]
+    words = packing.WordIds(packing.tokenizer_path())
+    got = [np.frombuffer(data, "<u4").tolist() for data in words.texts(texts)]
+    assert got[0] == [343, 49407, 344]
+    for t, ids in zip(texts, got):
+        assert ids == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_differencing():
     # the textbook example ends with sums 16 and 14
     assert sorted(sum([8, 7, 6, 5, 4][i] for i in s) for s in packing.differencing([8, 7, 6, 5, 4], 2)) == [14, 16]

@@ -16,7 +16,10 @@ when a task is repeated on the same input.
 
 Token ids are cached per white-space separated word, which is exact for a
 tokenizer that never joins text across white space (checked in the tests);
-the cache is emptied at ``CACHE_WORDS`` words.
+the cache is emptied at ``CACHE_WORDS`` words.  The ids are those of
+``encode(text, add_special_tokens=False)`` and nothing else: the text of a
+special token, which holds no white space, becomes that token's id wherever it
+stands in a word.
 
 Defined results: a null or empty text is the end id alone; null ids and
 repeated rows are packed like others; an empty table gives no pieces; other
@@ -51,7 +54,6 @@ class WordIds:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {b"": b""}
 
     def texts(self, texts: list[str]) -> list[bytes]:
