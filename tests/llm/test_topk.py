@@ -47,3 +47,18 @@ def test_against_brute_force(spark):
 @pytest.mark.parametrize("rows", [[], [(0, [1.0])], [(0, [1.0, 2.0]), (1, [0.0, 0.0]), (20, [-1.0, .5])]])
 def test_fewer_rows_than_k(spark, rows):
     assert run(spark, rows, 20) == brute(rows, 20)
+
+
+def test_kth_score_in_the_short_last_part_of_a_range(spark):
+    # bound 409602: parts of 3201 and then 13 values, of which the last holds 3
+    rows = [(0, [1 / 64]), (1, [233802 / 64]), (2, [233798 / 64]), (3, [230603 / 64]), (4, [-6400.0])]
+    assert [r[2:] for r in run(spark, rows, 2)] == [(1, 233802), (2, 233798)]
+
+
+def test_wide_ranges_against_brute_force(spark):
+    r = random.Random(9)
+    scores = {x * 3201 + d - 409602 for x in range(256) for d in r.sample([0, 1, 3, 3186, 3187, 3198, 3199, 3200], 4)}
+    rows = [(i, [x / 64]) for i, x in enumerate(sorted(scores), 1) if i % 20 and abs(x) < 409600]
+    rows += [(0, [1 / 64]), (20, [-1 / 64]), (2001, [-6400.0])]
+    for k in (1, 2, 7, 50):
+        assert run(spark, rows, k) == brute(rows, k)

@@ -5,8 +5,9 @@ every row, block against block; nothing but counts leaves a block until the
 kth score of each query is known:
 
 1. Each query has a score range (first: the Cauchy-Schwarz bound).  Blocks
-   count scores in ``BINS`` equal parts of it; the counts are summed over all
-   blocks, and the part that holds the kth score becomes the next range.
+   count scores in ``BINS`` equal parts of it, the last of which may be cut
+   short by the range's end; the counts are summed over all blocks, and the
+   part that holds the kth score becomes the next range.
 2. When ranges are single values, the kth score is exact.  Blocks then return
    rows above it and, of the rows equal to it, the smallest ids that could
    still be wanted; a ranking by score and id ends it.
@@ -74,15 +75,16 @@ def _scores(queries: pa.Table, rows: pa.Table):
 
 def _count_scores(span: int):
     """Histogram counts of a block pair, (query_id, bin, n): ``BINS`` parts of
-    the ``span`` values from each query's ``lo`` on."""
+    the ``span`` values from each query's ``lo`` on, none of them above its
+    ``hi``."""
     width = -(-span // BINS)
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         out: list[list] = [[], [], []]
-        ids, lo = queries["vec_id"].to_numpy(), queries["lo"].to_numpy()
+        ids, lo, hi = (queries[c].to_numpy() for c in ("vec_id", "lo", "hi"))
         for part, s, own in _scores(queries, rows):
             up = s - lo[part, None]
-            line, at = np.nonzero((up >= 0) & (up < span) & ~own)
+            line, at = np.nonzero((up >= 0) & (s <= hi[part, None]) & ~own)
             n = np.bincount(line * BINS + up[line, at] // width, minlength=len(s) * BINS)
             hit = np.flatnonzero(n)
             for o, x in zip(out, (ids[part][hit // BINS], hit % BINS, n[hit])):
@@ -134,13 +136,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, query_block: int =
     def with_rows(state):
         return _blocks(state, "qb", "cb", query_block, nc, n_asked).groupBy("qb", "cb").cogroup(dealt)
 
-    # ``left``: how many of the rows scored from ``lo`` to ``lo + span`` are
-    # still wanted; a query that finds fewer than k wants all there are
+    # ``left``: how many of the rows scored from ``lo`` to ``hi``, at most
+    # ``span`` values, are still wanted; a query that finds fewer than k wants
+    # all there are
     itself = rows.select("vec_id", F.lit(1).alias("itself"))
     bound = int(most * most_asked) + 2
     span = 2 * bound + 1
     state = staged(asked.join(itself, "vec_id", "left").select(
-        "vec_id", "v", F.lit(-bound).cast("long").alias("lo"),
+        "vec_id", "v", F.lit(-bound).cast("long").alias("lo"), F.lit(bound).cast("long").alias("hi"),
         F.least(F.lit(k), F.lit(n) - F.coalesce("itself", F.lit(0))).cast("long").alias("left"))
         .filter("left > 0"), "ranges")
     while span > 1:
@@ -152,8 +155,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, query_block: int =
                  .join(state.select(F.col("vec_id").alias("query_id"), "left"), "query_id")
                  .filter(F.col("upto").between(F.col("left"), F.col("left") + F.col("n") - 1))
                  .select(F.col("query_id").alias("vec_id"), "bin", (F.col("upto") - F.col("n")).alias("above")))
+        lo = F.col("lo") + F.col("bin") * width
         state = staged(state.join(found, "vec_id").select(
-            "vec_id", "v", (F.col("lo") + F.col("bin") * width).alias("lo"),
+            "vec_id", "v", lo.alias("lo"), F.least(lo + (width - 1), "hi").alias("hi"),
             (F.col("left") - F.col("above")).alias("left")), "ranges")
         span = width
     best = with_rows(state).applyInArrow(_reaching, "query_id long, vec_id long, score long")
