@@ -95,13 +95,11 @@ def test_score(spark, head):
     assert (got.score < 0).all()
 
 
-def test_held_out_texts(spark):
-    """On 2.4 MB the model is within 2 % of the base score, which gives every
-    unseen word the same probability and so does not sum to one (on more text
-    the model is ahead, see the README); it is far ahead of a fixed code."""
+def test_held_out_texts_are_likelier_than_by_the_base(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = lm.score(docs).filter("held_out").agg({"score": "sum", "base_score": "sum", "n_tokens": "sum"}).first()
-    assert got["sum(score)"] > 1.02 * got["sum(base_score)"]
+    print("held out", got)
+    assert got["sum(score)"] > got["sum(base_score)"]
     assert -got["sum(score)"] / got["sum(n_tokens)"] * math.log2(10) < 15  # bits a token
 
 

@@ -3,7 +3,7 @@
 A text is scored as the bytes of its tokens: lower-cased (A-Z) words, one
 space between them, a newline as the end.  Each byte is a path in the Huffman
 tree of the bytes before it (from training counts); every branch is one bit.
-Hashed contexts (the last 3 and 5 bytes; the word so far), joined with the
+Hashed contexts (the last 3, 5 and 8 bytes; the word so far), joined with the
 tree node, each predict the bit from counts of the training texts.  A mixer adds their logits with weights
 that a gate picks (which contexts have been seen, and how deep in the tree the
 bit lies); an adaptive map refines the mixed probability.  Weights and map
@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from .common import columns_or_null, staged
 
-BYTES = (3, 5)  # bytes of the byte contexts; the last context is the word so far
-TABLE_BITS = (20, 22, 22)
+BYTES = (3, 5, 8)  # bytes of the byte contexts; the last context is the word so far
+TABLE_BITS = (20, 22, 22, 22)
 WORD = 64
 PAIRS = 256
 SEGMENT = 1 << 16
@@ -53,10 +53,10 @@ _SCALE = 16.0  # steps of a logit in a table byte
 _GATES = 12
 _BINS = 33
 _END = b"\n"
-START = [[1.0, 0.2, 0.2],    # neither the word nor the longest byte context seen
-         [0.35, 0.75, 0.1],  # byte context
-         [0.35, 0.1, 0.75],  # word
-         [0.0, 0.6, 0.4]]    # both
+START = [[0.7, 0.4, 0.2, 0.2],     # neither the word nor the longest byte context seen
+         [0.245, 0.4, 0.75, 0.1],  # byte context
+         [0.245, 0.4, 0.1, 0.75],  # word
+         [0.0, 0.4, 0.6, 0.4]]     # both
 
 
 def held_out(doc_id: Column) -> Column:
@@ -161,7 +161,7 @@ class Contexts:
         h, hashed, before = np.zeros(n, np.uint32), [], []
         for k in range(1, reach + 1):
             last = np.full(n, 10, np.uint8)
-            last[k:] = data[:n - k]
+            last[k:] = data[:max(0, n - k)]
             for ahead in range(k):  # a chunk's first bytes do not see the chunk before
                 last[(starts + ahead)[starts + ahead < n]] = 10
             h += last
@@ -246,7 +246,7 @@ class BitCounts:
             before = data[here - 2].astype(np.uint32) << np.uint32(8) | data[here - 1]
             # two bytes of another word lie before: the context begins after them
             word = self.contexts.of_words(data, starts + 2)
-            self._count(2, before, data[here], word[here], times[here])
+            self._count(len(BYTES), before, data[here], word[here], times[here])
 
     def add(self, parts: list[tuple[bytes, int]]) -> None:
         """The byte contexts of chunks (bytes, of which so many are only
@@ -554,7 +554,7 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
             break
     flat = np.zeros(sum(1 << b for b in TABLE_BITS), np.int8)
     logits = counted.mapInArrow(_logits, "segment int, logits binary")
-    for r in logits.collect():  # a fixed number of rows of SEGMENT bytes: 9 MB in all
+    for r in logits.collect():  # a fixed number of rows of SEGMENT bytes: 14 MB in all
         flat[r.segment * SEGMENT:(r.segment + 1) * SEGMENT] = np.frombuffer(r.logits, np.int8)
     tables = np.split(flat, np.cumsum([1 << b for b in TABLE_BITS])[:-1])
     top = words.orderBy(F.desc("n"), "key").limit(head).select("key", "n").orderBy("key").toArrow()
