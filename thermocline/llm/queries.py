@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import classifier, licenses, lm, packing, pieces, rules, secrets, sharding, simhash, topk
+from . import (classifier, fim, licenses, lm, packing, phrases, pieces, rules, secrets, sharding, simhash, token_counts,
+               topk)
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -52,8 +53,25 @@ def op10_exact_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
 
 
+def op11_phrase_mining(spark, sf_dir):
+    return phrases.collocations(load(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(load(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    made = fim.fill_in_middle(load(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2(F.encode("output", "utf-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(fim.restored(F.col("output"), F.col("form")), "utf-8"), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_sentencepiece, op4_sharding, op5_lm_scoring, op6_packing,
-                                   op7_license_scan, op8_quality_classifier, op9_secret_scan, op10_exact_topk)}
+                                   op7_license_scan, op8_quality_classifier, op9_secret_scan, op10_exact_topk, op11_phrase_mining,
+                                   op12_token_counts, op13_fill_in_middle)}
 ORACLE: dict[str, str] = {
     "op1_quality_rules": r"""
 WITH texts AS (
@@ -97,4 +115,58 @@ scored AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 20""",
+    "op11_phrase_mining": r"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents)),
+found AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 4) AS t(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM found GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, a FROM f WHERE k > 1 AND a >= 10),
+halves AS MATERIALIZED (
+    SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates)),
+often AS MATERIALIZED (SELECT lang, phrase, a FROM f WHERE a >= 10),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, c.j,
+           CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+    FROM halves c JOIN often x ON x.lang = c.lang AND x.phrase = c.x
+    JOIN often y ON y.lang = c.lang AND y.phrase = c.y),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+longer AS (
+    SELECT lang, phrase, max(a) AS a
+    FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+          FROM candidates WHERE k = 3)
+    GROUP BY ALL),
+ranked AS (
+    SELECT c.*, row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, c.phrase) AS rank
+    FROM lowest c LEFT JOIN longer g USING (lang, phrase)
+    WHERE g.a IS NULL OR 100 * g.a < 50 * c.a)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+    "op13_fill_in_middle": r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+units AS (
+    SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n,
+           CAST('0x' || h[1:8] AS BIGINT) % (length(text) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (length(text) + 1) AS b,
+           CAST('0x' || h[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS BIGINT) % 100 AS h4
+    FROM texts),
+forms AS (
+    SELECT *, least(a, b) AS x, greatest(a, b) AS y,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90
+                THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM units)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || substr(text, 1, x) || '<S>' || substr(text, y + 1) || '<M>' || substr(text, x + 1, y - x)
+                        ELSE '<S>' || substr(text, y + 1) || '<P>' || substr(text, 1, x) || '<M>' || substr(text, x + 1, y - x) END)
+           AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM forms""",
 }
