@@ -1,0 +1,76 @@
+"""Token counts of the compiled transducer against the library."""
+
+import random
+
+import pytest
+
+from thermocline.llm import token_counts
+
+
+@pytest.fixture(scope="module")
+def library():
+    import sentencepiece
+    return sentencepiece.SentencePieceProcessor(model_file=token_counts.model_path())
+
+
+@pytest.fixture(scope="module")
+def model():
+    return token_counts.Model(token_counts.model_path())
+
+
+def texts(library):
+    r = random.Random(12)
+    bits = ["a", "b", "e", "i", "n", "t", "h", " ", "  ", "s", "é", "▁", "日", "ﬁ", "\n", "\t", "0", "//", "==", "ть", "<s>",
+            "</s>", "<unk>", "<0x41>", " the", "ing", "😀", "aa", "    ", "ا", "\x00", "\r"]
+    pieces = [library.id_to_piece(i).replace("▁", " ") for i in range(259, 32000)]
+    out = ["", " ", "a", "▁", "a" * 3000, "ab" * 2000, " " * 3000, "aaaab" * 700, "日" * 600, "😀" * 600, "the quick " * 900]
+    out += ["".join(r.choices(bits[:k], k=r.randint(1, 80))) for k in (3, 9, 20, len(bits)) for _ in range(500)]
+    return out + ["".join(r.choices(pieces, k=r.randint(1, 12))) for _ in range(3000)]
+
+
+@pytest.mark.parametrize("chunk,states", [(256, 131_072), (7, 131_072), (64, 300), (1, 5000)])
+def test_counts_of_the_library(library, model, chunk, states):
+    """Also with tiny chunks, and with a table that overflows."""
+    rows = texts(library) if states > 300 else texts(library)[:600]
+    machine = token_counts.Transducer(model, states, chunk)
+    got = [n for at in range(0, len(rows), 400) for n in machine.counts(rows[at:at + 400]).tolist()]
+    assert got == [len(x) for x in library.encode(rows)]
+    assert len(machine.state) <= states
+
+
+def test_only_one_last_piece_is_possible(model):
+    """The fact the states rest on: of the pieces that end at a place exactly
+    one can follow the last piece before it."""
+    machine, r = token_counts.Transducer(model), random.Random(3)
+    for _ in range(300):
+        kinds = [r.randrange(len(model.chars)) for _ in range(12)]
+        state = token_counts._START
+        for kind in kinds:
+            last, opened = state
+            if last >= 0 and not model.pairs[model.last_class[last], kind]:
+                last, opened = -1, ()
+            nodes = [(model.child.get((n, kind)), b) for n, b, _ in (*opened, (0, last, 0))]
+            fits = [b for n, b in nodes if n is not None and model.token_at[n] >= 0
+                    and (b < 0 or machine.stands(b, model.token_at[n]))]
+            assert len(fits) == 1
+            state, _ = machine.step(state, kind)
+
+
+def test_query_rows(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: r for r in token_counts.count_tokens(docs, limit=500).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        n = len(library.encode(text or ""))
+        assert tuple(got[doc_id]) == (doc_id, len((text or "").encode()), n, n > 500)
+
+
+def test_odd_rows(spark, library):
+    long = "word and sentence, " * 60_000
+    rows = [(1, None), (None, "a b"), (2, ""), (3, long), (4, "same"), (4, "same"), (5, "x" * 200_000)]
+    docs = spark.createDataFrame([(*r, 7, 8) for r in rows], "doc_id long, text string, n_tokens int, n_bytes int")
+    got = sorted(map(tuple, token_counts.count_tokens(docs).collect()), key=str)
+    want = [(i, len((t or "").encode()), n := len(library.encode(t or "")), n > 4096) for i, t in rows]
+    assert got == sorted(want, key=str)
+    assert token_counts.count_tokens(docs.limit(0)).collect() == []
