@@ -28,8 +28,11 @@ columns are not read."""
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,10 +40,13 @@ from pyspark.sql.window import Window
 from .common import columns_or_null, staged
 from .fim import byte_slices
 
-STRETCH_BYTES = 16 << 20
+STRETCH_BYTES = 4 << 20
 #: Bytes of text for one bucket of fingerprints.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 MAX_BITS = 20
+#: Bytes of a fingerprint that travel beside its bucket; fewer would only make
+#: more phrases meet that the text then tells apart.
+FP_BYTES = 5
 NO_LANGUAGE = "und"
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BLANKS = b" \t"
@@ -90,11 +96,11 @@ class Words:
         begins[1:] &= ~inside[:-1]
         begins[firsts] = inside[firsts]
         self.at = np.flatnonzero(begins)
-        # a word ends before the next byte that is no word's, or text's, own
-        stops = np.flatnonzero(~inside)
-        bounds = np.union1d(stops, np.r_[firsts, len(data)])
-        self.size = bounds[np.searchsorted(bounds, self.at, "right")] - self.at
-        breaks = np.cumsum(kind == 2)
+        ends = inside.copy()
+        ends[:-1] &= ~inside[1:]
+        ends[firsts[1:] - 1] = inside[firsts[1:] - 1]
+        self.size = np.flatnonzero(ends) + 1 - self.at
+        breaks = np.cumsum(kind == 2, dtype=np.int32)
         self.text = np.searchsorted(firsts, self.at, "right") - 1
         self.piece = breaks[self.at] if len(self.at) else np.zeros(0, np.int64)
         letters = data[inside]
@@ -142,143 +148,207 @@ def _grouped(fp: np.ndarray, first: np.ndarray, words: Words, language: np.ndarr
     return fp[at], np.diff(np.r_[at, len(fp)]), first[at]
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """The bytes of 32-bit numbers, plane by plane: high planes are zeros and
-    cost nothing once compressed."""
-    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
+def _packed(x: np.ndarray, width: int = 4) -> bytes:
+    """Numbers of ``width`` bytes, byte plane by byte plane, compressed: high
+    planes hold little and cost little."""
+    planes = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-def _from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
+def _unpacked(raw: bytes, size: int, width: int = 4) -> np.ndarray:
+    planes = np.zeros((size, 8), np.uint8)
+    got = pa.decompress(raw, decompressed_size=size * width, codec="zstd", asbytes=True)
+    planes[:, :width] = np.frombuffer(got, np.uint8).reshape(width, size).T
+    return planes.view("<u8").ravel().astype(np.int64)
 
-def _stretch(batch: pa.RecordBatch):
-    """Row numbers, languages (numbers and names), bytes and text starts of a
-    batch of (row, text, lang)."""
-    rows = batch.column(0).to_numpy()
-    coded = batch.column(2).dictionary_encode()
-    texts = pa.concat_arrays([batch.column(1).cast(pa.large_binary())])
-    ends = np.frombuffer(texts.buffers()[1], "<i8", len(texts) + 1, texts.offset * 8)
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
-    return rows, coded.indices.to_numpy(), coded.dictionary.to_pylist(), data, ends - ends[0]
 
-
-def _joined(batches, limit: int):
-    """Batches put together up to ``limit`` bytes of text."""
-    held, size = [], 0
+def _dealt(limit: int):
+    """(stretch, row, text, lang): the rows of a task in stretches of at most
+    ``limit`` bytes (or one row), numbered."""
+    def run(batches):
+        from pyspark import TaskContext
+        stretch, row, size = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            for part in byte_slices(batch, limit):
+                got = sum(len(x) for x in part.column(1).cast(pa.binary()).to_pylist())
+                if row and size + got > limit:
+                    stretch, row, size = stretch + 1, 0, 0
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(part.num_rows, stretch)), pa.array(np.arange(row, row + part.num_rows)),
+                    part.column(1), part.column(0)], names=["stretch", "row", "text", "lang"])
+                row, size = row + part.num_rows, size + got
+    return run
+
+
+def _stretches(batches):
+    """The rows of each stretch that a task reads, put together."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        for part in byte_slices(batch, limit):
-            held.append(part)
-            size += part.column(1).nbytes
-            if size >= limit:
+        number = batch.column(0).to_numpy()
+        cuts = np.flatnonzero(np.diff(number)) + 1
+        for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(number)]):
+            if held and held[0].column(0)[0].as_py() != number[lo]:
                 yield pa.concat_batches(held)
-                held, size = [], 0
+                held = []
+            held.append(batch.slice(lo, hi - lo))
     if held:
         yield pa.concat_batches(held)
 
 
+class Stretch:
+    """Words and languages of the texts of a stretch: (stretch, row, text,
+    lang)."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        self.rows = batch.column(1).to_numpy()
+        coded = pa.concat_arrays([batch.column(3)]).dictionary_encode()
+        self.names, language = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        texts = pa.concat_arrays([batch.column(2).cast(pa.large_binary())])
+        ends = np.frombuffer(texts.buffers()[1], "<i8", len(texts) + 1, texts.offset * 8)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+        self.bounds = ends - ends[0]
+        # a text without a byte has no start of its own
+        filled = np.flatnonzero(np.diff(self.bounds))
+        self.words = Words(data, self.bounds[filled])
+        if len(filled):
+            self.words.text = filled[self.words.text]
+        self.language = language
+
+
 def _salt(name: str) -> np.uint64:
     raw = np.frombuffer(name.encode() + b"\0", np.uint8).astype(_U64)
     return spans_hash(mixed(raw + _U64(1)), np.zeros(1, np.int64), len(raw), _BASE)[0]
 
 
-def _blocks(texts: DataFrame, longest: int, bits: int, stretch_bytes: int) -> DataFrame:
-    """One row a stretch and bucket: fingerprints (48 bits below the bucket's),
-    phrase lengths, counts and pointers; and one row a stretch and language
-    with its word counts (``words``)."""
-    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), ("fp", pa.binary()), ("count", pa.binary()),
-                        ("row", pa.binary()), ("byte", pa.binary()), ("base", pa.int64()),
-                        ("lang", pa.string()), ("words", pa.list_(pa.binary())), ("word_counts", pa.list_(pa.int64()))])
+def _blocks(texts: DataFrame, longest: int, bits: int) -> DataFrame:
+    """One row a stretch, bucket and phrase length: fingerprints (the
+    ``FP_BYTES`` below the bucket's bits, as differences in their order), counts
+    and pointers; and one a stretch, bucket and language with words (length 1)
+    and their counts."""
+    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), ("size", pa.int64()), ("fp", pa.binary()), ("count", pa.binary()),
+                        ("row", pa.binary()), ("byte", pa.binary()), ("stretch", pa.int64()),
+                        ("lang", pa.string()), ("words", pa.list_(pa.binary()))])
+
+    def bucketed(fp: np.ndarray):
+        """Places of every bucket in sorted fingerprints."""
+        bucket = (fp >> _U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(fp), np.int64)
+        edges = np.searchsorted(bucket, np.arange((1 << bits) + 1))
+        return [(b, edges[b], edges[b + 1]) for b in np.flatnonzero(np.diff(edges)).tolist()]
+
+    def blocks_of(batch: pa.RecordBatch):
+        read = Stretch(batch)
+        words, language, names, number = read.words, read.language, read.names, batch.column(0)[0].as_py()
+        if not len(words.at):
+            return
+        spoken, hashes = language[words.text], np.empty(len(words.distinct), _U64)
+        hashes[words.number] = words.hash
+        for i, name in enumerate(names):
+            mine = np.bincount(words.number[spoken == i], minlength=len(words.distinct))
+            some = np.flatnonzero(mine)
+            some = some[np.argsort(hashes[some], kind="stable")]
+            for b, lo, hi in bucketed(hashes[some]):
+                yield {"bucket": b, "n": 1, "size": hi - lo, "lang": name, "count": _packed(mine[some[lo:hi]]),
+                       "words": words.distinct.take(pa.array(some[lo:hi])).to_pylist()}
+        salt = np.array([_salt(x) for x in names], _U64)
+        for n in range(2, longest + 1):
+            first, fp = words.phrases(n, language, salt)
+            fp, count, first = _grouped(fp, first, words, language, n)
+            low = fp << _U64(bits) >> _U64(64 - 8 * FP_BYTES)
+            row = read.rows[words.text[first]]
+            byte = words.at[first] - read.bounds[words.text[first]]
+            for b, lo, hi in bucketed(fp):
+                yield {"bucket": b, "n": n, "size": hi - lo, "fp": _packed(np.diff(low[lo:hi], prepend=_U64(0)), FP_BYTES),
+                       "count": _packed(count[lo:hi]), "row": _packed(row[lo:hi]), "byte": _packed(byte[lo:hi]), "stretch": number}
 
     def run(batches):
-        for batch in _joined(batches, stretch_bytes):
-            rows, language, names, data, bounds = _stretch(batch)
-            # a text without a byte has no start of its own
-            filled = np.flatnonzero(np.diff(bounds))
-            words = Words(data, bounds[filled])
-            words.text = filled[words.text] if len(filled) else words.text
-            if not len(words.at):
-                continue
+        for batch in _stretches(batches):
             out = []
-            for i, name in enumerate(names):
-                mine = np.bincount(words.number[language[words.text] == i], minlength=len(words.distinct))
-                some = np.flatnonzero(mine)
-                if len(some):
-                    out.append({"bucket": -1, "lang": name, "words": words.distinct.take(pa.array(some)).to_pylist(),
-                                "word_counts": mine[some].tolist()})
-            salt, parts = np.array([_salt(x) for x in names], _U64), []
-            for n in range(2, longest + 1):
-                first, fp = words.phrases(n, language, salt)
-                parts.append((n, *_grouped(fp, first, words, language, n)))
-            base = int(rows.min())
-            for n, fp, count, first in parts:
-                bucket = (fp >> _U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(fp), np.int64)
-                low = (fp << _U64(bits) >> _U64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                row = rows[words.text[first]] - base
-                byte = words.at[first] - bounds[words.text[first]]
-                edges = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-                for b in range(1 << bits):
-                    i, j = edges[b], edges[b + 1]
-                    if i < j:
-                        out.append({"bucket": b, "n": n, "fp": low[i:j].T.tobytes(), "count": _planes(count[i:j]),
-                                    "row": _planes(row[i:j]), "byte": _planes(byte[i:j]), "base": base})
-            for at in range(0, len(out), 64):
-                yield pa.RecordBatch.from_pylist(out[at:at + 64], schema=schema)
-
-    return texts.mapInArrow(run, "bucket int, n long, fp binary, count binary, row binary, byte binary, base long, "
-                                 "lang string, words array<binary>, word_counts array<long>")
+            for block in blocks_of(batch):
+                out.append(block)
+                if len(out) == 64:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return texts.mapInArrow(run, "bucket int, n long, size long, fp binary, count binary, row binary, byte binary, stretch long, "
+                                 "lang string, words array<binary>")
 
 
 def _frequent(blocks: DataFrame, least: int) -> DataFrame:
-    """(row, byte, n, count): the pointers of all fingerprints whose counts
-    add up to ``least``."""
+    """What the buckets find frequent.  Of phrases one row a stretch (n = 2):
+    the pointers there, packed, of all fingerprints whose counts add up to
+    ``least``.  Of words that occur as often (n = 1) the count, of the other
+    words of a language (n = 0) the sum of counts."""
+    schema = pa.schema([("n", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("count", pa.int64()),
+                        ("stretch", pa.int64()), ("size", pa.int64()), *[(c, pa.binary()) for c in ("ns", "rows", "bytes", "counts")]])
+
     def run(table: pa.Table) -> pa.Table:
-        fp, n, count, row, byte = [], [], [], [], []
+        fp, count, row, byte, owner, words = [], [], [], [], [], Counter()
         for b in table.to_batches():
-            for size, f, c, r, y, base in zip(*(b.column(x).to_pylist() for x in ("n", "fp", "count", "row", "byte", "base"))):
-                planes = np.zeros((len(f) // 6, 8), np.uint8)
-                planes[:, :6] = np.frombuffer(f, np.uint8).reshape(6, -1).T
-                fp.append(planes.view("<u8").ravel() << _U64(8) | _U64(size))
-                n.append(np.full(len(f) // 6, size))
-                count.append(_from_planes(c))
-                row.append(_from_planes(r) + base)
-                byte.append(_from_planes(y))
-        fp, n, count, row, byte = map(np.concatenate, (fp, n, count, row, byte))
-        order = np.argsort(fp, kind="stable")
-        at = np.flatnonzero(np.r_[True, np.diff(fp[order]) != 0])
-        enough = np.add.reduceat(count[order], at) >= least
-        keep = order[np.repeat(enough, np.diff(np.r_[at, len(fp)]))]
-        return pa.table({"row": row[keep], "byte": byte[keep], "n": n[keep].astype(np.int64), "count": count[keep]})
-
-    return (blocks.where("bucket >= 0").select("bucket", "n", "fp", "count", "row", "byte", "base")
-            .groupBy("bucket").applyInArrow(run, "row long, byte long, n long, count long"))
+            for n, size, f, c, r, y, stretch, lang, text in zip(*(b.column(x).to_pylist() for x in (
+                    "n", "size", "fp", "count", "row", "byte", "stretch", "lang", "words"))):
+                if n == 1:
+                    for w, k in zip(text, _unpacked(c, size).tolist()):
+                        words[lang, w] += k
+                    continue
+                fp.append(np.cumsum(_unpacked(f, size, FP_BYTES)) << 8 | n)
+                for held, raw in ((count, c), (row, r), (byte, y)):
+                    held.append(_unpacked(raw, size).astype(np.uint32))
+                owner.append(np.full(size, stretch))
+        rare, out = Counter(), []
+        for (lang, w), k in words.items():
+            if k >= least:
+                out.append({"n": 1, "lang": lang, "phrase": w.decode("utf-8", "replace"), "count": k})
+            else:
+                rare[lang] += k
+        out += [{"n": 0, "lang": lang, "count": k} for lang, k in rare.items()]
+        if fp:
+            fp = np.concatenate(fp)
+            order = np.argsort(fp, kind="stable")
+            at = np.flatnonzero(np.r_[True, np.diff(fp[order]) != 0])
+            enough = np.add.reduceat(np.concatenate(count)[order], at, dtype=np.int64) >= least
+            keep = order[np.repeat(enough, np.diff(np.r_[at, len(fp)]))]
+            keep = keep[np.argsort(np.concatenate(owner)[keep], kind="stable")]
+            owner, columns = np.concatenate(owner)[keep], [x[keep] for x in (fp & 255, *map(np.concatenate, (row, byte, count)))]
+            cuts = np.r_[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]), len(owner)] if len(owner) else [0]
+            for lo, hi in zip(cuts, cuts[1:]):
+                packed = [_packed(x[lo:hi]) for x in columns]
+                out.append({"n": 2, "stretch": int(owner[lo]), "size": int(hi - lo),
+                            **dict(zip(("ns", "rows", "bytes", "counts"), packed))})
+        return pa.Table.from_pylist(out, schema=schema)
+
+    return blocks.groupBy("bucket").applyInArrow(
+        run, "n long, lang string, phrase string, count long, stretch long, size long, ns binary, rows binary, "
+             "bytes binary, counts binary")
 
 
 def _materialised(pointers: DataFrame, texts: DataFrame) -> DataFrame:
-    """(lang, phrase, count) of each pointer, read from its text."""
-    import re
-    word = re.compile(rb"[^ \t.,;:!?\n\x0b\x0c\r]+")
-
-    def run(batches):
-        for batch in batches:
-            langs, phrases, counts = [], [], []
-            for text, lang, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                raw = text.encode("utf-8", "surrogatepass").lower()  # bytes.lower: A-Z only
-                for p in found:
-                    at, got = p["byte"], []
-                    for _ in range(p["n"]):
-                        m = word.search(raw, at)
-                        at = m.end()
-                        got.append(m.group())
-                    langs.append(lang)
-                    phrases.append(b" ".join(got).decode("utf-8", "surrogatepass"))
-                    counts.append(p["count"])
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()),
-                                              pa.array(counts, pa.int64())], names=["lang", "phrase", "count"])
-
-    found = pointers.groupBy("row").agg(F.collect_list(F.struct("byte", "n", "count")).alias("found"))
-    return (texts.join(found, "row").select("text", "lang", "found")
-            .mapInArrow(run, "lang string, phrase string, count long"))
+    """(lang, phrase, count) of each pointer, read from its text; a group is
+    one stretch of texts and the pointers into it."""
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("count", pa.int64())])
+
+    def run(text: pa.Table, found: pa.Table) -> pa.Table:
+        if not found.num_rows or not text.num_rows:
+            return schema.empty_table()
+        read = Stretch(pa.concat_batches(text.select(["stretch", "row", "text", "lang"]).sort_by("row").to_batches()))
+        words, names = read.words, pa.array(read.names, pa.string())
+        size = found["size"].to_pylist()
+        n, row, byte, count = (np.concatenate([_unpacked(x, k) for x, k in zip(found[c].to_pylist(), size)])
+                               for c in ("ns", "rows", "bytes", "counts"))
+        index = np.searchsorted(read.rows, row)
+        first = np.searchsorted(words.at, read.bounds[index] + byte)
+        out = []
+        for k in np.unique(n).tolist():
+            mine = np.flatnonzero(n == k)
+            spelled = [words.distinct.take(pa.array(words.number[first[mine] + i])) for i in range(k)]
+            phrase = pc.binary_join_element_wise(*spelled, pa.scalar(b" ", pa.large_binary()))
+            out.append(pa.table({"lang": names.take(pa.array(read.language[index[mine]])), "phrase": phrase.cast(
+                pa.large_string()).cast(pa.string()), "count": count[mine]}))
+        return pa.concat_tables(out)
+
+    return texts.groupBy("stretch").cogroup(pointers.groupBy("stretch")).applyInArrow(
+        run, "lang string, phrase string, count long")
 
 
 def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10,
@@ -286,20 +356,18 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10,
     """(lang, words, phrase, a): all phrases of 1 to ``longest`` words that
     occur ``least`` times, words included; and (lang, n): all words of each
     language."""
-    texts = staged(columns_or_null(docs, text="string", lang="string").select(
-        F.monotonically_increasing_id().alias("row"), F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang")), "phrase-texts")
+    texts = columns_or_null(docs, text="string", lang="string").select(
+        F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = staged(texts.mapInArrow(_dealt(stretch_bytes), "stretch long, row long, text string, lang string"), "phrase-texts")
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = min(MAX_BITS, (size // BUCKET_BYTES).bit_length())
-    blocks = staged(_blocks(texts.select("row", "text", "lang"), longest, bits, stretch_bytes), "phrase-blocks")
-    words = (blocks.where("bucket < 0").select("lang", F.explode(F.arrays_zip("words", "word_counts")).alias("w"))
-             .groupBy("lang", F.col("w.words").cast("string").alias("phrase")).agg(F.sum("w.word_counts").alias("a")))
-    words = staged(words, "phrase-words")
-    phrases = (_materialised(_frequent(blocks, least), texts).groupBy("lang", "phrase").agg(F.sum("count").alias("a"))
-               .where(F.col("a") >= least))
+    found = staged(_frequent(_blocks(texts, longest, bits), least), "phrases-found")
+    words = found.where("n < 2").select("lang", F.col("n").cast("int").alias("words"), "phrase", F.col("count").alias("a"))
+    phrases = (_materialised(found.where("n > 1").select("stretch", "size", "ns", "rows", "bytes", "counts"), texts)
+               .groupBy("lang", "phrase").agg(F.sum("count").alias("a")).where(F.col("a") >= least))
     phrases = phrases.select("lang", (F.size(F.split("phrase", " "))).alias("words"), "phrase", "a")
-    both = phrases.unionByName(words.where(F.col("a") >= least).select("lang", F.lit(1).alias("words"), "phrase", "a"))
-    return staged(both, "phrase-counts"), words.groupBy("lang").agg(F.sum("a").alias("n"))
+    return (staged(phrases.unionByName(words.where("words = 1")), "phrase-counts"),
+            words.groupBy("lang").agg(F.sum("a").alias("n")))
 
 
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, top: int = 2000, inside_percent: int = 50,
