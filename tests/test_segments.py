@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from thermocline.functions.time import epoch_micros
 from thermocline.operators import keyed, over, segments
+from thermocline.session import materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -148,7 +149,7 @@ def test_named_window_sql_on_split_layout(spark, ev):
     with every key split, and shuffles the rows once (plus a small table)."""
     lay = over.rows_layout(ev, ["user_id"], "_t", ["event_id"], 2, target_rows=7)
     got = spark.sql("""
-        SELECT event_id, COUNT(user_id) OVER w + size(filter(_prev, x -> x IS NOT NULL)) AS cnt
+        SELECT event_id, COUNT(user_id) OVER w + _earlier AS cnt
         FROM {t} WINDOW w AS (PARTITION BY user_id, _seg ORDER BY _t, event_id
                               ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""", t=lay)
     exp = ev.select("event_id", F.count("user_id").over(
@@ -192,3 +193,72 @@ def test_broadcast_side_is_bounded_in_bytes(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
     assert hinted(segments.bounded_side(tails, 1000, elements=100))
     assert not hinted(segments.bounded_side(tails, 1_000_000, elements=1000))
+
+
+def results(df):
+    return {r.event_id: r.r for r in df.select("event_id", F.round(F.col("r").cast("double"), 6).alias("r")).collect()}
+
+
+def check(got, df, name, col, w):
+    fn = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg}[name]
+    got, want = results(got), results(df.select("event_id", fn(col).over(w).alias("r")))
+    assert {k: str(v) for k, v in got.items()} == {k: str(v) for k, v in want.items()}, (name, col)
+
+
+@pytest.fixture(scope="module")
+def one_key(spark):
+    """900 rows of one key, with NULL, NaN and infinite values."""
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").where("event_id < 900").select(
+        "event_id", F.lit(1).alias("user_id"), "ts", F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("value"))
+    odd = (F.when(F.col("event_id") == 200, float("inf")).when(F.col("event_id") == 400, float("nan"))
+           .when(F.col("event_id") == 700, float("-inf")).otherwise(F.col("value")))
+    ev = ev.withColumn("odd", odd).withColumn("whole", F.col("event_id") % 97).withColumn("_t", epoch_micros("ts"))
+    return materialize(ev)
+
+
+@pytest.mark.parametrize("k,target,name,col", [(10_000, 10, "sum", "odd"), (300, 10, "min", "value"), (40, 3, "avg", "value"),
+                                               (1, 60, "count", "value")])
+def test_long_rows_frames_over_small_segments(spark, one_key, k, target, name, col):
+    w = W.partitionBy("user_id").orderBy("_t", "event_id").rowsBetween(-k, 0)
+    check(over.over_rows(one_key, ["user_id"], "_t", ["event_id"], k, (name, col), "r", target), one_key, name, col, w)
+
+
+@pytest.mark.parametrize("shape,hours,name,col", [
+    ("spread", 40, "avg", "odd"), ("spread", 10**4, "max", "value"), ("one time", 1, "sum", "whole"),
+    ("few times", 1, "count", "value"), ("bursts", 40, "min", "odd"), ("bursts", 0, "sum", "odd")])
+def test_range_frames_of_many_segments(spark, one_key, shape, hours, name, col):
+    """Frames that span up to all segments, and times that fill several: no row
+    is copied, and segments are balanced when all rows share one time."""
+    t = {"spread": F.col("_t"), "one time": F.lit(5), "few times": (F.col("event_id") % 3) * 3_600_000_000,
+         "bursts": F.when(F.col("event_id") % 2 == 0, F.col("_t")).otherwise(F.lit(1_704_200_000_000_000))}[shape]
+    df = one_key.withColumn("_t", t.cast("long"))
+    d = hours * 3600 * 10**6
+    lay = over.range_layout(df, ["user_id"], "_t", d, 30, (name, col))
+    sizes = [r["count"] for r in lay.groupBy("_blk").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) <= 60
+    w = W.partitionBy("user_id").orderBy("_t").rangeBetween(-d, 0)
+    check(over.over_range(df, ["user_id"], "_t", d, (name, col), "r", 30), df, name, col, w)
+
+
+def test_unbounded_range_of_one_heavy_time(spark, one_key):
+    df = one_key.withColumn("_t", F.when(F.col("event_id") % 3 == 0, F.col("_t")).otherwise(F.lit(1_704_200_000_000_000)))
+    w = W.partitionBy("user_id").orderBy("_t").rangeBetween(W.unboundedPreceding, 0)
+    check(over.over_range(df, ["user_id"], "_t", None, ("sum", "odd"), "r", 30), df, "sum", "odd", w)
+
+
+def test_null_times_and_keys(spark, one_key):
+    df = one_key.withColumn("_t", F.when(F.col("event_id") % 7 != 0, F.col("_t"))).withColumn(
+        "user_id", F.when(F.col("event_id") % 2 == 0, F.col("user_id")))
+    w = W.partitionBy("user_id").orderBy("_t", "event_id").rowsBetween(-50, 0)
+    check(over.over_rows(df, ["user_id"], "_t", ["event_id"], 50, ("sum", "value"), "r", 20), df, "sum", "value", w)
+    r = W.partitionBy("user_id").orderBy("_t").rangeBetween(-3600 * 10**6, 0)
+    check(over.over_range(df, ["user_id"], "_t", 3600 * 10**6, ("max", "value"), "r", 20), df, "max", "value", r)
+
+
+def test_frames_send_at_most_one_message_a_row(spark, one_key):
+    """A frame over 30 segments and more: its plan copies no rows."""
+    sg = segments.segment(one_key, ["user_id"], "_t", 30, segments.hash_tiebreak(one_key), over._parts(one_key, "max", "value"))
+    assert sg.n_segs >= 28
+    out = over._range_outside(sg, one_key, 10**13, "max", "value")
+    p = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in p and p.count("Union") <= 2

@@ -162,6 +162,29 @@ def test_csv_records_round_trip(spark):
     assert {tuple(r) for r in back.collect()} == {(i, n) for i, n, _ in rows}
 
 
+FIELDS = ["plain", " lead", "trail ", "  ", "a,b", "a@b", 'say "x"', '"', '""', "", None, "\ttab", "é😀", "two\nlines"]
+
+
+@pytest.mark.parametrize("sep", [",", "@"])
+def test_every_field_comes_back_as_written(spark, tmp_path, sep):
+    """Blanks, quotes, separators, NULL and empty text through the record
+    codec, the batch file sink and the stream file sink."""
+    from thermocline.sinks.files import READ_OPTIONS, csv_stream
+    rows = [(a, i, b) for i, (a, b) in enumerate((a, b) for a in FIELDS for b in FIELDS)]
+    kinds = "a string, n long, b string"
+    df = spark.createDataFrame(rows, kinds)
+    rec = to_kafka_records(df, "n", ["a", "n", "b"], sep=sep)
+    back = rec.select(F.from_csv("value", kinds, {**READ_OPTIONS, "sep": sep}).alias("r")).select("r.*")
+    assert {tuple(r) for r in back.collect()} == set(rows)
+    read = spark.read.options(**READ_OPTIONS).option("sep", sep).option("multiLine", "true").schema(kinds)
+    write_csv(df, str(tmp_path / "batch"), sep)
+    assert {tuple(r) for r in read.csv(str(tmp_path / "batch")).collect()} == set(rows)
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(kinds).parquet(str(tmp_path / "in"))
+    csv_stream(stream, str(tmp_path / "out"), str(tmp_path / "ck"), sep, {"availableNow": True}).awaitTermination()
+    assert {tuple(r) for r in read.csv(str(tmp_path / "out")).collect()} == set(rows)
+
+
 def test_session_zone_of_the_computed_rowtime(spark, tmp_path):
     from thermocline.sources.readings import ddl_table, ddl_table_sql
     (tmp_path / "r.csv").write_text("sensor_1,1547718199,35.8\n")
@@ -171,6 +194,17 @@ def test_session_zone_of_the_computed_rowtime(spark, tmp_path):
         assert str(make(spark, "zoned", path).first().rt) == "2019-01-17 09:43:19"
 
 
+def test_all_split_queries_count_utf16_units(spark, tmp_path):
+    """The four registered forms on text outside the basic plane."""
+    from thermocline.plans import catalog
+    spark.createDataFrame([(1, "xe😀e é"), (2, "é"), (3, "")], "event_id long, event_type string").write.parquet(
+        str(tmp_path / "events.parquet"))
+    want = {(1, "x", 1), (1, "😀", 2), (1, " é", 2), (2, "é", 1)}
+    for query in (catalog.lateral_split, catalog.lateral_split_sql, catalog.lateral_split_outer, catalog.lateral_udtf_sql):
+        got = {(r.event_id, r.word, r.length) for r in query(spark, str(tmp_path)).collect()}
+        assert {r for r in got if r[1]} == want, query.__name__
+
+
 def test_word_length_counts_utf16_units(spark):
     from thermocline.operators.lateral import split_words
     df = spark.createDataFrame([("x😀 é",)], "s string")

@@ -10,7 +10,7 @@ ORDERED = ["row_slide_count", "over_unbounded_range", "over_unbounded_rows", "ov
            "over_named_window", "session_count", "count_trigger_avg", "changelog_count"]
 
 
-@pytest.mark.parametrize("target,sf", [(50, "sf0.01")])
+@pytest.mark.parametrize("target,sf", [(5, "sf0.001"), (50, "sf0.01"), (500, "sf0.01")])
 def test_split_plans_match_oracles(spark, monkeypatch, target, sf):
     monkeypatch.setattr(segments, "DEFAULT_TARGET_ROWS", target)
     res = compare(spark, f"/root/testdata/{sf}", ORDERED)

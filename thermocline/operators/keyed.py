@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros, epoch_ntz
 from ..session import materialize
-from .segments import (HOT, SEG, global_row_number, segment,
-                       with_row_offsets)
+from .segments import HOT, SEG, global_row_number, hash_tiebreak, segment, with_row_offsets
 
 
 def _ntz_from_micros(c: Column) -> Column:
@@ -40,7 +39,7 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int,
     merged with a lag over the key, the rest are final."""
     gap = int(gap_seconds) * 1_000_000
     d = df.withColumn("_t", epoch_micros(ts, naive))
-    sg = segment(d, keys, "_t", target_rows)
+    sg = segment(d, keys, "_t", target_rows, hash_tiebreak(d))
     cnt = F.count(count_col or keys[0])
     local = (sg.frame.groupBy(*keys, SEG, F.session_window(ts, f"{int(gap_seconds)} seconds"))
              .agg(cnt.alias("cnt"), F.min("_t").alias("_first"), F.max("_t").alias("_last"),
@@ -60,8 +59,8 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int,
     edge = F.col(HOT) & ((F.col("_a") == 1) | (F.col("_z") == 1))
     final = marked.where(~edge)
     edges = marked.where(edge)
-    wk = Window.partitionBy(*keys).orderBy("_first")
-    prev_last = F.lag("_last").over(wk)
+    wk = Window.partitionBy(*keys).orderBy(SEG, "_first")
+    prev_last = F.max("_last").over(wk.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap), 1).otherwise(0)
     grp = F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     merged = (edges.withColumn("_new", new).withColumn("_g", grp)
@@ -87,7 +86,7 @@ def count_trigger_avg(df: DataFrame, keys: list[str], ts: str, value: str,
     ttl = int(ttl_seconds) * 1_000_000
     d = df.withColumn("_t", epoch_micros(ts, naive))
     sg = segment(d, keys, "_t", target_rows, tiebreak)
-    f, offs, n_segs = with_row_offsets(sg)
+    f = with_row_offsets(sg)
     w = sg.seg_window().orderBy(F.col("_t"), *[F.col(c) for c in tiebreak])
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -110,7 +109,7 @@ def count_trigger_avg(df: DataFrame, keys: list[str], ts: str, value: str,
             F.max(F.when(F.col("_start"), F.col("_rn"))).alias("_ls"))
         prior = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
         carry = materialize(per_seg.select(*keys, SEG, F.max("_ls").over(prior).alias("_carry")))
-        f = sg.attach(f, carry, n_segs, ["_carry"])
+        f = sg.attach(f, ["_carry"], table=carry)
         f = f.withColumn("_rs", F.coalesce("_rs", "_carry"))
     chunk = F.floor((F.col("_rn") - F.col("_rs")) / threshold).cast("long")
     # Chunks are grouped where the rows already are: the window partitioned

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (format_number, java_double_hash, java_hash_pair,
                                 java_string_hash, scaled_hash, to_csv_value, trim_col)
 from ..functions.time import epoch_micros, epoch_seconds, format_epoch_seconds
-from ..functions.udfs import (partial_averages, register_avg_udaf, register_split_udtf,
-                              register_sql_functions)
+from ..functions.aggregate import (AvgTemp, Extremes, MaxTemp, TopN, accumulated, aggregate, register_aggregate,
+                                   table_aggregate)
+from ..functions.udfs import register_split_udtf, register_sql_functions
 from ..operators import aggregates as agg
 from ..operators import group_windows as gw
 from ..operators import keyed, lateral, over
@@ -157,7 +158,7 @@ def lateral_split_sql(spark, sf_dir):
     """``, LATERAL TABLE(split(col))`` in SQL."""
     register_sql_functions(spark)
     return sql_on(spark, f"""
-        SELECT event_id, word, length(word) AS length
+        SELECT event_id, word, CAST(octet_length(encode(word, 'UTF-16LE')) / 2 AS INT) AS length
         FROM (SELECT event_id, java_split(event_type, '{SPLIT_SEP}') AS parts FROM {{t}})
         LATERAL VIEW explode(parts) s AS word
     """, t=_ev(spark, sf_dir))
@@ -291,12 +292,12 @@ def over_rows(spark, sf_dir):
 
 def over_named_window(spark, sf_dir):
     """``COUNT(id) OVER w ... WINDOW w AS (...)`` in SQL, over the
-    skew-safe row layout: the window runs per (key, segment) and ``_prev``
-    holds the frame's rows from earlier segments of a hot key."""
+    skew-safe row layout: the window runs per (key, segment) and ``_earlier``
+    counts the frame's rows in earlier segments of a hot key."""
     lay = over.rows_layout(_ev_t(spark, sf_dir), [KEY], "_t", TIEBREAK, 2)
     return sql_on(spark, """
         SELECT event_id, user_id, ts,
-               COUNT(user_id) OVER w + size(filter(_prev, x -> x IS NOT NULL)) AS cnt
+               COUNT(user_id) OVER w + _earlier AS cnt
         FROM {t}
         WINDOW w AS (PARTITION BY user_id, _seg ORDER BY _t, event_id
                      ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
@@ -305,26 +306,40 @@ def over_named_window(spark, sf_dir):
 
 def over_range_sql(spark, sf_dir):
     """O3 in SQL: ``RANGE BETWEEN INTERVAL 2 HOURS PRECEDING AND CURRENT ROW``
-    over the skew-safe time layout (hot keys cut into segments with a halo)."""
+    over the skew-safe time layout: the window runs per (key, segment),
+    ``_earlier`` counts the frame's rows in other segments of a hot key."""
     lay = over.range_layout(_ev_t(spark, sf_dir), [KEY], "_t", OVER_RANGE_SECONDS * 1_000_000)
     return sql_on(spark, f"""
-        SELECT event_id, user_id, ts, cnt FROM (
-          SELECT event_id, user_id, ts, _own,
-                 COUNT(user_id) OVER (PARTITION BY user_id, _blk ORDER BY ts
-                   RANGE BETWEEN INTERVAL {OVER_RANGE_SECONDS} SECONDS PRECEDING AND CURRENT ROW) AS cnt
-          FROM {{t}})
-        WHERE _own
+        SELECT event_id, user_id, ts,
+               COUNT(user_id) OVER (PARTITION BY user_id, _blk ORDER BY ts
+                 RANGE BETWEEN INTERVAL {OVER_RANGE_SECONDS} SECONDS PRECEDING AND CURRENT ROW) + _earlier AS cnt
+        FROM {{t}}
     """, t=lay)
 
 
 def avg_udaf_sql(spark, sf_dir):
-    """U4: the average as a user-defined aggregate: accumulators per map
-    task, merged in SQL, with the registered value step."""
-    register_avg_udaf(spark)
-    return sql_on(spark, """
-        SELECT user_id, round(average, 6) AS avg_value
-        FROM (SELECT user_id, avg_temp(sum(total), sum(n)) AS average FROM {t} GROUP BY user_id)""",
-                  t=partial_averages(_ev(spark, sf_dir), [KEY], VALUE))
+    """U4: ``select id, AvgTemp(temperature) ... group by id`` with a registered
+    user-defined aggregate; its accumulators are filled in the map tasks and
+    merged in a tree before the statement sees them."""
+    register_aggregate(spark, AvgTemp())
+    return sql_on(spark, "SELECT user_id, round(AvgTemp(value), 6) AS avg_value FROM {t} GROUP BY user_id",
+                  t=accumulated(_ev(spark, sf_dir), [KEY], AvgTemp(), VALUE))
+
+
+def max_udaf(spark, sf_dir):
+    """U4/A3: the maximum from 0.0 on as a user-defined aggregate."""
+    return aggregate(_ev(spark, sf_dir), [KEY], MaxTemp(), VALUE, "max_value")
+
+
+def top2_table_udaf(spark, sf_dir):
+    """The top-2 table aggregate through the general contract."""
+    return table_aggregate(_ev(spark, sf_dir), [KEY], TopN(2), VALUE)
+
+
+def extremes_table_udaf(spark, sf_dir):
+    """Another table aggregate: lowest and highest value of each key, with
+    how often they occur."""
+    return table_aggregate(_ev(spark, sf_dir), [KEY], Extremes(), VALUE)
 
 
 def lateral_udtf_sql(spark, sf_dir):
@@ -350,6 +365,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_per_key": count_per_key,
     "avg_per_key": avg_per_key,
     "avg_udaf_sql": avg_udaf_sql,
+    "max_udaf": max_udaf,
+    "top2_table_udaf": top2_table_udaf,
+    "extremes_table_udaf": extremes_table_udaf,
     "max_floor0_per_key": max_floor0_per_key,
     "top2_padded": top2_padded,
     "window_max_by": window_max_by,

@@ -81,6 +81,21 @@ ORACLE: dict[str, str] = {
     # the aggregate function sums exactly (order-free), so compare with the
     # compensated sum rather than avg's plain running sum
     "avg_udaf_sql": "SELECT user_id, round(avg(value), 6) AS avg_value FROM events GROUP BY user_id",
+    "max_udaf": "SELECT user_id, greatest(0.0, max(value)) AS max_value FROM events GROUP BY user_id",
+    "top2_table_udaf": """
+        WITH r AS (SELECT user_id, value,
+                          row_number() OVER (PARTITION BY user_id ORDER BY value DESC) AS rn
+                   FROM events WHERE value > -2147483648.0 AND NOT isnan(value)),
+             k AS (SELECT user_id, unnest([1, 2]) AS rank FROM (SELECT DISTINCT user_id FROM events))
+        SELECT k.user_id AS user_id, coalesce(r.value, -2147483648.0) AS temp, CAST(k.rank AS INTEGER) AS rank
+        FROM k LEFT JOIN r ON r.user_id = k.user_id AND r.rn = k.rank""",
+    "extremes_table_udaf": """
+        WITH x AS (SELECT user_id, min(value) AS lo, max(value) AS hi FROM events WHERE value IS NOT NULL GROUP BY user_id)
+        SELECT x.user_id AS user_id, 'lowest' AS side, lo AS value, count(*) AS times
+        FROM x JOIN events e ON e.user_id = x.user_id AND e.value = lo GROUP BY ALL
+        UNION ALL
+        SELECT x.user_id AS user_id, 'highest' AS side, hi AS value, count(*) AS times
+        FROM x JOIN events e ON e.user_id = x.user_id AND e.value = hi GROUP BY ALL""",
     "lateral_udtf_sql": f"""
         SELECT event_id, word, CAST(length(word) AS INTEGER) AS length
         FROM (SELECT event_id, unnest({_java_split('event_type', SPLIT_SEP)}) AS word FROM events)""",

@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import to_csv_value
+from .files import WRITE_OPTIONS
 
 
 def to_kafka_records(df: DataFrame, key: str | None, cols: list[str], sep: str = ",",
                      quoted: bool = True) -> DataFrame:
     """``withFormat(new Csv())``: one text value per row, the key column as
     the record key (NULL key = round-robin partition).  Fields that hold the
-    separator or a quote are quoted, so a CSV reader gets them back;
+    separator or a quote are quoted and blanks stay, so a CSV reader
+    (``files.READ_OPTIONS``) gets them back, NULL and empty text told apart;
     ``quoted=False`` gives the plain text form of the record instead."""
     k = F.col(key).cast("string") if key else F.lit(None).cast("string")
     value = (F.to_csv(F.struct(*[F.col(c).cast("string").alias(c) for c in cols]),
-                      {"sep": sep, "escape": '"', "nullValue": "", "emptyValue": ""})
+                      {**WRITE_OPTIONS, "sep": sep})
              if quoted else to_csv_value(*cols, sep=sep))
     return df.select(k.alias("key"), value.alias("value"))
 
