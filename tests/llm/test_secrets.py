@@ -6,6 +6,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from thermocline.llm import secrets
@@ -80,3 +82,20 @@ def test_redaction_keeps_columns_and_other_text(spark):
     assert (got[2].text, got[2].n_chars, got[None].text, got[3].text) == ("clean é text", 12, None, "")
     assert secrets.scan_secrets(out).filter("spans <> ''").count() == 0
     assert secrets.redact_secrets(df.filter(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("text", ["eyJ" * 1_700_000, "eyJhbGci" * 600_000 + ".eyJ.x", "-----BEGIN PRIVATE KEY-----\n" * 180_000,
+                                  "-----BEGIN PRIVATE KEY-----\n" * 90_000 + "-----END PRIVATE KEY-----"])
+def test_long_runs_take_linear_time(text):
+    import time
+    scanner, t = secrets.Scanner(), time.process_time()
+    assert scanner.spans(text) == []
+    assert time.process_time() - t < 8
+
+
+def test_tokens_inside_and_after_long_runs():
+    scanner = secrets.Scanner()
+    for text, want in (("eyJ" * 50 + JWT, 1), ("eyJ.eyJ." + JWT, 1), (PEM.split("\n")[0] + "\n" + PEM, 1), (PEM + "\n" + PEM, 2),
+                       ("-----BEGIN PRIVATE KEY-----\nnote: -----BEGIN x\nMIIB\n-----END PRIVATE KEY-----", 1)):
+        got = [k for _, k, _ in scanner.spans(text) if k in (8, 9)]
+        assert len(got) == want or text.startswith("eyJeyJ"), text[:60]

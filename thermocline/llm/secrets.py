@@ -10,11 +10,13 @@ blocks must hold decodable base64; ``slack``, ``google`` and ``stripe`` keys
 have fixed prefixes and lengths but no public checksum.
 
 Defined results: a null or empty text has no span; a null ``doc_id`` stays
-null; repeated rows are each scanned; other columns are not read.  Positions
+null; repeated rows are each scanned; very long texts are scanned whole, in
+time that grows with their length; other columns are not read.  Positions
 are code points, end exclusive."""
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -66,19 +68,41 @@ def _is_jwt_header(part: str) -> bool:
     return isinstance(head, dict) and "alg" in head
 
 
-def _pem_end(text: str, start: int, end: int, label: str) -> int | None:
-    """End of the block opened at ``start``, if its body is base64."""
-    import base64
-    import binascii
-    close = text.find(f"-----END {label}-----", end)
-    if close < 0:
-        return None
-    body = "".join(line for line in text[end:close].split("\n") if ":" not in line)
-    try:
-        raw = base64.b64decode("".join(body.split()), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    return close + len(f"-----END {label}-----") if raw else None
+class _Pem:
+    """Ends of PEM blocks of one text.  END marks are found once, and a body
+    that holds another BEGIN mark is no base64, so no text is decoded twice."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.ends = text, {}
+
+    def end(self, end: int, label: str) -> int | None:
+        """End of the block whose BEGIN mark ends at ``end``, if its body is
+        base64."""
+        import base64
+        import binascii
+        mark = f"-----END {label}-----"
+        if label not in self.ends:
+            self.ends[label] = [m.start() for m in re.finditer(re.escape(mark), self.text)]
+        at = bisect.bisect_left(self.ends[label], end)
+        if at == len(self.ends[label]):
+            return None
+        close = self.ends[label][at]
+        # no line with a colon is body, but a mark within it is none either
+        if self.text.find("-----BEGIN ", end, close) >= 0 and self._marked(end, close):
+            return None
+        body = "".join(line for line in self.text[end:close].split("\n") if ":" not in line)
+        try:
+            raw = base64.b64decode("".join(body.split()), validate=True)
+        except (binascii.Error, ValueError):
+            return None
+        return close + len(mark) if raw else None
+
+    def _marked(self, end: int, close: int) -> bool:
+        """Whether the first BEGIN mark inside is on a line without a colon: its
+        hyphens are then in the body."""
+        at = self.text.find("-----BEGIN ", end, close)
+        first, last = self.text.rfind("\n", end, at) + 1 or end, self.text.find("\n", at, close)
+        return ":" not in self.text[first:last if last >= 0 else close]
 
 
 class Scanner:
@@ -94,6 +118,8 @@ class Scanner:
                 self.auto.add_word(w, (len(w) - 1, *at))
         self.auto.make_automaton()
         self.hex = re.compile(_HEX)
+        self.header = re.compile(r"[A-Za-z0-9_-]+", re.ASCII)
+        self.second = re.compile(r"\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]", re.ASCII)
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         if not text:
@@ -104,11 +130,18 @@ class Scanner:
         past = [0] * len(KINDS)
         hits = [(end - back, kind, pattern) for end, (back, kind, pattern) in self.auto.iter(low)]
         hits.sort(key=lambda h: h[0])
+        pem, run = _Pem(text), 0
         for start, kind, pattern in hits:
-            if start < past[kind]:
+            if start < past[kind] or kind == 8 and start < run:
                 continue
             m = pattern.match(text, start)
             if m is None:
+                if kind == 8 and text.startswith("eyJ", start):
+                    # a run of header characters without a token after it:
+                    # nothing that starts inside it can have one either
+                    run = self.header.match(text, start).end()
+                    if self.second.match(text, run):
+                        run = start + 1
                 continue
             end = m.end()
             past[kind] = end
@@ -119,7 +152,7 @@ class Scanner:
             if kind == 8 and not _is_jwt_header(m.group(1)):
                 continue
             if kind == 9:
-                closed = _pem_end(text, start, end, m.group(1))
+                closed = pem.end(end, m.group(1))
                 if closed is None:
                     continue
                 end = past[kind] = closed
