@@ -47,3 +47,32 @@ def test_limited_movement(shards):
     assert max(loads) <= 1.002 * total / shards and min(loads) >= 0.95 * total / shards
     moved = sum(s for (_, s), x, y in zip(units, a, b) if x != y) / total
     assert moved < 0.35, moved  # dealing anew would move nearly all
+
+
+def test_rows_without_an_id_are_spread(spark):
+    """A third of the rows hold one text and no id."""
+    rows = [(i, "text %d " % i * 12) for i in range(2000)] + [(None, "the same text again " * 8)] * 1000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    load: dict = {}
+    got = sharding.assign(docs, shards=10).collect()
+    for r in got:
+        load[r.shard] = load.get(r.shard, 0) + r.size
+    mean = sum(load.values()) / 10
+    assert len(got) == 3000 and all(abs(x - mean) < 0.02 * mean for x in load.values())
+    for shard in load:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+
+
+def test_placement_against_a_plain_ring():
+    """Every unit goes to the first shard clockwise that still has room."""
+    import random
+    r = random.Random(4)
+    units = [(r.getrandbits(64), r.randint(1, 50)) for _ in range(400)]
+    where = sharding.place(units, 5, 16, 0.1)
+    room, points = [int(sum(b for _, b in units) * 1.1 / 5) + 1] * 5, sharding.ring(5, 16)
+    for i in sorted(range(400), key=lambda i: (-units[i][1], units[i][0], i)):
+        clockwise = sorted(points, key=lambda p: (p[0] - units[i][0]) % 2**64)
+        fits = [s for _, s in clockwise if room[s] >= units[i][1]]
+        if fits:
+            assert where[i] == fits[0]
+        room[where[i]] -= units[i][1]

@@ -8,7 +8,7 @@ clockwise to the next point of a shard with room.
 
 The ring is dealt by units, not by rows: ``2 ** BUCKET_BITS`` equal arcs, and
 for each group of equal texts larger than a ``FINE``-th of a shard its own
-pieces, cut by a hash of the id, so a group that holds a third of all bytes is
+pieces, cut by a hash of a row number, so a group that holds a third of all bytes is
 spread.  Units have a fixed bound (arcs, plus shards * FINE pieces and as many
 remainders), so their sums of bytes and rows may be placed on the driver and
 the placement broadcast; rows themselves are only counted, joined and
@@ -81,7 +81,9 @@ def assign(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, slack: f
     """doc_id, size, text_crc32, shard and slot (gapless in a shard) of every
     row; the texts are read once and never shuffled."""
     spark = docs.sparkSession
-    rows = staged(_measured(docs), "sizes")
+    # rows are numbered once, in the written table: groups are cut by that, so
+    # null and repeated ids are spread like others
+    rows = staged(_measured(docs).withColumn("row", F.monotonically_increasing_id()), "sizes")
     total = rows.agg(F.sum("size")).first()[0] or 0
     limit = max(1, total // (shards * FINE))
     # at most shards * FINE groups can be larger than the limit
@@ -89,9 +91,9 @@ def assign(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, slack: f
              .filter((F.col("bytes") > limit) & (F.col("n") > 1))
              .select("place", F.ceil(F.col("bytes") / limit).cast("int").alias("parts")))
     rows = staged(rows.join(F.broadcast(large), "place", "left").select(
-        "doc_id", "size", "text_crc32", _bucket().alias("bucket"),
+        "doc_id", "row", "size", "text_crc32", _bucket().alias("bucket"),
         F.when(F.col("parts").isNotNull(), F.col("place")).otherwise(0).alias("own"),
-        F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("parts")), F.lit(0)).alias("part")), "units")
+        F.coalesce(F.pmod(F.xxhash64("row", F.lit(5)), F.col("parts")), F.lit(0)).alias("part")), "units")
     unit = ["bucket", "own", "part"]
     sums = (rows.groupBy(*unit).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
             .orderBy(*unit).toArrow())
@@ -104,7 +106,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, slack: f
         used[s] += n
     plan = spark.createDataFrame(pa.table({
         **{c: sums[c] for c in unit}, "shard": pa.array(where, pa.int32()), "first": pa.array(first, pa.int64())}))
-    within = Window.partitionBy(*unit).orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy(*unit).orderBy("doc_id", "text_crc32", "size", "row")
     return (rows.join(F.broadcast(plan), unit)
             .select("doc_id", "size", "text_crc32", "shard",
                     (F.col("first") + F.row_number().over(within) - 1).cast("long").alias("slot")))
