@@ -137,6 +137,14 @@ class Code:
         return n, at
 
 
+def _code(tables: dict) -> Code:
+    """The code of its broadcast tables: plain arrays, since workers need not
+    have this package installed."""
+    code = Code.__new__(Code)
+    code.__dict__.update(tables)
+    return code
+
+
 # --- hashed contexts --------------------------------------------------------------
 
 _RATIO = 0x5851F42D4C957F2D
@@ -443,7 +451,7 @@ def _triples(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _count_bits(code):
     def run(batches):
         from pyspark import TaskContext
-        counts, parts, size = BitCounts(code.value), [], 0
+        counts, parts, size = BitCounts(_code(code.value)), [], 0
         for batch in batches:
             for t in batch.column(0):
                 own = tokens(t.as_py())
@@ -463,20 +471,26 @@ def _count_bits(code):
 
 
 def _blob(segment: int, task: int, used: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> pa.RecordBatch:
+    # counts of one task fit 32 bits, sums of many may not
+    wide = "<u4" if max(int(zeros.max()), int(ones.max())) < 1 << 32 else "<i8"
     return pa.RecordBatch.from_arrays(
         [pa.array([segment], pa.int32()), pa.array([task], pa.int64()),
-         *[pa.array([x.astype(kind).tobytes()], pa.binary()) for x, kind in ((used, "<u2"), (zeros, "<i8"), (ones, "<i8"))]],
+         *[pa.array([x.astype(kind).tobytes()], pa.binary()) for x, kind in ((used, "<u2"), (zeros, wide), (ones, wide))]],
         names=["segment", "task", "slots", "zeros", "ones"])
 
 
+def _counts(raw: bytes, slots: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u4" if len(raw) == 4 * slots else "<i8").astype(np.int64)
+
+
 def _merged_counts(fan: int):
     """Sums the counts of one segment from at most ``fan`` tasks."""
     def run(rows: pa.Table) -> pa.Table:
         sums = np.zeros((2, SEGMENT), np.int64)
         for slots, zeros, ones in zip(rows["slots"], rows["zeros"], rows["ones"]):
             at = np.frombuffer(slots.as_py(), "<u2")  # each slot once
-            sums[0, at] += np.frombuffer(zeros.as_py(), "<i8")
-            sums[1, at] += np.frombuffer(ones.as_py(), "<i8")
+            sums[0, at] += _counts(zeros.as_py(), len(at))
+            sums[1, at] += _counts(ones.as_py(), len(at))
         used = np.flatnonzero(sums.any(axis=0))
         return pa.Table.from_batches([_blob(rows["segment"][0].as_py(), rows["task"][0].as_py() // fan, used,
                                             sums[0, used], sums[1, used])])
@@ -487,8 +501,8 @@ def _logits(batches):
     for batch in batches:
         for segment, slots, zeros, ones in zip(*(batch.column(i) for i in (0, 2, 3, 4))):
             out = np.zeros(SEGMENT, np.int8)
-            out[np.frombuffer(slots.as_py(), "<u2")] = logit_bytes(
-                np.frombuffer(zeros.as_py(), "<i8"), np.frombuffer(ones.as_py(), "<i8"))
+            at = np.frombuffer(slots.as_py(), "<u2")
+            out[at] = logit_bytes(_counts(zeros.as_py(), len(at)), _counts(ones.as_py(), len(at)))
             yield pa.RecordBatch.from_arrays([pa.array([segment.as_py()], pa.int32()), pa.array([out.tobytes()])],
                                              names=["segment", "logits"])
 
@@ -497,13 +511,14 @@ def _score(model, total: int, kinds: int):
     def run(batches):
         from pyspark import TaskContext
         code, tables, keys, counts = model.value
-        mixer, uid = Mixer(code, tables), TaskContext.get().partitionId() << 33
+        mixer, uid = Mixer(_code(code), tables), TaskContext.get().partitionId() << 33
         least = math.log10(total + kinds + 1)
         for whole in batches:
             for at in range(0, whole.num_rows, 16 * LANES):
                 batch = whole.slice(at, 16 * LANES)
                 own = [tokens(t.as_py()) for t in batch.column(1)]
-                bits = mixer.bits([b" ".join(t) + _END for t in own])
+                spelled = [b" ".join(t) + _END for t in own]
+                bits = mixer.bits(spelled)
                 known, base, tail, times = [], [], [], []
                 for t in own:
                     bag = Counter(t)
@@ -520,17 +535,17 @@ def _score(model, total: int, kinds: int):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(uid, uid + len(own))), batch.column(0), batch.column(2),
                     pa.array([len(t) + 1 for t in own], pa.int64()), pa.array(known, pa.int64()), pa.array(base),
-                    pa.array(bits * -math.log10(2)),
+                    pa.array(bits * -math.log10(2)), pa.array([len(x) for x in spelled], pa.int64()),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(tail))),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(times)))],
-                    names=["uid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "tail", "times"])
+                    names=["uid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "n_bytes", "tail", "times"])
                 uid += len(own)
     return run
 
 
 def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score
-    (log10) of every row."""
+    (log10) of every row, the bytes scored and the bits each of them costs."""
     spark = docs.sparkSession
     rows = columns_or_null(docs, doc_id="long", text="string").select(
         "doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
@@ -544,7 +559,7 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
     sc = spark.sparkContext
     # counts of the hashed contexts: sums by segment, over FAN tasks at a time
     blobs = "segment int, task long, slots binary, zeros binary, ones binary"
-    counted = training.mapInArrow(_count_bits(sc.broadcast(code)), blobs)
+    counted = training.mapInArrow(_count_bits(sc.broadcast(code.__dict__)), blobs)
     tasks = training.rdd.getNumPartitions()
     while True:
         counted = counted.groupBy("segment", F.floor(F.col("task") / FAN).alias("group")).applyInArrow(
@@ -560,8 +575,8 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
     top = words.orderBy(F.desc("n"), "key").limit(head).select("key", "n").orderBy("key").toArrow()
     keys, counts = top["key"].to_numpy(), top["n"].to_numpy()
     scored = staged(rows.mapInArrow(
-        _score(sc.broadcast((code, tables, keys, counts)), total, kinds),
-        "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
+        _score(sc.broadcast((code.__dict__, tables, keys, counts)), total, kinds),
+        "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, "
         "tail array<long>, times array<long>"), "scores")
     rare = scored.select("uid", F.explode(F.arrays_zip("tail", "times")).alias("t")).select(
         "uid", F.col("t.tail").alias("key"), F.col("t.times").alias("times"))
@@ -572,4 +587,5 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
     return scored.drop("tail", "times").join(rest, "uid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score", "n_bytes",
+        (F.col("score") / (-math.log10(2)) / F.col("n_bytes")).alias("bits_per_byte"))
