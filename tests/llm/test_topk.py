@@ -9,17 +9,17 @@ from thermocline.llm import topk
 
 
 def brute(rows, k):
-    ok = {}
+    ok = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        v = [math.floor(64 * x) for x in v]
-        ok[i] = min(ok.get(i, v), v)
+        ok.append((i, [math.floor(64 * x) for x in v]))
     out = []
-    for q, a in ok.items():
+    for n, (q, a) in enumerate(ok):
         if q % 20:
             continue
-        best = sorted(((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok.items() if i != q))[:k]
+        best = sorted((-sum(x * y for x, y in zip(a, b)), i)
+                       for m, (i, b) in enumerate(ok) if m != n)[:k]
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     return sorted(out)
 
@@ -38,7 +38,7 @@ def test_against_brute_force(spark):
     rows = [(i, [r.gauss(0, .3) for _ in range(8)]) for i in range(130)]
     rows += [(i, rows[40][1]) for i in range(130, 190)]  # a third of the rows tie
     rows += [(200, None), (None, rows[0][1]), (220, [1.0, None]), (240, [float("nan")] * 8), (260, [float("inf")] * 8),
-             (280, []), (20, rows[20][1]), (300, [9000.0] * 8), (301, [-9000.0, 3.0])]
+             (280, []), (20, rows[20][1]), (20, [2.0] * 8), (41, rows[41][1]), (300, [9000.0] * 8), (301, [-9000.0, 3.0])]
     rows = [(i, None if v is None else [x if x is None else float(__import__("numpy").float32(x)) for x in v])
             for i, v in rows]
     assert run(spark, rows, 20, query_block=4, row_block=50) == brute(rows, 20)

@@ -102,18 +102,18 @@ SELECT *, NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_wo
                OR 10 * n_dup_lines > 3 * n_lines OR 2 * n_upper > n_letters) AS kept
 FROM judged""",
     "op10_exact_topk": """
-WITH vectors AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+WITH vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id,
+    SELECT q.r, q.vec_id AS query_id, c.vec_id,
            CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+    FROM vectors q JOIN vectors c ON q.r <> c.r
     WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 20""",
     "op11_phrase_mining": r"""
 WITH pieces AS (

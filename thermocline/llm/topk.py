@@ -16,9 +16,11 @@ Blocks are pairs of a query block and a row block, joined on both block
 numbers; block sizes are fixed, so the memory of a task is too.
 
 Defined results: null vectors and vectors with a null or non-finite component
-take no part, nor do rows without an id; rows that repeat an id count once
-(their smallest vector); of vectors of unlike length the common part is
-multiplied; scores are exact while components stay under 2 ** 24."""
+take no part, nor do rows without an id; rows that repeat an id stay apart:
+each is a candidate, each asks as a query of its own, and a query leaves out
+its own row only; of vectors of unlike length the common part is multiplied;
+very long vectors cost memory in proportion to a block; an empty table gives an
+empty result; scores are exact while components stay under 2 ** 24."""
 
 from __future__ import annotations
 
@@ -38,13 +40,13 @@ _SLICE = 256  # queries scored at once inside a block
 
 
 def integer_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(vec_id, v): the rows that take part."""
+    """(row, vec_id, v), staged: the rows that take part; ``row`` tells rows
+    of one id apart."""
     e = F.col(embedding).cast("array<double>")
     finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (df.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & finite)
-            .select(F.col(vec_id).cast("long").alias("vec_id"),
-                    F.transform(e, lambda x: F.floor(x * 64).cast("long")).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+    return staged(df.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & finite)
+                  .select(F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("vec_id"),
+                          F.transform(e, lambda x: F.floor(x * 64).cast("long")).alias("v")), "vectors")
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -67,46 +69,46 @@ def _scores(queries: pa.Table, rows: pa.Table):
         return
     width = max(int(np.diff(t["v"].combine_chunks().offsets.to_numpy()).max(initial=0)) for t in (queries, rows))
     q, c = _matrix(queries["v"], width), _matrix(rows["v"], width)
-    qid, cid = queries["vec_id"].to_numpy(), rows["vec_id"].to_numpy()
-    for at in range(0, len(qid), _SLICE):
+    asks, row = queries["row"].to_numpy(), rows["row"].to_numpy()
+    for at in range(0, len(asks), _SLICE):
         part = slice(at, at + _SLICE)
-        yield part, (q[part] @ c.T).astype(np.int64), qid[part, None] == cid
+        yield part, (q[part] @ c.T).astype(np.int64), asks[part, None] == row
 
 
 def _count_scores(span: int):
-    """Histogram counts of a block pair, (query_id, bin, n): ``BINS`` parts of
+    """Histogram counts of a block pair, (row, bin, n): ``BINS`` parts of
     the ``span`` values from each query's ``lo`` on, none of them above its
     ``hi``."""
     width = -(-span // BINS)
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         out: list[list] = [[], [], []]
-        ids, lo, hi = (queries[c].to_numpy() for c in ("vec_id", "lo", "hi"))
+        asks, lo, hi = (queries[c].to_numpy() for c in ("row", "lo", "hi"))
         for part, s, own in _scores(queries, rows):
             up = s - lo[part, None]
             line, at = np.nonzero((up >= 0) & (s <= hi[part, None]) & ~own)
             n = np.bincount(line * BINS + up[line, at] // width, minlength=len(s) * BINS)
             hit = np.flatnonzero(n)
-            for o, x in zip(out, (ids[part][hit // BINS], hit % BINS, n[hit])):
+            for o, x in zip(out, (asks[part][hit // BINS], hit % BINS, n[hit])):
                 o.append(x)
-        return _table(("query_id", "bin", "n"), out)
+        return _table(("row", "bin", "n"), out)
     return run
 
 
 def _reaching(queries: pa.Table, rows: pa.Table) -> pa.Table:
     """Rows of a block pair above the kth score ``lo``, and of those equal to
     it the ``left`` smallest ids."""
-    out: list[list] = [[], [], []]
-    ids, kth, left = (queries[c].to_numpy() for c in ("vec_id", "lo", "left"))
+    out: list[list] = [[], [], [], []]
+    asks, ids, kth, left = (queries[c].to_numpy() for c in ("row", "vec_id", "lo", "left"))
     rows = rows.sort_by("vec_id")
     cid = rows["vec_id"].to_numpy()
     for part, s, own in _scores(queries, rows):
         equal = (s == kth[part, None]) & ~own
         equal &= np.cumsum(equal, axis=1) <= left[part, None]
         i, j = np.nonzero((s > kth[part, None]) & ~own | equal)
-        for o, x in zip(out, (ids[part][i], cid[j], s[i, j])):
+        for o, x in zip(out, (asks[part][i], ids[part][i], cid[j], s[i, j])):
             o.append(x)
-    return _table(("query_id", "vec_id", "score"), out)
+    return _table(("row", "query_id", "vec_id", "score"), out)
 
 
 def _table(names, columns) -> pa.Table:
@@ -115,18 +117,19 @@ def _table(names, columns) -> pa.Table:
 
 
 def _blocks(df: DataFrame, own: str, other: str, per_block: int, others: int, n: int) -> DataFrame:
-    """Deal rows into blocks by a hash of the id, once for every block of the
+    """Deal rows into blocks by a hash of the row number, once for every block of the
     other side."""
     mine = max(1, -(-n // per_block))
-    return (df.withColumn(own, F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(mine)).cast("int"))
+    return (df.withColumn(own, F.pmod(F.xxhash64("row", F.lit(3)), F.lit(mine)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, query_block: int = QUERY_BLOCK,
           row_block: int = ROW_BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): ``vectors`` and ``queries`` hold
-    (vec_id BIGINT, v ARRAY<BIGINT>); a query does not find its own id."""
-    rows, asked = staged(vectors, "vectors"), staged(queries, "queries")
+    """(query_id, rank, vec_id, score) of ``vectors``, as ``integer_vectors``
+    gives them, for ``queries``, rows of the same kind; a query does not find
+    the row of its own number."""
+    rows, asked = vectors, queries
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
     n, most = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(norm), F.lit(0.0))).first()
     n_asked, most_asked = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(norm), F.lit(0.0))).first()
@@ -139,27 +142,27 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, query_block: int =
     # ``left``: how many of the rows scored from ``lo`` to ``hi``, at most
     # ``span`` values, are still wanted; a query that finds fewer than k wants
     # all there are
-    itself = rows.select("vec_id", F.lit(1).alias("itself"))
+    itself = rows.select("row", F.lit(1).alias("itself"))
     bound = int(most * most_asked) + 2
     span = 2 * bound + 1
-    state = staged(asked.join(itself, "vec_id", "left").select(
-        "vec_id", "v", F.lit(-bound).cast("long").alias("lo"), F.lit(bound).cast("long").alias("hi"),
+    state = staged(asked.join(itself, "row", "left").select(
+        "row", "vec_id", "v", F.lit(-bound).cast("long").alias("lo"), F.lit(bound).cast("long").alias("hi"),
         F.least(F.lit(k), F.lit(n) - F.coalesce("itself", F.lit(0))).cast("long").alias("left"))
         .filter("left > 0"), "ranges")
     while span > 1:
         width = -(-span // BINS)
-        counts = (with_rows(state).applyInArrow(_count_scores(span), "query_id long, bin long, n long")
-                  .groupBy("query_id", "bin").agg(F.sum("n").alias("n")))
-        down = Window.partitionBy("query_id").orderBy(F.desc("bin"))  # at most BINS rows each
+        counts = (with_rows(state).applyInArrow(_count_scores(span), "row long, bin long, n long")
+                  .groupBy("row", "bin").agg(F.sum("n").alias("n")))
+        down = Window.partitionBy("row").orderBy(F.desc("bin"))  # at most BINS rows each
         found = (counts.withColumn("upto", F.sum("n").over(down))
-                 .join(state.select(F.col("vec_id").alias("query_id"), "left"), "query_id")
+                 .join(state.select("row", "left"), "row")
                  .filter(F.col("upto").between(F.col("left"), F.col("left") + F.col("n") - 1))
-                 .select(F.col("query_id").alias("vec_id"), "bin", (F.col("upto") - F.col("n")).alias("above")))
+                 .select("row", "bin", (F.col("upto") - F.col("n")).alias("above")))
         lo = F.col("lo") + F.col("bin") * width
-        state = staged(state.join(found, "vec_id").select(
-            "vec_id", "v", lo.alias("lo"), F.least(lo + (width - 1), "hi").alias("hi"),
+        state = staged(state.join(found, "row").select(
+            "row", "vec_id", "v", lo.alias("lo"), F.least(lo + (width - 1), "hi").alias("hi"),
             (F.col("left") - F.col("above")).alias("left")), "ranges")
         span = width
-    best = with_rows(state).applyInArrow(_reaching, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    best = with_rows(state).applyInArrow(_reaching, "row long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
