@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from thermocline.llm import licenses
 
 
@@ -82,6 +84,29 @@ def test_many_licence_words_against_brute_force(spark):
     assert got[1][0] == "cc-by,mit"
 
 
+def test_two_rarest_words_are_looked_up(spark):
+    rows = ["this program is free software under the terms of the gnu general public license"] + ["terms of the public"] * 9
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    files = licenses._scanned(df, licenses.TEMPLATES)
+    few, all_words = (licenses.candidates(files, rare=n) for n in (2, 99))
+    assert 0 < few.count() <= all_words.count()
+    seen = [{(r.uid, r.label, r.score) for r in licenses.verified(files, c).collect()} for c in (few, all_words)]
+    assert seen[0] == seen[1] and {x[1] for x in seen[0]} >= {"gpl"}
+
+
+def test_every_phrase_is_searched(spark):
+    for label, phrases, text in licenses.TEMPLATES:
+        assert all(f" {p} " in f" {text} " for p in phrases), label
+    texts = ["Provided as is, without warranty of any kind.", "licensed under CC BY 3.0", "under the zed terms", "zed"]
+    more = [*licenses.TEMPLATES, ("zed", ["the zed"], "under the zed terms")]  # one indexed word
+    got = {g.doc_id: (g.labels, g.score) for g in licenses.scan_licenses(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), more).collect()}
+    assert [got[i][0] for i in range(4)] == ["mit", "cc-by", "zed", ""] and got[1][1] == got[2][1] == 1.0
+    for bad in (("x", ["not there"], "some text"), ("x", ["of the"], "all of the text")):
+        with pytest.raises(ValueError):
+            licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string"), [bad])
+
+
 def test_empty(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert licenses.scan_licenses(spark.createDataFrame([(1, "plain")], "doc_id long, text string")).count() == 1

@@ -2,10 +2,11 @@
 expressions only.
 
 The index holds, for each mandatory phrase of each licence template, the
-``RARE`` indexed words of highest IDF (document frequencies counted over the
-whole table) with their positions in the template.  All their places in a file
-vote for (template, place of its first word), and a place needs votes from two
-different template positions.  A candidate counts when a mandatory phrase of
+``RARE`` words of highest IDF (document frequencies counted over the whole
+table) with their positions in the template; the phrase's other words are never
+looked up.  All their places in a file vote for (template, place of its first
+word), and a place needs votes from two different template positions (from one,
+if a phrase of the template has only one indexed word).  A candidate counts when a mandatory phrase of
 its template stands at the expected words.  Its score is the share of the
 template's words found in place.
 
@@ -17,7 +18,8 @@ Base labels come from three phrases wherever their words stand in a row.
 
 Defined results: a null or empty text has no words, labels or score; null ids
 and repeated rows are scanned like others; an empty table gives an empty
-result; other columns are not read."""
+result; very long texts are scanned whole, their words in one row; other
+columns are not read."""
 
 from __future__ import annotations
 
@@ -38,7 +40,14 @@ TEMPLATES = [
     ("mit", ["permission is hereby granted free of charge", "without warranty of any kind"],
      "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
      "documentation files the software to deal in the software without restriction including without limitation the "
-     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+     "persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+     "notice and this permission notice shall be included in all copies or substantial portions of the software the "
+     "software is provided as is without warranty of any kind express or implied including but not limited to the "
+     "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the "
+     "authors or copyright holders be liable for any claim damages or other liability whether in an action of contract "
+     "tort or otherwise arising from out of or in connection with the software or the use or other dealings in the "
+     "software"),
     ("apache", ["apache license"], "licensed under the apache license version 2 0"),
     ("apache", ["apache license", "in compliance with the license"],
      "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
@@ -57,7 +66,8 @@ TEMPLATES = [
     ("isc", ["permission to use copy modify and or distribute this software"],
      "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
      "granted"),
-    ("cc-by", ["cc by 4", "cc by 3", "creative commons attribution"], "licensed under cc by 4 0"),
+    ("cc-by", ["cc by 4"], "licensed under cc by 4 0"),
+    ("cc-by", ["cc by 3"], "licensed under cc by 3 0"),
     ("cc-by-sa", ["cc by sa"], "licensed under cc by sa 4 0"),
     ("cc-by-nc", ["cc by nc"], "licensed under cc by nc 4 0"),
     ("cc-by-nd", ["cc by nd"], "licensed under cc by nd 4 0"),
@@ -69,8 +79,9 @@ TEMPLATES = [
 # Words that are not indexed.
 STOP = frozenset("a an and any are as at be by for from in into is it of on or that the this to under with you".split())
 
-RARE = 12
-MIN_VOTES = 2
+#: Rarest words looked up per phrase; a phrase that stands in a file holds
+#: them all, so two lose no place.
+RARE = 2
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -79,8 +90,28 @@ def licence_words(text: Column) -> Column:
 
 
 def vocabulary(templates=TEMPLATES) -> list[str]:
-    """Indexed words; those of the base phrases are among them."""
-    return sorted({w for _, _, text in templates for w in text.split()} - STOP)
+    """Indexed words, those of the mandatory phrases; the base phrases are
+    among them."""
+    return sorted({w for _, phrases, _ in templates for p in phrases for w in p.split()} - STOP)
+
+
+def _indexed(phrase: list[str]) -> dict[str, int]:
+    """First position of each indexed word of a phrase."""
+    return {w: j for j, w in reversed(list(enumerate(phrase))) if w not in STOP}
+
+
+def checked(templates) -> list:
+    """The templates, each of whose phrases must stand in its text and hold an
+    indexed word."""
+    for label, phrases, text in templates:
+        for p in phrases:
+            if not _phrase_places([p], text.split()) or not _indexed(p.split()):
+                raise ValueError(f"{label}: phrase '{p}' cannot be looked up in its template")
+    return list(templates)
+
+
+def _votes_needed(phrases: list[str]) -> int:
+    return min(2, *[len(_indexed(p.split())) for p in phrases], 2)
 
 
 def _phrase_at(words: Column, start: Column, phrase: list[str]) -> Column:
@@ -101,15 +132,16 @@ def _base_places(words: Column) -> Column:
 
 
 def _scanned(docs: DataFrame, templates) -> DataFrame:
-    """One pass over the texts.  Base phrases and mandatory phrases all hold
-    two different indexed words, so the words of a file are kept only if it
-    has two."""
-    known = vocabulary(templates)
+    """One pass over the texts.  The words of a file are kept only if it has
+    as many different indexed words as the base phrases (two) and every
+    mandatory phrase hold."""
+    known = sorted({*vocabulary(templates), *(w for p in BASE.values() for w in p.split())})
+    least = min(2, *[_votes_needed(phrases) for _, phrases, _ in templates], 2)
     base_type = "array<struct<at:int,label:string>>"
     df = columns_or_null(docs, doc_id="long", text="string").select("doc_id", licence_words(F.col("text")).alias("w"))
     df = df.select("doc_id", F.size("w").cast("long").alias("n_words"), "w", F.when(
         F.exists("w", lambda w: w.isin(known)), F.array_distinct(F.filter("w", lambda w: w.isin(known)))).alias("mine"))
-    df = df.withColumn("w", F.when(F.size("mine") >= 2, F.col("w")))
+    df = df.withColumn("w", F.when(F.size("mine") >= least, F.col("w")))
     return staged(df.select(
         F.monotonically_increasing_id().alias("uid"), "doc_id", "n_words", "w", "mine",
         F.coalesce(let(F.col("w"), lambda w: F.when(F.array_contains(w, "license"), _base_places(w))),
@@ -122,7 +154,7 @@ def _phrase_places(phrases: list[str], words: list[str]) -> list[tuple[int, list
     return [(i, p) for p in split for i in range(len(words)) if words[i:i + len(p)] == p]
 
 
-def candidates(files: DataFrame, templates=TEMPLATES, rare: int = RARE, min_votes: int = MIN_VOTES) -> DataFrame:
+def candidates(files: DataFrame, templates=TEMPLATES, rare: int = RARE) -> DataFrame:
     """(uid, template, start) that enough rare words of a mandatory phrase
     agree on."""
     spark = files.sparkSession
@@ -133,18 +165,20 @@ def candidates(files: DataFrame, templates=TEMPLATES, rare: int = RARE, min_vote
     postings = set()
     for t, (_, phrases, text) in enumerate(templates):
         for i, phrase in _phrase_places(phrases, text.split()):
-            if any(w not in df for w in phrase if w not in STOP):
+            own = _indexed(phrase)
+            if own.keys() - df.keys():
                 continue  # in no file
-            own = [(-math.log((n + 1) / (df[w] + 1)), w, i + j) for j, w in enumerate(phrase) if w not in STOP]
-            postings |= {(t, place, w) for _, w, place in sorted(own)[:max(rare, min_votes)]}
+            by_idf = sorted(own, key=lambda w: (-math.log((n + 1) / (df[w] + 1)), w))
+            postings |= {(t, i + own[w], w, _votes_needed(phrases)) for w in by_idf[:max(rare, 2)]}
     if not postings:
         return spark.createDataFrame([], "uid long, template int, start int")
-    looked_up = sorted({w for _, _, w in postings})
+    looked_up = sorted({w for _, _, w, _ in postings})
     places = hit.select("uid", F.posexplode("w").alias("at", "word")).filter(F.col("word").isin(looked_up))
-    index = spark.createDataFrame(sorted(postings), "template int, place int, word string")  # fixed by the templates
+    index = spark.createDataFrame(sorted(postings), "template int, place int, word string, need int")  # fixed by the templates
     return (places.join(F.broadcast(index), "word")
             .groupBy("uid", "template", (F.col("at") - F.col("place")).alias("start"))
-            .agg(F.countDistinct("place").alias("votes")).filter(F.col("votes") >= min_votes)
+            .agg(F.countDistinct("place").alias("votes"), F.min("need").alias("need"))
+            .filter(F.col("votes") >= F.col("need"))
             .select("uid", "template", "start"))
 
 
@@ -172,6 +206,7 @@ def verified(files: DataFrame, found: DataFrame, templates=TEMPLATES) -> DataFra
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, rare: int = RARE) -> DataFrame:
     """One row per document: n_words, n_base, first_word, last_word,
     base_labels, labels, score."""
+    templates = checked(templates)
     files = _scanned(docs, templates)
     found = verified(files, candidates(files, templates, rare), templates)
     best = found.groupBy("uid").agg(F.collect_set("label").alias("more"), F.max("score").alias("score"))
