@@ -18,7 +18,7 @@ def brute(text):
     count = Counter(windows)
     covered = {i + j for i, w in enumerate(windows) if count[w] > 1 for j in range(8)}
     return {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in text),
-            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered), "n_lines": len(lines),
+            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
             "base_failed": len(words) < 20 or 100 * len(covered) > 30 * len(words)}
 
 
@@ -41,7 +41,7 @@ def test_features_and_base_verdict(spark):
     rows = [(i if i != 5 else None, t, "clash", "x") for i, t in enumerate(texts())] + [(0, None, "clash", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, kept string, n_words string").repartition(3)
     got = rules.audited(df)
-    assert [t for c, t in got.dtypes if c in rules.FEATURES] == ["bigint"] * len(rules.FEATURES)
+    assert [t for c, t in got.dtypes if c in rules.RETURNED] == ["bigint"] * len(rules.RETURNED)
     have = sorted(tuple(str(r[c]) for c in ["doc_id", *brute("")]) for r in got.collect())
     want = sorted((str(d), *map(str, brute(t).values())) for d, t, *_ in rows)
     assert have == want
@@ -61,6 +61,28 @@ def test_verdict_does_not_depend_on_the_order(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_rejected_rows_do_not_reach_later_features(spark):
+    """A feature that fails on every text it sees is harmless behind rules
+    that reject those rows, and is run for the row that is left."""
+    fails = {**rules.FEATURES, "n_letters": lambda text: F.raise_error(F.concat(F.lit("ran: "), text)).cast("long")}
+    capitals = next(r for r in rules.RULES if r.name == "capitals")
+    ordered = [r for r in rules.RULES if r is not capitals] + [capitals]
+    bad = ["few words", "a b c d e f g h " * 9, "x " * 40, "word### " * 30, "same line of words here\n" * 9, None]
+    df = spark.createDataFrame(list(enumerate(bad)), "doc_id long, text string").repartition(2)
+    assert [r.kept for r in rules.judged(df, ordered, fails).collect()] == [False] * len(bad)
+    good = " ".join(f"word{i}" for i in range(40))
+    with pytest.raises(Exception, match="ran: word0"):
+        rules.judged(spark.createDataFrame([(1, good)], "doc_id long, text string"), ordered, fails).collect()
+
+
+def test_very_long_text(spark):
+    r = random.Random(8)
+    text = " ".join(r.choices([f"w{i}" for i in range(50_000)], k=60_000)) + " same eight words stand here twice in it" * 2
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = rules.audited(df).first()
+    assert all(got[c] == v for c, v in brute(text).items())
+
+
 def test_order_is_by_rejections_per_cost():
     a, b, c = (rules.Rule(n, (), None) for n in "abc")
     patterns = [(frozenset("a"), 10), (frozenset("ab"), 50), (frozenset("c"), 20), (frozenset(), 100)]

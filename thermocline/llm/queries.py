@@ -98,7 +98,7 @@ features AS (
     FROM base LEFT JOIN covered USING (r)),
 judged AS (
     SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM features)
-SELECT *, NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > 3 * n_words
+SELECT * EXCLUDE (n_upper, n_letters, n_lines), NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > 3 * n_words
                OR 10 * n_dup_lines > 3 * n_lines OR 2 * n_upper > n_letters) AS kept
 FROM judged""",
     "op10_exact_topk": """

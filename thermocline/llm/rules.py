@@ -7,6 +7,10 @@ on a bounded sample; rules then run in the order of rejections per cost among
 what earlier rules left over, as branches of one CASE that stops at the first
 rejection.  The order changes the work, never the verdict.
 
+``audited`` returns the five features of the contract, so those are computed
+for every row; features that only the method's own rules need are computed
+inside the CASE, for the rows that reach such a rule.
+
 Features: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (words
 inside 8-word windows that occur twice or more in the text; windows are
 compared by a 64-bit hash), n_upper (A-Z and other upper-case letters),
@@ -14,7 +18,7 @@ n_letters, n_lines.
 
 Defined results: a null or empty text has no words and is rejected; null ids,
 repeated rows and further columns pass through; an empty table gives an empty
-result."""
+result; a very long text is one row of one task, its windows sorted there."""
 
 from __future__ import annotations
 
@@ -106,6 +110,8 @@ def n_repeat_words(text: Column, words: Column | None = None) -> Column:
 
 FEATURES = {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup_lines,
             "n_repeat_words": n_repeat_words, "n_upper": n_upper, "n_letters": n_letters, "n_lines": n_lines}
+#: Features that ``audited`` returns.
+RETURNED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
@@ -137,8 +143,11 @@ RULES = (
 
 def measure(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> tuple[dict[str, float], list[tuple]]:
     """Seconds per rule, and (rejecting rules, rows) patterns, on a sample of
-    at most ``sample_rows`` rows drawn over at least ten times as many."""
-    sample = columns_or_null(docs, text="string").sample(0.1, seed=7).limit(sample_rows).persist()
+    about, and at most, ``sample_rows`` rows drawn over the whole table; a task
+    sends on no more than its share of them."""
+    texts = columns_or_null(docs, text="string")
+    share = min(1.0, sample_rows / max(texts.count(), 1))
+    sample = texts.sample(share, seed=7).limit(sample_rows).persist()
     try:
         rows = sample.count()
         costs = {}
@@ -188,14 +197,26 @@ def passing(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> Dat
 
 
 def audited(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, every feature, ``base_failed`` and ``kept`` of all rows: the
-    features are wanted in full here, so the cascade runs over them."""
-    ordered = planned(docs, rules, sample_rows)
-    out = columns_or_null(docs, doc_id="long", text="string").withColumn("words", words_of(F.col("text")))
-    out = out.select("doc_id", *[
+    """doc_id, the ``RETURNED`` features, ``base_failed`` and ``kept`` of all
+    rows."""
+    return judged(docs, planned(docs, rules, sample_rows))
+
+
+def judged(docs: DataFrame, ordered: list[Rule], features=FEATURES) -> DataFrame:
+    """``audited`` with the rules in a given order."""
+    text = F.col("text")
+    out = columns_or_null(docs, doc_id="long", text="string").withColumn("words", words_of(text))
+    out = out.select("doc_id", "text", *[
         (F.size("words").cast("long") if f == "n_words" else
-         n_repeat_words(F.col("text"), F.col("words")) if f == "n_repeat_words" else make(F.col("text"))).alias(f)
-        for f, make in FEATURES.items()])
-    over = lambda r: r.rejects(F.col)
-    return (out.withColumn("base_failed", first_rejection([r for r in ordered if r.base], over).isNotNull())
-            .withColumn("kept", first_rejection(ordered, over).isNull()))
+         n_repeat_words(text, F.col("words")) if f == "n_repeat_words" else features[f](text)).alias(f)
+        for f in RETURNED])
+
+    def rejects(rule):
+        return rule.rejects(lambda f: F.col(f) if f in RETURNED else features[f](text))
+    base = [r for r in ordered if r.base]
+    failed = F.lit(False) if not base else first_rejection(base, rejects).isNotNull()
+    # a row that fails the base is rejected before any rule of the method
+    rest = first_rejection([r for r in ordered if not r.base], rejects)
+    out = out.withColumn("base_failed", failed)
+    kept = ~F.col("base_failed") if rest is None else F.when(F.col("base_failed"), False).otherwise(rest.isNull())
+    return out.withColumn("kept", kept).drop("text")
