@@ -107,3 +107,26 @@ def test_documents(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(best, key=str)
     assert simhash.near_duplicates(df.filter(F.lit(False))).count() == 0
     assert simhash.one_of_each(df.filter(F.lit(False))).count() == 0
+
+
+def test_one_row_of_each_class_with_odd_ids(spark):
+    base = " ".join(f"word{i}" for i in range(900))
+    near = next(x for x in (f"{base} more{i}" for i in range(99))
+                if 0 < bin(brute_fingerprint(base) ^ brute_fingerprint(x)).count("1") <= 4)
+    other = "one two three four five six seven " * 40
+    rows = [(None, base), (None, near), (None, near), (7, other), (7, "a text of its own and of no other class"),
+            (7, other), (8, other), (None, None), (None, "")]
+    df = spark.createDataFrame([(d, t, "x", i) for i, (d, t) in enumerate(rows)],
+                               "doc_id long, text string, root string, code int").repartition(4)
+    got = sorted(((r.doc_id, r.text) for r in simhash.one_of_each(df).collect()), key=str)
+    codes = [brute_fingerprint(t) for _, t in rows]
+    best = {}
+    for (d, t), code, c in zip(rows, codes, brute_classes(codes, 4)):
+        key = (d is None, d or 0, simhash._signed(code), t is not None, t or "")
+        best[c] = min(best.get(c, (key, (d, t))), (key, (d, t)), key=lambda x: x[0])
+    assert len(best) == 4 and got == sorted((x for _, x in best.values()), key=str)
+
+
+def test_very_long_text(spark):
+    words = [f"w{i % 9173}" for i in range(200_000)]
+    assert simhash.fingerprint(" ".join(words)) == brute_fingerprint(" ".join(words))

@@ -24,7 +24,8 @@ Search, by a Gray-order hierarchical index, spread over tasks:
 Defined results: a null or empty text has fingerprint zero and links like any
 other; a null ``doc_id`` takes part, but a class is named after its smallest
 id that is not null; repeated rows are kept as rows; an empty table gives an
-empty result; other columns are not read."""
+empty result; a very long text is hashed whole, in bounded work space; other
+columns are not read."""
 
 from __future__ import annotations
 
@@ -287,9 +288,10 @@ def components(edges: DataFrame) -> DataFrame:
         mark = (n, h)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                    node_limit: int = NODE_LIMIT) -> DataFrame:
-    """(doc_id, code, component_id), one row per row of ``docs``."""
+def classes_of(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+               node_limit: int = NODE_LIMIT) -> DataFrame:
+    """(doc_id, code, root, component_id), one row per row of ``docs``; ``root``
+    is the least code of the class, known also where no row has an id."""
     marked = staged(fingerprints(docs, shingle), "fingerprints")
     first = staged(marked.groupBy("code").agg(F.min("doc_id").alias("least_id")), "codes")
     roots = components(links(first.select("code"), max_bits, node_limit))
@@ -297,26 +299,37 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         "code", "least_id", F.coalesce("root", "code").alias("root"))
     # only codes that have a link need the second aggregation's result
     named = tied.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = staged(tied.join(named, "root").select("code", "component_id"), "classes")
-    return marked.join(classes, "code").select("doc_id", "code", "component_id")
+    classes = staged(tied.join(named, "root").select("code", "root", "component_id"), "classes")
+    return marked.join(classes, "code").select("doc_id", "code", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                    node_limit: int = NODE_LIMIT) -> DataFrame:
+    """(doc_id, code, component_id), one row per row of ``docs``."""
+    return classes_of(docs, shingle, max_bits, node_limit).select("doc_id", "code", "component_id")
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """Keep one row of each class: that of the class's smallest ``doc_id``.
-    Classes without any id keep one row per text."""
-    found = staged(near_duplicates(docs, **options), "near")
-    kept = (found.filter("doc_id = component_id").groupBy("doc_id")
-            .agg(F.count(F.lit(1)).alias("rows")))
-    kept = staged(kept, "kept")
-    # no sort of whole texts: the ids are the build side
-    out = docs.join(kept.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi").select(*docs.columns)
-    if not kept.filter("rows > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
-    if found.filter("component_id is null").isEmpty():
+    """Keep exactly one row of each class: that of its smallest ``doc_id``
+    (null ids last), then of its smallest fingerprint, then of its smallest
+    text (null first)."""
+    found = staged(classes_of(docs, **options), "near")
+    first = staged(found.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("nameless"), "doc_id", "code")).alias("x")).select("x.doc_id", "x.code"), "kept")
+    # an id that only one row has tells that row; no sort of whole texts, the ids are the build side
+    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = staged(repeated, "repeated")
+    plain = first.join(repeated, "doc_id", "left_anti").filter("doc_id is not null").select("doc_id")
+    out = docs.join(plain.hint("shuffle_hash"), "doc_id", "left_semi").select(*docs.columns)
+    odd = first.join(repeated, "doc_id", "left_semi").unionByName(first.filter("doc_id is null"))
+    if odd.isEmpty():
         return out
-    # classes in which no row has an id: one row per fingerprint
+    # repeated or missing ids: the row is known by its id and fingerprint
     mark = F.udf(lambda t: _signed(fingerprint(t, options.get("shingle", SHINGLE))), "long")
-    code = fresh(docs, "simhash")
-    nameless = docs.filter("doc_id is null").withColumn(code, mark("text"))
-    codes = found.filter("component_id is null").select(F.col("code").alias(code)).distinct()
-    return out.unionByName(nameless.join(codes, code, "left_semi").dropDuplicates([code]).select(*docs.columns))
+    same = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = same.select(F.col("doc_id").alias("id"), mark("text").alias("mark"), F.col("text").alias("t"),
+                       whole.alias("row"))
+    rows = rows.join(odd, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("mark") == F.col("code")), "left_semi")
+    one = rows.groupBy("id", "mark").agg(F.min_by("row", F.struct(F.col("t").isNotNull(), F.col("t"))).alias("row"))
+    return out.unionByName(one.select("row.*"))
