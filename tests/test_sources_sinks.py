@@ -8,7 +8,7 @@ from conftest import READINGS
 from thermocline.sinks.files import write_csv
 from thermocline.sinks.jdbc import jdbc_batch_writer, write_jdbc
 from thermocline.sinks.kafka import kafka_sink_options, to_kafka_records
-from thermocline.sinks.upsert import read_current, upsert_writer, with_json_doc
+from thermocline.sinks.upsert import compact, read_current, upsert_writer, with_json_doc
 from thermocline.sources.kafka import decode_value, kafka_source_options
 from thermocline.sources.readings import (ddl_table, ddl_table_sql, parse_lines, read_csv,
                                          register_csv_table)
@@ -137,8 +137,35 @@ def test_upsert_table_by_uri_over_batches_queries_and_replays(spark, tmp_path):
     again(frame(("a", 2, 7.0), (None, 1, 0.5)), 1)
     again(frame(), 2)
     assert _as_set(read_current(spark, base)) == want | {(None, 1, 0.5)}
-    # only the last two manifests and what they read are kept
-    assert len(list((tmp_path / "table/manifests").glob("0*"))) == 2
+    # compaction: the same rows in one batch, and the old queries go on there
+    compact(spark, base, f"{base}-2")
+    assert _as_set(read_current(spark, f"{base}-2")) == want | {(None, 1, 0.5)}
+    assert {p.name for p in (tmp_path / "table-2").glob("*/*") if p.is_dir()} == {"_upsert_batch=compacted"}
+    upsert_writer(f"{base}-2", "id", "timestamp", "temperature")(frame(("b", 9, 0.0), ("a", 1, 1.0)), 0)
+    assert _as_set(read_current(spark, f"{base}-2")) == (want - {("b", 1, 2.0)}) | {("b", 9, 0.0), (None, 1, 0.5)}
+
+
+def test_upsert_stream_over_restarts_and_replays(spark, tmp_path):
+    """A restarted query goes on with its batch numbers; micro-batches that are
+    run again from an older checkpoint replace their own files."""
+    import shutil
+    from thermocline.operators.aggregates import latest_per_key
+    base, ck, d = (str(tmp_path / x) for x in ("store", "ck", "in"))
+    lines, write = _lines(" "), upsert_writer(str(tmp_path / "store"), "id", "timestamp", "temperature")
+
+    def run(upto, ck=ck):
+        write_batches(d, [[x] for x in lines[:upto]])
+        run_foreach_batch(parse_lines(text_stream(spark, d), " "), write, ck)
+    run(3)
+    shutil.copytree(ck, str(tmp_path / "older"))
+    run(7)
+    files = lambda: {p.parent for p in (tmp_path / "store").rglob("*.parquet")}
+    before, rows = files(), _as_set(read_current(spark, base))
+    assert len({p.name for p in before}) == 7 and len({p.name.rsplit("-", 1)[0] for p in before}) == 1
+    run(7, str(tmp_path / "older"))
+    assert files() == before and _as_set(read_current(spark, base)) == rows
+    whole = parse_lines(spark.read.text(d), " ")
+    assert rows == _as_set(latest_per_key(whole, "id", "timestamp", "temperature", ["timestamp", "temperature"]))
 
 
 def test_malformed_row_fails_a_csv_stream(spark, tmp_path):

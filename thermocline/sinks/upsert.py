@@ -1,127 +1,77 @@
 """Keyed upsert sink (a JSON document store's upsert mode, re-aimed).
 
-The table is kept in ``BUCKETS`` buckets of the key's hash.  A write touches
-only the buckets its keys fall into: their current rows and the new rows are
-reduced to the latest row per key by event time (``max_by``, a partial
-aggregate, so hot keys collapse map-side), written as Parquet under a new
-version, and a small manifest — which version each bucket is read from — makes
-them visible in one rename.  Merging the same rows twice changes nothing, so a
-replayed batch is harmless, and a new query simply goes on from the manifest
-it finds.  All listing goes through the path's own file system; a base that
-cannot be listed raises."""
+Spark's own storage keeps the table: each micro-batch is reduced to the latest
+row per key (``max_by``, a partial aggregate, so hot keys collapse map-side)
+and appended as Parquet under (key bucket, batch).  Dynamic partition
+overwrite makes a replayed micro-batch replace what it wrote before.  The
+table is read as the latest row per key over all batches; ``compact`` writes
+that as one batch of a new folder."""
 
 from __future__ import annotations
 
-import json
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import latest_per_key
 
 BUCKETS = 64
-_BUCKET = "_upsert_bucket"
+_BUCKET, _BATCH = "_upsert_bucket", "_upsert_batch"
 
 
 def with_json_doc(df: DataFrame, cols: list[str], out: str = "doc") -> DataFrame:
     return df.withColumn(out, F.to_json(F.struct(*[F.col(c) for c in cols])))
 
 
-def upsert_latest(current: DataFrame | None, updates: DataFrame, key: str, ts: str,
-                  tiebreak: str) -> DataFrame:
-    both = updates if current is None else current.unionByName(updates)
-    carry = [c for c in both.columns if c != key]
-    return latest_per_key(both, key, ts, tiebreak, carry)
-
-
-class _Folder:
-    """A path on any file system Spark can reach."""
-
-    def __init__(self, spark: SparkSession, base: str) -> None:
-        self._jvm = spark.sparkContext._jvm
-        self.base = base.rstrip("/")
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._path("").getFileSystem(conf)
-
-    def _path(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}" if name else self.base)
-
-    def names(self, name: str) -> list[str]:
-        p = self._path(name)
-        return [s.getPath().getName() for s in self._fs.listStatus(p)] if self._fs.exists(p) else []
-
-    def read(self, name: str) -> str:
-        stream = self._fs.open(self._path(name))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def publish(self, name: str, text: str) -> None:
-        """Write beside the name, then rename: a reader sees all or nothing."""
-        part = self._path(f"{name}.part")
-        out = self._fs.create(part, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        if not self._fs.rename(part, self._path(name)):
-            raise OSError(f"{self.base}/{name} exists already: another writer is at work")
-
-    def delete(self, name: str) -> None:
-        self._fs.delete(self._path(name), True)
+def _latest(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
+    return latest_per_key(df, key, ts, tiebreak, [c for c in df.columns if c != key])
 
 
-def _manifests(folder: _Folder) -> list[int]:
-    return sorted(int(n) for n in folder.names("manifests") if n.isdigit())
-
-
-def _manifest(folder: _Folder, version: int) -> dict[str, int]:
-    return json.loads(folder.read(f"manifests/{version:012d}"))
-
-
-def _load(spark: SparkSession, folder: _Folder, manifest: dict[str, int], buckets=None) -> DataFrame | None:
-    paths = [f"{folder.base}/data/v={v}/{_BUCKET}={b}" for b, v in manifest.items()
-             if buckets is None or int(b) in buckets]
-    return spark.read.parquet(*paths) if paths else None
-
-
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    folder = _Folder(spark, base)
-    versions = _manifests(folder)
-    return _load(spark, folder, _manifest(folder, versions[-1])) if versions else None
+def upsert_latest(current: DataFrame | None, updates: DataFrame, key: str, ts: str,
+                  tiebreak: str) -> DataFrame:
+    return _latest(updates if current is None else current.unionByName(updates), key, ts, tiebreak)
 
 
-def upsert_into(batch: DataFrame, base: str, key: str, ts: str, tiebreak: str) -> None:
-    """Merge ``batch`` into the table at ``base``."""
-    spark = batch.sparkSession
-    folder = _Folder(spark, base)
-    versions = _manifests(folder)
-    manifest = _manifest(folder, versions[-1]) if versions else {}
-    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(BUCKETS)).cast("int")
-    batch = batch.persist()
+def read_current(spark: SparkSession, base: str, key: str = "id", ts: str = "timestamp",
+                 tiebreak: str = "temperature") -> DataFrame | None:
+    """The latest row per key; None while nothing was written."""
     try:
-        touched = {r[0] for r in batch.select(bucket.alias("b")).distinct().collect()}  # at most BUCKETS
-        if not touched:
-            return
-        now = (versions[-1] if versions else 0) + 1
-        merged = upsert_latest(_load(spark, folder, manifest, touched), batch, key, ts, tiebreak)
-        (merged.withColumn(_BUCKET, bucket).write.mode("overwrite").partitionBy(_BUCKET)
-         .parquet(f"{folder.base}/data/v={now}"))
-    finally:
-        batch.unpersist()
-    manifest = {**manifest, **{str(b): now for b in touched}}
-    folder.publish(f"manifests/{now:012d}", json.dumps(manifest))
-    # what neither this nor the previous manifest names is no longer read
-    kept = set(manifest.items()) | (set(_manifest(folder, versions[-1]).items()) if versions else set())
-    for old in versions[:-1]:
-        folder.delete(f"manifests/{old:012d}")
-    for name in folder.names("data"):
-        for part in folder.names(f"data/{name}"):
-            if part.startswith(f"{_BUCKET}=") and (part[len(_BUCKET) + 1:], int(name[2:])) not in kept:
-                folder.delete(f"data/{name}/{part}")
-
-
-def upsert_writer(base: str, key: str, ts: str, tiebreak: str):
-    """``foreachBatch`` function: merge each micro-batch into the table."""
+        rows = spark.read.parquet(base)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return _latest(rows.drop(_BUCKET, _BATCH), key, ts, tiebreak)
+
+
+def upsert_into(batch: DataFrame, base: str, key: str, ts: str, tiebreak: str, batch_name: str,
+                buckets: int = BUCKETS) -> None:
+    """Write ``batch`` under ``batch_name``; the same name again replaces it."""
+    rows = _latest(batch, key, ts, tiebreak).withColumns({
+        _BUCKET: F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"), _BATCH: F.lit(batch_name)})
+    if not batch.isEmpty():
+        (rows.repartition(_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(_BUCKET, _BATCH).parquet(base))
+
+
+def compact(spark: SparkSession, base: str, to: str, key: str = "id", ts: str = "timestamp",
+            tiebreak: str = "temperature", buckets: int = BUCKETS) -> None:
+    """Write the table at ``base`` to a new folder ``to`` as one batch; queries
+    that are pointed there go on from it."""
+    rows = read_current(spark, base, key, ts, tiebreak)
+    if rows is not None:
+        upsert_into(rows, to, key, ts, tiebreak, "compacted", buckets)
+
+
+def upsert_writer(base: str, key: str, ts: str, tiebreak: str, query: str | None = None):
+    """``foreachBatch`` function: upsert each micro-batch.  Batches are named
+    by the streaming query's id, which its checkpoint keeps over restarts, and
+    the batch number; ``query`` names them where no streaming query runs."""
+    own = query or uuid.uuid4().hex
+
     def _write(batch: DataFrame, epoch_id: int) -> None:
-        upsert_into(batch, base, key, ts, tiebreak)
+        running = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        upsert_into(batch, base, key, ts, tiebreak, f"{query or running or own}-{epoch_id}")
     return _write
