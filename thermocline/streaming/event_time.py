@@ -59,3 +59,18 @@ def with_proctime(df: DataFrame, out: str = "pt") -> DataFrame:
 def with_local_time(df: DataFrame, out: str = "pt") -> DataFrame:
     """``select *, LOCALTIMESTAMP as pt`` — wall clock in the session zone."""
     return df.select("*", F.localtimestamp().alias(out))
+
+
+def merged_sources(streams: list[DataFrame], policy: str = "min") -> DataFrame:
+    """The union of streams that carry a watermark each, columns by name.  With
+    policy ``min`` the slowest source holds event time back (no row of it is
+    late); with ``max`` the fastest leads, so windows close while a source is
+    idle, and what the idle one delivers afterwards may be late.  The policy
+    is the session's and is fixed in a query's checkpoint at its first start."""
+    if policy not in ("min", "max"):
+        raise ValueError(f"unknown watermark policy {policy!r}")
+    streams[0].sparkSession.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
+    out = streams[0]
+    for other in streams[1:]:
+        out = out.unionByName(other)
+    return out
