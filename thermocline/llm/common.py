@@ -5,6 +5,9 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +69,18 @@ def fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, size: int):
+    """Slices of a batch that hold about ``size`` bytes of a text column, at
+    least one row each."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        done = int(ends[at - 1]) if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def kth_largest(df: DataFrame, value: str, k: int, lo: int, hi: int, bins: int = 4096) -> tuple[int, int]:
     """The ``k``-th largest BIGINT of column ``value`` (all within lo..hi, which
     are less than 2**63 apart) and

@@ -14,9 +14,10 @@ and no group is gathered anywhere; only a task's last batch can be small.
 ``sequence_id`` is the task's partition number and a counter, the same again
 when a task is repeated on the same input.
 
-Token ids are cached per white-space separated word, which is exact for a
-tokenizer that never joins text across white space (checked in the tests);
-the cache is emptied at ``CACHE_WORDS`` words.  The ids are those of
+Token ids are cached per white-space separated word less the marks after it,
+which is exact for a tokenizer that never joins text across white space and
+cuts between letters and marks (checked in the tests); the cache is emptied at
+``CACHE_WORDS`` words.  The ids are those of
 ``encode(text, add_special_tokens=False)`` and nothing else: the text of a
 special token, which holds no white space, becomes that token's id wherever it
 stands in a word.
@@ -28,19 +29,26 @@ columns are not read."""
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import columns_or_null
+from .common import by_bytes, columns_or_null
 
 WINDOW = 2048
 PIECE = 512
 BATCH = 512
 END_ID = 1
 CACHE_WORDS = 800_000
+#: Texts encoded at a time, in bytes (one longer text is encoded alone).
+TEXT_BYTES = 4 << 20
+LEARN_WORDS = 20_000
+#: Lower-case letters of Latin-1, the same after NFC and lower-casing.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -49,50 +57,84 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordIds:
-    """Ids of texts as little-endian 32-bit bytes, word by word."""
+    """Ids of texts as little-endian 32-bit bytes, word by word.  A word is
+    cut into a core and the ASCII marks after it where the tokenizer always
+    cuts; ids are kept per core and per run of marks in one flat array, and a
+    batch of texts is put together from it by numpy."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {b"": b""}
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known = {b"": b""}
-        # bytes.split() splits on the six ASCII white-space bytes, no others
-        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        new = {w for ws in split for w in ws if w not in self.known}
-        ended = {w: parts for w in new if (parts := _word_and_mark(w))}
-        need = list((new - ended.keys()) | {x for p in ended.values() for x in p if x not in self.known})
-        for at in range(0, len(need), 2000):
-            self._learn(need[at:at + 2000])
-        for w, (word, mark) in ended.items():
-            self.known[w] = self.known[word] + self.known[mark]
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, ws)) for ws in split]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """One call for many words, dealt out again by character offsets."""
-        text = [w.decode("utf-8", "replace") for w in words]
-        starts = np.cumsum([0] + [len(w) + 1 for w in text])
-        enc = self.tok.encode(" ".join(text), add_special_tokens=False)
+        bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.byte_chars = {c: bytes_of(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        self._forget()
+
+    def _forget(self) -> None:
+        # the empty word has place 0 and no ids
+        self.place: dict[str, int] = {"": 0}
+        self.size, self.start = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.flat = np.zeros(0, "<u4")
+
+    def texts(self, texts: pa.Array | list[str]) -> list[bytes]:
+        if len(self.place) > CACHE_WORDS:
+            self._forget()
+        # split at the six ASCII white-space characters, no others
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        words = split.flatten().dictionary_encode()
+        core, mark = _core_and_mark(words.dictionary)
+        at = words.indices.to_numpy(zero_copy_only=False)
+        # a word is its core, then its marks (mostly none)
+        both = np.stack([self._places(core)[at], self._places(mark)[at]], 1).ravel()
+        size = self.size[both]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.arange(total) + np.repeat(self.start[both] - (ends - size), size)]
+        # places of texts in `ids` follow from their places among the words
+        cut = 4 * np.r_[0, ends][2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(cut, cut[1:])]
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Place of every word, new ones learned."""
+        distinct = words.dictionary_encode()
+        got = distinct.dictionary.to_pylist()
+        new = [w for w in got if w not in self.place]
+        for at in range(0, len(new), LEARN_WORDS):
+            self._learn(new[at:at + LEARN_WORDS])
+        place = np.fromiter(map(self.place.__getitem__, got), np.int64, len(got))
+        return place[distinct.indices.to_numpy(zero_copy_only=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Words of small Latin letters, which the tokenizer's first steps
+        leave whole, go straight to its merges; the others in one call,
+        dealt out again by character offsets."""
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        other = [w for w in words if not _PLAIN.fullmatch(w)]
+        merges, byte_chars, flat, size = self.tok.model.tokenize, self.byte_chars, [], []
+        for w in plain:
+            tokens = merges(w if w.isascii() else w.translate(byte_chars))
+            size.append(len(tokens))
+            flat += [t.id for t in tokens]
+        enc = self.tok.encode(" ".join(other), add_special_tokens=False)
         at = np.fromiter((o[0] for o in enc.offsets), np.int64, len(enc.ids))
-        ids = np.array(enc.ids, "<u4")
-        cut = np.searchsorted(at, starts)
-        for w, a, b in zip(words, cut, cut[1:]):
-            self.known[w] = ids[a:b].tobytes()
+        sizes = np.r_[np.array(size, np.int64), np.diff(np.searchsorted(
+            at, np.cumsum([0] + [len(w) + 1 for w in other])))]
+        self.place.update(zip(plain + other, range(len(self.size), len(self.size) + len(words))))
+        self.start = np.r_[self.start, np.cumsum(sizes) - sizes + len(self.flat)]
+        self.size = np.r_[self.size, sizes]
+        self.flat = np.r_[self.flat, np.array(flat + enc.ids, "<u4")]
 
 
-def _word_and_mark(raw: bytes) -> tuple[bytes, bytes] | None:
-    """A word of letters and the ASCII marks after it, where the tokenizer
+def _core_and_mark(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words of letters and the ASCII marks after them, where the tokenizer
     always cuts (an apostrophe may start a contraction, so it is left out);
-    ASCII letters in lower case, as the tokenizer makes them."""
-    word = raw.rstrip(b".,;:!?$%&#*|")
-    if word.isalpha():  # ASCII letters only
-        return (word.lower(), raw[len(word):]) if len(word) < len(raw) or not raw.islower() else None
-    if len(word) < len(raw) and not word.isascii() and word.decode("utf-8", "replace").isalpha():
-        return word, raw[len(word):]
-    return None
+    cores of ASCII letters in lower case, as the tokenizer makes them.  Any
+    other word is its own core."""
+    core = pc.ascii_rtrim(words, ".,;:!?$%&#*|")
+    latin = pc.ascii_is_alpha(core)
+    cut = pc.or_(latin, pc.utf8_is_alpha(core))
+    mark = pc.struct_field(pc.extract_regex(words, r"(?s)(?P<mark>[.,;:!?$%&#*|]*)\z"), "mark")
+    return pc.if_else(latin, pc.ascii_lower(core), pc.if_else(cut, core, words)), pc.if_else(cut, mark, "")
 
 
 def differencing(sizes: list[int], m: int) -> list[list[int]]:
@@ -189,16 +231,15 @@ def pack(docs: DataFrame, path: str | None = None, with_ids: bool = False, windo
             return out
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                ids = batch.column(0).slice(lo, 256).to_pylist()
-                texts = [t or "" for t in batch.column(1).slice(lo, 256).to_pylist()]
+            for part in by_bytes(batch, 1, TEXT_BYTES):
+                ids, texts = part.column(0).to_pylist(), part.column(1).fill_null("")
                 full: list[tuple] = []
                 for doc_id, data in zip(ids, word_ids.texts(texts)):
                     data += end
                     tokens = len(data) // 4
                     for start, length in cut(tokens, window, piece):
-                        part = data[4 * start:4 * (start + length)]
-                        row = (doc_id, start, length, zlib.crc32(part), tokens, part if with_ids else None)
+                        piece_ids = data[4 * start:4 * (start + length)]
+                        row = (doc_id, start, length, zlib.crc32(piece_ids), tokens, piece_ids if with_ids else None)
                         (full if length == window else held).append(row)
                     if len(held) >= batch_pieces:
                         yield flush()
