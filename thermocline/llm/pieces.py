@@ -8,9 +8,12 @@ nodes of paths that are returned.
 Two exact reductions make this affordable.  No piece holds certain pairs of
 neighbouring characters (above all, none goes on after a space began), so the
 lattice is cut at such pairs into parts that are solved on their own and
-cached; and of a text's words only the N - 1 with the smallest lead over their second
-choice can differ from the best segmentation, so the A* search is run for those
-(the lead itself follows from the Viterbi scores along the best path).
+cached, the forward pass of many parts side by side in numpy; and of a text's
+parts only the N - 1 with the smallest lead over their second choice can differ
+from the best segmentation, so the A* search is run for those (the lead itself
+follows from the Viterbi scores along the best path).  The model's scores are
+ranks of merges, so the segmentation of highest total score is often not the
+one its own greedy encoder gives.
 
 Text is used as it is: a space becomes the piece mark U+2581, one is put in
 front, and a character without a piece is spelled in byte pieces, at 10 below
@@ -24,23 +27,25 @@ the search finds them, which depends on the part alone."""
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_or_null
+from .common import by_bytes, columns_or_null
 
 NBEST = 3
 CACHE_PARTS = 600_000
+#: Texts encoded at a time, in bytes (one longer text is encoded alone); new
+#: parts learned at a time, in characters; the longest part learned side by
+#: side with others (longer ones are done one by one).
+TEXT_BYTES = 2 << 20
+LEARN_CHARS = 200_000
+SIDE_BY_SIDE = 64
 _MARK = "▁"
 _LOWEST = float("-inf")
-# a space run with what follows it, or what stands before any space
-_WORDS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -79,18 +84,38 @@ class Pieces:
             self.find.add_word(plain, (len(plain), code, score))
         self.find.make_automaton()
         self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
-        # words of small letters are whole unless they hold a pair without a piece
-        letters = "abcdefghijklmnopqrstuvwxyz"
-        gaps = [a + b for a in " " + letters for b in letters if a + b not in self.pairs]
-        self.whole = re.compile(f" ?(?!.*(?:{'|'.join(gaps) or '$^'}))[a-z]+")
+        # characters of longer pieces are classes from 1, all others class 0;
+        # two classes that stand together in a piece, and the pieces' trie
+        # with edges keyed by (node, class)
+        known = sorted({c for p in self.pairs for c in p})
+        self.classes = len(known) + 1
+        self.class_of = np.zeros(0x110000, np.int32)
+        self.class_of[[ord(c) for c in known]] = np.arange(1, self.classes)
+        self.joined = np.zeros((self.classes, self.classes), bool)
+        for x, y in self.pairs:
+            self.joined[self.class_of[ord(x)], self.class_of[ord(y)]] = True
+        edges: dict[int, int] = {}
+        piece_of = {0: -1}
+        for plain, (code, _) in self.ids.items():
+            node = 0
+            for c in self.class_of[[ord(c) for c in plain]].tolist():
+                if c == 0:
+                    break
+                node = edges.setdefault(node * self.classes + c, len(edges) + 1)
+            else:
+                piece_of[node] = int.from_bytes(code, "little")
+        self.edge_keys = np.array(sorted(edges), np.int64)
+        self.edge_to = np.array([edges[k] for k in self.edge_keys.tolist()], np.int64)
+        self.piece_at = np.array([piece_of.get(k, -1) for k in range(len(edges) + 1)], np.int64)
+        self.scores = np.zeros(len(self.text))
+        for code, score in self.ids.values():
+            self.scores[int.from_bytes(code, "little")] = score
 
     def spell(self, char: str) -> bytes:
         return b"".join(self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass"))
 
     def parts(self, word: str) -> list[str]:
         """The word cut wherever no piece can go on."""
-        if self.whole.fullmatch(word):
-            return [word]
         cuts = [0, *(i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.pairs), len(word)]
         return [word[a:b] for a, b in zip(cuts, cuts[1:])]
 
@@ -134,6 +159,82 @@ class Pieces:
             place -= chosen[0]
         return best[-1], b"".join(reversed(codes)), lead
 
+    def edges(self, codes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces in many parts at once, down the trie from every
+        character: (start, length, piece).  ``codes`` are classes of
+        characters, ``left`` how many are left of the part."""
+        at, node, out = np.arange(len(codes)), np.zeros(len(codes), np.int64), []
+        for length in range(1, self.longest + 1):
+            alive = left[at] >= length
+            at, node = at[alive], node[alive]
+            key = node * self.classes + codes[at + (length - 1)]
+            place = np.minimum(np.searchsorted(self.edge_keys, key), len(self.edge_keys) - 1)
+            found = self.edge_keys[place] == key
+            at, node = at[found], self.edge_to[place[found]]
+            if not len(at):
+                break
+            piece = self.piece_at[node]
+            whole = piece >= 0
+            out.append((at[whole], np.full(int(whole.sum()), length), piece[whole]))
+        if not out:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def best_of_many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
+        """``best`` of many parts side by side: scores, leads, ids (None where
+        a character has to be spelled).  All places that are k characters into
+        their part are done in one step."""
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        ends = np.cumsum(size)
+        total, part = int(ends[-1]), np.repeat(np.arange(len(parts)), size)
+        codes = self.class_of[np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.int64)
+        at, length, piece = self.edges(codes, np.repeat(ends, size) - np.arange(total))
+        alone = np.ones(total, bool)
+        alone[at[length == 1]] = False
+        spelled = np.flatnonzero(alone)
+        at, length = np.r_[at, spelled], np.r_[length, np.ones(len(spelled), np.int64)]
+        piece = np.r_[piece, np.full(len(spelled), -1)]
+        score = np.where(piece < 0, self.spelled, self.scores[piece])
+        # a part of n characters has n + 1 places
+        first = ends - size + np.arange(len(parts))
+        source = at + part[at]
+        target = source + length
+        depth = target - first[part[at]]
+        order = np.argsort((depth * (total + len(parts) + 1) + target) * (self.longest + 1) + length)
+        source, target, piece, score, depth = source[order], target[order], piece[order], score[order], depth[order]
+        group = np.flatnonzero(np.r_[True, target[1:] != target[:-1]])
+        place = target[group]
+        best = np.zeros(total + len(parts))
+        steps = np.searchsorted(depth, np.arange(1, int(size.max()) + 2))
+        for a, b in zip(steps.tolist(), steps[1:].tolist()):
+            x, y = np.searchsorted(group, (a, b))
+            best[place[x:y]] = np.maximum.reduceat(best[source[a:b]] + score[a:b], group[x:y] - a)
+        # the shortest of the best edges into a place, and its lead there
+        gain = best[source] + score
+        tops = np.flatnonzero(gain == best[target])
+        tops = tops[np.r_[True, target[tops[1:]] != target[tops[:-1]]]]
+        chosen, gap = np.zeros(len(best), np.int64), np.zeros(len(best))
+        chosen[place] = tops
+        gain[tops] = _LOWEST
+        gap[place] = best[place] - np.maximum.reduceat(gain, group)
+        # back along the best paths, one edge of every part a step
+        which, now, lead, path = np.arange(len(parts)), first + size, np.full(len(parts), -_LOWEST), []
+        while len(which):
+            edge = chosen[now]
+            lead[which] = np.minimum(lead[which], gap[now])
+            path.append((which, piece[edge]))
+            now = source[edge]
+            going = now > first[which]
+            which, now = which[going], now[going]
+        of, ids = (np.concatenate(x) for x in zip(*reversed(path)))
+        order = np.argsort(of, kind="stable")
+        of, ids = of[order], ids[order]
+        cut = np.searchsorted(of, np.arange(len(parts) + 1))
+        spell = np.zeros(len(parts), bool)
+        spell[of[ids < 0]] = True
+        data, cut = ids.astype("<u4").tobytes(), (4 * cut).tolist()
+        return best[first + size], lead, [None if no else data[a:b] for no, a, b in zip(spell.tolist(), cut, cut[1:])]
+
     def nbest(self, part: str, n: int) -> list[tuple[float, bytes]]:
         """The n best segmentations, best first: backward A*, in which
         ``best[place]`` is the exact score of what is still to come.  Of equal
@@ -178,7 +279,8 @@ def n_highest(lists: list[list[tuple[float, bytes]]], n: int):
 
 
 class Encoder:
-    """Keeps the n best of words it has met (up to a bound)."""
+    """Keeps the best segmentation of parts it has met (up to a bound), and
+    the n best of those parts whose second choice was wanted."""
 
     def __init__(self, path: str, n: int = NBEST) -> None:
         self.pieces, self.n = Pieces(path), n
@@ -186,66 +288,94 @@ class Encoder:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.part_best: dict[str, tuple] = {}
-        self.word: list[str] = []
-        self.first: list[bytes] = []
-        self.score, self.lead = array("d"), array("d")
+        self.part: list[str] = []
+        self.size, self.start = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
+        self.score, self.lead = np.zeros(0), np.zeros(0)
         self.more: dict[int, list[tuple[float, bytes]]] = {}
 
-    def _learn(self, word: str) -> None:
-        score, codes, lead = 0.0, [], -_LOWEST
-        for part in self.pieces.parts(word):
-            got = self.part_best.get(part)
-            if got is None:
-                got = self.part_best[part] = self.pieces.best(part)
-            score += got[0]
+    def _learn(self, parts: list[str]) -> None:
+        many = [p for p in parts if 1 < len(p) <= SIDE_BY_SIDE]
+        rest = [p for p in parts if not 1 < len(p) <= SIDE_BY_SIDE]
+        scores, leads, codes = self.pieces.best_of_many(many) if many else (np.zeros(0), np.zeros(0), [])
+        scores, leads = scores.tolist(), leads.tolist()
+        for i, c in enumerate(codes):
+            if c is None:
+                codes[i] = self.pieces.best(many[i])[1]
+        for p in rest:
+            got = self.pieces.best(p)
+            scores.append(got[0])
             codes.append(got[1])
-            lead = min(lead, got[2])
-        self.place[word] = len(self.word)
-        self.word.append(word)
-        self.first.append(codes[0] if len(codes) == 1 else b"".join(codes))
-        self.score.append(score)
-        self.lead.append(lead)
+            leads.append(got[2])
+        size = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        self.place.update(zip(many + rest, range(len(self.part), len(self.part) + len(parts))))
+        self.part += many + rest
+        self.start = np.r_[self.start, np.cumsum(size) - size + len(self.flat)]
+        self.size = np.r_[self.size, size]
+        self.flat = np.r_[self.flat, np.frombuffer(b"".join(codes), "<u4")]
+        self.score, self.lead = np.r_[self.score, scores], np.r_[self.lead, leads]
 
     def choices(self, at: int) -> list[tuple[float, bytes]]:
-        """The n best of a word; searched only for words whose second choice
-        may be wanted."""
+        """The n best of a part; searched only where they may be wanted."""
         got = self.more.get(at)
         if got is None:
-            lists = [self.pieces.nbest(part, self.n) for part in self.pieces.parts(self.word[at])]
-            got = self.more[at] = [(s, b"".join(x[1] for x in pick)) for s, pick in n_highest(lists, self.n)]
+            got = self.more[at] = self.pieces.nbest(self.part[at], self.n)
         return got
 
+    def _places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The parts of all texts, one after the other, and where each text's
+        begin."""
+        spaced = [" " + t if t else "" for t in texts]
+        whole = "".join(spaced)
+        chars = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")
+        codes = self.pieces.class_of[chars]
+        cut = np.ones(len(chars), bool)
+        cut[1:] = ~self.pieces.joined[codes[:-1], codes[1:]]
+        begins = np.cumsum([0] + [len(t) for t in spaced])
+        cut[begins[:-1][begins[:-1] < len(chars)]] = True
+        width = 1 + (chars >= 0x80).astype(np.int64) + (chars >= 0x800) + (chars >= 0x10000)
+        cuts = np.flatnonzero(cut)
+        offsets = np.r_[np.r_[0, np.cumsum(width)][cuts], width.sum()].astype(np.int32)
+        parts = pa.StringArray.from_buffers(
+            len(cuts), pa.py_buffer(offsets), pa.py_buffer(whole.encode("utf-8", "surrogatepass"))).dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
+        new, held, chars_held = [p for p in distinct if p not in self.place], [], 0
+        for p in new:
+            held.append(p)
+            chars_held += len(p)
+            if chars_held > LEARN_CHARS:
+                self._learn(held)
+                held, chars_held = [], 0
+        if held:
+            self._learn(held)
+        place = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        return place[parts.indices.to_numpy(zero_copy_only=False)], np.searchsorted(cuts, begins)
+
     def encode(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
         """For each text its n best (score, ids as 32-bit little-endian)."""
         if len(self.place) > CACHE_PARTS:
             self._forget()
-        find, words, places = self.place.get, [_WORDS.findall(" " + t) if t else [] for t in texts], []
-        for ws in words:
-            at = list(map(find, ws))
-            if None in at:
-                for w in set(ws):
-                    if w not in self.place:
-                        self._learn(w)
-                at = list(map(find, ws))
-            places.append(at)
-        score, lead = np.array(self.score), np.array(self.lead)
+        at, begins = self._places(texts)
+        size, score, lead = self.size[at], self.score[at], self.lead[at]
+        ends = np.r_[0, np.cumsum(size)]
+        data = self.flat[np.arange(ends[-1]) + np.repeat(self.start[at] - ends[:-1], size)].tobytes()
         out = []
-        for at in places:
-            codes = list(map(self.first.__getitem__, at))
-            ids = np.array(at, np.int64)
-            total, leads = float(score[ids].sum()), lead[ids]
-            # only the n - 1 words of smallest lead can differ from the best
-            near = np.argsort(leads, kind="stable")[:self.n - 1] if len(at) < 64 else np.argpartition(
+        for a, b in zip(begins.tolist(), begins[1:].tolist()):
+            leads, codes = lead[a:b], data[4 * ends[a]:4 * ends[b]]
+            # only the n - 1 parts of smallest lead can differ from the best
+            near = np.argsort(leads, kind="stable")[:self.n - 1] if b - a < 64 else np.argpartition(
                 leads, self.n - 1)[:self.n - 1]
             near = sorted(int(i) for i in near if leads[i] < -_LOWEST)
-            lists = [self.choices(at[i]) for i in near]
-            rest = total - sum(x[0][0] for x in lists)
+            lists = [self.choices(int(at[a + i])) for i in near]
+            rest = float(score[a:b].sum()) - sum(x[0][0] for x in lists)
+            spans = [(4 * int(ends[a + i] - ends[a]), 4 * int(ends[a + i + 1] - ends[a])) for i in near]
             found = []
             for s, pick in n_highest(lists, self.n):
-                for i, x in zip(near, pick):
-                    codes[i] = x[1]
-                found.append((s + rest, b"".join(codes)))
+                done, patched = 0, []
+                for (x, y), choice in zip(spans, pick):
+                    patched += [codes[done:x], choice[1]]
+                    done = y
+                found.append((s + rest, b"".join([*patched, codes[done:]])))
             out.append(found)
         return out
 
@@ -265,25 +395,7 @@ def _lists(groups: list[list], kind: pa.DataType) -> pa.ListArray:
 def encode(docs: DataFrame, n: int = NBEST, path: str | None = None) -> DataFrame:
     """(doc_id, ids, score, nbest): ids and score of the best segmentation,
     and the n best as structs of score and ids."""
-    path = path or model_path()
-
-    def run(batches):
-        coder = Encoder(path, n)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                batch = whole.slice(at, 200)
-                texts = [t.as_py() for t in batch.column(1)]
-                found = coder.encode([t or "" for t in texts])
-                rows = [{"doc_id": d, "ids": None if t is None else np.frombuffer(f[0][1], "<i4"),
-                         "score": None if t is None else f[0][0],
-                         "nbest": None if t is None else [{"score": s, "ids": np.frombuffer(c, "<i4")} for s, c in f]}
-                        for d, t, f in zip(batch.column(0).to_pylist(), texts, found)]
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
-    pair = pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))])
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("score", pa.float64()),
-                        ("nbest", pa.list_(pair))])
-    return columns_or_null(docs, doc_id="long", text="string").mapInArrow(
-        run, "doc_id long, ids array<int>, score double, nbest array<struct<score:double,ids:array<int>>>")
+    return summary(docs, n, path, with_ids=True).select("doc_id", "ids", "score", "nbest")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -316,8 +428,7 @@ def summary(docs: DataFrame, n: int = NBEST, path: str | None = None, with_ids:
     def run(batches):
         coder = Encoder(path, n)
         for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                batch = whole.slice(at, 200)
+            for batch in by_bytes(whole, 1, TEXT_BYTES):
                 texts = [t.as_py() for t in batch.column(1)]
                 found = coder.encode([t or "" for t in texts])
                 back = [coder.decode(f[0][1]) for f in found]
