@@ -50,6 +50,32 @@ def test_held_out_accuracy_and_stage(spark):
     assert noisy[k - 1] == draw.kth
 
 
+def test_drawn_frequencies_follow_the_weights(spark):
+    # 6,000 draws of one of four rows by the operator's noise and order
+    weights = [0.0, 1.0, 2.0, -1.0]
+    rows = (spark.range(24_000).withColumn("text", F.lit("x"))
+            .withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("id") % 4 + 1).cast("int")))
+            .withColumn("noise", classifier.gumbel(F.col("id"), F.col("text"), 5)))
+    won = (rows.groupBy(F.floor(F.col("id") / 4).alias("g")).agg(F.max_by(F.col("id") % 4, classifier.noisy()).alias("i"))
+           .groupBy("i").count().collect())
+    share = np.exp(weights) / np.exp(weights).sum()
+    assert np.allclose([dict(map(tuple, won))[i] / 6000 for i in range(4)], share, atol=0.02)
+
+
+def test_share_seed_and_temperature(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    def drawn(**options):
+        return {r.doc_id for r in classifier.classified(docs, labels, buckets=4096, **options).filter("kept").collect()}
+    n = docs.count()
+    one, again, other = (drawn(share=0.4, seed=s, temperature=60.0) for s in (1, 1, 2))
+    assert one == again != other and len(one) == len(other) == round(0.4 * n)
+    assert drawn(share=0.0) == set() and len(drawn(share=1.0)) == n
+    # the hotter the draw, the further it is from the rows of largest weight
+    scored = classifier.classified(docs, labels, share=0.4, buckets=4096).toPandas()
+    top = set(scored.sort_values("log_weight").doc_id[-round(0.4 * n):])
+    assert len(one & top) < len(set(scored[scored.kept].doc_id) & top)
+
+
 def test_odd_rows(spark):
     rows = [(1, "good text here " * 9, "x", 0.0), (1, "good text here " * 9, "x", 0.0), (None, None, None, None), (2, "", "x", 0.0),
             (None, "bad words", "x", 0.0)]

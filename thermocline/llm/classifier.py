@@ -7,11 +7,10 @@ without replacement in proportion to their weights by Gumbel top-k: add
 Gumbel noise to the log weight, keep the k largest.
 
 Log weights are scaled to a fixed length (the mean per n-gram times
-``LENGTH``), so that long documents do not rank by length.  k is the number
-of documents whose log weight reaches a threshold fitted on the labels
-(``KEEP_GOOD`` of the labelled good rows lie above it); the noise of about one
-nat then only matters close to the kth weight, so clean documents are not lost
-to chance.
+``LENGTH``), so that long documents do not rank by length, and divided by a
+temperature: the higher, the more chance decides.  k is a share of all rows,
+or the number of documents whose log weight reaches a threshold fitted on the
+labels (``KEEP_GOOD`` of the labelled good rows lie above it).
 
 The raw model counts all rows.  The target model and the threshold are fitted
 on at most ``FIT_ROWS`` labelled good documents (those of smallest id hash;
@@ -42,6 +41,8 @@ KEEP_GOOD = 0.995
 #: Labelled good documents that model and threshold are fitted on, at most.
 FIT_ROWS = 20_000
 LENGTH = 256
+#: Log weights are divided by it: 1 draws by the models' own ratio for LENGTH n-grams.
+TEMPERATURE = 8.0
 SEED = 11
 _UNIT = 1 << 20  # fixed point of noisy weights
 
@@ -74,15 +75,16 @@ def _with_roles(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
 class Model:
     """Log weight per bucket (target against raw)."""
     gains: np.ndarray
+    temperature: float = TEMPERATURE
 
     def mean(self, text: str | None) -> tuple[int, float]:
         """Number of n-grams, log weight scaled to LENGTH n-grams (short
-        texts are shrunk towards 0)."""
+        texts are shrunk towards 0) and divided by the temperature."""
         g = grams(text, len(self.gains))
-        return len(g), float(self.gains[g].sum()) * LENGTH / (len(g) + 10)
+        return len(g), float(self.gains[g].sum()) * LENGTH / (len(g) + 10) / self.temperature
 
 
-def train(rows: DataFrame, buckets: int = BUCKETS) -> Model | None:
+def train(rows: DataFrame, buckets: int = BUCKETS, temperature: float = TEMPERATURE) -> Model | None:
     """Raw counts over all rows, target counts over role 1: dense arrays per
     task, summed by bucket on the executors; the driver gets ``buckets``
     numbers of each."""
@@ -119,7 +121,7 @@ def train(rows: DataFrame, buckets: int = BUCKETS) -> Model | None:
     # it has seen little
     p_raw = (raw + 0.5) / (raw.sum() + 0.5 * buckets)
     p_good = (good + SMOOTHING * buckets * p_raw) / (good.sum() + SMOOTHING * buckets)
-    return Model((np.log(p_good) - np.log(p_raw)).astype(np.float32))
+    return Model((np.log(p_good) - np.log(p_raw)).astype(np.float32), temperature)
 
 
 @dataclass
@@ -127,6 +129,7 @@ class Draw:
     """A fitted classifier: the model and the kth noisy weight."""
     model: Model | None
     kth: int | None
+    seed: int = SEED
 
     def keeps(self, weight: str = "weight", noise: str = "noise") -> Column:
         """Verdict over the columns of log weight and noise."""
@@ -137,19 +140,22 @@ def noisy(weight: str = "weight", noise: str = "noise") -> Column:
     return F.floor((F.col(weight) + F.col(noise)) * _UNIT).cast("long")
 
 
-def gumbel(doc_id: Column, text: Column) -> Column:
-    h = F.coalesce(F.xxhash64(doc_id, F.lit(SEED + 2)), F.lit(0)).bitwiseXOR(
-        F.when(doc_id.isNull(), F.xxhash64(text)).otherwise(F.lit(0)))
+def gumbel(doc_id: Column, text: Column, seed: int = SEED) -> Column:
+    h = F.coalesce(F.xxhash64(doc_id, F.lit(seed + 2)), F.lit(0)).bitwiseXOR(
+        F.when(doc_id.isNull(), F.xxhash64(text, F.lit(seed + 2))).otherwise(F.lit(0)))
     u = (F.shiftrightunsigned(h, 12) + 0.5) / float(1 << 52)
     return -F.log(-F.log(u))
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, keep_good: float = KEEP_GOOD,
-        buckets: int = BUCKETS) -> tuple[Draw, DataFrame]:
+        buckets: int = BUCKETS, share: float | None = None, temperature: float = TEMPERATURE,
+        seed: int = SEED) -> tuple[Draw, DataFrame]:
     """The fitted classifier and the staged narrow table it was fitted on:
-    (doc_id, n_grams, weight, noise) of every row."""
+    (doc_id, n_grams, weight, noise) of every row.  ``share`` of all rows are
+    drawn; where it is None, as many as reach the threshold that
+    ``keep_good`` of the labelled good rows reach."""
     rows = _with_roles(docs, labels, fit_rows)
-    model = train(rows, buckets)
+    model = train(rows, buckets, temperature)
 
     def run(batches):
         for batch in batches:
@@ -158,16 +164,20 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, keep_good:
                 [batch.column(0), batch.column(2), pa.array([n for n, _ in got], pa.int64()),
                  pa.array([w for _, w in got], pa.float64()), batch.column(3)],
                 names=["doc_id", "role", "n_grams", "weight", "noise"])
-    scored = staged(rows.select("doc_id", "text", "role", gumbel(F.col("doc_id"), F.col("text")).alias("noise"))
+    scored = staged(rows.select("doc_id", "text", "role", gumbel(F.col("doc_id"), F.col("text"), seed).alias("noise"))
                     .mapInArrow(run, "doc_id long, role int, n_grams long, weight double, noise double"),
                     "weights")
-    marks = [r[0] for r in scored.filter("role = 2").select("weight").collect()]
-    if model is None or not marks:
-        return Draw(model, None), scored
-    threshold = float(np.quantile(marks, 1 - keep_good))
-    k, lo, hi = scored.agg(F.count_if(F.col("weight") >= threshold), F.min(noisy()), F.max(noisy())).first()
-    kth, _ = kth_largest(scored.select(noisy().alias("v")), "v", k, lo, hi) if k else (hi + 1, 0)
-    return Draw(model, kth), scored
+    # one weight per id, so at most fit_rows numbers even if ids repeat
+    marks = [r[0] for r in scored.filter("role = 2").groupBy("doc_id").agg(F.min("weight")).select(
+        "min(weight)").collect()]
+    if model is None or not (marks or share is not None):
+        return Draw(model, None, seed), scored
+    threshold = float(np.quantile(marks, 1 - keep_good)) if marks else 0.0
+    rows_in, k, lo, hi = scored.agg(F.count("*"), F.count_if(F.col("weight") >= threshold), F.min(noisy()),
+                                    F.max(noisy())).first()
+    k = k if share is None else round(share * rows_in)
+    kth, _ = kth_largest(scored.select(noisy().alias("v")), "v", k, lo, hi) if k else ((hi or 0) + 1, 0)
+    return Draw(model, kth, seed), scored
 
 
 def classified(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -189,5 +199,5 @@ def resample(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
         return pd.Series([model.mean(t)[1] for t in texts], dtype="float64")
 
     w, z = fresh(docs, "weight"), fresh(docs, "noise")
-    return (docs.withColumn(w, weight("text")).withColumn(z, gumbel(F.col("doc_id"), F.col("text")))
+    return (docs.withColumn(w, weight("text")).withColumn(z, gumbel(F.col("doc_id"), F.col("text"), draw.seed))
             .filter(draw.keeps(w, z)).select(*docs.columns))
