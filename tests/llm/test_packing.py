@@ -85,3 +85,14 @@ def test_little_padding():
     while len(sizes) < packing.BATCH:
         sizes += [n for _, n in packing.cut(int(r.lognormvariate(6.8, 1)) + 1) if n < packing.WINDOW]
     assert sum(sizes) / packing.WINDOW / len(packing.windows(sizes)) > 0.97
+
+
+def test_slices_by_bytes():
+    import pyarrow as pa
+
+    from thermocline.llm.common import by_bytes
+    texts = ["a" * 10, None, "", "b" * 100, "é" * 3, None, "c" * 5, "d" * 5]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    got = [part.column(0).to_pylist() for part in by_bytes(batch, 0, 16)]
+    assert sum(got, []) == texts and all(len(g) == 1 or sum(len((t or "").encode()) for t in g) <= 16 for g in got)
+    assert list(by_bytes(batch.slice(0, 0), 0, 16)) == []

@@ -55,6 +55,26 @@ def test_parts_are_cut_at_pairs_without_a_piece(model):
         assert ends == {i for i in range(1, len(word)) if word[i - 1:i + 1] not in model.pairs}
 
 
+def test_parts_side_by_side_are_those_alone(model):
+    r = random.Random(8)
+    words = ["".join(r.choices("abcdeinrst é'.AT", k=r.randint(2, 64))) for _ in range(2000)]
+    words += ["a" * k for k in range(2, 65)] + ["🙂a", "x🙂", " the", "日本語", "ing tion", "ﬁx"]
+    parts = [p for w in words for p in model.parts(w) if len(p) > 1]
+    assert len(parts) > 2000
+    scores, leads, codes = model.best_of_many(parts)
+    for part, score, lead, code in zip(parts, scores, leads, codes):
+        want = model.best(part)
+        assert (score, lead) == (want[0], want[2]) and code in (None, want[1])
+        assert code is not None or any(c not in model.ids for c in part)
+
+
+def test_long_parts_and_long_texts():
+    coder, texts = pieces.Encoder(pieces.model_path()), ["a" * 20_000, "x " * 50_000, "the end. " * 30_000]
+    for text, found in zip(texts, coder.encode(texts)):
+        assert len(found) == 3 and all(coder.decode(c) == text for _, c in found)
+        assert found[0][0] >= found[1][0] >= found[2][0]
+
+
 def test_n_highest_sums():
     r = random.Random(1)
     for _ in range(30):

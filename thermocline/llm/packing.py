@@ -23,7 +23,8 @@ special token, which holds no white space, becomes that token's id wherever it
 stands in a word.
 
 Defined results: a null or empty text is the end id alone; null ids and
-repeated rows are packed like others; an empty table gives no pieces; other
+repeated rows are packed like others; a very long text fills whole windows
+first, none of it is dropped; an empty table gives no pieces; other
 columns are not read."""
 
 from __future__ import annotations

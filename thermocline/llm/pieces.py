@@ -20,8 +20,9 @@ front, and a character without a piece is spelled in byte pieces, at 10 below
 the lowest piece score in all.  Decoding gives back the exact text.
 
 Defined results: a null text has null ids, an empty text none; null ids and
-repeated rows are encoded like others; an empty table gives an empty result;
-other columns are not read.  Segmentations of equal score follow in the order
+repeated rows are encoded like others; a very long text is encoded whole, by
+itself; an empty table gives an empty result; other columns are not read.
+Segmentations of equal score follow in the order
 the search finds them, which depends on the part alone."""
 
 from __future__ import annotations
@@ -181,9 +182,10 @@ class Pieces:
         return tuple(np.concatenate(x) for x in zip(*out))
 
     def best_of_many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
-        """``best`` of many parts side by side: scores, leads, ids (None where
-        a character has to be spelled).  All places that are k characters into
-        their part are done in one step."""
+        """``best`` of many parts of two or more characters (as ``parts`` cuts
+        them, so every character is one of a longer piece) side by side:
+        scores, leads, ids (None where a character has to be spelled).  All
+        places that are k characters into their part are done in one step."""
         size = np.fromiter(map(len, parts), np.int64, len(parts))
         ends = np.cumsum(size)
         total, part = int(ends[-1]), np.repeat(np.arange(len(parts)), size)
