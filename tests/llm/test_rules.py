@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -48,6 +49,18 @@ def test_features_and_base_verdict(spark):
     assert all(not r.kept for r in got.collect() if r.base_failed)
 
 
+def test_every_feature_of_every_row(spark):
+    """Also those of rows that an early rule rejects."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts())], "doc_id long, text string").repartition(3)
+    got = rules.audited(df)
+    assert got.columns == ["doc_id", *rules.FEATURES, "base_failed", "kept"]
+    for r in got.collect():
+        text = texts()[r.doc_id] or ""
+        kinds = [unicodedata.category(c) for c in text]
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r.n_upper, r.n_letters, r.n_lines) == (kinds.count("Lu"), sum(k[0] == "L" for k in kinds), len(lines))
+
+
 def test_verdict_does_not_depend_on_the_order(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts())], "doc_id long, text string")
     kept = {r.doc_id for r in rules.audited(df).filter("kept").collect()}
