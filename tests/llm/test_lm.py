@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from thermocline.llm import lm
@@ -51,6 +52,30 @@ def test_counts_are_those_of_every_bit():
     assert all((a == b).all() for a, b in zip(counts.tables, tables))
 
 
+@pytest.mark.parametrize("share", [0.6, 0.02, 0.0005, 1.0])
+def test_blobs_are_exact_and_small(share):
+    """What a task sends of a segment: mostly two bytes a slot, wide counts
+    and far slots included."""
+    r = np.random.default_rng(5)
+    used = np.flatnonzero(r.random(lm.SEGMENT) < share)
+    used = np.union1d(used, [0, 255, 256, 65535])
+    zeros, ones = r.integers(0, 8, (2, len(used)))
+    for most in (14, 15, (1 << 32) - 1, 1 << 32, 1 << 40):
+        zeros[1], ones[-1] = most, most
+        blob = lm._blob(3, 1, used, zeros, ones)
+        got = lm._unblob(*(blob.column(c)[0].as_py() for c in ("gaps", "small", "large")))
+        assert all((x == y).all() and len(x) == len(y) for x, y in zip(got, (used, zeros, ones)))
+        assert blob.nbytes < 2 * len(used) + 512
+
+
+def test_a_task_sends_each_triple_once():
+    texts = ["".join(f"{i * 7919 % 9973} " for i in range(n, n + 150_000)) for n in (0, 5, 9)]
+    out = pa.Table.from_batches(lm._count_tokens([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
+    kind, key, n = (c.to_numpy() for c in out.columns)
+    assert len(set(key[kind == 1])) == (kind == 1).sum()
+    assert n[kind == 1].sum() == sum(len(b" ".join(lm.tokens(t))) + 1 for t in texts)
+
+
 @pytest.mark.parametrize("prefix", [b"", b"the c", b"q\xc3", b"the cat sat on the mat. " * 40])
 def test_next_byte_probabilities_sum_to_one(prefix):
     code, counts, _ = trained(TEXTS)

@@ -31,6 +31,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,12 @@ SEGMENT = 1 << 16
 FAN = 64  # tasks whose counts are summed at once
 BLOCK = 256
 ROUND = 16 * BLOCK
-LANES = 32
+LANES = 64
+BATCH = 512
 HEAD = 1 << 19
+PIECE = 1 << 15  # pairs whose bits are in hand at once
+HELD = 1 << 20  # bytes whose equal contexts are counted together
+KEPT = 300_000  # words of a task whose counts are kept at hand
 _SCALE = 16.0  # steps of a logit in a table byte
 _GATES = 12
 _BINS = 33
@@ -128,13 +133,21 @@ class Code:
         self.mark = self.bit | deep << 1  # the bit and how deep it lies: 0, 1, further
 
     def spell(self, before: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(bits per byte, place in the flat path arrays of every bit);
+        """(the byte of every bit, the bit's place in the flat path arrays);
         ``before``: the two bytes before as one number."""
-        symbol = self.tree[before] << 8 | data
-        n = self.length[symbol]
-        ends = np.cumsum(n, dtype=np.int32)
-        at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat(self.start[symbol] - (ends - n), n)
-        return n, at
+        symbol = self.tree.take(before).astype(np.intp)
+        symbol <<= 8
+        symbol |= data
+        n = self.length.take(symbol, mode="clip")
+        ends = np.cumsum(n, dtype=np.intp)
+        next_byte = np.zeros(int(ends[-1]) if len(ends) else 0, np.int8)
+        next_byte[ends[:-1]] = 1  # every path has a bit
+        of = np.cumsum(next_byte, dtype=np.intp)
+        first = self.start.take(symbol, mode="clip") - ends
+        first += n
+        at = first.take(of, mode="clip")
+        at += np.arange(len(at), dtype=np.intp)
+        return of, at
 
 
 def _code(tables: dict) -> Code:
@@ -164,22 +177,27 @@ class Contexts:
         return before, [*hashed, self.of_words(data, starts)]
 
     def of_bytes(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Before a chunk lie newlines."""
-        n, reach = len(data), max(BYTES)
-        h, hashed, before = np.zeros(n, np.uint32), [], []
-        for k in range(1, reach + 1):
-            last = np.full(n, 10, np.uint8)
-            last[k:] = data[:max(0, n - k)]
-            for ahead in range(k):  # a chunk's first bytes do not see the chunk before
-                last[(starts + ahead)[starts + ahead < n]] = 10
-            h += last
+        h, hashed = np.zeros(len(data), np.uint32), []
+        wide = data.astype(np.uint32)
+        for k in range(1, max(BYTES) + 1):
+            h += self.back_by(k, wide, starts)
             h += np.uint32(1)
             h *= np.uint32(0x9E3779B1)
             if k in BYTES:
                 hashed.append(h ^ (h >> np.uint32(15)))
-            if k <= 2:
-                before.append(last)
-        return before[1].astype(np.uint16) << np.uint16(8) | before[0], hashed
+        return self.two_before(data, starts), hashed
+
+    def back_by(self, k: int, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The byte ``k`` places before each; before a chunk lie newlines."""
+        n = len(data)
+        last = np.full(n, 10, data.dtype)
+        last[k:] = data[:max(0, n - k)]
+        for ahead in range(k):  # a chunk's first bytes do not see the chunk before
+            last[(starts + ahead)[starts + ahead < n]] = 10
+        return last
+
+    def two_before(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        return self.back_by(2, data, starts).astype(np.uint16) << np.uint16(8) | self.back_by(1, data, starts)
 
     def of_words(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The word so far; it begins anew every ``WORD`` bytes."""
@@ -189,16 +207,22 @@ class Contexts:
             inverse = np.full(n, pow(_RATIO, -1, 1 << 64), np.uint64)
             ratio[0] = inverse[0] = 1
             self.power, self.back = np.multiply.accumulate(ratio), np.multiply.accumulate(inverse)
-        place = np.arange(n, dtype=np.int32)
-        word = np.zeros(n, np.int32)
-        after = np.flatnonzero((data[:-1] == 32) | (data[:-1] == 10)) + 1
-        word[after] = after
-        word[starts] = starts
-        np.maximum.accumulate(word, out=word)
-        word = place - (place - word) % WORD
-        sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.power[:n])
-        sums = np.r_[np.uint64(0), sums[:-1]]
-        prefix = ((sums - sums[word]) * self.back[word] * _ODD >> np.uint64(32)).astype(np.uint32)
+        begins = (data == 32) | (data == 10)
+        begins[1:] = begins[:-1]
+        begins[starts] = True
+        begins = np.flatnonzero(begins)
+        size = np.diff(begins, append=n)
+        word = np.repeat(begins, size)
+        place = np.arange(n)
+        if size.max(initial=0) > WORD:
+            word = place - (place - word) % WORD
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * self.power[:n], out=sums[1:])
+        prefix = sums[:-1] - sums.take(word, mode="clip")
+        prefix *= self.back.take(word, mode="clip")
+        prefix *= _ODD
+        prefix >>= np.uint64(32)
+        prefix = prefix.astype(np.uint32)
         return prefix ^ (prefix >> np.uint32(15))
 
 
@@ -213,65 +237,78 @@ def chunks(data: bytes, size: int):
         yield data[begin:at + size], at - begin
 
 
-def _slots(context: np.ndarray, n: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    h = np.repeat(context, n)
+def _slots(context: np.ndarray, of: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
+    """Slot of each bit; ``of``: where its byte's context stands."""
+    h = context.take(of, mode="clip")
     h ^= node
     h *= np.uint32(0xC2B2AE35)
     h >>= np.uint32(32 - bits)
-    return h.view(np.int32)
+    return h.astype(np.intp)
 
 
 class BitCounts:
     """Counts of zeros and ones per slot of every context.  Equal (context,
-    byte) pairs are counted first, so that only different ones are spelled;
-    for the word context those are the different words."""
+    byte) pairs of about ``HELD`` bytes are counted first, so that only
+    different ones are spelled."""
 
     def __init__(self, code: Code) -> None:
         self.code, self.contexts = code, Contexts()
         self.tables = [np.zeros(2 << b, np.int32) for b in TABLE_BITS]
-        self.words: Counter[bytes] = Counter()
+        self.held: list[tuple[bytes, int]] = []
+        self.size = 0
 
     def add_text(self, words: list[bytes]) -> None:
-        """The word context of a text: each word with the two bytes before it
-        and its end."""
-        if not words:
-            return self.words.update((b"\n\n\n",))
-        first, rest = words[0], words[1:]
-        self.words[b"\n\n" + first + (b" " if rest else _END)] += 1
-        before = [b"%c " % w[-1] for w in words[:-1]]
-        ends = [b" "] * (len(rest) - 1) + [_END]
-        self.words.update(map(b"".join, zip(before, rest, ends)))
-        if len(self.words) > 300_000:
-            self._spell_words()
+        """The word context of a text."""
+        for part in chunks(b" ".join(words) + _END, HELD):
+            self.held.append(part)
+            self.size += len(part[0])
+            if self.size >= HELD:
+                self._spell_words()
 
     def _spell_words(self) -> None:
-        items, self.words = list(self.words.items()), Counter()
-        for at in range(0, len(items), 8192):
-            part = items[at:at + 8192]
-            data, starts, fresh = joined([(w, 2) for w, _ in part])
-            times = np.repeat(np.array([n for _, n in part], np.int32), [len(w) for w, _ in part])
-            here = np.flatnonzero(fresh)
-            before = data[here - 2].astype(np.uint32) << np.uint32(8) | data[here - 1]
-            # two bytes of another word lie before: the context begins after them
-            word = self.contexts.of_words(data, starts + 2)
-            self._count(len(BYTES), before, data[here], word[here], times[here])
+        if self.held:
+            data, starts, fresh = joined(self.held)
+            self._pairs(len(BYTES), self.contexts.of_words(data, starts),
+                        *self._tail(self.contexts.two_before(data, starts), data, fresh))
+        self.held, self.size = [], 0
 
     def add(self, parts: list[tuple[bytes, int]]) -> None:
         """The byte contexts of chunks (bytes, of which so many are only
         context)."""
         data, starts, fresh = joined(parts)
-        here = np.flatnonzero(fresh)
         before, hashed = self.contexts.of_bytes(data, starts)
-        tail = before[here].astype(np.uint64) << np.uint64(8) | data[here]
+        tail = self._tail(before, data, fresh)
         for k, context in enumerate(hashed):
-            pairs, times = np.unique(context[here].astype(np.uint64) << np.uint64(24) | tail, return_counts=True)
-            self._count(k, (pairs >> np.uint64(8)).astype(np.uint32) & np.uint32(0xFFFF), pairs.astype(np.uint8),
-                        (pairs >> np.uint64(24)).astype(np.uint32), times.astype(np.int32))
+            self._pairs(k, context, *tail)
+
+    @staticmethod
+    def _tail(before, data, fresh) -> tuple[np.ndarray, np.ndarray]:
+        """The new bytes' places; those bytes and the two before as one number."""
+        here = np.flatnonzero(fresh)
+        tail = before.take(here).astype(np.uint64)
+        tail <<= np.uint64(8)
+        tail |= data.take(here)
+        return here, tail
+
+    def _pairs(self, k: int, context, here, tail) -> None:
+        pairs = context.take(here).astype(np.uint64)
+        pairs <<= np.uint64(24)
+        pairs |= tail
+        pairs.sort()
+        first = np.r_[0, np.flatnonzero(pairs[1:] != pairs[:-1]) + 1]
+        times = np.diff(first, append=len(pairs)).astype(np.int32)
+        pairs = pairs.take(first)
+        for at in range(0, len(pairs), PIECE):
+            part = pairs[at:at + PIECE]
+            self._count(k, (part >> np.uint64(8)).astype(np.uint16), part.astype(np.uint8),
+                        (part >> np.uint64(24)).astype(np.uint32), times[at:at + PIECE])
 
     def _count(self, k, before, data, context, times) -> None:
-        n, at = self.code.spell(before, data)
-        slot = 2 * _slots(context, n, self.code.node[at], TABLE_BITS[k]) + self.code.bit[at]
-        np.add.at(self.tables[k], slot, np.repeat(times, n))
+        of, at = self.code.spell(before, data)
+        slot = _slots(context, of, self.code.node.take(at, mode="clip"), TABLE_BITS[k])
+        slot += slot
+        slot += self.code.bit.take(at, mode="clip")
+        np.add.at(self.tables[k], slot, times.take(of, mode="clip"))
 
     def finish(self) -> BitCounts:
         self._spell_words()
@@ -283,10 +320,10 @@ class BitCounts:
         base = 0
         for table in self.tables:
             for at in range(0, len(table) // 2, SEGMENT):
-                pair = table[2 * at:2 * (at + SEGMENT)].reshape(-1, 2)
-                used = np.flatnonzero(pair.any(axis=1))
+                pair = table[2 * at:2 * (at + SEGMENT)]
+                used = np.flatnonzero(pair.view(np.int64))  # both counts of a slot
                 if len(used):
-                    yield (base + at) // SEGMENT, used, pair[used, 0], pair[used, 1]
+                    yield (base + at) // SEGMENT, used, pair[2 * used], pair[2 * used + 1]
             base += len(table) // 2
 
 
@@ -352,25 +389,36 @@ class Mixer:
         here = np.flatnonzero(fresh)
         new = np.array([len(c) - k for c, k in parts])
         # bytes in the order of their blocks, so a step is one slice
-        lane = np.repeat(np.arange(len(parts), dtype=np.int16), new)
+        lane = np.repeat(live.astype(np.intp), new)
         step = ((np.arange(len(here)) - np.repeat(np.cumsum(new) - new, new)) // BLOCK).astype(np.uint8)
         order = np.argsort(step, kind="stable")
-        here, lane, step = here[order], lane[order], step[order]
+        here, lane = here.take(order), lane.take(order)
         before, contexts = self.contexts(data, starts)
-        n, at = self.code.spell(before[here], data[here])
-        node, mark = self.code.node[at], self.code.mark[at]
+        of, at = self.code.spell(before.take(here), data.take(here))
+        node, mark = self.code.node.take(at, mode="clip"), self.code.mark.take(at, mode="clip")
         bit = (mark & np.uint8(1)).astype(np.float32)
-        logits = [table[_slots(context[here], n, node, bits)] for table, context, bits in
-                  zip(self.tables, contexts, TABLE_BITS)]
-        lane = np.repeat(live[lane].astype(np.int32), n)
-        gate = mark >> np.uint8(1)
+        place = here.take(of, mode="clip")
+        logits = [np.empty(len(at), np.int8) for _ in self.tables]
+        for out, table, context, bits in zip(logits, self.tables, contexts, TABLE_BITS):
+            for a in range(0, len(at), 2 * PIECE):
+                b = a + 2 * PIECE
+                table.take(_slots(context, place[a:b], node[a:b], bits), mode="clip", out=out[a:b])
+        deep = mark >> np.uint8(1)
         for weight, x in ((3, logits[-2]), (6, logits[-1])):
-            gate += (x != 0).view(np.uint8) * np.uint8(weight)
-        gate = lane * np.int32(_GATES) + gate
-        ends = np.searchsorted(np.repeat(step, n), np.arange(int(step[-1]) + 2))
+            deep += (x != 0).view(np.uint8) * np.uint8(weight)
+        gate = (lane * _GATES).take(of, mode="clip")
+        gate += deep
+        cells = (lane * _BINS).take(of, mode="clip")
+        came = (mark & np.uint8(1)).astype(np.intp)
+        # bytes of a lane's step, and those of a step, lie in a row
+        step = step.take(order)
+        runs = np.r_[0, np.flatnonzero((lane[1:] != lane[:-1]) | (step[1:] != step[:-1])) + 1]
+        lane, first = lane.take(runs), np.searchsorted(of, runs)
+        last = np.r_[np.flatnonzero(np.diff(step.take(runs))) + 1, len(runs)]
+        ends = np.r_[first, len(of)].take(last)
         half = np.float32(0.5)
-        for a, b in zip(ends, ends[1:]):
-            one, who, g = bit[a:b], lane[a:b], gate[a:b].astype(np.intp)
+        for a, b, i, j in zip([0, *ends[:-1]], ends, [0, *last[:-1]], last):
+            one, g = bit[a:b], gate[a:b]
             inputs = [x[a:b].astype(np.float32) for x in logits]  # in steps of a logit, as the weights are
             dot = weights[0].take(g, mode="clip")
             dot *= inputs[0]
@@ -379,9 +427,10 @@ class Mixer:
                 part *= x
                 dot += part
             np.clip(dot, -20, 20, out=dot)
-            cell = who * _BINS
-            cell += np.clip(dot + dot + np.float32(_BINS / 2), 0, _BINS - 1).astype(np.int32)
-            cell = cell.astype(np.intp)
+            where = dot + dot
+            where += np.float32(_BINS / 2)
+            cell = np.clip(where, 0, _BINS - 1, out=where).astype(np.intp)
+            cell += cells[a:b]
             p = np.exp(-dot, out=dot)
             p += 1
             np.reciprocal(p, out=p)
@@ -393,16 +442,16 @@ class Mixer:
             f += one
             f -= 1  # the probability of the bit that came, up to the sign
             cost = np.log2(np.abs(f, out=f), out=f)
-            runs = np.flatnonzero(who[1:] != who[:-1])
-            runs = np.r_[0, runs + 1]
-            total[who[runs]] -= np.add.reduceat(cost, runs, dtype=np.float64)
+            total[lane[i:j]] -= np.add.reduceat(cost, first[i:j] - a, dtype=np.float64)
             # learn the block
             error = np.subtract(one, p, out=p)
             pace = self.rate / _SCALE ** 2 / (np.bincount(g, minlength=len(weights[0])) + self.prior)
             for w, x in zip(weights, inputs):
                 x *= error
                 w += (pace * np.bincount(g, x, len(w))).astype(np.float32)
-            fell = np.bincount(2 * cell + (one > 0), minlength=2 * len(seen)).reshape(-1, 2).astype(np.float32)
+            cell += cell
+            cell += came[a:b]
+            fell = np.bincount(cell, minlength=2 * len(seen)).reshape(-1, 2).astype(np.float32)
             seen += fell[:, 0]
             seen += fell[:, 1]
             ones += fell[:, 1]
@@ -412,7 +461,7 @@ class Mixer:
 
 def _count_tokens(batches):
     """(kind, key, n): token hashes (0) and byte triples (1) of a task."""
-    words, held, size = Counter(), [], 0
+    words, held, size, merged = Counter(), [], 0, []
 
     def rows(kind, keys, n):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(keys), pa.array(n)],
@@ -427,13 +476,19 @@ def _count_tokens(batches):
             held.append(data)
             size += len(data)
             if size > 1 << 20:
-                yield rows(1, *_triples(held))
+                merged = [_summed([*merged, _triples(held)])]  # at most 2**24 triples
                 held, size = [], 0
             if len(words) > 400_000:
                 yield rows(0, word_hashes(words), np.fromiter(words.values(), np.int64))
                 words = Counter()
     yield rows(0, word_hashes(words), np.fromiter(words.values(), np.int64))
-    yield rows(1, *_triples(held))
+    yield rows(1, *_summed([*merged, _triples(held)]))
+
+
+def _summed(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of several such pairs as one."""
+    keys, back = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+    return keys, np.bincount(back, np.concatenate([n for _, n in counted]), len(keys)).astype(np.int64)
 
 
 def _triples(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -456,10 +511,10 @@ def _count_bits(code):
             for t in batch.column(0):
                 own = tokens(t.as_py())
                 counts.add_text(own)
-                for part in chunks(b" ".join(own) + _END, 1 << 20):
+                for part in chunks(b" ".join(own) + _END, HELD):
                     parts.append(part)
                     size += len(part[0])
-                    if size >= 1 << 20:
+                    if size >= HELD:
                         counts.add(parts)
                         parts, size = [], 0
         if parts:
@@ -470,27 +525,51 @@ def _count_bits(code):
     return run
 
 
+_BLOBS = "segment int, task long, gaps binary, small binary, large binary"
+
+
 def _blob(segment: int, task: int, used: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> pa.RecordBatch:
+    """Counts of the used slots, given in order.  ``gaps``: unused slots
+    before each, 255 for every 255 that lie further ahead.  ``small``: a byte
+    a slot, ones under zeros, four bits each; 255 if either is over 14 and
+    both stand in ``large``."""
+    gap = np.diff(used, prepend=-1) - 1
+    gaps = gap.astype(np.uint8)
+    if gap.max(initial=0) > 254:
+        gaps = np.full(len(gap) + int((gap // 255).sum()), 255, np.uint8)
+        gaps[np.cumsum(gap // 255 + 1) - 1] = gap % 255
+    many = np.maximum(zeros, ones) > 14
+    small = (zeros << 4 | ones).astype(np.uint8)
+    small[many] = 255
+    large = np.stack([zeros[many], ones[many]])
     # counts of one task fit 32 bits, sums of many may not
-    wide = "<u4" if max(int(zeros.max()), int(ones.max())) < 1 << 32 else "<i8"
+    large = large.astype("<u4" if large.size and int(large.max()) < 1 << 32 else "<i8")
     return pa.RecordBatch.from_arrays(
         [pa.array([segment], pa.int32()), pa.array([task], pa.int64()),
-         *[pa.array([x.astype(kind).tobytes()], pa.binary()) for x, kind in ((used, "<u2"), (zeros, wide), (ones, wide))]],
-        names=["segment", "task", "slots", "zeros", "ones"])
+         *[pa.array([x.tobytes()], pa.binary()) for x in (gaps, small, large)]],
+        names=["segment", "task", "gaps", "small", "large"])
 
 
-def _counts(raw: bytes, slots: int) -> np.ndarray:
-    return np.frombuffer(raw, "<u4" if len(raw) == 4 * slots else "<i8").astype(np.int64)
+def _unblob(gaps: bytes, small: bytes, large: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(slots, zeros, ones) of a blob, each slot once."""
+    gap = np.frombuffer(gaps, np.uint8)
+    ends = gap != 255
+    used = (np.cumsum(gap, dtype=np.int64) + np.cumsum(ends) - 1)[ends]
+    both = np.frombuffer(small, np.uint8)
+    many = np.flatnonzero(both == 255)
+    zeros, ones = (both >> 4).astype(np.int64), (both & 15).astype(np.int64)
+    zeros[many], ones[many] = np.frombuffer(large, "<u4" if len(large) == 8 * len(many) else "<i8").reshape(2, -1)
+    return used, zeros, ones
 
 
 def _merged_counts(fan: int):
     """Sums the counts of one segment from at most ``fan`` tasks."""
     def run(rows: pa.Table) -> pa.Table:
         sums = np.zeros((2, SEGMENT), np.int64)
-        for slots, zeros, ones in zip(rows["slots"], rows["zeros"], rows["ones"]):
-            at = np.frombuffer(slots.as_py(), "<u2")  # each slot once
-            sums[0, at] += _counts(zeros.as_py(), len(at))
-            sums[1, at] += _counts(ones.as_py(), len(at))
+        for blob in zip(rows["gaps"], rows["small"], rows["large"]):
+            at, zeros, ones = _unblob(*(x.as_py() for x in blob))
+            sums[0, at] += zeros
+            sums[1, at] += ones
         used = np.flatnonzero(sums.any(axis=0))
         return pa.Table.from_batches([_blob(rows["segment"][0].as_py(), rows["task"][0].as_py() // fan, used,
                                             sums[0, used], sums[1, used])])
@@ -499,45 +578,72 @@ def _merged_counts(fan: int):
 
 def _logits(batches):
     for batch in batches:
-        for segment, slots, zeros, ones in zip(*(batch.column(i) for i in (0, 2, 3, 4))):
+        for segment, *blob in zip(*(batch.column(i) for i in (0, 2, 3, 4))):
             out = np.zeros(SEGMENT, np.int8)
-            at = np.frombuffer(slots.as_py(), "<u2")
-            out[at] = logit_bytes(_counts(zeros.as_py(), len(at)), _counts(ones.as_py(), len(at)))
+            at, zeros, ones = _unblob(*(x.as_py() for x in blob))
+            out[at] = logit_bytes(zeros, ones)
             yield pa.RecordBatch.from_arrays([pa.array([segment.as_py()], pa.int32()), pa.array([out.tobytes()])],
                                              names=["segment", "logits"])
 
 
+class _Known:
+    """Words met by a task, numbered: their hashes, whether their counts are
+    at hand, and the logarithms of those."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, least: float) -> None:
+        self.keys, self.counts, self.least = keys, counts, least
+        self._clear()
+
+    def _clear(self) -> None:
+        self.ids: dict[bytes, int] = {}
+        self.hashes, self.hit, self.log = np.empty(0, np.int64), np.empty(0, bool), np.empty(0)
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word."""
+        if len(self.ids) > KEPT:
+            self._clear()
+        ids = self.ids
+        for w in set(words).difference(ids):
+            ids[w] = len(ids)
+        h = word_hashes(islice(ids, len(self.hashes), None))
+        hit, log = np.zeros(len(h), bool), np.zeros(len(h))
+        if len(self.keys):
+            place = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+            hit = self.keys[place] == h
+            log[hit] = np.log10(self.counts[place[hit]] + 1.0) - self.least
+        self.hashes, self.hit, self.log = np.r_[self.hashes, h], np.r_[self.hit, hit], np.r_[self.log, log]
+        return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+
+
 def _score(model, total: int, kinds: int):
     def run(batches):
         from pyspark import TaskContext
         code, tables, keys, counts = model.value
         mixer, uid = Mixer(_code(code), tables), TaskContext.get().partitionId() << 33
-        least = math.log10(total + kinds + 1)
+        numbered = _Known(keys, counts, math.log10(total + kinds + 1))
         for whole in batches:
-            for at in range(0, whole.num_rows, 16 * LANES):
-                batch = whole.slice(at, 16 * LANES)
+            for at in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(at, BATCH)
                 own = [tokens(t.as_py()) for t in batch.column(1)]
                 spelled = [b" ".join(t) + _END for t in own]
                 bits = mixer.bits(spelled)
-                known, base, tail, times = [], [], [], []
                 for t in own:
-                    bag = Counter(t)
-                    bag[_END] += 1
-                    h, n = word_hashes(bag), np.fromiter(bag.values(), np.int64)
-                    place = np.minimum(np.searchsorted(keys, h), len(keys) - 1) if len(keys) else np.zeros(len(h), int)
-                    hit = keys[place] == h if len(keys) else np.zeros(len(h), bool)
-                    c = counts[place[hit]] if len(keys) else n[hit]
-                    known.append(int(n[hit].sum()))
-                    base.append(float((n[hit] * (np.log10(c + 1.0) - least)).sum()))
-                    tail.append(h[~hit])
-                    times.append(n[~hit])
-                ends = pa.array(np.cumsum([0] + [len(x) for x in tail]).astype(np.int32))
+                    t.append(_END)
+                n = np.array([len(t) for t in own])
+                ids, text = numbered(list(chain.from_iterable(own))), np.repeat(np.arange(len(own)), n)
+                hit = numbered.hit[ids]
+                known = np.bincount(text, hit, len(own)).astype(np.int64)
+                base = np.bincount(text, numbered.log[ids], len(own))
+                # the other words of each text, and how often it has them
+                rest, times = np.unique(text[~hit] * len(numbered.ids) + ids[~hit], return_counts=True)
+                tail = numbered.hashes[rest % len(numbered.ids)]
+                ends = np.searchsorted(rest // len(numbered.ids), np.arange(len(own) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(uid, uid + len(own))), batch.column(0), batch.column(2),
-                    pa.array([len(t) + 1 for t in own], pa.int64()), pa.array(known, pa.int64()), pa.array(base),
+                    pa.array(n, pa.int64()), pa.array(known), pa.array(base),
                     pa.array(bits * -math.log10(2)), pa.array([len(x) for x in spelled], pa.int64()),
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(tail))),
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(times)))],
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(tail)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(times))],
                     names=["uid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "n_bytes", "tail", "times"])
                 uid += len(own)
     return run
@@ -558,12 +664,11 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
     code = Code(triples["key"].to_numpy(), triples["n"].to_numpy())
     sc = spark.sparkContext
     # counts of the hashed contexts: sums by segment, over FAN tasks at a time
-    blobs = "segment int, task long, slots binary, zeros binary, ones binary"
-    counted = training.mapInArrow(_count_bits(sc.broadcast(code.__dict__)), blobs)
+    counted = training.mapInArrow(_count_bits(sc.broadcast(code.__dict__)), _BLOBS)
     tasks = training.rdd.getNumPartitions()
     while True:
         counted = counted.groupBy("segment", F.floor(F.col("task") / FAN).alias("group")).applyInArrow(
-            _merged_counts(FAN), blobs)
+            _merged_counts(FAN), _BLOBS)
         tasks = -(-tasks // FAN)
         if tasks <= 1:
             break
