@@ -31,7 +31,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +53,6 @@ BATCH = 512
 HEAD = 1 << 19
 PIECE = 1 << 15  # pairs whose bits are in hand at once
 HELD = 1 << 20  # bytes whose equal contexts are counted together
-KEPT = 300_000  # words of a task whose counts are kept at hand
 _SCALE = 16.0  # steps of a logit in a table byte
 _GATES = 12
 _BINS = 33
@@ -586,33 +585,14 @@ def _logits(batches):
                                              names=["segment", "logits"])
 
 
-class _Known:
-    """Words met by a task, numbered: their hashes, whether their counts are
-    at hand, and the logarithms of those."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, least: float) -> None:
-        self.keys, self.counts, self.least = keys, counts, least
-        self._clear()
-
-    def _clear(self) -> None:
-        self.ids: dict[bytes, int] = {}
-        self.hashes, self.hit, self.log = np.empty(0, np.int64), np.empty(0, bool), np.empty(0)
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word."""
-        if len(self.ids) > KEPT:
-            self._clear()
-        ids = self.ids
-        for w in set(words).difference(ids):
-            ids[w] = len(ids)
-        h = word_hashes(islice(ids, len(self.hashes), None))
-        hit, log = np.zeros(len(h), bool), np.zeros(len(h))
-        if len(self.keys):
-            place = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            hit = self.keys[place] == h
-            log[hit] = np.log10(self.counts[place[hit]] + 1.0) - self.least
-        self.hashes, self.hit, self.log = np.r_[self.hashes, h], np.r_[self.hit, hit], np.r_[self.log, log]
-        return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+def _at_hand(h: np.ndarray, keys: np.ndarray, counts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of token hashes: whether their counts are at hand, the logarithms of those."""
+    hit, log = np.zeros(len(h), bool), np.zeros(len(h))
+    if len(keys):
+        place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        hit = keys[place] == h
+        log[hit] = np.log10(counts[place[hit]] + 1.0) - least
+    return hit, log
 
 
 def _score(model, total: int, kinds: int):
@@ -620,7 +600,7 @@ def _score(model, total: int, kinds: int):
         from pyspark import TaskContext
         code, tables, keys, counts = model.value
         mixer, uid = Mixer(_code(code), tables), TaskContext.get().partitionId() << 33
-        numbered = _Known(keys, counts, math.log10(total + kinds + 1))
+        least = math.log10(total + kinds + 1)
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)
@@ -630,14 +610,16 @@ def _score(model, total: int, kinds: int):
                 for t in own:
                     t.append(_END)
                 n = np.array([len(t) for t in own])
-                ids, text = numbered(list(chain.from_iterable(own))), np.repeat(np.arange(len(own)), n)
-                hit = numbered.hit[ids]
-                known = np.bincount(text, hit, len(own)).astype(np.int64)
-                base = np.bincount(text, numbered.log[ids], len(own))
+                text = np.repeat(np.arange(len(own)), n)
+                words, word = np.unique(word_hashes(chain.from_iterable(own)), return_inverse=True)
+                hit, log = _at_hand(words, keys, counts, least)
+                known = np.bincount(text, hit[word], len(own)).astype(np.int64)
+                base = np.bincount(text, log[word], len(own))
                 # the other words of each text, and how often it has them
-                rest, times = np.unique(text[~hit] * len(numbered.ids) + ids[~hit], return_counts=True)
-                tail = numbered.hashes[rest % len(numbered.ids)]
-                ends = np.searchsorted(rest // len(numbered.ids), np.arange(len(own) + 1)).astype(np.int32)
+                rest = ~hit[word]
+                rest, times = np.unique(text[rest] * len(words) + word[rest], return_counts=True)
+                tail = words[rest % len(words)]
+                ends = np.searchsorted(rest // len(words), np.arange(len(own) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(uid, uid + len(own))), batch.column(0), batch.column(2),
                     pa.array(n, pa.int64()), pa.array(known), pa.array(base),
